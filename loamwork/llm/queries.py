@@ -71,7 +71,7 @@ rep as (select r, count(*) as n from places group by r),
 m as (
   select w.r, doc_id, t, ls, len(ws) as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
     length(t) - length(translate(t, '#*$%&|<>', '')) as n_symbols,
-    len(list_filter(ls, x -> regexp_matches(x, '{_WORD}'))) - len(list_distinct(list_filter(ls, x -> regexp_matches(x, '{_WORD}')))) as n_dup_lines,
+    len(list_filter(ls, lambda x: regexp_matches(x, '{_WORD}'))) - len(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '{_WORD}')))) as n_dup_lines,
     coalesce(rep.n, 0) as n_repeat_words
   from w left join rep using (r)),
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)

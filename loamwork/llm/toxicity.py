@@ -66,24 +66,22 @@ def segments(scores: np.ndarray, at: np.ndarray, base: float) -> list[tuple[int,
     return [(a, b, through - before) for a, b, before, through in found]
 
 
-def _scan(model: Model):
-    """Of Arrow batches with `text`: for each row (words, segments), only words above 0 are visited one by one."""
-    keep = model.gain > 0
-    words, gain = model.words[keep], model.gain[keep]
+def _scan(*models: Model):
+    """Of Arrow texts: for each row its words and, for each model, its segments; only words above 0 are visited singly."""
 
     def of(texts: pa.Array):
         for a, b, data, offs in chunks(texts):
             w = Words(data, offs)
-            if len(words):
-                k = np.minimum(np.searchsorted(words, w.hash), len(words) - 1)
-                at = np.flatnonzero(words[k] == w.hash)
-                got = gain[k[at]]
-            else:
-                at, got = np.zeros(0, np.int64), np.zeros(0)
-            cut = np.searchsorted(at, w.ptr)
+            seen = []
+            for m in models:
+                if len(m.words):
+                    k = np.minimum(np.searchsorted(m.words, w.hash), len(m.words) - 1)
+                    at = np.flatnonzero(m.words[k] == w.hash)
+                    seen.append((at, m.gain[k[at]], np.searchsorted(at, w.ptr), m.base))
+                else:
+                    seen.append((np.zeros(0, np.int64), np.zeros(0), np.zeros(len(w.ptr), np.int64), m.base))
             for i in range(b - a):
-                x, y = cut[i], cut[i + 1]
-                yield int(w.ptr[i + 1] - w.ptr[i]), segments(got[x:y], at[x:y] - w.ptr[i], model.base) if y > x else []
+                yield int(w.ptr[i + 1] - w.ptr[i]), [segments(got[cut[i] : cut[i + 1]], at[cut[i] : cut[i + 1]] - w.ptr[i], base) if cut[i + 1] > cut[i] else [] for at, got, cut, base in seen]
 
     return of
 
@@ -99,76 +97,121 @@ def _evidence(n: int, found: list[tuple[int, int, float]], model: Model) -> floa
     return min(out, 300.0)
 
 
+#: Least scores of a word that are tried, the best by held-in log loss kept.
+GAINS = (1.0, 1.5, 2.0, 2.5, 3.0)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word (hash), clean and toxic (times in such texts): text, toxic (0, 1 or null: counted in `every` alone), every."""
+    """word (hash) and its times in c0, t0, c1, t1 (clean and toxic texts of either half) and every text.
+
+    docs: text, mark (0 to 3 for these four, null without a label)."""
 
     def count(batches):
         for batch in batches:
-            label = batch.column("toxic").fill_null(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            label = batch.column("mark").fill_null(4).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b, data, offs in chunks(batch.column("text")):
                 w = Words(data, offs)
                 mark = np.repeat(label[a:b], np.diff(w.ptr))
                 h, back = np.unique(w.hash, return_inverse=True)
-                n = np.bincount(back * 3 + mark, minlength=3 * len(h)).reshape(-1, 3)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array(n.sum(axis=1))], ["word", "clean", "toxic", "every"])
-
-    out = docs.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(count, "word long, clean long, toxic long, every long")
-    return out.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "every")))
-
-
-def fit(docs: DataFrame, labels: DataFrame, prior_words: float = 1000.0, least_gain: float = 1.0) -> Model:
-    """A model from documents (doc_id, text) and labels (doc_id, toxic). The prior counts every text, labelled or not.
-
-    Without labelled rows of both kinds the model finds nothing and scores every text alike."""
-    known = F.broadcast(bounded_labels(labels))
-    counts = materialize(word_counts(docs.join(known, "doc_id", "left").select("text", "toxic")))
-    t = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("clean", "toxic", "every"))).first()
-    empty = Model(np.zeros(0, np.uint64), np.zeros(0), -0.5)
-    if not t["clean"] or not t["toxic"]:
-        return empty
-    prior = F.col("every") * (prior_words / t["every"])
-    odds = lambda c: F.log((F.col(c) + prior) / (t[c] + prior_words - F.col(c) - prior))
-    # a word's log-odds less one standard error, so that rare words prove nothing
-    gain = odds("toxic") - odds("clean") - F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    best = counts.where("toxic > 0").select("word", gain.alias("gain")).where(F.col("gain") > least_gain).orderBy(F.desc("gain"), "word").limit(MAX_WORDS).toPandas()
+                n = np.bincount(back * 5 + mark, minlength=5 * len(h)).reshape(-1, 5)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(pa.array(n[:, k]) for k in range(4)), pa.array(n.sum(axis=1))], ["word", "c0", "t0", "c1", "t1", "every"])
+
+    out = docs.select("mark", "text").mapInArrow(count, "word long, c0 long, t0 long, c1 long, t1 long, every long")
+    return out.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1", "every")))
+
+
+def _gains(counts: DataFrame, total: dict, halves: tuple[int, ...], least: float, prior_words: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and scores of words from these halves' counts: log-odds less one standard error, so that rare words
+    prove nothing; those of `least` or more."""
+    toxic, clean = (sum((F.col(f"{k}{h}") for h in halves), F.lit(0)) for k in "tc")
+    n_toxic, n_clean = (sum(total[f"{k}{h}"] for h in halves) for k in "tc")
+    if not n_toxic or not n_clean:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    weight = float(prior_words or n_toxic)
+    prior = F.col("every") * (weight / total["every"])
+    odds = lambda c, n: F.log((c + prior) / (n + weight - c - prior))
+    gain = odds(toxic, n_toxic) - odds(clean, n_clean) - F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+    best = counts.where(toxic > 0).select("word", gain.alias("gain")).where(F.col("gain") >= least)
+    if best.count() > MAX_WORDS:
+        best = best.orderBy(F.desc("gain"), "word").limit(MAX_WORDS)
+    best = best.toPandas()
     h = best["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
-    model = Model(h[order], best["gain"].to_numpy()[order], -0.5)
-    return _calibrate(docs.join(known, "doc_id"), model)
+    return h[order], best["gain"].to_numpy(float)[order]
+
+
+def fit(docs: DataFrame, labels: DataFrame, prior_words: float | None = None, gains: tuple[float, ...] = GAINS) -> Model:
+    """A model from documents (doc_id, text) and labels (doc_id, toxic). The prior counts every text, labelled or not, and
+    weighs as much as prior_words words (default: the words of toxic rows).
+
+    The labelled rows fall into two halves by a hash of doc_id: words learned on one calibrate the law, the curve and
+    the least score on the other; the words themselves are then learned on both. Without labelled rows of both kinds
+    the model finds nothing and scores every text alike."""
+    half = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2))
+    known = F.broadcast(bounded_labels(labels).withColumn("mark", (half * 2 + F.col("toxic")).cast("int")))
+    counts = materialize(word_counts(docs.join(known, "doc_id", "left").select("text", "mark")))
+    total = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c0", "t0", "c1", "t1", "every"))).first().asDict()
+    words, gain = _gains(counts, total, (0, 1), min(gains), prior_words)
+    if not len(words):
+        return Model(words, gain, -0.5)
+    learned = _gains(counts, total, (0,), min(gains), prior_words)
+    tried = [Model(learned[0][learned[1] >= g], learned[1][learned[1] >= g], -0.5) for g in gains]
+    held = docs.join(known.where("mark >= 2"), "doc_id").select("text", F.col("toxic"))
+    fitted, losses = _calibrate(held, tried)
+    k = int(np.argmin(losses))
+    keep = gain >= gains[k]
+    return Model(words[keep], gain[keep], -0.5, fitted[k].decay, fitted[k].scale, fitted[k].curve)
 
 
-def _calibrate(labelled: DataFrame, model: Model) -> Model:
-    """Fits the law on the clean rows' best segments, then the curve on all rows' evidence (histograms: bounded)."""
+def _calibrate(labelled: DataFrame, models: list[Model]) -> tuple[list[Model], list[float]]:
+    """Each model with the law of the clean rows' best segments and the curve over all rows' evidence, and its log loss.
+
+    Two passes over labelled (text, toxic) for all models; what comes to the driver is histograms."""
 
     def best(batches):
-        of = _scan(model)
+        of = _scan(*models)
         for batch in batches:
-            rows = [(n, max((s for _, _, s in found), default=0.0)) for n, found in of(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([float(s) for _, s in rows], pa.float64())], ["n", "s"])
-
-    clean = labelled.where("toxic = 0").select("text").mapInArrow(best, "n long, s double")
-    m = clean.agg(F.avg("n").alias("n"), F.avg(F.when(F.col("s") > 0, F.col("s"))).alias("s"), F.avg((F.col("s") > 0).cast("int")).alias("p")).first()
-    # best segments of clean rows: exponential tail with rate 1 / mean, and K from how often any is seen
-    decay = 1.0 / max(m["s"] or 0.0, 0.5)
-    scale = max(-math.log1p(-min(m["p"] or 0.0, 0.99)), 1e-4) / max(m["n"] or 1.0, 1.0)
-    model = Model(model.words, model.gain, model.base, decay, scale)
+            rows = [(k, n, max((s for _, _, s in found), default=0.0)) for n, all_ in of(batch.column("text")) for k, found in enumerate(all_)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([float(r[2]) for r in rows], pa.float64())], ["k", "n", "s"])
+
+    clean = labelled.where("toxic = 0").select("text").mapInArrow(best, "k int, n long, s double")
+    law = {r["k"]: r for r in clean.groupBy("k").agg(F.avg("n").alias("n"), F.avg(F.when(F.col("s") > 0, F.col("s"))).alias("s"), F.avg((F.col("s") > 0).cast("int")).alias("p")).collect()}
+    fitted = []
+    for k, m in enumerate(models):
+        # best segments of clean rows: an exponential tail of rate 1 / mean, and K from how often any is seen
+        r = law.get(k)
+        seen, mean, n = (r["p"], r["s"] or 0.0, r["n"]) if r else (0.0, 0.0, 1.0)
+        fitted.append(Model(m.words, m.gain, m.base, 1.0 / max(mean, 0.5), max(-math.log1p(-min(seen, 0.99)), 1e-4) / max(n, 1.0)))
 
     def binned(batches):
-        of = _scan(model)
+        of = _scan(*fitted)
         for batch in batches:
-            e = [round(_evidence(n, found, model) * 10) for n, found in of(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(e, pa.int32())], ["toxic", "bin"])
-
-    seen = labelled.select("text", "toxic").mapInArrow(binned, "toxic int, bin int").groupBy("toxic", "bin").count().toPandas()
-    x, y, n = np.log1p(seen["bin"].to_numpy() / 10.0), seen["toxic"].to_numpy().astype(float), seen["count"].to_numpy().astype(float)
+            label = batch.column("toxic").to_pylist()
+            rows = [(k, label[i], round(_evidence(n, found, fitted[k]) * 10)) for i, (n, all_) in enumerate(of(batch.column("text"))) for k, found in enumerate(all_)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int32()) for j in range(3)], ["k", "toxic", "bin"])
+
+    seen = labelled.select("text", "toxic").mapInArrow(binned, "k int, toxic int, bin int").groupBy("k", "toxic", "bin").count().toPandas()
+    out, losses = [], []
+    for k, m in enumerate(fitted):
+        own = seen[seen["k"] == k]
+        x, y, n = np.log1p(own["bin"].to_numpy() / 10.0), own["toxic"].to_numpy().astype(float), own["count"].to_numpy().astype(float)
+        b, loss = _logistic(x, y, n)
+        out.append(Model(m.words, m.gain, m.base, m.decay, m.scale, (float(b[0]), float(max(b[1], 0.0)))))
+        losses.append(loss)
+    return out, losses
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
+    """Intercept and slope of y on x with weights n, by Newton steps with a weak ridge, and the log loss."""
     b = np.zeros(2)
-    for _ in range(60):  # Newton steps of a logistic fit with a weak ridge
-        p = 1 / (1 + np.exp(-(b[0] + b[1] * x)))
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(b[0] + b[1] * x, -30, 30)))
         g = np.array([np.sum(n * (y - p)), np.sum(n * (y - p) * x)]) - 0.01 * b
         v = n * p * (1 - p)
         hess = np.array([[v.sum(), (v * x).sum()], [(v * x).sum(), (v * x * x).sum()]]) + 0.01 * np.eye(2)
         b = b + np.clip(np.linalg.solve(hess, g), -2, 2)
-    return Model(model.words, model.gain, model.base, decay, scale, (float(b[0]), float(max(b[1], 0.0))))
+    p = np.clip(1 / (1 + np.exp(-np.clip(b[0] + b[1] * x, -30, 30))), 1e-6, 1 - 1e-6)
+    return b, float(-np.sum(n * (y * np.log(p) + (1 - y) * np.log(1 - p))))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -180,7 +223,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
         of = _scan(model)
         for batch in batches:
             scores, spans = [], []
-            for n, found in of(batch.column("text")):
+            for n, (found,) in of(batch.column("text")):
                 e = round(_evidence(n, found, model) * 10) / 10.0
                 scores.append(1 / (1 + math.exp(-max(-700.0, min(700.0, model.curve[0] + model.curve[1] * math.log1p(e))))))
                 spans.append([{"first": a, "end": b, "score": float(s)} for a, b, s in found])
