@@ -149,15 +149,16 @@ class Tree:
 
     def search(self, points: np.ndarray, n: np.ndarray):
         """(query, point, bound of the overlap) that no bound excludes, for each block of queries."""
-        for a in range(0, len(n), 128):
-            q, m = points[a : a + 128].astype(np.int64), n[a : a + 128]
-            i, k = np.repeat(np.arange(len(m)), len(self.levels[-1][1])), np.tile(np.arange(len(self.levels[-1][1])), len(m))
+        root = len(self.levels[-1][1])
+        for a in range(0, len(n), 64):
+            q, m = points[a : a + 64].astype(np.int64), n[a : a + 64]
+            i, k = np.repeat(np.arange(len(m)), root), np.tile(np.arange(root), len(m))
             for depth in range(len(self.levels) - 1, -1, -1):
                 top, least, most = self.levels[depth]
                 ok = (DEN * most[k] >= NUM * m[i]) & (DEN * m[i] >= NUM * least[k])
                 i, k = i[ok], k[ok]
                 small = np.maximum(least[k], -(-NUM * m[i] // DEN))
-                ok = np.minimum(q[i], top[k]).sum(axis=1) >= needed(m[i], small)
+                ok = _overlap(q, i, top, k) >= needed(m[i], small)
                 i, k = i[ok], k[ok]
                 if depth:
                     width = len(self.levels[depth - 1][1])
@@ -167,11 +168,19 @@ class Tree:
                 continue
             size = np.array([len(self.leaves[x]) for x in k])
             i, p = np.repeat(i, size), np.concatenate([self.leaves[x] for x in k])
-            bound = np.minimum(q[i], self.points[p].astype(np.int64)).sum(axis=1)
+            bound = _overlap(q, i, self.points, p)
             ok = bound >= needed(m[i], self.n[p])
             yield i[ok] + a, p[ok], bound[ok]
 
 
+def _overlap(a: np.ndarray, i: np.ndarray, b: np.ndarray, k: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """Sum over groups of the smaller of a[i] and b[k], for many pairs, in pieces that stay small in memory."""
+    out = np.zeros(len(i), np.int64)
+    for x in range(0, len(i), step):
+        out[x : x + step] = np.minimum(a[i[x : x + step]], b[k[x : x + step]]).sum(axis=1)
+    return out
+
+
 def tree_links(cls: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join up, as a forest, what the sets' pairs of similarity NUM / DEN or more connect.
 

@@ -28,13 +28,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _pow, _inv
     if len(_pow) < n:
-        n = max(n, 1 << 21)
+        n = max(n, 1 << 20)
         with np.errstate(over="ignore"):
             _pow, _inv = (np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, k, np.uint64))]) for k in (_P, _PINV))
     return _pow, _inv
 
 
-def chunks(texts: pa.Array, most: int = 2_000_000):
+def chunks(texts: pa.Array, most: int = 1_000_000):
     """(first row, past the last, bytes, offsets) of runs of rows of about `most` bytes each; nulls read as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
