@@ -156,7 +156,8 @@ def mix(docs: DataFrame, block_words: int = 32, shards: int = 64, seed: int = 1,
         texts = cut.join(texts, cut["doc_id"].eqNullSafe(texts["doc_id"]) & (cut["__t"] == texts["__t"])).select(cut["doc_id"], cut["__t"], "p", words.alias("w"))
         sliced = F.transform("p", lambda p: F.struct(p["__key"].alias("__key"), p["block"].alias("block"), p["source"].alias("source"), p["__group"].alias("__group"), p["__row"].alias("__row"), p["piece"].alias("piece"), p["n_words"].alias("n_words"), F.array_join(F.slice("w", (p["__at"] + 1).cast("int"), p["n_words"].cast("int")), " ").alias("text")))
         parts = texts.select("doc_id", F.explode(sliced).alias("p")).select("doc_id", "p.*")
-    return slots.join(parts, ["__key", "block"]), plan
+    # what mapInPandas returns looks tiny to the planner, so it is told not to broadcast it
+    return slots.hint("merge").join(parts, ["__key", "block"]), plan
 
 
 def mixed_counts(docs: DataFrame, block_words: int = 32, shards: int = 64, seed: int = 1) -> DataFrame:
