@@ -20,22 +20,22 @@ WHITE = " \t\n\x0b\f\r"
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects: from the columns that `measures` adds and the text, whether the rule rejects; null counts as no."""
+    """rejects(m, text): whether the rule rejects, from the measures (a struct column) and the text; null counts as no."""
 
     name: str
-    rejects: Callable[[], Column]
+    rejects: Callable[[Column, Column], Column]
 
 
 def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
-def measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long) of whole texts.
+def measures(text: Column) -> Column:
+    """A struct of n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long) of a whole text.
 
-    Null and empty texts: all 0. Columns of df with these names are replaced. Three-word windows are compared
-    by a 64-bit hash within one text; repeats come from one sort of a text's windows, n log n for any length."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    Null and empty texts: all 0. Three-word windows are compared by a 64-bit hash within one text; repeats come from
+    one sort of a text's windows, n log n for any length."""
+    t = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(t, GAP), lambda w: w != "")
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(_without(x, WHITE)) > 0)
 
@@ -50,39 +50,43 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
 
     of_words = let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), let(windows(w), covered).cast("long").alias("r")))
     of_lines = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-    return (
-        df.withColumn("__w", of_words)
-        .withColumns(
-            {
-                "n_words": F.col("__w.n"),
-                "word_chars": F.length(_without(t, WHITE)).cast("long"),
-                "n_symbols": (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long"),
-                "n_dup_lines": of_lines,
-                "n_repeat_words": F.col("__w.r"),
-            }
-        )
-        .drop("__w")
+    return let(
+        of_words,
+        lambda w: F.struct(
+            w["n"].alias("n_words"),
+            F.length(_without(t, WHITE)).cast("long").alias("word_chars"),
+            (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long").alias("n_symbols"),
+            of_lines.alias("n_dup_lines"),
+            w["r"].alias("n_repeat_words"),
+        ),
     )
 
 
-def default_rules(text: str = "text") -> list[Rule]:
-    t = F.coalesce(F.col(text), F.lit(""))
-    count = lambda characters: F.length(t) - F.length(_without(t, characters))
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+
+
+def default_rules() -> list[Rule]:
+    count = lambda t, characters: F.length(t) - F.length(_without(t, characters))
     return [
-        Rule("symbols", lambda: F.col("n_symbols") * 10 > F.col("n_words")),
-        Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 12 * F.col("n_words"))),
-        Rule("dup_lines", lambda: F.col("n_dup_lines") * 10 > 3 * F.size(F.split(t, "\n", -1))),
-        Rule("exclaims", lambda: count("!") * 10 > 3 * F.col("n_words")),
-        Rule("few_letters", lambda: F.length(F.regexp_replace(t, r"[^\p{L}]", "")) * 2 < F.col("word_chars")),
-        Rule("shouts", lambda: F.length(F.regexp_replace(t, r"[^\p{Lu}]", "")) * 2 > F.col("word_chars")),
+        Rule("symbols", lambda m, t: m["n_symbols"] * 10 > m["n_words"]),
+        Rule("word_length", lambda m, t: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 12 * m["n_words"])),
+        Rule("dup_lines", lambda m, t: m["n_dup_lines"] * 10 > 3 * F.size(F.split(t, "\n", -1))),
+        Rule("exclaims", lambda m, t: count(t, "!") * 10 > 3 * m["n_words"]),
+        Rule("few_letters", lambda m, t: F.length(F.regexp_replace(t, r"[^\p{L}]", "")) * 2 < m["word_chars"]),
+        Rule("shouts", lambda m, t: F.length(F.regexp_replace(t, r"[^\p{Lu}]", "")) * 2 > m["word_chars"]),
     ]
 
 
-def plan_cascade(measured: DataFrame, rules: list[Rule], sample_rows: int = 500) -> list[Rule]:
+def plan_cascade(df: DataFrame, text: str, rules: list[Rule], sample_rows: int = 500) -> list[Rule]:
     """The rules by rejections per second of their own cost on `sample_rows` rows, the best first.
 
     The sample is a bounded estimate of costs; every row is judged by every rule that it takes. Ties: by name."""
-    kept = measured.limit(sample_rows).persist()
+    t = F.coalesce(F.col(text), F.lit(""))
+    kept = df.select(t.alias("t")).limit(sample_rows).select("t", measures(F.col("t")).alias("m")).persist()
     try:
         n = kept.count()
         if not n:
@@ -90,7 +94,7 @@ def plan_cascade(measured: DataFrame, rules: list[Rule], sample_rows: int = 500)
         found = []
         for r in rules:
             began = time.perf_counter()
-            rejected = kept.agg(F.count_if(F.coalesce(r.rejects(), F.lit(False)))).first()[0]
+            rejected = kept.agg(F.count_if(F.coalesce(r.rejects(F.col("m"), F.col("t")), F.lit(False)))).first()[0]
             found.append(((rejected + 0.5) / (n + 1) / (time.perf_counter() - began), r))
         return [r for _, r in sorted(found, key=lambda x: (-x[0], x[1].name))]
     finally:
@@ -103,9 +107,17 @@ def quality_rules(df: DataFrame, text: str = "text", rules: list[Rule] | None =
     base_failed: fewer than 50 words, or over half of the words in repeated three-word windows. kept is false for
     those, else whether no rule rejects. A null text fails as an empty one. Repeated rows are judged alike; an empty
     table gives an empty one; other columns pass through, and those named as the new ones are replaced."""
-    rules = default_rules(text) if rules is None else rules
-    out = measures(df, text).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    by = F.when(F.col("base_failed"), F.lit("base"))
-    for r in plan_cascade(out, rules, sample_rows) if sample_rows else rules:
-        by = by.when(F.coalesce(r.rejects(), F.lit(False)), F.lit(r.name))
-    return out.withColumn("rejected_by", by).withColumn("kept", F.col("rejected_by").isNull())
+    rules = default_rules() if rules is None else rules
+    ordered = plan_cascade(df, text, rules, sample_rows) if sample_rows else rules
+    t = F.coalesce(F.col(text), F.lit(""))
+
+    def verdict(m: Column) -> Column:
+        by = F.when(base_failed(m), F.lit("base"))
+        for r in ordered:
+            by = by.when(F.coalesce(r.rejects(m, t), F.lit(False)), F.lit(r.name))
+        return F.struct(m.alias("m"), base_failed(m).alias("base_failed"), by.alias("by"))
+
+    # one expression, so that a filter on the verdict that is moved below works the measures out once
+    out = df.withColumn("__v", let(measures(F.col(text)), verdict))
+    out = out.withColumns({k: F.col(f"__v.m.{k}") for k in MEASURES} | {"base_failed": F.col("__v.base_failed"), "rejected_by": F.col("__v.by"), "kept": F.col("__v.by").isNull()})
+    return out.drop("__v")
