@@ -88,7 +88,9 @@ def truncate(c: Column, n: int = 110) -> Column:
 
 def shingles(words: Column, k: int) -> Column:
     """Runs of k words of an array, joined by spaces; none if it is shorter."""
-    return F.when(F.size(words) >= k, F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))).otherwise(F.array().cast("array<string>"))
+    cut = lambda w: F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.array_join(F.slice(w, i, k), " "))).otherwise(F.array().cast("array<string>"))
+    # words are bound once; inside the inner function they would be worked out again for each run
+    return F.transform(F.array(words), cut)[0]
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -407,9 +407,9 @@ def ewma(t):
     return x.select("user_id", F.round(smooth, 6).alias("level"))
 
 
-@query("select event_id, round(value - avg(value) over (partition by user_id), 6) as off from events")
+@query("select event_id, round(value - avg(value) over (partition by user_id), 3) as off from events")
 def person_baseline(t):
-    return t.events.select("event_id", F.round(F.col("value") - F.avg("value").over(W.partitionBy("user_id")), 6).alias("off"))
+    return t.events.select("event_id", F.round(F.col("value") - F.avg("value").over(W.partitionBy("user_id")), 3).alias("off"))
 
 
 @query(f"select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) {_BY_USER} rows between 5 preceding and current row) as filled, event_type <> 'purchase' as was_missing from events")
