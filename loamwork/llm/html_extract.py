@@ -30,7 +30,8 @@ _CONTAINER = frozenset("article main section div td body blockquote".split())
 _BAD = frozenset(
     "ad ads advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted sidebar side widget widgets related recommend recommended recommendations "
     "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer foot masthead topbar toolbar skip share sharing social subscribe subscription newsletter signup login cookie cookies consent gdpr "
-    "notice notices alert popup modal overlay disclaimer comment comments commentlist disqus respond reply replies discussion form search tags taglist hidden complementary contentinfo dialog tracking legal copyright".split()
+    "notice notices alert popup modal overlay disclaimer comment comments commentlist disqus respond reply replies discussion form search tags taglist hidden complementary contentinfo dialog tracking legal copyright "
+    "topnav sidenav subnav mainnav mainmenu submenu sitemap adbox adunit adwrapper adcontainer addthis outbrain taboola sharebar sharedaddy".split()
 )
 _GOOD = frozenset("article content post entry story main body text hentry".split())
 
@@ -63,7 +64,7 @@ def _names(attrs: str) -> tuple[list[str], str, bool]:
 def parse(html: str) -> _Node:
     """A tree of elements whose parts are text and elements. Tolerates unclosed, misnested and stray tags."""
     root = _Node("#", "", None, False, False)
-    top, at, lower = root, 0, None
+    top, at, lower, doubtful = root, 0, None, []
     for_end = None
     while True:
         if for_end is not None:  # raw text: up to its end tag
@@ -111,10 +112,13 @@ def parse(html: str) -> _Node:
                         break
                 x = x.parent
         words, cls, hidden = _names(m[2]) if m[2] and not m[2].isspace() else ((), "", False)
-        role = tag in _DROP or hidden or tag not in ("body", "html", "main", "article") and any(w in _BAD for w in words)
+        named = tag not in ("body", "html", "main") and any(w in _BAD for w in words)
+        role = tag in _DROP or hidden or named
         node = _Node(tag, "", top, role, tag in ("article", "main") or any(w in _GOOD for w in words))
         node.path = f"{top.path}>{tag}{'.' + cls if cls else ''}"
         top.parts.append(node)
+        if named and not (tag in _DROP or hidden):
+            doubtful.append(node)
         if tag in _VOID or m[2].endswith("/") and tag in ("svg", "path"):
             continue
         top = node
@@ -124,9 +128,26 @@ def parse(html: str) -> _Node:
         top.parts.append(html[at:])
     elif at < len(html) and re.match(r"<(?![a-zA-Z/!?])", html[at:]):
         top.parts.append(html[at:])
+    # a class alone leaves nothing out that holds the article: innermost first, so that parts are settled before wholes
+    for node in reversed(doubtful):
+        if node.tag not in ("article", "li") and _holds_article(node):
+            node.bad = False
     return root
 
 
+def _holds_article(node: _Node) -> bool:
+    """Whether an article, main or h1 element stands in node outside what is left out."""
+    stack = [node]
+    while stack:
+        for p in stack.pop().parts:
+            if isinstance(p, _Node) and not p.bad:
+                if p.tag in ("article", "main", "h1"):
+                    return True
+                if p.tag != "header":
+                    stack.append(p)
+    return False
+
+
 def _heading(node: _Node) -> bool:
     stack = [node]
     while stack:

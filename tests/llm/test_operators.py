@@ -140,6 +140,11 @@ def test_html_page():
     assert html_extract.extract(PAGE) == WANT
 
 
+def test_html_class_of_a_wrapper_drops_no_article():
+    text = "<body><div class='page with-sidebar'><div class=sidebar><p>Links here</p></div><article><h1>A</h1><p>Body text.</p><div id=comments><article class=comment><p>No!</p></article></div></article></div></body>"
+    assert html_extract.extract(text) == "A Body text."
+
+
 def test_html_hosts_and_odd_rows(spark):
     rows = [(i, f"https://h{i % 3}.org/{i}", PAGE.replace("{n}", str(i))) for i in range(30)]
     rows += [(100, None, None), (101, "x", ""), (102, "https://h1.org/z", "<p>unclosed <b>bits"), (103, "https://h1.org/y", "plain &amp; simple"), (None, "https://h2.org", "<div><p>a</div><div>b")]
