@@ -74,7 +74,7 @@ def default_rules() -> list[Rule]:
     return [
         Rule("symbols", lambda m, t: m["n_symbols"] * 10 > m["n_words"]),
         Rule("word_length", lambda m, t: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 12 * m["n_words"])),
-        Rule("dup_lines", lambda m, t: m["n_dup_lines"] * 10 > 3 * F.size(F.split(t, "\n", -1))),
+        Rule("dup_lines", lambda m, t: m["n_dup_lines"] * 10 > 6 * F.size(F.split(t, "\n", -1))),
         Rule("exclaims", lambda m, t: count(t, "!") * 10 > 3 * m["n_words"]),
         Rule("few_letters", lambda m, t: F.length(F.regexp_replace(t, r"[^\p{L}]", "")) * 2 < m["word_chars"]),
         Rule("shouts", lambda m, t: F.length(F.regexp_replace(t, r"[^\p{Lu}]", "")) * 2 > m["word_chars"]),

@@ -77,7 +77,7 @@ m as (
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines,
   n_repeat_words::bigint as n_repeat_words, base_failed,
-  not (base_failed or n_symbols * 10 > n_words or word_chars < 2 * n_words or word_chars > 12 * n_words or n_dup_lines * 10 > 3 * len(ls)
+  not (base_failed or n_symbols * 10 > n_words or word_chars < 2 * n_words or word_chars > 12 * n_words or n_dup_lines * 10 > 6 * len(ls)
     or (length(t) - length(replace(t, '!', ''))) * 10 > 3 * n_words
     or length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) * 2 < word_chars
     or length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) * 2 > word_chars) as kept
