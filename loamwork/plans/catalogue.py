@@ -7,7 +7,10 @@ from pyspark.sql.window import Window as W
 from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import relational as R
+from ..operators import structure as S
+from ..sources import sinks as K
 from ..sources.tables import load, overlay
+from ..streaming import events as E
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -646,3 +649,81 @@ def group_folds(t):
     x = R.folds(t.events, "user_id", 5)
     per = x.groupBy("user_id").agg(F.countDistinct("fold").alias("k"), F.count("*").alias("n"))
     return per.agg(F.sum("n").alias("n"), F.when(F.max("k") == 1, 5).cast("long").alias("folds"))
+
+
+# --- structure and streams (checked in tests, or against SQL where it can say them) --------------------------------------
+
+
+@query(f"with {_LINES}, x as (select doc_id, line, lead(line) over (partition by doc_id order by line_no) as nxt from l) select doc_id, count(*) filter (length(line) >= 40 and not regexp_matches(line, '[.!?:]$') and nxt <> '')::bigint as n_open from x group by doc_id")
+def residual_wraps(t):
+    x = C.lines(t.documents).withColumn("nxt", F.lead("line").over(W.partitionBy("doc_id").orderBy("line_no")))
+    return x.groupBy("doc_id").agg(F.count_if((F.length("line") >= 40) & ~F.col("line").rlike("[.!?:]$") & (F.col("nxt") != "")).alias("n_open"))
+
+
+@query()
+def unwrapped_documents(t):
+    return S.unwrap(t.documents.select("doc_id", "text")).select("doc_id", F.sha2("text", 256).alias("sha256"), "n_merged")
+
+
+@query(r"with x as (select doc_id, unnest(regexp_extract_all(text, '" + T.EMAIL + r"')) as found from documents) select found, count(*)::bigint as n, count(distinct doc_id)::bigint as n_docs from x group by found")
+def located_emails(t):
+    found = S.find_all(t.documents.where(F.col("text").contains("@")), T.EMAIL, "email")
+    return found.groupBy("found").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+@query("select doc_id, sha256(text) as sha256, strlen(text)::bigint as n_bytes, length(text)::bigint as n_chars, len(string_split(text, chr(10)))::bigint as n_lines from documents")
+def document_manifest(t):
+    return K.manifest(t.documents)
+
+
+@query("select conv_id, string_agg(role || ': ' || text, chr(10) order by turn) as text from conversations group by conv_id")
+def rendered_conversations(t):
+    x = t.conversations.select(F.col("conv_id").alias("doc_id"), "turn", F.concat("role", F.lit(": "), "text").alias("line"))
+    return K.render(x, "turn").select(F.col("doc_id").alias("conv_id"), "text")
+
+
+@query("select event_type, time_bucket(interval '1 hour', ts) as start, count(*)::bigint as n, round(sum(value), 4) as total from events group by all")
+def stream_equals_batch(t):
+    """The windowed counts of a file stream drained to its end."""
+    got = E.drain(E.tumbling(E.event_stream(t.spark, f"{t.sf_dir}/events.parque[t]"), late="3650 days"), "complete")
+    return got.select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n", "total")
+
+
+@query("select doc_id, i::bigint as chunk, substring(text, (i * 400 + 1)::int, 500) as piece from (select doc_id, text, unnest(range(0, greatest(1, ceil((length(text) - 100) / 400.0))::int)) as i from documents)")
+def overlapping_chunks(t):
+    n = F.greatest(F.ceil((F.length("text") - 100) / 400), F.lit(1))
+    x = t.documents.select("doc_id", "text", F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("i"))
+    return x.select("doc_id", F.col("i").cast("long").alias("chunk"), F.substring("text", F.col("i") * 400 + 1, F.lit(500)).alias("piece"))
+
+
+@query("select p_brand, round(avg(p_retailprice), 6) as mean_price, (select count(*) from part p2 where p2.p_brand = p.p_brand and p2.p_size > 25)::bigint as n_large from part p group by p_brand")
+def boolean_mask_mean(t):
+    return t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 6).alias("mean_price"), F.count_if(F.col("p_size") > 25).alias("n_large"))
+
+
+@query("select l_returnflag, l_linestatus, round(sum(l_quantity), 2) as sum_qty, round(sum(l_extendedprice), 2) as sum_base, round(sum(l_extendedprice * (1 - l_discount)), 2) as sum_disc, round(avg(l_quantity), 6) as avg_qty, count(*)::bigint as n from lineitem where l_shipdate <= timestamp '1998-09-02' group by all")
+def pricing_summary(t):
+    x = t.lineitem.where(F.col("l_shipdate") <= F.to_timestamp_ntz(F.lit("1998-09-02 00:00:00")))
+    return x.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum("l_extendedprice"), 2).alias("sum_base"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("sum_disc"), F.round(F.avg("l_quantity"), 6).alias("avg_qty"), F.count("*").alias("n"))
+
+
+@query("""with e as (select user_id, event_type, value, row_number() over (partition by event_type order by event_id) % 5 as fold from events), m as (select event_type, fold, sum(value) as s, count(*) as n from e group by all), a as (select event_type, sum(s) as s, sum(n) as n from m group by 1)
+ select event_type, fold::int as fold, round((a.s - m.s) / (a.n - m.n), 4) as out_of_fold_mean from m join a using (event_type) where a.n > m.n""")
+def target_encoding(t):
+    f = t.events.withColumn("fold", (F.row_number().over(W.partitionBy("event_type").orderBy("event_id")) % 5).cast("int"))
+    m = f.groupBy("event_type", "fold").agg(F.sum("value").alias("s"), F.count("*").alias("n"))
+    a = m.groupBy("event_type").agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
+    return m.join(F.broadcast(a), "event_type").where("tn > n").select("event_type", "fold", F.round((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n")), 4).alias("out_of_fold_mean"))
+
+
+@query("""select c_custkey, (select count(*) from orders where o_custkey = c_custkey)::bigint as n_orders from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F')""")
+def semi_join_exists(t):
+    n = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.bool_or(F.col("o_orderstatus") == "F").alias("any_f")).where("any_f")
+    return t.customer.join(n, F.col("o_custkey") == F.col("c_custkey")).select("c_custkey", "n_orders")
+
+
+@query("""with f as (select distinct o_custkey as a, l_suppkey as b from orders join lineitem on l_orderkey = o_orderkey), h as (select distinct a, s_nationkey as nation from f join supplier on s_suppkey = b) select a as c_custkey, count(*)::bigint as n_nations from h group by a""")
+def two_hop_reach(t):
+    f = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
+    h = f.join(t.supplier, F.col("s_suppkey") == F.col("b")).select("a", "s_nationkey").distinct()
+    return h.groupBy(F.col("a").alias("c_custkey")).agg(F.count("*").alias("n_nations"))

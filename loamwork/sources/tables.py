@@ -1,5 +1,10 @@
 """Sessions, tables and the document sources: page arrays, overlays, rules and allow-lists."""
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -15,8 +20,19 @@ def session(app: str = "loamwork", **conf: str) -> SparkSession:
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once a context, unless it is on their path."""
+    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_loamwork_sent", False):
+        return
+    to = tempfile.mkdtemp(prefix="loamwork-")
+    context.addPyFile(shutil.make_archive(f"{to}/loamwork", "zip", root, "loamwork"))
+    context._loamwork_sent = True
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir as a parquet scan (columns and filters are pushed into it)."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """A file stream of the parquet files under path. ts becomes a TIMESTAMP: watermarks reject TIMESTAMP_NTZ."""
+    """A file stream of the parquet files under path (a folder or a glob; a lone file as a glob). ts becomes a TIMESTAMP: watermarks reject TIMESTAMP_NTZ."""
     schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
