@@ -1,29 +1,18 @@
 """What the operators share: reading tables, row identity, and cutting lineage on shared storage."""
 
-import os
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import ship
+
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends the package to the Python workers, once a context, unless it is on their path."""
-    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
-    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_loamwork_sent", False):
-        return
-    to = tempfile.mkdtemp(prefix="loamwork-")
-    context.addPyFile(shutil.make_archive(f"{to}/loamwork", "zip", root, "loamwork"))
-    context._loamwork_sent = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
