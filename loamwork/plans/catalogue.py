@@ -7,6 +7,7 @@ from pyspark.sql.window import Window as W
 from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import relational as R
+from ..operators import rewrite as V
 from ..operators import structure as S
 from ..sources import sinks as K
 from ..sources.tables import load, overlay
@@ -727,3 +728,81 @@ def two_hop_reach(t):
     f = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
     h = f.join(t.supplier, F.col("s_suppkey") == F.col("b")).select("a", "s_nationkey").distinct()
     return h.groupBy(F.col("a").alias("c_custkey")).agg(F.count("*").alias("n_nations"))
+
+
+@query("""with a as (select o_custkey as k, o_orderkey as a, row_number() over (partition by o_custkey order by o_orderkey) as r from orders where o_orderstatus = 'F'), b as (select o_custkey as k, o_orderkey as b, row_number() over (partition by o_custkey order by o_orderkey) as r from orders where o_orderstatus <> 'F')
+ select k as o_custkey, r::int as k, a, b from a full join b using (k, r)""")
+def ordinal_pairs(t):
+    f = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus")
+    return V.ordinal_join(f.where("o_orderstatus = 'F'"), f.where("o_orderstatus <> 'F'"), "o_custkey", "o_orderkey", "o_orderkey")
+
+
+@query(f"with {_LINES}, x as (select case when starts_with(line, 'Licensed under CC ') then 'Licensed under CC' when starts_with(line, 'Licensed under ') then 'Licensed under' when starts_with(line, 'The ') then 'The' end as label from l) select label, count(*)::bigint as n from x group by label")
+def longest_prefix(t):
+    x = V.best_prefix(C.lines(t.documents), ["The", "Licensed under", "Licensed under CC"])
+    return x.groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("""with x as (select conv_id, turn, role, text, count(*) filter (role = 'user') over (partition by conv_id order by turn rows unbounded preceding) as r from conversations)
+ select conv_id, r::bigint as row, sha256(string_agg(text, ' ' order by turn)) as sha256 from x group by all""")
+def folded_turns(t):
+    x = t.conversations.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("line_no"), F.col("text").alias("line"), "role")
+    f = V.fold_labelled(x, F.when(F.col("role") == "user", F.lit("user")))
+    return f.select(F.col("doc_id").alias("conv_id"), "row", F.sha2("text", 256).alias("sha256"))
+
+
+@query("select conv_id, turn, role, lag(role) over (partition by conv_id order by turn) is distinct from role as opens from conversations")
+def role_changes(t):
+    return V.section_headers(t.conversations.select("conv_id", "turn", "role"), "conv_id", "turn", "role")
+
+
+@query(f"with {_LINES}, x as (select doc_id, line, lead(line) over (partition by doc_id order by line_no) as nxt from l) select doc_id, (count(*) + count(*) filter (regexp_matches(line, '[.!?]$') and regexp_matches(nxt, '[.!?]$')))::bigint as n from x group by doc_id")
+def paragraph_breaks(t):
+    return V.paragraph_breaks(C.lines(t.documents)).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+@query("""with a as (select l_shipdate::date as d, count(*) as n from lineitem group by 1), b as (select o_orderdate::date as d, count(*) as n from orders group by 1) select a.d, (greatest(a.n - 1, 0) - coalesce(b.n, 0))::bigint as n from a left join b using (d) where greatest(a.n - 1, 0) - coalesce(b.n, 0) > 0""")
+def adjusted_multiset(t):
+    a, b = t.lineitem.select(F.to_date("l_shipdate").alias("d")), t.orders.select(F.to_date("o_orderdate").alias("d"))
+    return V.adjusted_difference(a, b, a.distinct().withColumn("times", F.lit(1)), "d")
+
+
+@query("""with d as (select doc_id, regexp_replace(text, '[0-9]+', '#', 'g') as a from documents), e as (select doc_id, a, regexp_replace(a, '  +', ' ', 'g') as b from d) select doc_id, sha256(e.b) as sha256, ((e.a <> documents.text)::int + (e.b <> e.a)::int)::int as n_changes from e join documents using (doc_id)""")
+def ordered_rewrites(t):
+    x = V.replace_all(t.documents.select("doc_id", "text"), [("digits", "[0-9]+", "#"), ("spaces", "  +", " ")])
+    return x.select("doc_id", F.sha2("text", 256).alias("sha256"), F.size("log").alias("n_changes"))
+
+
+@query("""with c as (select l_linenumber as x, l_tax as y, count(*) as n from lineitem group by all) select round(2 * sum(sign(b.y - a.y) * a.n * b.n) / ((select count(*) from lineitem) * ((select count(*) from lineitem) - 1.0)), 8) as tau from c a join c b on a.x < b.x""")
+def kendall_tau(t):
+    return V.kendall(t.lineitem, "l_linenumber", "l_tax").select(F.round("tau", 8).alias("tau"))
+
+
+@query("""with n as (select conv_id, turn, role, lead(role) over (partition by conv_id order by turn) as nxt from conversations) select nxt, count(*) filter (role = 'user')::bigint as after_user, count(*) filter (role = 'system')::bigint as after_system, count(*)::bigint as n from n group by nxt""")
+def next_turn_counts(t):
+    x = t.conversations.withColumn("nxt", F.lead("role").over(W.partitionBy("conv_id").orderBy("turn")))
+    return x.groupBy("nxt").agg(F.count_if(F.col("role") == "user").alias("after_user"), F.count_if(F.col("role") == "system").alias("after_system"), F.count("*").alias("n"))
+
+
+@query("""with v as (select c_nationkey, count(*) as n, avg(c_acctbal) as m, var_samp(c_acctbal) as s from customer group by 1), a as (select avg(c_acctbal) as m0 from customer) select c_nationkey, round((m - m0) / sqrt(s / n), 6) as t from v, a where n > 1 and s > 0""")
+def t_statistics(t):
+    v = t.customer.groupBy("c_nationkey").agg(F.count("*").alias("n"), F.avg("c_acctbal").alias("m"), F.var_samp("c_acctbal").alias("s")).where("n > 1 and s > 0")
+    return v.crossJoin(F.broadcast(t.customer.agg(F.avg("c_acctbal").alias("m0")))).select("c_nationkey", F.round((F.col("m") - F.col("m0")) / F.sqrt(F.col("s") / F.col("n")), 6).alias("t"))
+
+
+@query("""with o as (select o_orderstatus as a, o_orderpriority as b, count(*) as n from orders group by all), r as (select a, sum(n) as ra from o group by a), c as (select b, sum(n) as cb from o group by b), t as (select sum(n) as t from o)
+ select round(sum((coalesce(n, 0) - ra * cb / t) ** 2 / (ra * cb / t)), 6) as chi2 from r cross join c cross join t left join o using (a, b)""")
+def chi_square(t):
+    o = t.orders.groupBy(F.col("o_orderstatus").alias("a"), F.col("o_orderpriority").alias("b")).agg(F.count("*").alias("n"))
+    r, c, all_ = o.groupBy("a").agg(F.sum("n").alias("ra")), o.groupBy("b").agg(F.sum("n").alias("cb")), o.agg(F.sum("n").alias("t"))
+    e = F.col("ra") * F.col("cb") / F.col("t")
+    x = r.crossJoin(F.broadcast(c)).crossJoin(F.broadcast(all_)).join(o, ["a", "b"], "left")
+    return x.agg(F.round(F.sum(F.pow(F.coalesce("n", F.lit(0)) - e, 2) / e), 6).alias("chi2"))
+
+
+@query("""with k as (select k, (l.l ** k) * exp(-l.l) / factorial(k::int) as p from (select unnest(range(0, 8)) as k), (select count(*) / count(distinct l_orderkey) as l from lineitem) l) select k::bigint as k, round(p, 8) as pmf, round(sum(p) over (order by k), 8) as cdf from k""")
+def poisson_fit(t):
+    lam = t.lineitem.agg((F.count("*") / F.countDistinct("l_orderkey")).alias("l"))
+    k = t.spark.range(8).withColumnRenamed("id", "k").crossJoin(F.broadcast(lam))
+    p = k.withColumn("p", F.pow("l", "k") * F.exp(-F.col("l")) / F.factorial(F.col("k").cast("int")))
+    return p.select("k", F.round("p", 8).alias("pmf"), F.round(F.sum("p").over(W.orderBy("k").rowsBetween(W.unboundedPreceding, 0)), 8).alias("cdf"))
