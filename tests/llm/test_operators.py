@@ -120,6 +120,22 @@ def test_mix(spark):
     assert mixing.mixed_counts(docs.limit(0)).count() == 0
 
 
+def test_mix_is_the_same_in_short_slot_runs(spark, monkeypatch):
+    rng, words = random.Random(2), vocabulary(300)
+    docs = made(spark, [(d, " ".join(prose(rng.randint(0, 900), rng, words)), "ab"[d % 10 == 0]) for d in range(200)], "doc_id long, text string, source string")
+    whole = sorted(map(str, mixing.mix(docs)[0].collect()))
+    monkeypatch.setattr(mixing, "SLOT_RUN", 7)
+    assert sorted(map(str, mixing.mix(docs)[0].collect())) == whole
+
+
+def test_language_models_are_bounded(spark, monkeypatch):
+    docs = made(spark, [(1, "the small house", "en"), (2, "das kleine haus", "de")], "doc_id long, text string, lang string")
+    assert len(langid.fit(docs, max_grams=3).grams) <= 6
+    monkeypatch.setattr(langid, "MAX_LANGS", 1)
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(docs)
+
+
 def test_permutation_is_one():
     for n in (1, 2, 3, 10, 1000, 4097):
         x = mixing._permuted(np.arange(n), np.full(n, n), np.full(n, 77))
