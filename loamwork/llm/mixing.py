@@ -19,6 +19,8 @@ MAX_SOURCES = 100_000
 GROUP_ROWS = 20_000
 #: Slots that one row is spread to at a time: a hot source's slots in a shard are many such runs, in many tasks.
 SLOT_RUN = 100_000
+#: Slots that one task makes, about; their number sets the tasks, as the few bytes they are made from would give one.
+SLOTS_A_TASK = 500_000
 
 
 def targets(sizes: list[tuple[str | None, int]], total: int | None = None, most: float = 3.0) -> list[float]:
@@ -134,7 +136,7 @@ def mix(docs: DataFrame, block_words: int = 32, shards: int = 64, seed: int = 1,
     cells = [(k, rows[s][0], int(first[k, s]), int(drawn[k, s]), rows[s][3], s) for k in range(drawn.shape[0]) for s in range(drawn.shape[1]) if drawn[k, s]]
     slots = spark.createDataFrame(cells, "shard int, __key string, first long, n long, blocks long, s int")
     past = F.col("first") + F.col("n")
-    slots = slots.select("shard", "__key", "blocks", "s", past.alias("past"), F.explode(F.sequence("first", past - 1, F.lit(SLOT_RUN).cast("long"))).alias("at")).repartition("shard", "__key", "at")
+    slots = slots.select("shard", "__key", "blocks", "s", past.alias("past"), F.explode(F.sequence("first", past - 1, F.lit(SLOT_RUN).cast("long"))).alias("at")).repartition(max(1, -(-int(counts.sum()) // SLOTS_A_TASK)), "shard", "__key", "at")
     slots = slots.select("shard", "__key", "blocks", "s", F.explode(F.sequence("at", F.least(F.col("at") + SLOT_RUN, "past") - 1)).alias("k"))
 
     def place(frames):
