@@ -118,3 +118,14 @@ def iou(a: list[Column], b: list[Column]) -> Column:
     h = F.greatest(F.least(a[3], b[3]) - F.greatest(a[1], b[1]), F.lit(0.0))
     area = lambda r: (r[2] - r[0]) * (r[3] - r[1])
     return w * h / (area(a) + area(b) - w * h)
+
+
+def box_cox(c: Column, power: float) -> Column:
+    """The Box-Cox transform of positive values at a given power; null elsewhere."""
+    return F.when(c > 0, F.log(c) if power == 0 else (F.pow(c, F.lit(power)) - 1) / power)
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    """Similarity of two arrays as sets; null where both are empty."""
+    union = F.size(F.array_union(a, b))
+    return F.when(union > 0, F.size(F.array_intersect(a, b)) / union)

@@ -1 +1,3 @@
-"""See the modules."""
+"""The registered queries; importing the package registers all of them in catalogue."""
+
+from . import catalogue, more  # noqa: F401

@@ -1,4 +1,6 @@
-"""Sinks: documents, TSV reports and writes that are skipped, gated or idempotent."""
+"""Sinks: documents, TSV reports, writes that are skipped, gated or idempotent, and tables between rounds."""
+
+import tempfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,3 +31,11 @@ def gated(docs: DataFrame, baseline: DataFrame, normal) -> tuple[DataFrame, Data
     """(accepted, rejected): docs whose normalised text hashes as in baseline (doc_id, sha256), and the others."""
     x = docs.join(baseline.select("doc_id", F.col("sha256").alias("__b")), "doc_id", "left").withColumn("__ok", F.coalesce(F.col("__b") == F.sha2(normal(F.col("text")), 256), F.lit(False)))
     return x.where("__ok").drop("__ok", "__b"), x.where("not __ok").drop("__ok", "__b")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a reliable checkpoint in spark.checkpoint.dir; a local folder only where that is unset."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loamwork-"))
+    return df.checkpoint()
