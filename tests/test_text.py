@@ -1,5 +1,7 @@
 """Scalar functions and the survey's worked numbers, on invented text."""
 
+import random
+
 import pytest
 from loamwork.functions import text as T
 from loamwork.operators import corpus as C
@@ -57,6 +59,24 @@ def test_asof_ties_and_misses(spark):
     assert got == {1: 11, 2: None, 3: None}
 
 
+def test_asof_against_brute_force(spark):
+    rng = random.Random(6)
+    some = lambda top: None if rng.random() < 0.05 else rng.randrange(top)
+    a = [(i, some(400), some(3) if i % 3 else 0) for i in range(150)]
+    b = [(1000 + i, some(400), some(3) if i % 3 else 0) for i in range(60)]
+    want = {}
+    for i, ts, u in a:
+        fits = [(t, p) for p, t, v in b if None not in (ts, u, t, v) and v == u and t <= ts]
+        want[i] = max(fits)[1] if fits else None
+    x, y = spark.createDataFrame(a, "event_id int, ts int, u int"), spark.createDataFrame(b, "pid int, ts int, u int")
+    for width in (7, 100_000):
+        assert {r["event_id"]: r["asof_pid"] for r in R.asof(x, y, "u", "ts", "pid", ["pid"], width=width).collect()} == want
+    at = lambda df: df.withColumn("ts", F.timestamp_seconds(F.col("ts") * 7200))
+    assert {r["event_id"]: r["asof_pid"] for r in R.asof(at(x), at(y), "u", "ts", "pid", ["pid"]).collect()} == want
+    assert R.asof(x, y.limit(0), "u", "ts", "pid", ["pid"]).where("asof_pid is null").count() == len(a)
+    assert R.asof(x.limit(0), y, "u", "ts", "pid", ["pid"]).count() == 0
+
+
 def test_multiset_difference_saturates(spark):
     a, b = spark.createDataFrame([("x",), ("x",), ("y",)], "k string"), spark.createDataFrame([("x",), ("y",), ("y",), ("z",)], "k string")
     assert {r["k"]: r["n"] for r in C.multiset_diff(a, b, "k").collect()} == {"x": 1}
