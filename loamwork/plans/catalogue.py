@@ -568,9 +568,8 @@ def psi_halves(t):
 def ks_two_sample(t):
     early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
     v = t.events.groupBy("value").agg(F.count_if(early).alias("e"), F.count_if(~early).alias("a"))
-    run = W.orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     total = v.agg(F.sum("e").alias("te"), F.sum("a").alias("ta"))
-    s = v.select(F.sum("e").over(run).alias("e"), F.sum("a").over(run).alias("a")).crossJoin(F.broadcast(total))
+    s = R.running_total(v, "value", ["e", "a"]).select(F.col("upto_e").alias("e"), F.col("upto_a").alias("a")).crossJoin(F.broadcast(total))
     return s.agg(F.round(F.max(F.abs(F.col("e") / F.col("te") - F.col("a") / F.col("ta"))), 8).alias("ks"))
 
 
@@ -714,7 +713,7 @@ def target_encoding(t):
     f = t.events.withColumn("fold", (F.row_number().over(W.partitionBy("event_type").orderBy("event_id")) % 5).cast("int"))
     m = f.groupBy("event_type", "fold").agg(F.sum("value").alias("s"), F.count("*").alias("n"))
     a = m.groupBy("event_type").agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
-    return m.join(F.broadcast(a), "event_type").where("tn > n").select("event_type", "fold", F.round((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n")), 4).alias("out_of_fold_mean"))
+    return m.join(a, "event_type").where("tn > n").select("event_type", "fold", F.round((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n")), 4).alias("out_of_fold_mean"))
 
 
 @query("""select c_custkey, (select count(*) from orders where o_custkey = c_custkey)::bigint as n_orders from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F')""")
@@ -794,10 +793,10 @@ def t_statistics(t):
  select round(sum((coalesce(n, 0) - ra * cb / t) ** 2 / (ra * cb / t)), 6) as chi2 from r cross join c cross join t left join o using (a, b)""")
 def chi_square(t):
     o = t.orders.groupBy(F.col("o_orderstatus").alias("a"), F.col("o_orderpriority").alias("b")).agg(F.count("*").alias("n"))
+    # n * (sum of n_ij^2 / (r_i * c_j) - 1): only cells that occur, so no grid of all pairs
     r, c, all_ = o.groupBy("a").agg(F.sum("n").alias("ra")), o.groupBy("b").agg(F.sum("n").alias("cb")), o.agg(F.sum("n").alias("t"))
-    e = F.col("ra") * F.col("cb") / F.col("t")
-    x = r.crossJoin(F.broadcast(c)).crossJoin(F.broadcast(all_)).join(o, ["a", "b"], "left")
-    return x.agg(F.round(F.sum(F.pow(F.coalesce("n", F.lit(0)) - e, 2) / e), 6).alias("chi2"))
+    share = o.join(r, "a").join(c, "b").agg(F.sum(F.col("n") * F.col("n") / (F.col("ra") * F.col("cb"))).alias("s"))
+    return share.crossJoin(all_).select(F.round(F.col("t") * (F.col("s") - 1), 6).alias("chi2"))
 
 
 @query("""with k as (select k, (l.l ** k) * exp(-l.l) / factorial(k::int) as p from (select unnest(range(0, 8)) as k), (select count(*) / count(distinct l_orderkey) as l from lineitem) l) select k::bigint as k, round(p, 8) as pmf, round(sum(p) over (order by k), 8) as cdf from k""")
