@@ -2,8 +2,10 @@
 
 The symbols are whole lines, weighed by their words. A run of lines of NOISE words or more, the shortest from its first
 line, has a hash; of the runs inside each shortest window of GUARANTEE words or more, the one with the least hash is
-taken, so that any two equal passages of GUARANTEE words share a fingerprint. Each fingerprint's places are joined to
-its first place; matches are extended both ways along their diagonal, and later runs are deleted.
+taken, so that any two equal passages of GUARANTEE words share a fingerprint. The windows themselves are fingerprints
+too, the shortest from each line and the shortest up to each line: together they cover every line of a passage, and a
+window's first place holds all of it, wherever the runs in it stand first. Each fingerprint's places are joined to its
+first place; matches are extended both ways along their diagonal, and later runs are deleted.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +31,7 @@ def _run(lines: Column, j: Column, words: int) -> Column:
 
 
 def _picks(lines: Column, noise: int, guarantee: int) -> Column:
-    """Fingerprints: distinct g (hash) and p (first line) of the least run in each window."""
+    """Fingerprints: distinct g (hash) and p (first line) of the least run in each window, and of the windows."""
 
     def of(runs: Column) -> Column:
         # runs[j]: g, p = j, e = line past its end, and past: line past the end of the window from j (null: none)
@@ -37,13 +39,25 @@ def _picks(lines: Column, noise: int, guarantee: int) -> Column:
             inside = F.filter(F.slice(runs, x["p"] + 1, x["past"] - x["p"]), lambda y: y["ok"] & (y["e"] <= x["past"]))
             return F.array_min(F.transform(inside, lambda y: F.struct(y["g"].alias("g"), y["p"].alias("p"))))
 
-        return F.array_distinct(F.transform(F.filter(runs, lambda x: x["past"].isNotNull()), least))
+        ends = F.filter(runs, lambda x: x["past"].isNotNull())
+        ahead = F.transform(ends, lambda x: F.struct(x["whole"].alias("g"), x["p"].alias("p")))
+        return F.array_distinct(F.concat(F.transform(ends, least), ahead, back(runs)))
+
+    def back(runs: Column) -> Column:
+        # of the windows up to a line, those that are not the window from their first line
+        def window(rev: Column, j: Column) -> Column:
+            past = F.size(lines) - j
+            return let(_run(rev, j, guarantee), lambda r: F.struct((r["w"] >= guarantee).alias("ok"), F.bitwise_not(r["g"]).alias("g"), (past - r["n"]).alias("p"), past.alias("past")))
+
+        all_ = let(F.reverse(lines), lambda rev: F.transform(rev, lambda _, j: window(rev, j)))
+        more = F.filter(all_, lambda x: x["ok"] & (F.get(runs, x["p"])["past"] != x["past"]))
+        return F.transform(more, lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p")))
 
     def run(x: Column, j: Column) -> Column:
         small, large = _run(lines, j, noise), _run(lines, j, guarantee)
         return let(
             F.struct(small.alias("a"), large.alias("b")),
-            lambda r: F.struct(r["a"]["g"].alias("g"), j.alias("p"), (j + r["a"]["n"]).alias("e"), (r["a"]["w"] >= noise).alias("ok"), F.when(r["b"]["w"] >= guarantee, j + r["b"]["n"]).alias("past")),
+            lambda r: F.struct(r["a"]["g"].alias("g"), j.alias("p"), (j + r["a"]["n"]).alias("e"), (r["a"]["w"] >= noise).alias("ok"), F.when(r["b"]["w"] >= guarantee, j + r["b"]["n"]).alias("past"), r["b"]["g"].alias("whole")),
         )
 
     return let(F.transform(lines, run), of)
@@ -85,9 +99,9 @@ def line_dedup(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE)
     """docs with the later repeated runs of lines cut out of text, and n_cut_lines and cut (runs as first and last line
     numbers of the old text) added. All rows stay; a text may become empty.
 
-    A repeated passage of `guarantee` words or more, in whole lines, is always found; what is deleted is at least `noise`
-    words long and stands, line for line, in an earlier place: a smaller doc_id (null first), then hash of the text, then
-    line. A run of equal lines in one document counts too. Lines without a word don't part a run and go with it. Rows
+    A repeated passage of `guarantee` words or more, in whole lines, is always found and deleted whole; what is deleted is
+    at least `noise` words long and stands, line for line, in an earlier place: a smaller doc_id (null first), then hash of
+    the text, then line. A run of equal lines in one document counts too. Lines without a word don't part a run and go with it. Rows
     that repeat both doc_id and text are one document: all keep the same text. Null texts stay null, empty ones empty."""
     cut = repeated_runs(docs, noise, guarantee).withColumnsRenamed({"doc_id": "__d", "__t": "__u"})
     keyed = docs.drop("n_cut_lines", "cut").withColumn("__t", F.xxhash64("text"))

@@ -313,6 +313,22 @@ def test_line_dedup_against_brute_force(spark):
     assert len(left) == len(rows)
 
 
+def test_line_dedup_with_hot_lines_in_passages(spark):
+    rng, words = random.Random(4), vocabulary(2000)
+    line = lambda n: " ".join(prose(n, rng, words))
+    hot = [line(30) for _ in range(4)]
+    rows = [(d, f"{line(9)}\n{hot[d % 4]}\n{line(9)}") for d in range(20)]
+    for k in range(30):
+        passage = [line(rng.randint(8, 20)) for _ in range(rng.randint(2, 6))]
+        passage.insert(rng.randint(0, len(passage)), hot[k % 4])
+        rows += [(100 + 3 * k + x, "\n".join([line(9), *passage[x % 2 :], line(9)])) for x in range(3)]
+    got = {r["doc_id"]: {i for c in r["cut"] or [] for i in range(c["first"], c["last"] + 1)} for r in line_dedup.line_dedup(made(spark, rows)).collect()}
+    sure, may = brute_lines(rows, 50), brute_lines(rows, 25)
+    assert len(sure) > 40
+    for d, _ in rows:
+        assert sure.get(d, set()) <= got[d] <= may.get(d, set())
+
+
 def test_line_dedup_odd_rows(spark):
     long = " ".join(vocabulary(60))
     rows = [*ODD, (20, long), (21, f"mine\n{long}\nhers"), (21, f"mine\n{long}\nhers"), (22, f"{long}\n\n{long}")]
