@@ -91,10 +91,12 @@ def _sets(docs: DataFrame, with_keys: bool) -> DataFrame:
 
 
 def _full_keys(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """cls, keys of texts of whose SKETCH least shingles four or more are common: their prefix when common ones come last.
+    """cls, keys of texts with a common shingle among their SKETCH least: the SKETCH least that are not common, or more.
 
-    The prefix has n - needed + 1 shingles. All of it that is not common is kept; where it reaches common ones, the
-    SKETCH least of those are: two sets that share common ones alone are still as similar on these."""
+    A text has its full prefix when common shingles come last, if four or more of its SKETCH least are common or if under
+    SKETCH of all are not common, as in a short text. The prefix has n - needed + 1 shingles. All of it that is not common
+    is kept; where it reaches common ones, the SKETCH least of those are: two sets that share common ones alone are still
+    as similar on these."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
@@ -106,11 +108,17 @@ def _full_keys(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 ids = _class_id(h, ptr)
                 hot = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
                 sums = np.concatenate([[0], np.cumsum(hot)])
-                for i in np.flatnonzero(sums[np.minimum(ptr[:-1] + SKETCH, ptr[1:])] - sums[ptr[:-1]] >= 4):
+                least = sums[np.minimum(ptr[:-1] + SKETCH, ptr[1:])] - sums[ptr[:-1]]
+                plain = np.diff(ptr) - (sums[ptr[1:]] - sums[ptr[:-1]])
+                # a text that is passed over has no common key, so SKETCH plain ones or nothing else
+                for i in np.flatnonzero(least):
                     mine, flag = h[ptr[i] : ptr[i + 1]], hot[ptr[i] : ptr[i + 1]]
                     size = len(mine) - -(-NUM * len(mine) // DEN) + 1
                     rare = mine[~flag]
-                    k = rare[:size] if len(rare) >= size else np.concatenate([rare, mine[flag][:SKETCH]])
+                    if least[i] < 4 and plain[i] >= SKETCH:
+                        k = rare[:SKETCH]
+                    else:
+                        k = rare[: max(size, SKETCH)] if len(rare) >= size else np.concatenate([rare, mine[flag][:SKETCH]])
                     cls.append(ids[i])
                     keys.append(k.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["cls", "keys"])
@@ -241,7 +249,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     if len(common):
         full = _full_keys(docs, np.sort(common.view(np.uint64)))
         few = spark.createDataFrame([(int(k),) for k in common], "key long")
-        # texts of many common shingles have their full prefix; others do without the common ones
+        # texts of many common shingles, and short ones, have their full prefix; others have uncommon ones instead of them
         mixed = classes.join(full.withColumnRenamed("keys", "more"), "cls", "left")
         own = mixed.select("cls", F.explode(F.coalesce(F.concat("more", "keys"), F.col("keys"))).alias("key"), F.col("more").isNull().alias("plain"), "more")
         hot = own.join(F.broadcast(few.withColumn("hot", F.lit(True))), "key", "left")

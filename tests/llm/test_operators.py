@@ -431,6 +431,22 @@ def test_jaccard_against_brute_force(spark, monkeypatch, common):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_jaccard_short_texts_of_common_shingles(spark):
+    n = jaccard_join.COMMON + 50
+    rows = [(0, "A B C D E F G"), (1, "p q r s t u v w")] + [(2 + i, f"A B C D E F G x{i}") for i in range(n)] + [(2 + n + i, f"y{i} p q r s t u v w") for i in range(n)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_classes(made(spark, rows)).collect()}
+    assert got == {i: 0 if i == 0 or 2 <= i < 2 + n else 1 for i, _ in rows}
+
+
+def test_jaccard_short_texts_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COMMON", 8)
+    rng, words = random.Random(3), vocabulary(400)
+    cores = [prose(n, rng, words) for n in (7, 8, 9, 12, 16, 20, 24)]
+    rows = [(7 * k + d, " ".join(prose(rng.randint(0, 2), rng, words) + c[rng.randint(0, 1) :] + prose(rng.randint(0, 3), rng, words))) for k in range(40) for d, c in enumerate(cores)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_classes(made(spark, rows)).collect()}
+    assert got == brute_components(brute_sets(rows))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_tree_bounds_lose_no_link(seed):
     rows = near_copies(300, seed)
