@@ -128,14 +128,6 @@ def test_mix_is_the_same_in_short_slot_runs(spark, monkeypatch):
     assert sorted(map(str, mixing.mix(docs)[0].collect())) == whole
 
 
-def test_language_models_are_bounded(spark, monkeypatch):
-    docs = made(spark, [(1, "the small house", "en"), (2, "das kleine haus", "de")], "doc_id long, text string, lang string")
-    assert len(langid.fit(docs, max_grams=3).grams) <= 6
-    monkeypatch.setattr(langid, "MAX_LANGS", 1)
-    with pytest.raises(ValueError, match="languages"):
-        langid.fit(docs)
-
-
 def test_permutation_is_one():
     for n in (1, 2, 3, 10, 1000, 4097):
         x = mixing._permuted(np.arange(n), np.full(n, n), np.full(n, 77))
@@ -242,22 +234,62 @@ def test_language_id(spark, sf):
     assert {i for i, r in got.items() if r["held_out"]} == set(held)
     assert np.mean([got[i]["lang_pred"] == truth[i] for i in held]) > 0.97
     model = langid.fit(docs)
-    odd = {(r["doc_id"], r["lang_pred"]) for r in langid.identify(made(spark, [*ODD, (8, "12 34 %%")]), model).collect()}
-    assert {(1, "und"), (2, "und"), (3, "und"), (8, "und")} <= odd
-    assert (5, "und") not in odd
+    letters = [(40, "a"), (41, "é"), (42, "I"), (43, "1a2"), (44, "中"), (45, "\U00010020"), (46, " ß ")]
+    odd = {(r["doc_id"], r["lang_pred"]) for r in langid.identify(made(spark, [*ODD, (8, "12 34 %%"), *letters]), model).collect()}
+    assert {i for i, p in odd if p == "und"} == {1, 2, 3, 8}
     none = langid.language_id(docs.limit(0))
     assert none.count() == 0
     assert {r["lang_pred"] for r in langid.language_id(docs.withColumn("lang", F.lit(None).cast("string"))).limit(5).collect()} == {"und"}
 
 
-def test_model_sums_to_one():
-    texts = ["abab abba baba", "aa bb ab"]
-    g, n = np.unique(np.concatenate([langid._runs([t])[0] for t in texts]), return_counts=True)
-    m = langid._model({"x": (g, n)})
-    hist = {}
-    for run, p in zip(m.grams, np.exp(m.logp[:, 0])):
-        hist.setdefault(int(run) >> 16, []).append(p)
-    assert all(sum(p) <= 1 + 1e-6 for p in hist.values())
+def brute_kneser_ney(texts):
+    """A function of (history, character): interpolated Kneser-Ney by recursion over plain dictionaries."""
+    grams = [{} for _ in range(5)]
+    for t in texts:
+        t = "   " + " ".join(re.findall(r"[^\W\d_]+", t.lower())) + " "
+        for i in range(len(t) - 3):
+            grams[4][t[i : i + 4]] = grams[4].get(t[i : i + 4], 0) + 1
+    for k in (3, 2, 1):
+        for g in grams[k + 1]:
+            grams[k][g[1:]] = grams[k].get(g[1:], 0) + 1
+    d = []
+    for k in range(5):
+        one, two = (sum(v == n for v in grams[k].values()) for n in (1, 2))
+        d.append(min(max(one / (one + 2 * two) if one and two else 0.5, 0.1), 0.95))
+
+    def p(history, c):
+        k = len(history) + 1
+        below = p(history[1:], c) if history else 1 / (len(grams[1]) + 50)
+        after = {g: n for g, n in grams[k].items() if g[:-1] == history}
+        if not after:
+            return below
+        return (max(after.get(history + c, 0) - d[k], 0) + d[k] * len(after) * below) / sum(after.values())
+
+    return p
+
+
+@pytest.mark.parametrize("at_once", [langid.TERMS_AT_ONCE, 40])
+def test_kneser_ney_against_brute_force(spark, at_once):
+    train = [(1, "The small house, the old house", "en"), (2, "a house; THE HOUSES?", "en"), (3, "das kleine Haus", "de"), (4, "häuser und 3 mäuse", "de"), (5, None, "en"), (6, "ohne", None)]
+    model = langid.fit(made(spark, train, "doc_id long, text string, lang string"), terms_at_once=at_once)
+    assert model.langs == ("de", "en") and (model.passes > 1) == (at_once == 40)
+    asked = [(1, "the mouse houses"), (2, "kleine mäuse"), (3, "x"), (4, "zzz qq 中"), (5, "the small house"), (6, "12"), (7, None)]
+    got = {r["doc_id"]: r for r in langid.entropies(made(spark, asked), model).collect()}
+    for j, lang in enumerate(model.langs):
+        p = brute_kneser_ney([t for _, t, x in train if x == lang and t])
+        for i, t in asked:
+            w = "   " + " ".join(re.findall(r"[^\W\d_]+", (t or "").lower())) + " "
+            if w.strip():
+                want = -np.mean([np.log(p(w[k : k + 3], w[k + 3])) for k in range(len(w) - 3)])
+                assert got[i]["ce"][j] == pytest.approx(want, rel=1e-4) and got[i]["runs"] == len(w) - 3
+            else:
+                assert got[i]["runs"] == 0
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 1)
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(made(spark, [(1, "the small house", "en"), (2, "das kleine haus", "de")], "doc_id long, text string, lang string"))
 
 
 # --- 7 --------------------------------------------------------------------------------------------------------------
