@@ -10,15 +10,21 @@ between its edits has ceil((W - k) / (k + 1)) words or more, so such a run of wo
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from .common import arrow_field, materialize, ship
 from .textkernel import Words, chunks, mix
 
 _U = np.uint64
-#: Items that one pass over the texts looks for, at most; more take more passes.
-ITEMS_AT_ONCE = 20_000
+#: Items, and words of items, that one pass over the texts looks for, at most; more take more passes.
+ITEMS_AT_ONCE, WORDS_AT_ONCE = 20_000, 2_000_000
+#: Tables, at most: if they don't reach the recall, it is an error.
 MAX_TABLES = 400
+#: Edited copies of items that the recall is measured on.
+TRIALS = 300
 
 
 def edit_search(item: list[int], text: list[int]) -> tuple[int, int]:
@@ -77,38 +83,47 @@ class Index:
             order = np.argsort(h, kind="stable")
             self.by_run[q] = (h[order], i[order], o[order])
         rng = np.random.default_rng(seed)
-        self.tables = self._tables(recall, rng)
-        self.lengths: dict[int, tuple] = {}
+        self.tables, self.lengths = MAX_TABLES, {}
         for length in sorted({len(w) for _, w in items}):
             steps = max(bits, length + length // 2)
-            picks = [(t % walks, np.sort(rng.choice(steps, bits, replace=False))) for t in range(self.tables)]
-            mine = [i for i, (_, w) in enumerate(items) if len(w) == length]
-            keys = self._keys(np.array([items[i][1] for i in mine], np.uint64), length, steps, picks)
-            flat, who = keys.ravel(), np.repeat(mine, keys.shape[1])
-            order = np.argsort(flat, kind="stable")
-            self.lengths[length] = (steps, picks, flat[order], who[order])
-
-    def _tables(self, recall: float, rng) -> int:
-        """Tables that reach the recall on items with as many random edits as are allowed (half of them replacements)."""
-        some = [w for _, w in self.items if len(w) >= 5]
-        if not some:
-            return 1
-        agree = []
-        for n in range(min(100, 4 * len(some))):
-            w = some[int(rng.integers(len(some)))]
+            picks = [(t % walks, np.sort(rng.choice(steps, bits, replace=False))) for t in range(MAX_TABLES)]
+            self.lengths[length] = (steps, picks, *self._table(length, steps, picks))
+        # the tables that the recall takes, and no more
+        self.tables = self._least_tables(recall, rng)
+        for length, (steps, picks, _, _) in self.lengths.items():
+            self.lengths[length] = (steps, picks[: self.tables], *self._table(length, steps, picks[: self.tables]))
+
+    def _table(self, length: int, steps: int, picks: list) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of all items of this length, sorted, and each one's item."""
+        mine = [i for i, (_, w) in enumerate(self.items) if len(w) == length]
+        keys = self._keys(np.array([self.items[i][1] for i in mine], np.uint64), length, steps, picks)
+        flat, who = keys.ravel(), np.repeat(mine, keys.shape[1])
+        order = np.argsort(flat, kind="stable")
+        return flat[order], who[order]
+
+    def _least_tables(self, recall: float, rng) -> int:
+        """Tables by which the search finds `recall` of TRIALS items, each with as many random edits as are allowed (a half
+        of them replacements) and in the midst of other words."""
+        first = []
+        new = lambda n: rng.integers(1, 1 << 62, n)
+        for _ in range(TRIALS if self.items else 0):
+            i = int(rng.integers(len(self.items)))
+            w = self.items[i][1]
             x = w.tolist()
-            for _ in range(int(self.max_edit * len(w))):
+            for _ in range(self.k[i]):
                 p, kind = int(rng.integers(len(x))), rng.random()
-                new = int(rng.integers(1, 1 << 62))
-                x[p : p + (kind < 0.75)] = [new] if kind < 0.5 or kind >= 0.75 else []
-            y, steps = np.zeros(len(w), np.uint64), len(w) + len(w) // 2
-            y[: min(len(x), len(w))] = np.array(x[: len(w)], np.uint64)
-            both = embed(np.stack([w, y]), len(w), steps, n)
-            agree.append(np.mean((both[0] == both[1]) & (both[0] != 0)) ** self.bits)
-        p, tables = np.array(agree), 4
-        while tables < MAX_TABLES and np.mean(1 - (1 - p) ** tables) < recall:
-            tables += 4
-        return tables
+                x[p : p + (kind < 0.75)] = new(1).tolist() if kind < 0.5 or kind >= 0.75 else []
+            words = Words.__new__(Words)
+            words.hash = np.concatenate([new(2 * len(w)).astype(np.uint64), np.array(x, np.uint64), new(2 * len(w)).astype(np.uint64)])
+            words.ptr = np.array([0, len(words.hash)])
+            hits = sorted((t, s) for (_, j), at in self._meet(words).items() for s, t in at if j == i)
+            first.append(next((t for t, s in hits if self._verify(words, 0, i, [s])), MAX_TABLES))
+        if not first:
+            return 1
+        need = int(np.sort(first)[max(0, int(np.ceil(recall * len(first))) - 1)]) + 1
+        if need > MAX_TABLES:
+            raise ValueError(f"{MAX_TABLES} tables find fewer than {recall} of the edited items")
+        return need
 
     def _keys(self, rows: np.ndarray, length: int, steps: int, picks: list) -> np.ndarray:
         out = np.zeros((len(rows), len(picks)), np.uint64)
@@ -123,9 +138,9 @@ class Index:
                         out[:, t] = h
         return out
 
-    def search(self, words: Words):
-        """(document of the chunk, item, distance, end word) of each item that a document has within its edits."""
-        doc = words.doc()
+    def _meet(self, words: Words) -> dict[tuple[int, int], list[tuple[int, int]]]:
+        """By (document of the chunk, item): starts of windows that share a table's key with it, and the table."""
+        doc, sizes = words.doc(), np.array([len(w) for _, w in self.items])
         starts: dict[int, list] = {}
         for q, (keys, item, offset) in self.by_run.items():
             h, _, at = words.grams(q)
@@ -136,7 +151,7 @@ class Index:
                 continue
             rep = np.repeat(hit, n[hit])
             which = np.repeat(lo[hit], n[hit]) + np.arange(len(rep)) - np.repeat(np.cumsum(n[hit]) - n[hit], n[hit])
-            first, size = at[rep] - offset[which], np.array([len(w) for _, w in self.items])[item[which]]
+            first, size = at[rep] - offset[which], sizes[item[which]]
             d = doc[at[rep]]
             for length in np.unique(size):
                 m = size == length
@@ -145,8 +160,8 @@ class Index:
         for length, parts in starts.items():
             windows = np.unique(np.concatenate(parts, axis=1), axis=1)
             steps, picks, keys, who = self.lengths[length]
-            for a in range(0, windows.shape[1], 20_000):
-                d, s = windows[:, a : a + 20_000]
+            for a in range(0, windows.shape[1], max(1, 400_000 // length)):
+                d, s = windows[:, a : a + max(1, 400_000 // length)]
                 grid = s[:, None] + np.arange(length)
                 inside = (grid >= words.ptr[d][:, None]) & (grid < words.ptr[d + 1][:, None])
                 rows = np.where(inside, words.hash[np.clip(grid, 0, max(0, len(words.hash) - 1))], _U(1) << _U(63))
@@ -155,22 +170,31 @@ class Index:
                 for r, t in zip(*np.nonzero((lo < len(keys)) & (keys[np.minimum(lo, len(keys) - 1)] == k))):
                     i = lo[r, t]
                     while i < len(keys) and keys[i] == k[r, t]:
-                        found.setdefault((int(d[r]), int(who[i])), []).append(int(s[r]))
+                        found.setdefault((int(d[r]), int(who[i])), []).append((int(s[r]), int(t)))
                         i += 1
-        for (d, i), at in sorted(found.items()):
-            k, w = self.k[i], self.items[i][1]
-            best = None
-            spans: list[list[int]] = []
-            for s in sorted(set(at)):
-                lo, hi = max(int(words.ptr[d]), s - 2 * k), min(int(words.ptr[d + 1]), s + len(w) + 2 * k)
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(hi, spans[-1][1])
-                else:
-                    spans.append([lo, hi])
-            for lo, hi in spans:
-                dist, end = edit_search(w.tolist(), words.hash[lo:hi].tolist())
-                if dist <= k and (best is None or dist < best[0]):
-                    best = (dist, lo + end - int(words.ptr[d]))
+        return found
+
+    def _verify(self, words: Words, d: int, i: int, at: list[int]) -> tuple[int, int] | None:
+        """(distance, end word) of the best match of item i near these starts, if it is within the item's edits."""
+        k, w = self.k[i], self.items[i][1]
+        best = None
+        spans: list[list[int]] = []
+        for s in sorted(set(at)):
+            lo, hi = max(int(words.ptr[d]), s - 2 * k), min(int(words.ptr[d + 1]), s + len(w) + 2 * k)
+            if spans and lo <= spans[-1][1]:
+                spans[-1][1] = max(hi, spans[-1][1])
+            else:
+                spans.append([lo, hi])
+        for lo, hi in spans:
+            dist, end = edit_search(w.tolist(), words.hash[lo:hi].tolist())
+            if dist <= k and (best is None or dist < best[0]):
+                best = (dist, lo + end - int(words.ptr[d]))
+        return best
+
+    def search(self, words: Words):
+        """(document of the chunk, item, distance, end word) of each item that a document has within its edits."""
+        for (d, i), at in sorted(self._meet(words).items()):
+            best = self._verify(words, d, i, [s for s, _ in at])
             if best:
                 yield d, i, *best
 
@@ -185,56 +209,102 @@ def _grams(w: np.ndarray, q: int):
 _PARTS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
-def _words(data, offs) -> Words:
-    return Words(np.where(_PARTS[data], np.uint8(32), data), offs)
+def _words(data: np.ndarray, offs: np.ndarray) -> Words:
+    """Words of UTF-8 bytes: parted at ASCII other than letters and digits and at the signs of Latin-1, General
+    Punctuation, CJK punctuation and full-width ASCII; kana and Han characters are a word each."""
+    data, cuts = np.where(_PARTS[data], np.uint8(32), data), None
+    lead = np.flatnonzero((data == 0xC2) | (data >= 0xE2) & (data < 0xF0))
+    if len(lead):
+        one, two = data[lead], data[np.minimum(lead + 1, len(data) - 1)]
+        three = data[np.minimum(lead + 2, len(data) - 1)]
+        sign = (one == 0xE2) & ((two == 0x80) | (two == 0x81)) | (one == 0xE3) & (two == 0x80)
+        sign |= (one == 0xEF) & (two == 0xBC) & ((three < 0x90) | (three >= 0x9A) & (three <= 0xA0))
+        latin = (one == 0xC2) & ~np.isin(two, (0xAA, 0xB5, 0xBA))
+        at = np.concatenate([lead[sign], lead[sign] + 1, lead[sign] + 2, lead[latin], lead[latin] + 1])
+        alone = lead[(one == 0xE3) & (two > 0x80) | (one >= 0xE4) & (one <= 0xE9)]
+        data[at[at < len(data)]] = 32
+        cuts = np.concatenate([alone, alone + 3])
+    return Words(data, offs, cuts=cuts)
 
 
-def _items(rows: list) -> list[tuple[int, np.ndarray]]:
-    out = []
-    for item_id, text in rows:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        out.append((item_id, _words(data, np.array([0, len(data)])).hash))
-    return out
+def _chunks(texts: pa.Array):
+    """Words of runs of rows: first row, words."""
+    for a, _, data, offs in chunks(pc.utf8_lower(texts), 1_000_000):
+        yield a, _words(data, offs)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, max_edit: float = 0.2, recall: float = 0.99, min_words: int = 5) -> DataFrame:
+def _indexes(items: DataFrame, max_edit: float, recall: float, min_words: int):
+    """An index for each pass, made when its turn comes, of at most ITEMS_AT_ONCE items and about WORDS_AT_ONCE words."""
+    words = F.coalesce(F.sum(F.octet_length("text") / 4), F.lit(0))
+    n, size = items.agg(F.count("*"), words.cast("long")).first()
+    passes = max(1, -(-n // ITEMS_AT_ONCE), -(-size // WORDS_AT_ONCE))
+    for k in range(passes):
+        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).select("item_id", "text").collect() if passes > 1 else items.select("item_id", "text").collect()
+        texts = pa.array([r["text"] for r in some], pa.string())
+        known = [(some[a + d]["item_id"], w.hash[w.ptr[d] : w.ptr[d + 1]]) for a, w in _chunks(texts) for d in range(len(w.ptr) - 1)]
+        yield passes, Index([x for x in known if len(x[1]) >= max(1, min_words)], max_edit, recall)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, max_edit: float = 0.2, recall: float = 0.99, min_words: int = 1) -> DataFrame:
     """doc_id, item_id, distance, item_words, end_word: each benchmark item that a document has with at most max_edit of
     the item's words edited (inserted, deleted or replaced), at its best place.
 
-    Words are runs of letters and digits in lower case. docs: doc_id, text; items: item_id, text. Null and empty texts
-    match nothing; items of fewer than min_words words are not looked for. Repeated rows of documents give repeated rows,
-    repeated items count each; either table may be empty. Whole texts are searched, in one pass for ITEMS_AT_ONCE items."""
-    kind, ikind = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
-    passes = max(1, -(-items.count() // ITEMS_AT_ONCE))
-    lowered = docs.select("doc_id", F.lower("text").alias("text"))
-    schema = f"doc_id {kind}, item_id {ikind}, distance int, item_words int, end_word long"
+    Words are runs of letters and digits in lower case, and single Han and kana characters. docs: doc_id, text; items:
+    item_id, text; ids of any type. Null and empty texts match nothing; items of fewer than min_words words are not looked
+    for (default: only those without a word); where max_edit allows a short item no edit, its words must stand as they are.
+    Repeated rows of documents give repeated rows, repeated items count each; either table may be empty. Whole texts are
+    searched, in one pass for ITEMS_AT_ONCE items. An error is raised if MAX_TABLES tables don't reach the recall."""
+    ship(docs.sparkSession)
+    kinds = [("doc_id", arrow_field(docs, "doc_id")), ("item_id", arrow_field(items, "item_id")), ("distance", pa.int32()), ("item_words", pa.int32()), ("end_word", pa.int64())]
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), StructField("item_id", items.schema["item_id"].dataType), StructField("distance", IntegerType()), StructField("item_words", IntegerType()), StructField("end_word", LongType())])
     out = None
-    for k in range(passes):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).select("item_id", F.lower("text")).collect()
-        known = [x for x in _items([tuple(r) for r in some]) if len(x[1]) >= min_words]
-        if not known:
+    for passes, index in _indexes(items, max_edit, recall, min_words):
+        if not index.items:
             continue
-        shared = docs.sparkSession.sparkContext.broadcast(Index(known, max_edit, recall))
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
             index = shared.value
             for batch in batches:
-                ids = batch.column("doc_id").to_pylist()
-                rows = []
-                for a, b, data, offs in chunks(batch.column("text"), 1_000_000):
-                    rows += [(ids[a + d], index.items[i][0], dist, len(index.items[i][1]), end) for d, i, dist, end in index.search(_words(data, offs))]
-                if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=arrow)
-
-        names = ["doc_id", "item_id", "distance", "item_words", "end_word"]
-        types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-        arrow = pa.schema([("doc_id", types[kind]), ("item_id", types[ikind]), ("distance", pa.int32()), ("item_words", pa.int32()), ("end_word", pa.int64())])
-        found = lowered.mapInArrow(run, schema)
+                at, found = [], []
+                for a, words in _chunks(batch.column("text")):
+                    for d, i, dist, end in index.search(words):
+                        at.append(a + d)
+                        found.append((index.items[i][0], dist, len(index.items[i][1]), end))
+                if at:
+                    rest = [pa.array([r[j] for r in found], kind) for j, (_, kind) in enumerate(kinds[1:])]
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *rest], [k for k, _ in kinds])
+
+        found = docs.select("doc_id", "text").mapInArrow(run, schema)
+        if passes > 1:  # one index at a time is on the driver and the executors
+            found = materialize(found)
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, max_edit: float = 0.2, recall: float = 0.99) -> DataFrame:
-    """docs without the documents that have a benchmark item. Documents of null doc_id stay: nothing can name them."""
-    bad = contaminated(docs, items, max_edit, recall).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def decontaminate(docs: DataFrame, items: DataFrame, max_edit: float = 0.2, recall: float = 0.99, min_words: int = 1) -> DataFrame:
+    """docs, with all columns, without the rows whose text has a benchmark item as contaminated() finds them.
+
+    Each row is judged by its own text, whatever its doc_id (null and repeated ones too); nothing is shuffled."""
+    ship(docs.sparkSession)
+    out = docs
+    for passes, index in _indexes(items, max_edit, recall, min_words):
+        if not index.items:
+            continue
+        shared, place = docs.sparkSession.sparkContext.broadcast(index), docs.columns.index("text")
+
+        def run(batches, shared=shared, place=place):
+            index = shared.value
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                for a, words in _chunks(batch.column(place)):
+                    for d, *_ in index.search(words):
+                        clean[a + d] = False
+                yield batch.filter(pa.array(clean))
+
+        out = out.mapInArrow(run, docs.schema)
+        if passes > 1:
+            out = materialize(out)
+            shared.destroy()
+    return out

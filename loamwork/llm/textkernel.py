@@ -51,15 +51,20 @@ def chunks(texts: pa.Array, most: int = 1_000_000):
 
 
 class Words:
-    """The words of one chunk: starts and ends (bytes), ptr (document i has words ptr[i]:ptr[i + 1]), hash."""
+    """The words of one chunk: starts and ends (bytes), ptr (document i has words ptr[i]:ptr[i + 1]), hash.
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, lower: bool = True):
+    cuts: bytes before which a word ends and another begins, beside those that white space parts."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray, lower: bool = True, cuts: np.ndarray | None = None):
         n = len(data)
         white = _WHITE[data]
         before, after = np.ones(n, bool), np.ones(n, bool)
         before[1:], after[:-1] = white[:-1], white[1:]
         before[offs[:-1][offs[:-1] < n]] = True
         after[offs[1:][offs[1:] > 0] - 1] = True
+        if cuts is not None and len(cuts):
+            before[cuts[cuts < n]] = True
+            after[cuts[cuts > 0] - 1] = True
         self.starts, self.ends = np.flatnonzero(~white & before), np.flatnonzero(~white & after) + 1
         self.ptr = np.searchsorted(self.starts, offs)
         up, down = _powers(n + 1)
