@@ -24,7 +24,7 @@ ITEMS_AT_ONCE, WORDS_AT_ONCE = 20_000, 2_000_000
 #: Tables, at most: if they don't reach the recall, it is an error.
 MAX_TABLES = 400
 #: Edited copies of items that the recall is measured on.
-TRIALS = 300
+TRIALS = 200
 
 
 def edit_search(item: list[int], text: list[int]) -> tuple[int, int]:
