@@ -12,12 +12,12 @@ from loamwork.llm.decontaminate import decontaminate
 from loamwork.llm.jaccard_join import jaccard_dedup
 from loamwork.llm.line_dedup import line_dedup
 from loamwork.llm.mixing import mix
-from loamwork.llm.quality_rules import quality_rules
+from loamwork.llm.quality_rules import kept_rows
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that every quality rule keeps."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    return kept_rows(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
