@@ -5,13 +5,15 @@ line, has a hash; of the runs inside each shortest window of GUARANTEE words or
 taken, so that any two equal passages of GUARANTEE words share a fingerprint. The windows themselves are fingerprints
 too, the shortest from each line and the shortest up to each line: together they cover every line of a passage, and a
 window's first place holds all of it, wherever the runs in it stand first. Each fingerprint's places are joined to its
-first place; matches are extended both ways along their diagonal, and later runs are deleted.
+first place; matches are extended both ways along their diagonal, and later runs are deleted. Of a fingerprint's places
+in one document only the first is joined: the later ones repeat it where they stand, so that a document of n equal lines
+has one place to join and n to delete.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, let, materialize
+from .common import WORD, let, materialize, unused
 
 NOISE, GUARANTEE = 25, 50
 
@@ -31,17 +33,19 @@ def _run(lines: Column, j: Column, words: int) -> Column:
 
 
 def _picks(lines: Column, noise: int, guarantee: int) -> Column:
-    """Fingerprints: distinct g (hash) and p (first line) of the least run in each window, and of the windows."""
+    """Fingerprints: distinct g (hash), p (first line) and e (line past the end) of the least run in each window, and of the
+    windows, in this order."""
 
     def of(runs: Column) -> Column:
         # runs[j]: g, p = j, e = line past its end, and past: line past the end of the window from j (null: none)
         def least(x: Column) -> Column:
             inside = F.filter(F.slice(runs, x["p"] + 1, x["past"] - x["p"]), lambda y: y["ok"] & (y["e"] <= x["past"]))
-            return F.array_min(F.transform(inside, lambda y: F.struct(y["g"].alias("g"), y["p"].alias("p"))))
+            return F.array_min(F.transform(inside, lambda y: F.struct(y["g"].alias("g"), y["p"].alias("p"), y["e"].alias("e"))))
 
         ends = F.filter(runs, lambda x: x["past"].isNotNull())
-        ahead = F.transform(ends, lambda x: F.struct(x["whole"].alias("g"), x["p"].alias("p")))
-        return F.array_distinct(F.concat(F.transform(ends, least), ahead, back(runs)))
+        ahead = F.transform(ends, lambda x: F.struct(x["whole"].alias("g"), x["p"].alias("p"), x["past"].alias("e")))
+        every = F.sort_array(F.concat(F.transform(ends, least), ahead, back(runs)))
+        return let(every, lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1))))
 
     def back(runs: Column) -> Column:
         # of the windows up to a line, those that are not the window from their first line
@@ -51,7 +55,7 @@ def _picks(lines: Column, noise: int, guarantee: int) -> Column:
 
         all_ = let(F.reverse(lines), lambda rev: F.transform(rev, lambda _, j: window(rev, j)))
         more = F.filter(all_, lambda x: x["ok"] & (F.get(runs, x["p"])["past"] != x["past"]))
-        return F.transform(more, lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p")))
+        return F.transform(more, lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p"), x["past"].alias("e")))
 
     def run(x: Column, j: Column) -> Column:
         small, large = _run(lines, j, noise), _run(lines, j, guarantee)
@@ -63,6 +67,18 @@ def _picks(lines: Column, noise: int, guarantee: int) -> Column:
     return let(F.transform(lines, run), of)
 
 
+def _parted(lines: Column, picks: Column) -> Column:
+    """picks as first (those at their hash's first place in the text: g, p) and again (the others' line numbers)."""
+    once = lambda s, x, i: (i == 0) | (x["g"] != F.get(s, i - 1)["g"])
+    return let(
+        picks,
+        lambda s: F.struct(
+            F.transform(F.filter(s, lambda x, i: once(s, x, i)), lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p"))).alias("first"),
+            F.transform(F.filter(s, lambda x, i: ~once(s, x, i)), lambda x: F.struct(F.get(lines, x["p"])["i"].alias("first"), F.get(lines, x["e"] - 1)["i"].alias("last"))).alias("again"),
+        ),
+    )
+
+
 def _islands(mine: Column, other: Column, shift: Column, noise: int) -> Column:
     """Maximal runs of at least `noise` words where mine[j] equals other[j + shift], as first and last line numbers."""
     none = F.lit(None).cast("int")
@@ -79,36 +95,48 @@ def _islands(mine: Column, other: Column, shift: Column, noise: int) -> Column:
     return F.aggregate(marked, zero, step, closed)
 
 
+def _numbers(runs: Column) -> Column:
+    """The line numbers of runs, each once, in order."""
+    return F.sort_array(F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["first"], r["last"])))))
+
+
 def repeated_runs(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
-    """doc_id, __t (hash of the text) and cut: the later repeated runs of a document as first and last line numbers."""
-    base = docs.select("doc_id", F.xxhash64("text").alias("__t"), let(_lines(F.col("text")), lambda x: F.struct(x.alias("lines"), _picks(x, noise, guarantee).alias("picks"))).alias("x"))
-    base = materialize(base.select("doc_id", "__t", "x.lines", "x.picks").where(F.size("picks") > 0).dropDuplicates(["doc_id", "__t"]))
-    at = base.select("doc_id", "__t", F.explode("picks").alias("x")).select(F.struct("doc_id", "__t", F.col("x.p").alias("p")).alias("at"), F.col("x.g").alias("g"))
+    """doc_id, t (hash of the text) and gone: the numbers of a document's lines that are in a later repeated run."""
+    made = let(_lines(F.col("text")), lambda x: F.struct(x.alias("lines"), _parted(x, _picks(x, noise, guarantee)).alias("picks")))
+    base = docs.select("doc_id", F.xxhash64("text").alias("t"), made.alias("x")).select("doc_id", "t", "x.lines", "x.picks.first", "x.picks.again")
+    base = materialize(base.where(F.size("first") > 0).dropDuplicates(["doc_id", "t"]))
+    at = base.select("doc_id", "t", F.explode("first").alias("x")).select(F.struct("doc_id", "t", F.col("x.p").alias("p")).alias("at"), F.col("x.g").alias("g"))
     first = materialize(at.groupBy("g").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").select("g", "first"))
     hits = at.join(first, "g").where("at != first")
-    hits = hits.select(F.col("at.doc_id"), F.col("at.__t"), F.col("first.doc_id").alias("doc0"), F.col("first.__t").alias("t0"), (F.col("first.p") - F.col("at.p")).alias("shift")).distinct()
+    hits = hits.select(F.col("at.doc_id"), F.col("at.t"), F.col("first.doc_id").alias("doc0"), F.col("first.t").alias("t0"), (F.col("first.p") - F.col("at.p")).alias("shift")).distinct()
     hits = materialize(hits)
-    mine = base.select(F.col("doc_id").alias("d"), F.col("__t").alias("t"), "lines")
-    other = base.select(F.col("doc_id").alias("e"), F.col("__t").alias("u"), F.col("lines").alias("lines0"))
-    both = hits.join(mine, hits["doc_id"].eqNullSafe(mine["d"]) & (hits["__t"] == mine["t"])).join(other, F.col("doc0").eqNullSafe(other["e"]) & (F.col("t0") == other["u"]))
-    cut = both.select("doc_id", "__t", _islands(F.col("lines"), F.col("lines0"), F.col("shift"), noise).alias("cut")).where(F.size("cut") > 0)
-    return cut.groupBy("doc_id", "__t").agg(F.array_distinct(F.flatten(F.collect_set("cut"))).alias("cut"))
+    mine = base.select(F.col("doc_id").alias("d"), F.col("t").alias("u"), "lines")
+    other = base.select(F.col("doc_id").alias("e"), F.col("t").alias("v"), F.col("lines").alias("lines0"))
+    both = hits.join(mine, hits["doc_id"].eqNullSafe(mine["d"]) & (hits["t"] == mine["u"])).join(other, F.col("doc0").eqNullSafe(other["e"]) & (F.col("t0") == other["v"]))
+    cut = both.select("doc_id", "t", _islands(F.col("lines"), F.col("lines0"), F.col("shift"), noise).alias("cut")).where(F.size("cut") > 0)
+    cut = cut.unionByName(base.where(F.size("again") > 0).select("doc_id", "t", F.col("again").alias("cut")))
+    return cut.groupBy("doc_id", "t").agg(_numbers(F.flatten(F.collect_list("cut"))).alias("gone"))
 
 
 def line_dedup(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
     """docs with the later repeated runs of lines cut out of text, and n_cut_lines and cut (runs as first and last line
-    numbers of the old text) added. All rows stay; a text may become empty.
+    numbers of the old text; null if none) added; columns of docs of these names are replaced, all others stay. All rows
+    stay; a text may become empty.
 
     A repeated passage of `guarantee` words or more, in whole lines, is always found and deleted whole; what is deleted is
     at least `noise` words long and stands, line for line, in an earlier place: a smaller doc_id (null first), then hash of
     the text, then line. A run of equal lines in one document counts too. Lines without a word don't part a run and go with it. Rows
     that repeat both doc_id and text are one document: all keep the same text. Null texts stay null, empty ones empty."""
-    cut = repeated_runs(docs, noise, guarantee).withColumnsRenamed({"doc_id": "__d", "__t": "__u"})
-    keyed = docs.drop("n_cut_lines", "cut").withColumn("__t", F.xxhash64("text"))
-    x = keyed.join(cut, keyed["doc_id"].eqNullSafe(cut["__d"]) & (keyed["__t"] == cut["__u"]), "left")
+    docs = docs.drop("n_cut_lines", "cut")
+    t, d, u, gone = unused([*docs.columns, "n_cut_lines", "cut"], "t", "d", "u", "gone")
+    cut = repeated_runs(docs.select("doc_id", "text"), noise, guarantee).toDF(d, u, gone)
+    keyed = docs.withColumn(t, F.xxhash64("text"))
+    x = keyed.join(cut, keyed["doc_id"].eqNullSafe(cut[d]) & (keyed[t] == cut[u]), "left")
     lines = F.split("text", "\n", -1)
-    gone = lambda i: F.exists("cut", lambda r: (i >= r["first"]) & (i <= r["last"]))
-    kept = F.filter(lines, lambda x, i: ~gone(i))
-    text = F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    n = F.when(F.col("cut").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept))
-    return x.withColumn("n_cut_lines", n.cast("long")).withColumn("text", text).drop("__t", "__d", "__u")
+    kept = lambda x: F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(gone))
+    text = let(lines, lambda x: F.array_join(F.transform(kept(x), lambda i: F.get(x, i)), "\n"))
+    # runs of numbers that follow each other
+    ends = lambda step: F.filter(gone, lambda x, i: F.coalesce(F.get(F.col(gone), i + step) != x + step, F.lit(True)))
+    runs = F.zip_with(ends(-1), ends(1), lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+    out = x.withColumns({"n_cut_lines": F.coalesce(F.size(gone), F.lit(0)).cast("long"), "cut": F.when(F.col(gone).isNotNull(), runs), "text": F.when(F.col(gone).isNull(), F.col("text")).otherwise(text)})
+    return out.select(*(f"`{c}`" for c in [*docs.columns, "n_cut_lines", "cut"]))

@@ -384,15 +384,33 @@ def test_line_dedup_with_hot_lines_in_passages(spark):
 def test_line_dedup_odd_rows(spark):
     long = " ".join(vocabulary(60))
     rows = [*ODD, (20, long), (21, f"mine\n{long}\nhers"), (21, f"mine\n{long}\nhers"), (22, f"{long}\n\n{long}")]
-    got = line_dedup.line_dedup(made(spark, rows).withColumn("cut", F.lit(1))).collect()
+    docs = made(spark, rows).withColumns({c: F.lit(c) for c in ("cut", "t", "d", "u", "gone", "__t", "G")})
+    got = line_dedup.line_dedup(docs).collect()
     assert len(got) == len(rows)
     text = {}
     for r in got:
         text.setdefault(r["doc_id"], []).append(r["text"])
+        assert all(r[c] == c for c in ("t", "d", "u", "gone", "__t", "G"))
     assert text[20] == [long] and text[21] == ["mine\nhers"] * 2 and text[22] == [""] and text[1] == [None] and text[5] == ["one", "one"]
     assert line_dedup.line_dedup(made(spark, [])).count() == 0
 
 
+def test_line_dedup_of_very_many_equal_lines(spark):
+    rows = [(1, "\n".join(["ha ha ha"] * 20_000)), (2, "\n".join(["ha ha ha"] * 300 + ["bo"])), (3, "\n".join(["tick a b c d e", "tock f g h i j"] * 4000))]
+    got = {r["doc_id"]: r for r in line_dedup.line_dedup(made(spark, rows)).collect()}
+    assert got[1]["text"] == "ha ha ha" and got[1]["n_cut_lines"] == 19_999 and [tuple(c) for c in got[1]["cut"]] == [(1, 19_999)]
+    assert got[2]["text"] == "bo" and got[3]["text"] == "tick a b c d e\ntock f g h i j"
+
+
+def test_line_dedup_of_a_passage_in_half_of_all(spark):
+    rng, words = random.Random(1), vocabulary(300)
+    hot = "\n".join(" ".join(prose(12, rng, words)) for _ in range(6))
+    rows = [(d, "\n".join([" ".join(prose(9, rng, words)), *([hot] if d % 2 else []), " ".join(prose(9, rng, words))])) for d in range(400)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(made(spark, rows)).collect()}
+    assert got[1] == rows[1][1]
+    assert all(got[d] == t.replace(hot + "\n", "") for d, t in rows if d != 1)
+
+
 # --- 8 --------------------------------------------------------------------------------------------------------------
 
 
