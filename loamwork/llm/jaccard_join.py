@@ -16,16 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import materialize, rows_at_most
+from .common import WORD, materialize, release, rows_at_most, ship, unused
 from .textkernel import Words, chunks, mix
 
 SHINGLE, GROUPS, SKETCH = 5, 64, 16
 #: Similarity as a fraction, so that every test is one of integers.
 NUM, DEN = 75, 100
-#: Classes that share a shingle from this number on make it a common one; at most MAX_COMMON are (the bound is raised).
-COMMON, MAX_COMMON = 1000, 200_000
-#: Points of one tree; larger sets are cut into chunks, and every pair of chunks is searched.
-CHUNK, LEAF = 4000, 16
+#: Classes that share a shingle from this number on make it a common one, which moves work and never a link. The common
+#: ones are broadcast, so at most MAX_COMMON are (40 MB): from 300 million classes on the number is raised in proportion.
+COMMON, MAX_COMMON = 1000, 5_000_000
+#: Points and bytes of sets of one tree, about; larger trees are cut into chunks, which share about PIVOTS points.
+CHUNK, CHUNK_BYTES, PIVOTS, LEAF = 1500, 32_000_000, 32, 16
 BROADCAST_IDS = 500_000
 _U = np.uint64
 
@@ -69,9 +70,9 @@ def _points(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return np.minimum(flat, 0xFFFFFFFF).astype("<u4").reshape(-1, GROUPS)
 
 
-def _sets(docs: DataFrame, with_keys: bool) -> DataFrame:
-    """doc_id, cls, n and, if asked for, keys (the SKETCH least hashes), of rows with a word; for others cls is null."""
-    kind = dict(docs.dtypes)["doc_id"]
+def _sets(docs: DataFrame) -> DataFrame:
+    """docs without text, with cls, n and keys (the SKETCH least hashes) of each row; cls and keys are null without a word."""
+    rest = [c for c in docs.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
@@ -80,14 +81,13 @@ def _sets(docs: DataFrame, with_keys: bool) -> DataFrame:
                 h, ptr = shingles(data, offs)
                 cls.append(_class_id(h, ptr))
                 n.append(np.diff(ptr))
-                if with_keys:
-                    keys += [h[x : min(y, x + SKETCH)].view(np.int64) if y > x else None for x, y in zip(ptr[:-1], ptr[1:])]
+                keys += [h[x : min(y, x + SKETCH)].view(np.int64) if y > x else None for x, y in zip(ptr[:-1], ptr[1:])]
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
             c = pa.array(np.concatenate(cls).view(np.int64) if cls else np.zeros(0, np.int64), mask=n == 0)
-            cols = [batch.column("doc_id"), c, pa.array(n, pa.int64())] + ([pa.array(keys, pa.list_(pa.int64()))] if with_keys else [])
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "cls", "n", "keys"][: len(cols)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in rest), c, pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], [*rest, "cls", "n", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, cls long, n long" + (", keys array<long>" if with_keys else ""))
+    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
+    return docs.mapInArrow(run, f"{fields}, cls long, n long, keys array<long>")
 
 
 def _full_keys(docs: DataFrame, common: np.ndarray) -> DataFrame:
@@ -189,17 +189,19 @@ def _overlap(a: np.ndarray, i: np.ndarray, b: np.ndarray, k: np.ndarray, step: i
     return out
 
 
-def tree_links(cls: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def tree_links(cls: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None, joined: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join up, as a forest, what the sets' pairs of similarity NUM / DEN or more connect.
 
-    side (0 or 1): only pairs across count. A pair whose ends are joined already is not verified again."""
+    side (0 or 1): only pairs across count. A pair whose ends are joined already, by a link found here or by the same
+    value in joined, is not verified."""
     ptr = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     points, n = _points(np.concatenate(sets), ptr), np.diff(ptr)
     a = np.arange(len(sets)) if side is None else np.flatnonzero(side == 0)
     b = a if side is None else np.flatnonzero(side == 1)
     if not len(a) or not len(b):
         return []
-    tree, comp, out = Tree(points[a], n[a]), np.arange(len(sets)), []
+    comp = np.arange(len(sets)) if joined is None else np.unique(joined, return_inverse=True)[1]
+    tree, out = Tree(points[a], n[a]), []
     for q, p, bound in tree.search(points[b], n[b]):
         q, p = b[q], a[p]
         ok = q > p if side is None else np.ones(len(q), bool)
@@ -226,12 +228,13 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        old, least = pairs, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = materialize(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
         pairs = materialize(small.where("u <> v").select("u", "v").distinct())
+        release(old, large)
         now = pairs.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if now == seen:
             break
@@ -239,26 +242,57 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(pairs.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
 
 
+def _shared(keys: DataFrame) -> DataFrame:
+    """key, m (classes that have it), size (of their sets) and what tells sets of classes apart, of keys that classes share."""
+    per = keys.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("size"), F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark"))
+    return materialize(per.where("m > 1"))
+
+
+def _solve(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v: links within the blocks (cls, block, part, comp; part 0: all pairs, 1 and 2: pairs across)."""
+    full = blocks.join(sets, "cls").repartition("block").sortWithinPartitions("block")
+
+    def link(batches):
+        def solve(rows):
+            cls, part, comp = (np.array([r[j] for r in rows], np.int64) for j in (0, 1, 2))
+            return tree_links(cls, [np.frombuffer(r[3], "<u8") for r in rows], None if (part == 0).all() else part - 1, comp)
+
+        now, rows, out = None, [], []
+        for batch in batches:
+            for block, *row in zip(*(batch.column(k).to_pylist() for k in ("block", "cls", "part", "comp", "set"))):
+                if block != now:
+                    if len(rows) > 1:
+                        out += solve(rows)
+                    now, rows = block, []
+                rows.append(row)
+        if len(rows) > 1:
+            out += solve(rows)
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["u", "v"])
+
+    return full.select("block", "cls", "part", "comp", "set").mapInArrow(link, "u long, v long").distinct()
+
+
 def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """u, v: links between classes (cls, rep, keys) that connect all that are similar."""
-    spark = docs.sparkSession
-    keys = classes.select("cls", F.explode("keys").alias("key"))
-    many = materialize(keys.groupBy("key").agg(F.count("*").alias("m"), F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark")).where("m > 1"))
+    """u, v: links between classes (cls, rep, n, keys) that connect all that are similar.
+
+    A tree of over CHUNK points is cut into chunks that share some pivots. Links within chunks, and to the pivots, make
+    one component of most of a group of near copies; only the tree's points outside its largest component are then
+    searched for among all its points. Pairs inside a component need no search, so no link between two is lost."""
+    keys = classes.select("cls", "n", F.explode("keys").alias("key"))
+    many = _shared(keys)
     bound = max(COMMON, -(-SKETCH * classes.count() // MAX_COMMON))
-    common = np.array(sorted(r[0] for r in many.where(F.col("m") >= bound).select("key").collect()), np.int64)
+    common = many.where(F.col("m") >= bound).select("key").toArrow().column("key").to_numpy()
     if len(common):
-        full = _full_keys(docs, np.sort(common.view(np.uint64)))
-        few = spark.createDataFrame([(int(k),) for k in common], "key long")
-        # texts of many common shingles, and short ones, have their full prefix; others have uncommon ones instead of them
-        mixed = classes.join(full.withColumnRenamed("keys", "more"), "cls", "left")
-        own = mixed.select("cls", F.explode(F.coalesce(F.concat("more", "keys"), F.col("keys"))).alias("key"), F.col("more").isNull().alias("plain"), "more")
-        hot = own.join(F.broadcast(few.withColumn("hot", F.lit(True))), "key", "left")
-        keys = hot.where(F.col("hot").isNull() | (~F.col("plain") & F.array_contains("more", F.col("key")))).select("cls", "key").distinct()
+        # texts with common keys have their full prefix, or uncommon keys instead of them; others keep their keys
+        full = _full_keys(docs, np.sort(common.astype(np.int64).view(np.uint64))).withColumnRenamed("keys", "more")
+        keys = classes.join(full, "cls", "left").select("cls", "n", F.explode(F.array_distinct(F.coalesce("more", "keys"))).alias("key"))
         keys = materialize(keys)
-        many = materialize(keys.groupBy("key").agg(F.count("*").alias("m"), F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark")).where("m > 1"))
+        release(many)
+        many = _shared(keys)
     # shingles that the same classes share make one tree
-    trees = many.groupBy("m", "lo", "hi", "mark").agg(F.min("key").alias("key")).select("key", "m")
-    members = materialize(keys.join(trees, "key").select("key", "m", "cls"))
+    chunked = F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("size") * 8 / CHUNK_BYTES), F.lit(1))
+    trees = many.groupBy("m", "size", "lo", "hi", "mark").agg(F.min("key").alias("key")).select("key", "m", F.least(chunked, "m").cast("int").alias("c"))
+    members = materialize(keys.join(trees, "key").select("key", "m", "c", "cls"))
 
     # the sets of members only, once each
     wanted = members.select("cls").distinct().join(classes.select("cls", "rep"), "cls").select("rep").distinct()
@@ -275,31 +309,36 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], ["cls", "set"])
 
     sets = some.mapInArrow(cut, "cls long, set binary").dropDuplicates(["cls"])
-    # chunks of large trees meet pairwise: a member goes to each pair that has its chunk
-    c = F.greatest(F.ceil(F.col("m") / CHUNK), F.lit(1)).cast("int")
-    mine = F.pmod(F.xxhash64("cls", "key"), F.col("c")).cast("int")
-    spread = members.withColumn("c", c).withColumn("mine", mine).select("key", "cls", "mine", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("o"))
-    spread = spread.select("cls", F.xxhash64("key", F.least("mine", "o"), F.greatest("mine", "o")).alias("block"), F.when(F.col("mine") == F.col("o"), 0).when(F.col("mine") < F.col("o"), 1).otherwise(2).alias("part"))
-    full = spread.join(sets, "cls").repartition("block").sortWithinPartitions("block")
-
-    def link(batches):
-        def solve(rows):
-            cls, part, sets = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [np.frombuffer(r[2], "<u8") for r in rows]
-            return tree_links(cls, sets, None if (part == 0).all() else part - 1)
-
-        now, rows, out = None, [], []
-        for batch in batches:
-            for block, c, part, s in zip(*(batch.column(k).to_pylist() for k in ("block", "cls", "part", "set"))):
-                if block != now:
-                    if len(rows) > 1:
-                        out += solve(rows)
-                    now, rows = block, []
-                rows.append((c, part, s))
-        if len(rows) > 1:
-            out += solve(rows)
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["u", "v"])
-
-    return full.select("block", "cls", "part", "set").mapInArrow(link, "u long, v long").distinct()
+    hot = not trees.where("c > 1").limit(1).isEmpty()
+    sets = materialize(sets, "none") if hot else sets
+    at = members.withColumn("mine", F.pmod(F.xxhash64("cls", "key"), F.col("c")).cast("int"))
+    pivot = (F.col("c") > 1) & (F.pmod(F.xxhash64("cls", "key", F.lit(3)), F.col("m")) < PIVOTS)
+    to = F.when(pivot, F.sequence(F.lit(0), F.col("c") - 1)).otherwise(F.array("mine"))
+    blocks = at.select("key", "cls", F.explode(to).alias("o")).select("cls", F.xxhash64("key", "o").alias("block"), F.lit(0).alias("part"), F.col("cls").alias("comp"))
+    links = _solve(blocks, sets)
+    if not hot:
+        return links
+    links = materialize(links)
+    large = at.where("c > 1").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
+    large = materialize(large.select("key", "c", "cls", "mine", F.coalesce("comp", "cls").alias("comp")))
+    top = large.groupBy("key", "comp").count().groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"))
+    rest = large.join(top, "key").where("comp <> top")
+    of = rest.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("r"))
+    rest = rest.join(of, "key").withColumn("my", F.pmod(F.xxhash64("cls", "key", F.lit(4)), F.col("r")).cast("int"))
+    one = rest.select("key", "cls", "comp", "my", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("o"), F.lit(1).alias("part"))
+    two = large.join(of, "key").select("key", "cls", "comp", F.explode(F.sequence(F.lit(0), F.col("r") - 1)).alias("my"), F.col("mine").alias("o"), F.lit(2).alias("part"))
+    across = one.unionByName(two).select("cls", F.xxhash64("key", "my", "o", F.lit(5)).alias("block"), "part", "comp")
+    return links.unionByName(_solve(across, sets))
+
+
+def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows: docs without text, with cls and n; cls, comp and rep, the least doc_id, of each class)."""
+    ship(docs.sparkSession)
+    rows = materialize(_sets(docs))
+    classes = materialize(rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    comps = materialize(components(_links(docs.select("doc_id", "text"), classes)))
+    named = classes.select("cls", "rep").join(comps, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))
+    return rows.drop("keys"), named
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
@@ -308,22 +347,26 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     Words are lower-cased A-Z; two sets link from a similarity of 0.75. Null and empty texts, and texts without words, have
     no shingle, link with nothing and are their own component. A null doc_id counts for the links, not for the least
     doc_id (null if a component has no other). Repeated rows are one class; an empty table gives an empty one."""
-    rows = materialize(_sets(docs, True))
-    classes = materialize(rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
-    comps = materialize(components(_links(docs, classes)))
-    named = classes.select("cls", "rep").join(comps, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))
+    rows, named = _components(docs.select("doc_id", "text"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of = named.select("cls", "comp").join(least, "comp").select("cls", "component_id")
     return rows.join(of, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def jaccard_dedup(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component: that of the least doc_id. Rows of null doc_id stay.
-
-    Of rows that repeat the doc_id that stays, one stays (by hash of the text)."""
-    first = jaccard_classes(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__d"))
-    stay = materialize(first.groupBy("__d").agg(F.count("*").alias("__n")))
-    kept = docs.join(stay, docs["doc_id"] == stay["__d"]).drop("__d")
-    if stay.where("__n > 1").limit(1).count():
-        kept = kept.withColumn("__n", F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("__n = 1")
-    return kept.drop("__n").unionByName(docs.where("doc_id is null"))
+    """docs, with all columns, with one row of each component: that of the least doc_id (nulls last), then of the least
+    hash of the text; of rows that repeat both, one. Rows without a word link with nothing and all stay."""
+    t, d, u, n, r = unused(docs.columns, "t", "d", "u", "n", "r")
+    rows, named = _components(docs.select("doc_id", F.xxhash64("text").alias("t"), "text"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t")
+    one = rows.join(named.select("cls", "comp"), "cls").groupBy("comp", "doc_id", "t").agg(F.count("*").alias("n"))
+    stay = materialize(one.groupBy("comp").agg(F.min_by(F.struct("doc_id", "t", "n"), order).alias("x")).select(F.col("x.doc_id").alias(d), F.col("x.t").alias(u), F.col("x.n").alias(n)))
+    side = F.broadcast(stay) if rows_at_most(stay, BROADCAST_IDS) else stay
+    keyed = docs.withColumn(t, F.xxhash64("text"))
+    words = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD))
+    kept = keyed.join(side, keyed["doc_id"].eqNullSafe(side[d]) & (keyed[t] == side[u]), "left").where(F.col(n).isNotNull() | ~words)
+    if not stay.where(F.col(n) > 1).limit(1).isEmpty():
+        first = F.row_number().over(W.partitionBy("doc_id", t).orderBy(F.lit(1)))
+        twice = kept.where(F.col(n) > 1).withColumn(r, first).where(F.col(r) == 1).drop(r)
+        kept = kept.where(F.col(n).isNull() | (F.col(n) == 1)).unionByName(twice)
+    return kept.drop(t, d, u, n)

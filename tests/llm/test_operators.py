@@ -554,18 +554,47 @@ def test_tree_bounds_lose_no_link(seed):
     assert {i: find(i) for i in keep} == want
 
 
-def test_jaccard_chunks_and_odd_rows(spark, monkeypatch):
+@pytest.mark.parametrize("pivots", [32, 2, 0])
+def test_jaccard_chunks_lose_no_link(spark, monkeypatch, pivots):
     monkeypatch.setattr(jaccard_join, "CHUNK", 7)
-    rows = near_copies(120, 8)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
+    rng, words = random.Random(pivots), vocabulary(500)
+    rows = near_copies(100, 8)
+    for g in range(2):  # chains: each is near the one before, ends are not near each other
+        w = prose(60, rng, words)
+        for _ in range(40):
+            w[rng.randrange(60)] = rng.choice(words)
+            rows.append((len(rows), " ".join(w)))
+    want = brute_components(brute_sets(rows))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_classes(made(spark, rows)).collect()}
+    assert got == want
+    if pivots == 32:
+        kept = jaccard_join.jaccard_dedup(made(spark, rows))
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, c in want.items() if i == c)
+
+
+def test_jaccard_chunks_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK_BYTES", 5000)
+    rows = near_copies(150, 9)
     got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_classes(made(spark, rows)).collect()}
     assert got == brute_components(brute_sets(rows))
-    odd = [(str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(made(spark, ODD)).collect()]
-    assert sorted(odd, key=str)[:2] == sorted(odd, key=str)[:2] and len(odd) == len(ODD)
-    assert {("1", 0, 1), ("2", 0, 2), ("3", 0, 3), ("5", 1, 5), ("None", 3, None)} <= set(odd)
+
+
+def test_jaccard_odd_rows(spark):
+    odd = {(str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(made(spark, ODD)).collect()}
+    assert {("1", 0, 1), ("2", 0, 2), ("3", 0, 3), ("5", 1, 5), ("6", 2, 6), ("None", 3, None)} <= odd
     assert jaccard_join.jaccard_classes(made(spark, [])).count() == 0
-    kept = jaccard_join.jaccard_dedup(made(spark, rows))
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, c in got.items() if i == c)
-    assert jaccard_join.jaccard_dedup(made(spark, ODD)).count() == len(ODD) - 1
+    same = "a b c d e f g h"
+    rows = [*ODD, (None, same), (None, same), (30, same), (30, same), (30, "x " + same), (31, None), (31, None)]
+    docs = made(spark, rows).withColumns({c: F.lit(c) for c in ("t", "d", "u", "n", "r", "cls", "comp", "__d", "__n")})
+    kept = jaccard_join.jaccard_dedup(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), str(r["text"])[:9]) for r in kept.collect())
+    first = "a b c d e" if jaccard_join.jaccard_dedup(made(spark, [(30, same), (30, "x " + same)])).first()["text"] == same else "x a b c d"
+    want = [(str(i), str(t)[:9]) for i, t in [*(r for r in ODD[:3]), (5, "one"), *ODD[6:], (31, None), (31, None), (30, first)]]
+    # the null row of seven words is 0.75 like the eight and more words of 30
+    assert got == sorted(want)
+    assert jaccard_join.jaccard_dedup(docs.limit(0)).count() == 0
 
 
 def test_components(spark):
