@@ -4,14 +4,16 @@ Every page's containers are scored; the paths of good ones, as generalised tags
 up by host; each page is then extracted again from the path among its own that its host favours most.
 """
 
+import bisect
 import html as _html
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, rows_at_most
+from .common import materialize, rows_at_most, ship
 
 #: Hosts whose winning paths are broadcast, at most; beyond it they are joined by a shuffle.
 BROADCAST_HOSTS = 50_000
@@ -26,7 +28,6 @@ _DROP = frozenset("nav footer aside form script style noscript template iframe s
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _SAME = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
 _CONTAINER = frozenset("article main section div td body blockquote".split())
-# Words of classes, ids and roles that mark what is not an article, and what is.
 _BAD = frozenset(
     "ad ads advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted sidebar side widget widgets related recommend recommended recommendations "
     "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer foot masthead topbar toolbar skip share sharing social subscribe subscription newsletter signup login cookie cookies consent gdpr "
@@ -34,143 +35,191 @@ _BAD = frozenset(
     "topnav sidenav subnav mainnav mainmenu submenu sitemap adbox adunit adwrapper adcontainer addthis outbrain taboola sharebar sharedaddy".split()
 )
 _GOOD = frozenset("article content post entry story main body text hentry".split())
+#: Words that may stand beside one of _BAD in a class without changing what it says.
+_BESIDE = _GOOD | frozenset(
+    "box block slot wrap wrapper container inner outer area section list item items unit bar col column group panel module region zone holder top bottom left right site page pages posts articles link links "
+    "button buttons icon icons title heading header primary secondary global local reader user cta inline card row grid stack".split()
+)
+#: Elements that are text of an article unless a class of _HARD words says otherwise.
+_CONTENT = frozenset("blockquote pre figure table tbody tr td th code h1 h2 h3".split())
+_HARD = frozenset("ad ads advert advertisement sponsored comment comments share related".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?=[\s=/]|$)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
+_ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?=[\s=/]|$)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Characters of a tag after which quotes are taken as ordinary characters.
+_TAG = 1 << 16
 
 
 class _Node:
-    __slots__ = ("tag", "path", "parts", "parent", "bad", "good")
-
-    def __init__(self, tag, path, parent, bad, good):
-        self.tag, self.path, self.parent, self.bad, self.good, self.parts = tag, path, parent, bad, good, []
+    """An element: its generalised path as a hash, whether it is left out (bad), its parts (text and elements), the nearest
+    container (itself or above); heading and article: whether one stands in it; mass and links: characters in it outside
+    what is left out, outside and inside links."""
+
+    __slots__ = ("tag", "path", "parts", "parent", "bad", "good", "doubtful", "box", "heading", "article", "mass", "links")
+
+    def __init__(self, tag, path, parent, bad, good, doubtful=False):
+        self.tag, self.path, self.parent, self.bad, self.good, self.doubtful, self.parts = tag, path, parent, bad, good, doubtful, []
+        self.box = self if tag in _CONTAINER else parent.box if parent else None
+        self.heading = self.article = False
+        self.mass = self.links = 0
+
+
+def _says_bad(value: str, tag: str) -> bool:
+    """Whether one of a class's (or id's) names says that the element is not the article: "ad-slot", not "social-history"."""
+    for name in value.split():
+        words = [w.lower() for w in _WORDS.findall(name)]
+        bad = [w for w in words if w in _BAD]
+        if bad and all(w in _BAD or w in _BESIDE for w in words) and (tag not in _CONTENT or any(w in _HARD for w in bad)):
+            return True
+    return False
 
 
-def _names(attrs: str) -> tuple[list[str], str, bool]:
-    """Words of class, id and role; the generalised first class (digits out); whether the element is hidden."""
-    words, cls, hidden = [], "", False
+def _names(attrs: str, tag: str) -> tuple[bool, bool, str, bool]:
+    """Whether class, id or role say bad and good; the generalised classes (digits out); whether the element is hidden."""
+    bad, good, cls, hidden = False, False, "", False
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), _html.unescape(m[2] or m[3] or m[4] or "")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             hidden = True
         elif name in ("class", "id", "role"):
-            words += [w.lower() for w in _WORDS.findall(value)]
+            bad = bad or _says_bad(value, tag)
+            good = good or any(w.lower() in _GOOD for w in _WORDS.findall(value))
             if name == "class":
                 cls = ".".join(sorted({re.sub(r"\d+", "", c) for c in value.split()} - {""})[:3])
-    return words, cls, hidden
+    return bad, good, cls, hidden
+
+
+def _step(path: int, step: str) -> int:
+    return ((path * 0x9E3779B97F4A7C15 + zlib.crc32(step.encode()) + 1) ^ path >> 29) & (1 << 63) - 1
+
+
+def _tag_end(html: str, at: int, last: dict[str, int]) -> int:
+    """The place of the > that ends a tag whose attributes start at `at`; -1 if none does. Quoted ones don't count, but
+    for quotes that nothing closes. last: the last place of each quote and of >."""
+    i, most = at, at + _TAG
+    while i <= most and (m := _STOP.search(html, i)):
+        if m[0] == ">":
+            return m.start()
+        i = html.find(m[0], m.end()) + 1 if m.start() < last[m[0]] else m.end()
+    return html.find(">", at) if at <= last[">"] else -1
 
 
 def parse(html: str) -> _Node:
-    """A tree of elements whose parts are text and elements. Tolerates unclosed, misnested and stray tags."""
-    root = _Node("#", "", None, False, False)
-    top, at, lower, doubtful = root, 0, None, []
-    for_end = None
-    while True:
-        if for_end is not None:  # raw text: up to its end tag
-            lower = html.lower() if lower is None or len(lower) != len(html) else lower
-            end = lower.find("</" + for_end, at) if len(lower) == len(html) else html.find("</" + for_end, at)
-            end = len(html) if end < 0 else end
-            top.parts.append(html[at:end])
-            at, for_end = end, None
-        m = _TOKEN.search(html, at)
+    """A tree of elements whose parts are text and elements. Tolerates unclosed, misnested and stray tags.
+
+    Time and memory are in proportion to the page, however deep it nests: open elements are looked up by name."""
+    root = _Node("#", 0, None, False, False)
+    stack, nodes, blocks, opens = [root], [root], [0], {"#": [0]}  # blocks: places in the stack that are not inline
+    last, lower, at, text = {c: html.rfind(c) for c in ">\"'"}, None, 0, 0
+
+    def close(depth):
+        while len(stack) > depth:
+            opens[stack.pop().tag].pop()
+        while blocks[-1] >= depth:
+            blocks.pop()
+
+    def up_to(names) -> int:
+        return max((opens[n][-1] for n in names if opens.get(n)), default=0)
+
+    while (i := html.find("<", at)) >= 0:
+        at = i + 1
+        m = _NAME.match(html, at)
+        if m is None and html[at : at + 1] not in ("!", "?", "/"):
+            continue  # a mere <
+        if text < i:
+            stack[-1].parts.append(html[text:i])
         if m is None:
-            break
-        if m.start() > at:
-            top.parts.append(html[at : m.start()])
-        at = m.end()
-        if m[1] is None:
-            if m[0].startswith("<![CDATA["):
-                top.parts.append(_html.escape(m[0][9:].removesuffix("]]>")))
+            if html.startswith("!--", at):
+                end = html.find("-->", at + 3)
+                at = text = len(html) if end < 0 else end + 3
+            elif html.startswith("![CDATA[", at):
+                end = html.find("]]>", at)
+                stack[-1].parts.append(_html.escape(html[at + 8 : end if end >= 0 else len(html)]))
+                at = text = len(html) if end < 0 else end + 3
+            else:
+                end = html.find(">", at)
+                at = text = len(html) if end < 0 else end + 1
             continue
-        tag = m[1].lower()
-        if m[0][1] == "/":
-            x = top
-            while x is not root and x.tag != tag:
-                if tag in _INLINE and x.tag not in _INLINE:
-                    x = root  # an inline end tag closes no block
-                    break
-                x = x.parent
-            if x is not root:
-                top = x.parent
-            elif tag == "br" or tag == "p":
-                top.parts.append(_Node("br", "", top, False, False))
+        end = _tag_end(html, m.end(), last)
+        if end < 0:  # nothing but an unfinished tag is left
+            at = text = len(html)
+            break
+        attrs, tag = html[m.end() : end], m[1].lower()
+        at = text = end + 1
+        if html[i + 1] == "/":
+            where = opens.get(tag)
+            if where and where[-1] and (tag not in _INLINE or where[-1] > blocks[-1]):
+                close(where[-1])
+            elif tag in ("br", "p") and not where:
+                stack[-1].parts.append(_Node("br", 0, stack[-1], False, False))
             continue
-        if tag in _CLOSES_P:
-            x = top
-            while x is not root and x.tag != "p" and x.tag in _INLINE:
-                x = x.parent
-            if x.tag == "p":
-                top = x.parent
+        if tag in _CLOSES_P and stack[blocks[-1]].tag == "p":
+            close(blocks[-1])
         if tag in _SAME:
             ends, stop = _SAME[tag]
-            x = top
-            while x is not root and x.tag not in stop:
-                if x.tag in ends.split():
-                    top = x.parent
-                    if tag != "tr":
-                        break
-                x = x.parent
-        words, cls, hidden = _names(m[2]) if m[2] and not m[2].isspace() else ((), "", False)
-        named = tag not in ("body", "html", "main") and any(w in _BAD for w in words)
-        role = tag in _DROP or hidden or named
-        node = _Node(tag, "", top, role, tag in ("article", "main") or any(w in _GOOD for w in words))
-        node.path = f"{top.path}>{tag}{'.' + cls if cls else ''}"
+            limit = up_to(stop)
+            inner = [w for n in ends.split() if opens.get(n) for w in ([opens[n][bisect.bisect_right(opens[n], limit)]] if tag == "tr" and opens[n][-1] > limit else [opens[n][-1]]) if w > limit]
+            if inner:
+                close(min(inner) if tag == "tr" else max(inner))
+        top = stack[-1]
+        says, good, cls, hidden = _names(attrs, tag) if attrs and not attrs.isspace() else (False, False, "", False)
+        named = says and tag not in ("body", "html", "main")
+        role = tag in _DROP or hidden
+        node = _Node(tag, _step(top.path, f"{tag}.{cls}"), top, role or named, good or tag in ("article", "main"), named and not role)
         top.parts.append(node)
-        if named and not (tag in _DROP or hidden):
-            doubtful.append(node)
-        if tag in _VOID or m[2].endswith("/") and tag in ("svg", "path"):
+        nodes.append(node)
+        if tag in _VOID or attrs.endswith("/") and tag in ("svg", "path"):
+            continue
+        if tag in _RAW:  # raw text: up to its end tag
+            lower = html.lower() if lower is None else lower
+            end = (lower if len(lower) == len(html) else html).find("</" + tag, at)
+            end = len(html) if end < 0 else end
+            node.parts.append(html[at:end])
+            at = text = end
             continue
-        top = node
-        if tag in _RAW:
-            for_end = tag
-    if at < len(html) and not html[at:].startswith("<"):
-        top.parts.append(html[at:])
-    elif at < len(html) and re.match(r"<(?![a-zA-Z/!?])", html[at:]):
-        top.parts.append(html[at:])
-    # a class alone leaves nothing out that holds the article: innermost first, so that parts are settled before wholes
-    for node in reversed(doubtful):
-        if node.tag not in ("article", "li") and _holds_article(node):
-            node.bad = False
+        if tag not in _INLINE:
+            blocks.append(len(stack))
+        opens.setdefault(tag, []).append(len(stack))
+        stack.append(node)
+    if text < len(html):
+        stack[-1].parts.append(html[text:])
+    _settle(nodes)
     return root
 
 
-def _holds_article(node: _Node) -> bool:
-    """Whether an article, main or h1 element stands in node outside what is left out."""
-    stack = [node]
-    while stack:
-        for p in stack.pop().parts:
-            if isinstance(p, _Node) and not p.bad:
-                if p.tag in ("article", "main", "h1"):
-                    return True
-                if p.tag != "header":
-                    stack.append(p)
-    return False
-
+def _settle(nodes: list[_Node]) -> None:
+    """What hangs on the parts of a node, from the last node to the first, so that parts are settled before wholes.
 
-def _heading(node: _Node) -> bool:
-    stack = [node]
-    while stack:
-        x = stack.pop()
-        for p in x.parts:
-            if isinstance(p, _Node) and not p.bad:
-                if p.tag in ("h1", "h2", "h3"):
-                    return True
-                stack.append(p)
-    return False
+    A class alone leaves nothing out that holds the article."""
+    for x in reversed(nodes):
+        if x.doubtful and x.article and x.tag not in ("article", "li"):
+            x.bad = False
+        x.mass += sum(len(p.strip()) for p in x.parts if isinstance(p, str))
+        if x.tag == "a":
+            x.mass, x.links = 0, x.mass + x.links
+        up = x.parent
+        if up is None or x.bad:
+            continue
+        up.heading = up.heading or x.heading or x.tag in ("h1", "h2", "h3")
+        if x.tag != "header":
+            up.mass += x.mass
+            up.links += x.links
+        up.article = up.article or x.tag in ("article", "main", "h1") or x.article and x.tag != "header"
 
 
 def text_of(node: _Node) -> str:
     """The node's text without what is not an article: blocks apart, character references decoded, white space one space.
 
     A header inside counts if it has a heading of the article, and not at the top of the page."""
-    out, stack = [], [iter((node,))]
+    out, stack, inside = [], [iter((node,))], node.tag not in ("body", "#", "html")
     while stack:
         for p in stack[-1]:
             if isinstance(p, str):
                 out.append(_html.unescape(p))
                 continue
-            if p is not node and (p.bad or p.tag == "header" and not (node.tag not in ("body", "#", "html") and _heading(p))):
+            if p is not node and (p.bad or p.tag == "header" and not (inside and p.heading)):
                 out.append(" ")
                 continue
             if p.tag not in _INLINE:
@@ -187,57 +236,77 @@ def text_of(node: _Node) -> str:
     return " ".join("".join(out).split())
 
 
-def _weigh(root: _Node) -> dict[str, float]:
+def _whole(node: _Node) -> _Node:
+    """The lowest container that holds the article that node is in: the article or main element around it, else the highest
+    one that adds text and not mainly links; the body only if it has paragraphs or headings of its own."""
+    up = node
+    while up is not None:
+        if up.tag in ("article", "main"):
+            return up
+        up = up.parent.box if up.parent else None
+    while node.parent is not None and (up := node.parent.box) is not None:
+        if up.tag == "body" and not any(isinstance(p, _Node) and not p.bad and p.mass and p.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") for p in up.parts):
+            break
+        if up.mass - node.mass < 2 * (up.links - node.links):
+            break
+        node = up
+    return node
+
+
+def _weigh(root: _Node) -> dict[int, tuple[float, int]]:
     """By generalised path: the best score of a container, by the length of its own text that is not in links, shared
-    upwards with decay, so that the tightest container of the article's paragraphs wins."""
+    upwards with decay, and the text that containers of this path hold. A container stands for the whole article around it."""
     scores: dict[int, float] = {}
-    nodes: dict[int, _Node] = {}
-    stack = [(root, False, False)]
+    found: dict[int, _Node] = {}
+    stack = [(root, False)]
     while stack:
-        x, bad, link = stack.pop()
-        bad, link = bad or x.bad or x.tag == "header", link or x.tag == "a"
-        own = 0 if bad or link else sum(len(p.strip()) for p in x.parts if isinstance(p, str))
-        if own > 0:
-            up, share = x, 1.0
-            while up is not None and up.tag not in _CONTAINER:
-                up = up.parent
-            while up is not None and share > 0.2:
-                if up.tag in _CONTAINER:
-                    nodes[id(up)] = up
-                    scores[id(up)] = scores.get(id(up), 0.0) + own * share
-                    share *= 0.75
-                up = up.parent
-        stack += [(p, bad, link) for p in x.parts if isinstance(p, _Node)]
-    out: dict[str, float] = {}
-    for k, s in scores.items():
-        n = nodes[k]
+        x, link = stack.pop()
+        if x.bad or x.tag == "header":
+            continue
+        link = link or x.tag == "a"
+        own = 0 if link else sum(len(p.strip()) for p in x.parts if isinstance(p, str))
+        up, share = x.box, 1.0
+        while own > 0 and up is not None and share > 0.2:
+            found[id(up)] = up
+            scores[id(up)] = scores.get(id(up), 0.0) + own * share
+            share *= 0.75
+            up = up.parent.box if up.parent else None
+        stack += [(p, link) for p in x.parts if isinstance(p, _Node)]
+    out: dict[int, tuple[float, int]] = {}
+    whole: dict[int, _Node] = {}
+    for k, s in sorted(scores.items(), key=lambda x: -x[1])[: 4 * PATHS]:
+        n = found[k]
         s *= (1.6 if n.tag in ("article", "main") else 1.25 if n.good else 1.0) * (0.5 if n.tag == "body" else 1.0)
-        out[n.path] = max(out.get(n.path, 0.0), s)
+        n = _whole(n)
+        score, mass = out.get(n.path, (0.0, 0))
+        out[n.path] = max(score, s), mass + (n.mass if id(n) not in whole else 0)
+        whole[id(n)] = n
     return out
 
 
-def _find(root: _Node, path: str) -> list[_Node]:
+def _find(root: _Node, path: int) -> list[_Node]:
     """Nodes of the path that are in no part to leave out, outermost first, in page order."""
     out, stack = [], [root]
     while stack:
         x = stack.pop()
         if x is not root and (x.bad or x.tag == "header"):
             continue
-        if x.path == path:
+        if x.path == path and x.tag in _CONTAINER:
             out.append(x)
             continue
         stack += [p for p in reversed(x.parts) if isinstance(p, _Node)]
     return out
 
 
-def extract(html: str | None, paths: list[str] = ()) -> str:
-    """The main text of one page: from the first of the host's paths that it has text at, else from its own best one."""
+def extract(html: str | None, paths: list[int] = ()) -> str:
+    """The main text of one page: from the first of the host's paths that holds half of the text that the page's own best
+    path holds, else from that one."""
     if not html:
         return ""
     root = parse(html)
     own = _weigh(root)
-    best = sorted(own, key=lambda p: (-own[p], p))
-    for path in [p for p in paths if own.get(p, 0) >= 0.25 * own[best[0]]] + best if best else []:
+    best = sorted(own, key=lambda p: (-own[p][0], p))
+    for path in [p for p in paths if p in own and 2 * own[p][1] >= own[best[0]][1]] + best if best else []:
         text = " ".join(filter(None, (text_of(n) for n in _find(root, path))))
         if text:
             return text
@@ -257,15 +326,15 @@ def votes(pages: DataFrame) -> DataFrame:
             host, path, vote = [], [], []
             for h, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 own = _weigh(parse(text)) if text else {}
-                best = sorted(own.items(), key=lambda x: (-x[1], x[0]))[:PATHS]
+                best = sorted(((p, s) for p, (s, _) in own.items()), key=lambda x: (-x[1], x[0]))[:PATHS]
                 total = sum(s * s for _, s in best)
                 for p, s in best:
                     host.append(h)
                     path.append(p)
                     vote.append(s * s / total)
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(vote, pa.float64())], ["host", "path", "vote"])
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.int64()), pa.array(vote, pa.float64())], ["host", "path", "vote"])
 
-    return pages.select(host_of("url").alias("host"), "html").mapInArrow(run, "host string, path string, vote double").groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"))
+    return pages.select(host_of("url").alias("host"), "html").mapInArrow(run, "host string, path long, vote double").groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"))
 
 
 def winning_paths(voted: DataFrame) -> DataFrame:
@@ -276,10 +345,12 @@ def winning_paths(voted: DataFrame) -> DataFrame:
 
 
 def html_extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, path_votes for every row of pages (page_id, url, html); other columns are left out.
+    """page_id, url, text, n_chars for every row of pages (page_id, url, html); other columns are left out.
 
     Null and empty html have the empty text. A null url shares a host with other urls without one. Repeated rows are alike;
-    an empty table gives an empty one. Text is whole, whatever its length."""
+    an empty table gives an empty one. Text is whole, whatever its length. A page is parsed twice, once for the votes and
+    once for its text: trees are not kept."""
+    ship(pages.sparkSession)
     best = materialize(winning_paths(materialize(votes(pages))))
     small = F.broadcast(best) if rows_at_most(best, BROADCAST_HOSTS) else best
     joined = pages.select("page_id", "url", "html", host_of("url").alias("host")).join(small, "host", "left")

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -173,6 +174,47 @@ def test_html_class_of_a_wrapper_drops_no_article():
     assert html_extract.extract(text) == "A Body text."
 
 
+def test_html_class_words():
+    text = "<body><article><p>One.<section class='social-history'><p>Kept.</section><blockquote class=alert>Quote.</blockquote><div class='ad-slot x'>Buy</div><div id=postShare>S</div><div class='side-effects'>Too.</div></article></body>"
+    assert html_extract.extract(text) == "One. Kept. Quote. Too."
+
+
+@pytest.mark.parametrize("n", [20, 4000])
+def test_html_article_in_parts(n):
+    two = f"<body><nav>Menu</nav><div class=wrap><div class=intro><p>{'in tro ' * 50}</p></div><div class=rest>{'<p>rest of it</p>' * n}</div><div class=links><ul>{'<li><a href=x>a link</a>' * 9}</ul></div></div><div>footer line</div></body>"
+    assert html_extract.extract(two.replace("<div class=links>", "<aside>").replace("</ul></div>", "</ul></aside>")) == ("in tro " * 50 + "rest of it " * n).strip()
+    head = f"<body><article><h1>The head</h1><div class=content>{'<p>rest of it</p>' * n}</div><p>Tail.</article></body>"
+    assert html_extract.extract(head) == "The head " + "rest of it " * n + "Tail."
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<a \"" * 50_000, "<div>" * 20_000 + "</b>" * 50_000, "<b>t" * 50_000, "<div class=ad>t" * 30_000, "<b>" * 30_000 + "<hr>" * 30_000, "<dl><dt><dl>" + "<b>" * 20_000 + "<dt>x</dt>" * 20_000, "<ul>" + "<li><b>x" * 50_000, "<table>" + "<tr><td>x" * 50_000, "<" * 200_000, "<article>" + "<p>some words &amp; " * 250_000])
+def test_html_takes_time_in_proportion(page):
+    began = time.process_time()
+    html_extract.extract(page)
+    assert time.process_time() - began < 30
+
+
+def test_html_votes_against_plain_sums(spark):
+    rng = random.Random(2)
+    rows = [(i, f"https://h{i % 4}.org/{i}", f"<body><div class=a{i}>{'one two ' * rng.randint(0, 60)}</div><div class='b c'>{'three ' * rng.randint(1, 60)}<section><p>more text</section></div></body>") for i in range(60)]
+    want = {}
+    for _, url, page in rows:
+        own = {p: s for p, (s, _) in html_extract._weigh(html_extract.parse(page)).items()}
+        best = sorted(own.items(), key=lambda x: (-x[1], x[0]))[: html_extract.PATHS]
+        for p, s in best:
+            k = (url.split("/")[2], p)
+            want[k] = want.get(k, 0.0) + s * s / sum(t * t for _, t in best)
+    pages = made(spark, rows, "page_id long, url string, html string")
+    voted = html_extract.votes(pages)
+    assert {(r["host"], r["path"]): r["votes"] for r in voted.collect()} == pytest.approx(want, abs=1e-5)
+    for r in html_extract.winning_paths(voted).collect():
+        mine = sorted(((-v, p) for (h, p), v in want.items() if h == r["host"]))
+        assert r["paths"][0] == mine[0][1] and len(r["paths"]) <= html_extract.PATHS
+    paths = {r["host"]: r["paths"] for r in html_extract.winning_paths(voted).collect()}
+    got = {r["page_id"]: r["text"] for r in html_extract.html_extract(pages).collect()}
+    assert all(got[i] == html_extract.extract(page, paths[url.split("/")[2]]) for i, url, page in rows)
+
+
 def test_html_hosts_and_odd_rows(spark):
     rows = [(i, f"https://h{i % 3}.org/{i}", PAGE.replace("{n}", str(i))) for i in range(30)]
     rows += [(100, None, None), (101, "x", ""), (102, "https://h1.org/z", "<p>unclosed <b>bits"), (103, "https://h1.org/y", "plain &amp; simple"), (None, "https://h2.org", "<div><p>a</div><div>b")]
