@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, ship
 from .textkernel import Words, chunks
 from .toxicity import bounded_labels
 
@@ -76,6 +76,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     with the largest log_weight plus noise; rows that tie at the border are kept together. The noise hangs on seed,
     doc_id and text alone, so reruns agree and repeated rows fare alike. Null and empty texts have no features and weight
     0 (log). Without labels all weights are 0 and the draw is even. An empty table gives an empty one."""
+    ship(docs.sparkSession)
     known = bounded_labels(labels, label="quality")
     rate = known.agg(F.avg("quality")).first()[0]
     wanted, total = feature_counts(docs.join(F.broadcast(known), "doc_id", "left").select("text", F.col("quality").alias("target")))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import materialize
+from .common import arrow_field, materialize, ship
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's end-of-document identifier and the width of an identifier in bytes.
@@ -67,7 +67,8 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END, block: int
         if size:
             yield out(np.concatenate(held), ids)
 
-    docs_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    ship(docs.sparkSession)
+    docs_type = arrow_field(docs, "doc_id")
     return docs.select("doc_id", "text").mapInArrow(run, f"file int, block long, data binary, doc_ids array<{kind}>")
 
 
@@ -84,6 +85,7 @@ def scan(blocks: DataFrame, end: int = END, width: int = WIDTH) -> DataFrame:
 
     Tokens after a file's last separator are a document too, unless there are none. Empty blocks and null data hold
     nothing; an empty table gives an empty one."""
+    ship(blocks.sparkSession)
     kind = dict(blocks.dtypes)["file"]
 
     def run(batches):

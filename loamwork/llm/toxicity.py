@@ -14,19 +14,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, materialize
+from .common import crc_mod, materialize, ship
 from .textkernel import Words, chunks
 
 #: Labelled rows that a model is fitted on, at most (the lowest hashes of their doc_id).
 MAX_LABELS = 400_000
-#: Words that a model keeps, at most: those of the highest log-odds.
-MAX_WORDS = 500_000
+#: Words that a model keeps, at most: those of the largest scores, toxic or clean. Only words that the labelled rows
+#: prove something of are kept at all.
+MAX_WORDS = 2_000_000
+#: Score of a word that nothing is proved of, and the least score of one that is proved clean.
+BASE, FLOOR = -0.5, -4.0
 
 
 @dataclass(frozen=True)
 class Model:
-    """words: sorted hashes; gain: their scores; base: any other word's score; decay and scale: the extreme-value law's
-    lambda and K; curve: intercept and slope of the logistic curve over a text's evidence."""
+    """words: sorted hashes; gain: their scores, above 0 or below base; base: any other word's score; decay and scale: the
+    extreme-value law's lambda and K; curve: intercept and slope of the logistic curve over a text's evidence."""
 
     words: np.ndarray
     gain: np.ndarray
@@ -44,16 +47,12 @@ def bounded_labels(labels: DataFrame, doc_col: str = "doc_id", label: str = "tox
     return one if n <= rows else one.where(F.pmod(F.xxhash64(doc_col), F.lit(1_000_000)) < int(1_000_000 * rows / n))
 
 
-def segments(scores: np.ndarray, at: np.ndarray, base: float) -> list[tuple[int, int, float]]:
+def segments(at: np.ndarray, before: np.ndarray, through: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, past the last, score), by Ruzzo and Tompa's linear scan.
 
-    at: the places of words that score above 0, scores: theirs; every other word scores base < 0 (or, in at, its own)."""
+    at: the places of words that score above 0; before and through: the sums of all scores up to and with each of them."""
     found: list[list] = []  # first, end, sum before, sum through
-    total, last = 0.0, -1
-    for i, s in zip(at.tolist(), scores.tolist()):
-        total += base * (i - last - 1)
-        before, total, last = total, total + s, i
-        new = [i, i + 1, before, total]
+    for new in zip(at.tolist(), (at + 1).tolist(), before.tolist(), through.tolist()):
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= new[2]:
@@ -61,9 +60,9 @@ def segments(scores: np.ndarray, at: np.ndarray, base: float) -> list[tuple[int,
             if j < 0 or found[j][3] >= new[3]:
                 found.append(new)
                 break
-            new = [found[j][0], new[1], found[j][2], new[3]]
+            new = (found[j][0], new[1], found[j][2], new[3])
             del found[j:]
-    return [(a, b, through - before) for a, b, before, through in found]
+    return [(a, b, end - start) for a, b, start, end in found]
 
 
 def _scan(*models: Model):
@@ -74,14 +73,14 @@ def _scan(*models: Model):
             w = Words(data, offs)
             seen = []
             for m in models:
+                own = np.full(len(w.hash), m.base)
                 if len(m.words):
                     k = np.minimum(np.searchsorted(m.words, w.hash), len(m.words) - 1)
-                    at = np.flatnonzero(m.words[k] == w.hash)
-                    seen.append((at, m.gain[k[at]], np.searchsorted(at, w.ptr), m.base))
-                else:
-                    seen.append((np.zeros(0, np.int64), np.zeros(0), np.zeros(len(w.ptr), np.int64), m.base))
+                    own = np.where(m.words[k] == w.hash, m.gain[k], own)
+                sums, at = np.concatenate([[0.0], np.cumsum(own)]), np.flatnonzero(own > 0)
+                seen.append((at, sums[at], sums[at + 1], np.searchsorted(at, w.ptr)))
             for i in range(b - a):
-                yield int(w.ptr[i + 1] - w.ptr[i]), [segments(got[cut[i] : cut[i + 1]], at[cut[i] : cut[i + 1]] - w.ptr[i], base) if cut[i + 1] > cut[i] else [] for at, got, cut, base in seen]
+                yield int(w.ptr[i + 1] - w.ptr[i]), [segments(at[cut[i] : cut[i + 1]] - w.ptr[i], before[cut[i] : cut[i + 1]], through[cut[i] : cut[i + 1]]) if cut[i + 1] > cut[i] else [] for at, before, through, cut in seen]
 
     return of
 
@@ -121,8 +120,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _gains(counts: DataFrame, total: dict, halves: tuple[int, ...], least: float, prior_words: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and scores of words from these halves' counts: log-odds less one standard error, so that rare words
-    prove nothing; those of `least` or more."""
+    """Sorted hashes and scores of words from these halves' counts: the log-odds of toxic against clean text, one standard
+    error nearer to 0, so that rare words prove nothing. Kept are those of `least` or more and those below BASE."""
     toxic, clean = (sum((F.col(f"{k}{h}") for h in halves), F.lit(0)) for k in "tc")
     n_toxic, n_clean = (sum(total[f"{k}{h}"] for h in halves) for k in "tc")
     if not n_toxic or not n_clean:
@@ -130,14 +129,21 @@ def _gains(counts: DataFrame, total: dict, halves: tuple[int, ...], least: float
     weight = float(prior_words or n_toxic)
     prior = F.col("every") * (weight / total["every"])
     odds = lambda c, n: F.log((c + prior) / (n + weight - c - prior))
-    gain = odds(toxic, n_toxic) - odds(clean, n_clean) - F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
-    best = counts.where(toxic > 0).select("word", gain.alias("gain")).where(F.col("gain") >= least)
+    delta, error = odds(toxic, n_toxic) - odds(clean, n_clean), F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+    seen = counts.where(toxic + clean > 0).select("word", (delta - error).alias("up"), F.greatest(delta + error, F.lit(FLOOR)).alias("down"))
+    best = seen.select("word", F.when(F.col("up") >= least, F.col("up")).when(F.col("down") < BASE, F.col("down")).alias("gain")).where("gain is not null")
     if best.count() > MAX_WORDS:
-        best = best.orderBy(F.desc("gain"), "word").limit(MAX_WORDS)
-    best = best.toPandas()
-    h = best["word"].to_numpy(np.int64).view(np.uint64)
+        best = best.orderBy(F.desc(F.abs("gain")), "word").limit(MAX_WORDS)
+    best = best.toArrow()
+    h = best.column("word").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(h)
-    return h[order], best["gain"].to_numpy(float)[order]
+    return h[order], best.column("gain").to_numpy().astype(float)[order]
+
+
+def _from(words: np.ndarray, gain: np.ndarray, least: float) -> Model:
+    """A model of the words that score `least` or more, and of all clean ones."""
+    keep = (gain >= least) | (gain < 0)
+    return Model(words[keep], gain[keep], BASE)
 
 
 def fit(docs: DataFrame, labels: DataFrame, prior_words: float | None = None, gains: tuple[float, ...] = GAINS) -> Model:
@@ -147,20 +153,21 @@ def fit(docs: DataFrame, labels: DataFrame, prior_words: float | None = None, ga
     The labelled rows fall into two halves by a hash of doc_id: words learned on one calibrate the law, the curve and
     the least score on the other; the words themselves are then learned on both. Without labelled rows of both kinds
     the model finds nothing and scores every text alike."""
+    ship(docs.sparkSession)
     half = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2))
     known = F.broadcast(bounded_labels(labels).withColumn("mark", (half * 2 + F.col("toxic")).cast("int")))
     counts = materialize(word_counts(docs.join(known, "doc_id", "left").select("text", "mark")))
     total = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c0", "t0", "c1", "t1", "every"))).first().asDict()
     words, gain = _gains(counts, total, (0, 1), min(gains), prior_words)
-    if not len(words):
-        return Model(words, gain, -0.5)
+    if not (gain > 0).any():
+        return Model(words, gain, BASE)
     learned = _gains(counts, total, (0,), min(gains), prior_words)
-    tried = [Model(learned[0][learned[1] >= g], learned[1][learned[1] >= g], -0.5) for g in gains]
+    tried = [_from(*learned, g) for g in gains]
     held = docs.join(known.where("mark >= 2"), "doc_id").select("text", F.col("toxic"))
     fitted, losses = _calibrate(held, tried)
     k = int(np.argmin(losses))
-    keep = gain >= gains[k]
-    return Model(words[keep], gain[keep], -0.5, fitted[k].decay, fitted[k].scale, fitted[k].curve)
+    final = _from(words, gain, gains[k])
+    return Model(final.words, final.gain, BASE, fitted[k].decay, fitted[k].scale, fitted[k].curve)
 
 
 def _calibrate(labelled: DataFrame, models: list[Model]) -> tuple[list[Model], list[float]]:
@@ -230,6 +237,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
             kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(x >= threshold) for x in scores], pa.int32()), pa.array(spans, kind)], ["doc_id", "score", "predicted", "segments"])
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double, predicted int, segments array<struct<first: long, end: long, score: double>>")
 
 

@@ -110,10 +110,27 @@ def test_decontaminate_in_passes_and_recall(spark, monkeypatch):
 # --- 2 --------------------------------------------------------------------------------------------------------------
 
 
+def plain_targets(sizes):
+    """Shares by weights 1, 2, 3 in code-point order, null last, found by halving on the common rate instead of refilling."""
+    order = sorted((s for s, _ in sizes if s is not None), key=lambda s: s.encode()) + [None] * any(s is None for s, _ in sizes)
+    weight = {s: 1 + k % 3 for k, s in enumerate(order)}
+    total, lo, hi = sum(n for _, n in sizes), 0.0, 1e18
+    for _ in range(200):
+        rate = (lo + hi) / 2
+        lo, hi = (rate, hi) if sum(min(3 * n, weight[s] * rate) for s, n in sizes) < total else (lo, rate)
+    return [min(3 * n, weight[s] * lo) for s, n in sizes]
+
+
 def test_targets_fill_up():
-    t = mixing.targets([("b", 10), ("a", 100), (None, 100), ("c", 1000)])
-    assert sum(t) == pytest.approx(1210) and all(x <= 3 * n + 1e-9 for x, n in zip(t, (10, 100, 100, 1000)))
-    assert t[0] == 30 and t[1] == pytest.approx(300 if t[1] == 300 else t[1])
+    sizes = [("b", 10), ("a", 100), (None, 100), ("c", 1000)]
+    t = mixing.targets(sizes)
+    # weights a 1, b 2, c 3, null 1; b stops at 30 and the rest, 1180, goes 1 : 3 : 1
+    assert t == pytest.approx([30, 236, 236, 708]) and t == pytest.approx(plain_targets(sizes))
+    rng = random.Random(5)
+    for _ in range(50):
+        sizes = [(s, rng.choice([0, 1, 5, 1000, 10**7])) for s in rng.sample(["a", "b", "é", "Z", "zz", "", None], rng.randint(1, 7))]
+        t = mixing.targets(sizes)
+        assert t == pytest.approx(plain_targets(sizes), rel=1e-6, abs=1e-6) and sum(t) == pytest.approx(sum(n for _, n in sizes))
 
 
 def test_mix(spark):
@@ -130,7 +147,7 @@ def test_mix(spark):
         x[0] += r["size"]
         x[1] += r["taken"]
     sizes = [(s, n) for s, (n, _, _) in per.items()]
-    for (s, n), t in zip(sizes, mixing.targets(sizes)):
+    for (s, n), t in zip(sizes, plain_targets(sizes)):
         assert per[s][2] == pytest.approx(t)
         assert abs(per[s][1] - t) <= 96
     pieces, _ = mixing.mix(docs)
@@ -251,6 +268,32 @@ def test_resample(spark, sf):
     assert quality_classifier.resample(made(spark, ODD), labels.limit(0)).count() == len(ODD)
 
 
+def test_weights_against_brute_force(spark):
+    rng, words = random.Random(3), vocabulary(40)
+    rows = [(d, " ".join(prose(rng.randint(0, 12), rng, words))) for d in range(50)] + [(60, None), (61, ""), (62, "a b"), (62, "a b")]
+    label = {d: d % 2 for d in range(0, 40, 3)}
+    feature = lambda t: [quality_classifier._features(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[0].tolist()][0]
+    wanted, every = np.ones(quality_classifier.BUCKETS), np.ones(quality_classifier.BUCKETS)
+    for d, t in rows:
+        f = feature(t)
+        w = (t or "").split()
+        assert len(f) == len(w) + max(0, len(w) - 1)
+        for x in f:
+            every[x] += 1
+            wanted[x] += label.get(d) == 1
+    ratio = np.log(wanted / wanted.sum()) - np.log(every / every.sum())
+    got = quality_classifier.resample(made(spark, rows), made(spark, list(label.items()), "doc_id long, quality int"), share=0.3).collect()
+    for r in got:
+        text = [t for d, t in rows if d == r["doc_id"]][0]
+        assert r["log_weight"] == pytest.approx(sum(ratio[x] for x in feature(text)), abs=1e-9) and r["n_features"] == len(feature(text))
+    # the largest keys stay, ties together; the noise is that of the standard Gumbel law
+    key = sorted((r["gumbel_key"] for r in got), reverse=True)
+    least = key[int(np.ceil(0.3 * len(rows))) - 1]
+    assert all(r["kept"] == (r["gumbel_key"] >= least - 1e-6) for r in got) and len({(r["gumbel_key"], r["kept"]) for r in got if r["doc_id"] == 62}) == 1
+    noise = sorted(r["gumbel_key"] - r["log_weight"] for r in quality_classifier.resample(made(spark, [(d, None) for d in range(2000)]), made(spark, [], "doc_id long, quality int")).collect())
+    assert max(abs(np.exp(-np.exp(-x)) - (i + 0.5) / 2000) for i, x in enumerate(noise)) < 0.05
+
+
 def test_kth_largest(spark):
     rng = random.Random(2)
     v = [rng.choice([rng.randint(-(1 << 63), (1 << 63) - 1), rng.randint(-5, 5)]) for _ in range(200)]
@@ -265,8 +308,8 @@ def test_kth_largest(spark):
 
 @pytest.mark.parametrize("block", [3, 64, 1 << 18])
 def test_token_counts(spark, block):
-    rows = [r for r in ODD if r[0] != 6] + [(10 + i, "word " * (i % 11)) for i in range(60)]
-    got = token_counts.token_counts(made(spark, rows).repartition(3), block=block).collect()
+    rows = ODD + [(10 + i, "word " * (i % 11)) for i in range(60)]
+    got = token_counts.token_counts(made(spark, rows, "doc_id short, text string").repartition(3), block=block).collect()
     enc = token_counts._encoding(token_counts.TOKENIZER)
     want = sorted((str(i), len(enc.encode_ordinary(t or ""))) for i, t in rows)
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got) == want
@@ -662,9 +705,10 @@ def test_components(spark):
 def test_segments_are_all_maximal():
     rng = random.Random(2)
     for _ in range(200):
-        s = [rng.choice([2.0, 1.0, -0.5]) for _ in range(rng.randint(1, 25))]
+        s = [rng.choice([2.0, 1.0, -0.5, -1.75]) for _ in range(rng.randint(1, 25))]
         at = np.array([i for i, v in enumerate(s) if v > 0], int)
-        got = toxicity.segments(np.array([s[i] for i in at]), at, -0.5)
+        sums = np.concatenate([[0.0], np.cumsum(s)])
+        got = toxicity.segments(at, sums[at], sums[at + 1])
 
         def brute(a, b):
             if a >= b:
@@ -677,6 +721,50 @@ def test_segments_are_all_maximal():
         assert sorted(round(x[2], 6) for x in got) == sorted(round(x[2], 6) for x in brute(0, len(s)))
 
 
+def test_toxic_words_and_scores_against_brute_force(spark, monkeypatch):
+    rng, clean, foul = random.Random(7), vocabulary(60), [f"foul{k}" for k in range(6)]
+    rows = [(d, " ".join(prose(rng.randint(0, 40), rng, clean) + (prose(rng.randint(2, 6), rng, foul) if d % 4 == 0 else ["calm", "mild"] * 6) + prose(rng.randint(0, 20), rng, clean))) for d in range(240)]
+    rows += [(300, None), (301, ""), (302, "foul1 foul1 foul2")]
+    label = {d: int(d % 4 == 0) for d, _ in rows if d % 3 and d < 240}
+    docs, labels = made(spark, rows), made(spark, list(label.items()), "doc_id long, toxic int")
+    counts = toxicity.word_counts(docs.join(labels, "doc_id", "left").select("text", F.col("toxic").alias("mark")))
+    total = counts.agg(*(F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1", "every"))).first().asDict()
+    words, gain = toxicity._gains(counts, total, (0, 1), 1.0, None)
+    n = [{}, {}, {}]
+    for d, t in rows:
+        for w in (t or "").split():
+            for k in {2, label.get(d, 2)}:
+                n[k][w] = n[k].get(w, 0) + 1
+    size, want = [sum(x.values()) for x in n], {}
+    for w, all_ in n[2].items():
+        c, t, prior = n[0].get(w, 0), n[1].get(w, 0), all_ * size[1] / size[2]
+        if c + t:
+            lo = np.log((t + prior) / (2 * size[1] - t - prior)) - np.log((c + prior) / (size[0] + size[1] - c - prior))
+            se = np.sqrt(1 / (t + prior) + 1 / (c + prior))
+            if lo - se >= 1:
+                want[w] = lo - se
+            elif lo + se < toxicity.BASE:
+                want[w] = max(lo + se, toxicity.FLOOR)
+    hashed = {int(toxicity.Words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])).hash[0]): g for w, g in want.items()}
+    assert {int(h): g for h, g in zip(words, gain)} == pytest.approx(hashed) and min(want.values()) < 0 < max(want.values())
+
+    model = toxicity._from(words, gain, 1.0)
+    model = toxicity.Model(model.words, model.gain, model.base, 0.9, 0.05, (-3.0, 2.5))
+    for r in toxicity.score(docs, model).collect():
+        s = [want.get(w, toxicity.BASE) for w in (dict(rows)[r["doc_id"]] or "").split()]
+
+        def best(a, b):
+            top = max(((sum(s[i:j]), -(j - i), -i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0,))
+            return best(a, top[3]) + [top[0]] + best(top[4], b) if top[0] > 0 else []
+
+        e = 0.0
+        for x in best(0, len(s)):
+            p = 1 - np.exp(-0.05 * len(s) * np.exp(-0.9 * x))
+            e -= np.log10(max(p, 1e-300)) if p < 0.5 else 0
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-(-3 + 2.5 * np.log1p(min(e, 300))))), abs=0.03)
+        assert r["predicted"] == int(r["score"] >= 0.7)
+
+
 def test_toxicity(spark):
     docs = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
     labels = table(spark, "/root/testdata/sf0.1", "labels")
