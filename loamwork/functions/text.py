@@ -46,9 +46,14 @@ def display_width(c: Column) -> Column:
 
 
 def cjk_spacing(c: Column) -> Column:
-    """A hair space between CJK and Latin or digits."""
-    c = F.regexp_replace(c, r"(?<=[一-鿿])(?=[A-Za-z0-9])", " ")
-    return F.regexp_replace(c, r"(?<=[A-Za-z0-9])(?=[一-鿿])", " ")
+    """A hair space between CJK and Latin or digits, outside tags."""
+
+    def spaced(p: Column) -> Column:
+        p = F.regexp_replace(p, r"(?<=[一-鿿])(?=[A-Za-z0-9])", "\u200a")
+        return F.regexp_replace(p, r"(?<=[A-Za-z0-9])(?=[一-鿿])", "\u200a")
+
+    parts = F.regexp_extract_all(c, F.lit("<[^>]*>|[^<]+|<"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^<.*>$"), p).otherwise(spaced(p))), "")
 
 
 def join_lines(a: Column, b: Column) -> Column:
@@ -129,3 +134,33 @@ def jaccard(a: Column, b: Column) -> Column:
     """Similarity of two arrays as sets; null where both are empty."""
     union = F.size(F.array_union(a, b))
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union)
+
+
+def first_difference(a: Column, b: Column) -> Column:
+    """Where two texts part (from 0): the first place of different characters, or the shorter one's end; null if equal.
+
+    Characters are split once, so the work is in proportion to the texts."""
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x.eqNullSafe(y))
+    return F.when(a != b, F.array_position(same, False).cast("int") - 1)
+
+
+def han_together(c: Column) -> Column:
+    """Spaces between Han characters taken out."""
+    return F.regexp_replace(c, r"(?<=[一-鿿]) (?=[一-鿿])", "")
+
+
+def tidy_punctuation(c: Column) -> Column:
+    """Spaces before punctuation and at the end taken out."""
+    return F.rtrim(F.regexp_replace(c, r" +([,.;:!?])", "$1"))
+
+
+def inline_markdown(c: Column) -> Column:
+    """Inline Markdown as HTML: text escaped, strong and em outside code spans, which are taken as they are.
+
+    A line is parted at its code spans, so that no rule reaches into one."""
+    for x, y in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(x), F.lit(y))
+    parts = F.split(c, "`", -1)
+    plain = lambda p: F.regexp_replace(F.regexp_replace(p, r"\*\*(.+?)\*\*", "<strong>$1</strong>"), r"\*(.+?)\*", "<em>$1</em>")
+    code = lambda p: F.concat(F.lit("<code>"), p, F.lit("</code>"))
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 0, plain(p)).otherwise(code(p))), "")
