@@ -105,3 +105,63 @@ def multiset_diff(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     x = a.groupBy(key).agg(F.count("*").alias("x"))
     y = b.groupBy(key).agg(F.count("*").alias("y"))
     return x.join(y, key, "left").select(key, (F.col("x") - F.coalesce("y", F.lit(0))).alias("n")).where("n > 0")
+
+
+def checked_cards(cards: DataFrame, pages: DataFrame, card: str, code: str, source: str) -> DataFrame:
+    """cards with status: `no source` (no source row in the card's text), `unknown code` (none that pages has), `mismatch`
+    (the source row lacks what pages expects of the code), else `ok`.
+
+    code and source are patterns with one group; pages: code, expected, a bounded map with one row a code, and broadcast."""
+    x = cards.withColumn("__s", F.regexp_extract(card, source, 1)).withColumn("__c", F.regexp_extract(card, code, 1))
+    x = x.join(F.broadcast(pages.select(F.col("code").alias("__c"), F.col("expected").alias("__e"))), "__c", "left")
+    status = F.when(F.col("__s") == "", "no source").when(F.col("__e").isNull(), "unknown code").when(~F.contains("__s", "__e"), "mismatch").otherwise("ok")
+    return x.withColumn("status", status).drop("__s", "__c", "__e")
+
+
+def allowed_by(found: DataFrame, rules: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """found (check, source, severity, found, context) with `allowed`, the reason of the first rule that fits, else null.
+
+    rules in order: check, source, found ('*' fits all), a pattern that the context must fit ('' fits all), reason. Only
+    warnings can be allowed. Rules are plan constants, so nothing is joined and the first is the first branch."""
+    out = F.when(F.col("severity") != "warn", F.lit(None).cast("string"))
+    for check, source, what, pattern, reason in rules:
+        fits = F.lit(True)
+        for column, want in (("check", check), ("source", source), ("found", what)):
+            fits = fits if want == "*" else fits & (F.col(column) == want)
+        out = out.when(fits & F.col("context").rlike(pattern) if pattern else fits, F.lit(reason))
+    return found.withColumn("allowed", out)
+
+
+def claimed_pages(pages: DataFrame, labels: list[tuple[str, str]]) -> DataFrame:
+    """label, place (its priority, from 1), page: the first page (page, text) that fits each label's pattern and that no
+    label before it has claimed; null if there is none.
+
+    Each label looks at so many of its first pages as there are labels, which is as many as can be claimed before it."""
+    hits = F.array_compact(F.array(*(F.when(F.col("text").rlike(p), F.lit(i + 1)) for i, (_, p) in enumerate(labels))))
+    x = pages.select("page", F.explode(hits).alias("place"))
+    first = x.withColumn("r", F.row_number().over(W.partitionBy("place").orderBy("page"))).where(F.col("r") <= len(labels)).collect()
+    taken, out = set(), []
+    for i, (label, _) in enumerate(labels):
+        page = next((p for p in sorted(r["page"] for r in first if r["place"] == i + 1) if p not in taken), None)
+        taken.add(page)
+        out.append((label, i + 1, page))
+    return pages.sparkSession.createDataFrame(out, f"label string, place int, page {dict(pages.dtypes)['page']}")
+
+
+def card_table(rows: Column, keys: list[str]) -> Column:
+    """Rows `Key: value` as lines of a two-column Markdown table; a row of none of the keys fails the query."""
+    known = "|".join(keys)
+    cell = lambda r: F.when(r.rlike(f"^({known}): "), F.concat(F.lit("| "), F.regexp_extract(r, f"^({known}): ", 1), F.lit(" | "), F.regexp_replace(r, f"^({known}): ", ""), F.lit(" |"))).otherwise(F.raise_error(F.concat(F.lit("unknown row "), r)))
+    return F.array_join(F.transform(rows, cell), "\n")
+
+
+def heading_depth(line: Column) -> Column:
+    """A numbered heading with as many # as its number has parts (three or four); other lines as they are."""
+    parts = F.size(F.split(F.regexp_extract(line, r"^#+ ([0-9.]+)", 1), r"\."))
+    return F.when(line.rlike(r"^#+ [0-9]+(\.[0-9]+){2,3} "), F.concat(F.repeat(F.lit("#"), parts), F.regexp_replace(line, "^#+", ""))).otherwise(line)
+
+
+def units(line_df: DataFrame, opens: Column) -> DataFrame:
+    """Lines from a document's first opening on, with unit: the number of the opening that they stand under."""
+    w = W.partitionBy("doc_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
+    return line_df.withColumn("unit", F.sum(opens.cast("int")).over(w)).where("unit > 0")

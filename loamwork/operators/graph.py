@@ -27,3 +27,35 @@ def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85) -> DataF
         new = F.lit((1 - damping) / max(count, 1)) + damping * (F.coalesce("got", F.lit(0.0)) + F.lit(lost / max(count, 1)))
         ranks = checkpointed(nodes.join(got, F.col("n") == F.col("__n"), "left").select("n", "sink", new.alias("rank")))
     return ranks.select("n", "rank")
+
+
+def hops(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
+    """n, hops: the least number of edges (src, dst) from a start (n) to each node that `most` hops or fewer reach.
+
+    Each round joins only the nodes that the round before was the first to reach; cycles end by themselves."""
+    seen = checkpointed(starts.select("n").distinct().withColumn("hops", F.lit(0)))
+    front = seen
+    for k in range(1, most + 1):
+        new = front.join(edges, F.col("n") == F.col("src")).select(F.col("dst").alias("n")).distinct().join(seen.select("n"), "n", "left_anti")
+        front = checkpointed(new.withColumn("hops", F.lit(k)))
+        if front.isEmpty():
+            break
+        seen = checkpointed(seen.unionByName(front))
+    return seen
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """n, component: the least node that n is joined to by edges, whichever way they point.
+
+    Labels spread to neighbours and then jump to their label's label, until a round changes nothing; each round is a
+    grouped minimum and two joins on written tables."""
+    both = checkpointed(edges.select("src", "dst").union(edges.select(F.col("dst"), F.col("src"))).distinct())
+    label = checkpointed(both.groupBy(F.col("src").alias("n")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
+    while True:
+        near = both.join(label.select(F.col("n").alias("dst"), "component"), "dst").groupBy(F.col("src").alias("n")).agg(F.min("component").alias("m"))
+        step = label.join(near, "n").select("n", F.least("component", "m").alias("c"), F.col("component").alias("old"))
+        jump = label.select(F.col("n").alias("c"), F.col("component").alias("j"))
+        new = checkpointed(step.join(jump, "c", "left").select("n", F.least("c", F.coalesce("j", "c")).alias("component"), "old"))
+        if new.where("component <> old").isEmpty():
+            return new.select("n", "component")
+        label = new.select("n", "component")

@@ -6,6 +6,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import text as T
 from ..operators import corpus as C
+from ..operators import measures as M
 from ..operators import relational as R
 from ..operators import rewrite as V
 from ..operators import structure as S
@@ -150,7 +151,9 @@ def top3_docs_per_lang(t):
 
 @query("select text, count(*)::bigint as n, min(doc_id) as first_doc from documents group by text having count(*) > 1")
 def duplicate_keys(t):
-    return t.documents.groupBy("text").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
+    # texts are grouped by a hash; only the first document of a group of two or more is read again for its text
+    some = t.documents.select("doc_id", F.sha2("text", 256).alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
+    return some.join(t.documents.select("doc_id", "text"), F.col("first_doc") == F.col("doc_id")).select("text", "n", "first_doc")
 
 
 @query("select source, count(*)::bigint as n, round_even(100.0 * count(*) / sum(count(*)) over (), 0)::bigint as pct from documents group by source")
@@ -218,8 +221,11 @@ def tfidf_top_terms(t):
  d as (select doc_id, string_split(text, ' ') as w from documents), x as (select doc_id, array_to_string(w[i : i + 7], ' ') as k from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from d where len(w) >= 8))
  select doc_id, count(distinct k)::bigint as n from x semi join s using (k) group by doc_id""")
 def contamination_hits(t):
-    cut = lambda df, *keep: df.select(*keep, F.explode(T.shingles(F.split("text", " "), 8)).alias("k"))
-    return cut(t.documents, "doc_id").join(cut(t.benchmark).distinct(), "k", "left_semi").distinct().groupBy("doc_id").agg(F.count("*").alias("n"))
+    # a document's distinct runs as 64-bit hashes; the benchmark's are broadcast only up to a count
+    runs = lambda df, *keep: df.select(*keep, F.explode(F.array_distinct(F.transform(T.shingles(F.split("text", " "), 8), lambda k: F.xxhash64(k)))).alias("k"))
+    wanted = runs(t.benchmark).distinct()
+    wanted = F.broadcast(wanted) if wanted.limit(2_000_001).count() <= 2_000_000 else wanted
+    return runs(t.documents, "doc_id").join(wanted, "k", "left_semi").groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
 # --- joins and reconciliation ---------------------------------------------------------------------------------------
@@ -403,12 +409,10 @@ def moving_average(t):
     return t.events.select("event_id", F.round(F.avg("value").over(w), 6).alias("ma5"), F.round(F.percentile("value", F.lit(0.5)).over(w), 6).alias("med5"))
 
 
-@query()
+@query("""with o as (select user_id, value, row_number() over (partition by user_id order by ts, event_id) as i, count(*) over (partition by user_id) as n, first_value(value) over (partition by user_id order by ts, event_id) as x from events) select user_id, round(sum(0.3 * pow(0.7, n - i) * value) + max(pow(0.7, n) * x), 5) as level from o group by 1""")
 def ewma(t):
-    """Exponential smoothing (0.3) of each user's values in order of time; checked in tests."""
-    x = t.events.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))).alias("e"))
-    smooth = F.aggregate("e", F.lit(None).cast("double"), lambda s, v: F.when(s.isNull(), v["value"]).otherwise(0.3 * v["value"] + 0.7 * s))
-    return x.select("user_id", F.round(smooth, 6).alias("level"))
+    """Exponential smoothing (0.3) of each user's values in order of time."""
+    return R.smoothed(t.events, "user_id", ["ts", "event_id"], "value", 0.3).select("user_id", F.round("level", 5).alias("level"))
 
 
 @query("select event_id, round(value - avg(value) over (partition by user_id), 3) as off from events")
@@ -484,14 +488,15 @@ def generalised_dates(t):
 @query("with s as (select avg(p_retailprice) as m, stddev_pop(p_retailprice) as d, min(p_retailprice) as lo, max(p_retailprice) as hi, quantile_cont(p_retailprice, 0.5) as q2, quantile_cont(p_retailprice, 0.75) - quantile_cont(p_retailprice, 0.25) as iqr from part) select p_partkey, round((p_retailprice - m) / d, 6) as z, round((p_retailprice - lo) / (hi - lo), 6) as unit, round((p_retailprice - q2) / iqr, 6) as robust, round(ln(1 + p_retailprice), 6) as log1p from part, s")
 def scaling(t):
     p = F.col("p_retailprice")
-    s = t.part.agg(F.avg(p).alias("m"), F.stddev_pop(p).alias("d"), F.min(p).alias("lo"), F.max(p).alias("hi"), F.percentile(p, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    s = t.part.agg(F.avg(p).alias("m"), F.stddev_pop(p).alias("d"), F.min(p).alias("lo"), F.max(p).alias("hi"), F.lit(0).alias("x"))
+    s = s.crossJoin(M.exact_quantiles(t.part, "p_retailprice", [0.25, 0.5, 0.75], ["q1", "q2", "q3"]))  # a row each
     x = t.part.select("p_partkey", p).crossJoin(F.broadcast(s))
-    return x.select("p_partkey", F.round((p - F.col("m")) / F.col("d"), 6).alias("z"), F.round((p - F.col("lo")) / (F.col("hi") - F.col("lo")), 6).alias("unit"), F.round((p - F.col("q")[1]) / (F.col("q")[2] - F.col("q")[0]), 6).alias("robust"), F.round(F.log1p(p), 6).alias("log1p"))
+    return x.select("p_partkey", F.round((p - F.col("m")) / F.col("d"), 6).alias("z"), F.round((p - F.col("lo")) / (F.col("hi") - F.col("lo")), 6).alias("unit"), F.round((p - F.col("q2")) / (F.col("q3") - F.col("q1")), 6).alias("robust"), F.round(F.log1p(p), 6).alias("log1p"))
 
 
 @query("select p_brand, ntile(4) over (partition by p_brand order by p_retailprice, p_partkey)::int as q, p_partkey from part")
 def bins_ntile(t):
-    return t.part.select("p_brand", F.ntile(4).over(W.partitionBy("p_brand").orderBy("p_retailprice", "p_partkey")).alias("q"), "p_partkey")
+    return R.ntiles(t.part.select("p_brand", "p_retailprice", "p_partkey"), "p_brand", ["p_retailprice", "p_partkey"], 4, "q").select("p_brand", "q", "p_partkey")
 
 
 @query("select floor(c_acctbal / 1000)::bigint as x, floor(c_custkey / 100)::bigint as y, count(*)::bigint as n from customer group by all")
@@ -599,11 +604,10 @@ def regression_metrics(t):
 _COS = "list_cosine_similarity(e.embedding::double[], q.embedding::double[])"
 
 
-@query(f"""with q as (select vec_id, embedding from embeddings where vec_id < 10), s as (select q.vec_id as q, e.vec_id as v, round({_COS}, 6) as sim from q, embeddings e where e.vec_id <> q.vec_id) select q, v, sim from (select *, row_number() over (partition by q order by sim desc, v) as r from s) where r <= 5""")
+@query(f"""with q as (select vec_id, embedding from embeddings where vec_id % 50 = 0), s as (select q.vec_id as q, e.vec_id as v, round({_COS}, 6) as sim from q, embeddings e where e.vec_id <> q.vec_id) select q, v, sim from (select *, row_number() over (partition by q order by sim desc, v) as r from s) where r <= 5""")
 def cosine_topk(t):
-    q = F.broadcast(t.embeddings.where("vec_id < 10").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e")))
-    s = t.embeddings.join(q, F.col("vec_id") != F.col("q")).select("q", F.col("vec_id").alias("v"), F.round(T.cosine(F.col("embedding"), F.col("e")), 6).alias("sim"))
-    return s.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "v"))).where("r <= 5").drop("r")
+    """The five nearest vectors of every row whose id is divisible by 50, against all rows, in blocks of both."""
+    return R.nearest(t.embeddings, t.embeddings.where("vec_id % 50 = 0"), "vec_id", "embedding", 5).select("q", "v", "sim")
 
 
 @query("""with a as (select o_custkey as k, row_number() over (order by sum(o_totalprice) desc, o_custkey) as r from orders group by 1), b as (select o_custkey as k, row_number() over (order by count(*) desc, o_custkey) as r from orders group by 1)
@@ -696,11 +700,6 @@ def overlapping_chunks(t):
     return x.select("doc_id", F.col("i").cast("long").alias("chunk"), F.substring("text", F.col("i") * 400 + 1, F.lit(500)).alias("piece"))
 
 
-@query("select p_brand, round(avg(p_retailprice), 6) as mean_price, (select count(*) from part p2 where p2.p_brand = p.p_brand and p2.p_size > 25)::bigint as n_large from part p group by p_brand")
-def boolean_mask_mean(t):
-    return t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 6).alias("mean_price"), F.count_if(F.col("p_size") > 25).alias("n_large"))
-
-
 @query("select l_returnflag, l_linestatus, round(sum(l_quantity), 2) as sum_qty, round(sum(l_extendedprice), 2) as sum_base, round(sum(l_extendedprice * (1 - l_discount)), 2) as sum_disc, round(avg(l_quantity), 6) as avg_qty, count(*)::bigint as n from lineitem where l_shipdate <= timestamp '1998-09-02' group by all")
 def pricing_summary(t):
     x = t.lineitem.where(F.col("l_shipdate") <= F.to_timestamp_ntz(F.lit("1998-09-02 00:00:00")))
@@ -710,7 +709,7 @@ def pricing_summary(t):
 @query("""with e as (select user_id, event_type, value, row_number() over (partition by event_type order by event_id) % 5 as fold from events), m as (select event_type, fold, sum(value) as s, count(*) as n from e group by all), a as (select event_type, sum(s) as s, sum(n) as n from m group by 1)
  select event_type, fold::int as fold, round((a.s - m.s) / (a.n - m.n), 4) as out_of_fold_mean from m join a using (event_type) where a.n > m.n""")
 def target_encoding(t):
-    f = t.events.withColumn("fold", (F.row_number().over(W.partitionBy("event_type").orderBy("event_id")) % 5).cast("int"))
+    f = R.dealt_ranks(t.events.select("event_type", "event_id", "value"), "event_type", ["event_id"]).withColumn("fold", (F.col("rank") % 5).cast("int"))
     m = f.groupBy("event_type", "fold").agg(F.sum("value").alias("s"), F.count("*").alias("n"))
     a = m.groupBy("event_type").agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
     return m.join(a, "event_type").where("tn > n").select("event_type", "fold", F.round((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n")), 4).alias("out_of_fold_mean"))

@@ -12,14 +12,6 @@ from .catalogue import _LINES, query
 # --- reconciliation -------------------------------------------------------------------------------------------------
 
 
-@query("""select p_partkey, p_type, p_name from part where not contains(p_name, p_brand) and p_size > 40""")
-def card_mentions(t):
-    """Parts whose name lacks the brand that a card expects in it."""
-    card = t.part.select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("expected"))
-    x = t.part.where("p_size > 40").join(card, F.col("p_partkey") == F.col("k"), "left")
-    return x.where(~F.contains("p_name", "expected")).select("p_partkey", "p_type", "p_name")
-
-
 @query("""with a as (select c_nationkey as k, count(*) as n from customer group by 1), b as (select s_nationkey as k, count(*) as n from supplier group by 1)
  select n_nationkey as k, coalesce(a.n, 0)::bigint as expected, coalesce(b.n, 0)::bigint as actual from nation left join a on a.k = n_nationkey left join b on b.k = n_nationkey where coalesce(a.n, 0) <> coalesce(b.n, 0)""")
 def count_mismatches(t):
@@ -34,13 +26,6 @@ def counts_by_code_prefix(t):
     return t.part.groupBy(F.regexp_extract("p_type", "^([A-Za-z]+)", 1).alias("code")).agg(F.countDistinct("p_partkey").alias("n"), F.count_if(F.startswith("p_brand", F.lit("Brand#1"))).alias("n_first"))
 
 
-@query("""with x as (select doc_id, min(position('Licensed under' in text)) as place from documents where contains(text, 'Licensed under') group by doc_id)
- select place <= 1000 as early, min(doc_id) as first_doc, count(*)::bigint as n from x group by 1""")
-def first_matching_page(t):
-    x = t.documents.where(F.contains("text", F.lit("Licensed under"))).groupBy("doc_id").agg(F.min(F.instr("text", "Licensed under")).alias("at"))
-    return x.groupBy((F.col("at") <= 1000).alias("early")).agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
-
-
 @query(f"""with {_LINES}, x as (select doc_id, line_no, line, row_number() over (partition by doc_id order by line_no desc) as r from l where line <> '') select doc_id, max(line_no)::int as last_line, count(*) filter (regexp_matches(line, '^[A-Z]'))::bigint as n_capital from x where r <= 3 group by doc_id""")
 def page_tails(t):
     """Of the last three lines with text: where they end and how many begin with a capital."""
@@ -62,13 +47,6 @@ def column_widths(t):
     return t.part.groupBy("p_brand").agg(F.max(w).cast("long").alias("widest"), F.round(F.greatest(F.sqrt(F.avg(w)) * 3, F.lit(8.0)), 6).alias("weight"))
 
 
-@query(r"""with s as (select doc_id, unnest(regexp_extract_all(text, '[0-9]{4,}')) as found from documents), n as (select found, count(*) as n from s group by 1)
- select length(found)::bigint as digits, sum(n)::bigint as n, count(*)::bigint as kinds from n where n >= 2 group by 1""")
-def voted_matches(t):
-    s = t.documents.select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]{4,}"), F.lit(0))).alias("found")).groupBy("found").agg(F.count("*").alias("n")).where("n >= 2")
-    return s.groupBy(F.length("found").cast("long").alias("digits")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
-
-
 # --- quality, encodings, sampling -----------------------------------------------------------------------------------
 
 
@@ -117,7 +95,7 @@ def rolling_median(t):
 
 @query("""with a as (select *, ntile(5) over (partition by c_mktsegment order by c_custkey) as fold from customer) select c_mktsegment, fold::int as fold, count(*)::bigint as n from a group by all""")
 def stratified_folds(t):
-    x = t.customer.select("c_mktsegment", F.ntile(5).over(W.partitionBy("c_mktsegment").orderBy("c_custkey")).alias("fold"))
+    x = R.ntiles(t.customer.select("c_mktsegment", "c_custkey"), "c_mktsegment", ["c_custkey"], 5, "fold")
     return x.groupBy("c_mktsegment", "fold").agg(F.count("*").alias("n"))
 
 
@@ -146,12 +124,6 @@ def degrees(t):
     return G.degrees(_trade(t))
 
 
-@query()
-def pagerank(t):
-    """Ten rounds of PageRank over nations that trade. Checked in tests."""
-    return G.pagerank(_trade(t), rounds=10)
-
-
 def _trade(t):
     """Distinct pairs (src, dst) of a customer's nation and a supplier's, other than itself."""
     x = t.lineitem.select("l_orderkey", "l_suppkey").join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))

@@ -1,10 +1,10 @@
 """Structured Streaming over event tables: event-time windows, watermarks, late rows and incremental dedup."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import scratch
+
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """A file stream of the parquet files under path (a folder or a glob; a lone file as a glob). ts becomes a TIMESTAMP: watermarks reject TIMESTAMP_NTZ."""
@@ -34,13 +34,25 @@ def first_seen(events: DataFrame, late: str = "1 day") -> DataFrame:
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def drain(stream: DataFrame, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Runs a stream over all that there is now and returns what it put out: for tests and backfills."""
-    spark, name = stream.sparkSession, "drained_" + uuid.uuid4().hex
-    w = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    q = (w.option("checkpointLocation", checkpoint) if checkpoint else w).start()
-    q.awaitTermination()
-    return spark.table(name)
+def side_output(events: DataFrame, newest, late: str) -> tuple[DataFrame, DataFrame]:
+    """(events on time, late ones): those older than `late` before the newest event time seen, which a watermark would drop."""
+    behind = F.col("ts") < newest - F.expr(f"interval {late}")
+    return events.where(~behind), events.where(behind)
+
+
+def drain(stream: DataFrame, mode: str = "append", checkpoint: str | None = None, path: str | None = None) -> DataFrame:
+    """Runs a stream over all that there is now and returns what it put out, as written files: nothing is on the driver.
+
+    path: a folder that all executors share (default: a new one). Append writes each batch's rows; complete and update
+    write each batch to its own folder, of which complete keeps the last."""
+    path = path or scratch(stream.sparkSession, "drained")
+    checkpoint = checkpoint or scratch(stream.sparkSession, "state")
+    if mode == "append":
+        w = stream.writeStream.format("parquet").option("path", path).outputMode(mode)
+    else:
+        w = stream.writeStream.foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")).outputMode(mode)
+    w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
 def upsert_batches(stream: DataFrame, path: str, checkpoint: str) -> None:
