@@ -707,12 +707,12 @@ def pricing_summary(t):
 
 
 @query("""with e as (select user_id, event_type, value, row_number() over (partition by event_type order by event_id) % 5 as fold from events), m as (select event_type, fold, sum(value) as s, count(*) as n from e group by all), a as (select event_type, sum(s) as s, sum(n) as n from m group by 1)
- select event_type, fold::int as fold, round((a.s - m.s) / (a.n - m.n), 4) as out_of_fold_mean from m join a using (event_type) where a.n > m.n""")
+ select event_type, fold::int as fold, round((a.s - m.s) / (a.n - m.n), 8) as out_of_fold_mean from m join a using (event_type) where a.n > m.n""")
 def target_encoding(t):
     f = R.dealt_ranks(t.events.select("event_type", "event_id", "value"), "event_type", ["event_id"]).withColumn("fold", (F.col("rank") % 5).cast("int"))
     m = f.groupBy("event_type", "fold").agg(F.sum("value").alias("s"), F.count("*").alias("n"))
     a = m.groupBy("event_type").agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
-    return m.join(a, "event_type").where("tn > n").select("event_type", "fold", F.round((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n")), 4).alias("out_of_fold_mean"))
+    return m.join(a, "event_type").where("tn > n").select("event_type", "fold", F.round((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n")), 8).alias("out_of_fold_mean"))
 
 
 @query("""select c_custkey, (select count(*) from orders where o_custkey = c_custkey)::bigint as n_orders from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F')""")

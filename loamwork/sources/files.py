@@ -12,8 +12,8 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 MAX_RULES = 10_000
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir); a local master may do without one."""
+def shared(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir. Only a local master may do without one (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.sparkContext.master
@@ -21,7 +21,12 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="loamwork-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the driver's JVM ends."""
+    path = f"{shared(spark)}/{name}-{uuid.uuid4().hex}"
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
     return path

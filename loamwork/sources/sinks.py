@@ -1,10 +1,10 @@
 """Sinks: documents, TSV reports, writes that are skipped, gated or idempotent, and tables between rounds."""
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .files import shared
+
 
 def render(lines: DataFrame, order: str = "line_no", line: str = "line") -> DataFrame:
     """doc_id, text: a document's lines in order, one text each."""
@@ -34,8 +34,8 @@ def gated(docs: DataFrame, baseline: DataFrame, normal) -> tuple[DataFrame, Data
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in spark.checkpoint.dir; a local folder only where that is unset."""
+    """df with its lineage cut by a reliable checkpoint in the folder that all executors share (spark.checkpoint.dir)."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loamwork-"))
+        context.setCheckpointDir(shared(df.sparkSession))
     return df.checkpoint()
