@@ -1,12 +1,14 @@
 """Token counts by a separator scan.
 
 A flat token file is nothing but identifiers, documents one after the other, each closed by an end-of-document
-identifier; there is no index. The file is read in blocks; each block is searched for the separator at once, and a
-prefix scan over the blocks' summaries (separators seen, tokens after the last) stitches documents across blocks.
+identifier; there is no index. Files are read by ranges of bytes, a block a range; each block is searched for the separator
+at once, and a prefix scan over the blocks' summaries (separators seen, tokens after the last) stitches documents across
+blocks. Neither a file nor a row need fit in memory, only a block.
 """
 
 import base64
 import functools
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import arrow_field, materialize, ship
+from .common import arrow_field, materialize, shared_dir, ship
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's end-of-document identifier and the width of an identifier in bytes.
@@ -34,55 +36,72 @@ def _encoding(path: str):
     return tiktoken.Encoding("flat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END, block: int = BLOCK) -> DataFrame:
-    """Documents as flat token streams, one for each input partition, cut into rows: file, block, data (little-endian
-    identifiers) and, beside the stream, doc_ids: those whose separator lies in the block, in order.
+def _fs(path: str):
+    """(file system, its own path) of a path or URI that Arrow can open: local and shared folders, HDFS, S3, GCS, Azure."""
+    from pyarrow import fs
 
-    Null and empty texts are a lone separator. Texts are encoded whole; strings of special tokens are ordinary text."""
-    kind = dict(docs.dtypes)["doc_id"]
+    return fs.FileSystem.from_uri(path if "://" in path or not path.startswith("file:") else "file://" + path[5:])
 
-    def run(batches):
-        enc, held, size, ids = _encoding(tokenizer), [], 0, []
-        from pyspark import TaskContext
 
-        file, number = TaskContext.get().partitionId(), 0
-        arrow = docs_type
+def write_flat(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END) -> DataFrame:
+    """Writes the documents (doc_id, text) as flat token files in the folder path, one for each input partition, and returns
+    file (its name), ordinal, doc_id: whose tokens stand where. The files hold identifiers alone.
 
-        def out(parts, closed):
-            return pa.RecordBatch.from_arrays([pa.array([file], pa.int32()), pa.array([number], pa.int64()), pa.array([parts.tobytes()], pa.binary()), pa.array([[i for _, i in closed]], pa.list_(arrow))], ["file", "block", "data", "doc_ids"])
+    path must be a folder that all executors share. A file is written beside its name and then moved to it, so that a task
+    that is run again writes over its own file. Null and empty texts are a lone separator. Texts are encoded whole; strings
+    of special tokens are ordinary text. The table that is returned must be written once (see materialize) for the files to
+    be there. Which document is in which file follows the input's partitions."""
+    ship(docs.sparkSession)
+    arrow = arrow_field(docs, "doc_id")
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                one = np.array(enc.encode_ordinary(text or "") + [end], _TYPES[WIDTH])
-                held.append(one)
-                size += len(one)
-                ids.append((size, doc_id))
-                while size >= block:
-                    flat = np.concatenate(held)
-                    closed = [x for x in ids if x[0] <= block]
-                    yield out(flat[:block], closed)
-                    number += 1
-                    held, size = [flat[block:]], size - block
-                    ids = [(n - block, i) for n, i in ids[len(closed) :]]
-        if size:
-            yield out(np.concatenate(held), ids)
+    def run(batches):
+        from pyspark import TaskContext
 
-    ship(docs.sparkSession)
-    docs_type = arrow_field(docs, "doc_id")
-    return docs.select("doc_id", "text").mapInArrow(run, f"file int, block long, data binary, doc_ids array<{kind}>")
+        enc, task = _encoding(tokenizer), TaskContext.get()
+        system, base = _fs(path)
+        system.create_dir(base, recursive=True)
+        name, number = f"part-{task.partitionId():06d}.bin", 0
+        beside = f"{base}/_{name}-{task.taskAttemptId()}"
+        with system.open_output_stream(beside) as out:
+            for batch in batches:
+                for text in batch.column("text").to_pylist():
+                    out.write(np.array(enc.encode_ordinary(text or "") + [end], _TYPES[WIDTH]).tobytes())
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.string()), pa.array(np.arange(number, number + n)), batch.column("doc_id").cast(arrow)], ["file", "ordinal", "doc_id"])
+                number += n
+        if number:
+            system.move(beside, f"{base}/{name}")
+        else:
+            system.delete_file(beside)
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"file string, ordinal long, doc_id {docs.schema['doc_id'].dataType.simpleString()}")
 
 
 def read_flat(spark: SparkSession, path: str, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
-    """Flat token files under path as rows: file (its path), block, data. Each file is one row of Spark's binary source,
-    so it must be under 2 GB; larger corpora are many files."""
-    data = spark.read.format("binaryFile").load(path).where("length > 0")
-    step = block * width
-    return data.select(F.col("path").alias("file"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / step) - 1)).alias("block"), "content").select("file", "block", F.expr(f"substring(content, int(block * {step} + 1), {step})").alias("data"))
+    """Flat token files (*.bin) in the folder path as rows: file (its name), block, data. Each row is one range of bytes,
+    read by itself; the driver and the plan hold names and sizes only. Bytes after the last whole identifier are left out."""
+    ship(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path).select("path", F.floor(F.col("length") / width).alias("n")).where("n > 0")
+    ranges = files.select("path", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / block))).alias("block"))
+    parts = max(1, ranges.count() // 16)
+    ranges = ranges.repartition(parts, "path", "block")
+
+    def run(batches):
+        for batch in batches:
+            for uri, n, k in zip(*(batch.column(c).to_pylist() for c in ("path", "n", "block"))):
+                system, own = _fs(uri)
+                with system.open_input_file(own) as f:
+                    data = f.read_at(min(block, n - k * block) * width, k * block * width)
+                yield pa.RecordBatch.from_arrays([pa.array([own.rsplit("/", 1)[-1]]), pa.array([k], pa.int64()), pa.array([data], pa.binary())], ["file", "block", "data"])
+
+    return ranges.mapInArrow(run, "file string, block long, data binary")
 
 
 def scan(blocks: DataFrame, end: int = END, width: int = WIDTH) -> DataFrame:
     """file, ordinal (from 0), n_tokens (without the separator) of each document in blocks (file, block, data).
 
+    Blocks of one file that follow each other must be numbered so; their sizes may differ.
+
     Tokens after a file's last separator are a document too, unless there are none. Empty blocks and null data hold
     nothing; an empty table gives an empty one."""
     ship(blocks.sparkSession)
@@ -115,14 +134,16 @@ def scan(blocks: DataFrame, end: int = END, width: int = WIDTH) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END, block: int = BLOCK) -> DataFrame:
-    """doc_id, file, ordinal, n_tokens: documents packed into flat streams, and what the scan of those streams counts.
+    """doc_id, file, ordinal, n_tokens: documents written as flat token files in the shared folder, and what the scan of
+    those files counts.
 
     A row for each row of docs (doc_id, text), repeated rows too; null and empty texts have 0 tokens."""
-    flat = materialize(pack(docs, tokenizer, end, block))
-    found = scan(flat.select("file", "block", "data"), end)
-    # the stream itself holds no ids: they are matched by their place in it
-    size = flat.select("file", "block", F.size("doc_ids").alias("n"), "doc_ids")
-    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ids = size.withColumn("base", before).select("file", "base", F.posexplode("doc_ids").alias("i", "doc_id"))
-    ids = ids.select("file", (F.col("base") + F.col("i")).cast("long").alias("ordinal"), "doc_id")
+    spark = docs.sparkSession
+    path = f"{shared_dir(spark)}/loamwork-flat-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(at)
+    system.deleteOnExit(at)
+    ids = materialize(write_flat(docs, path, tokenizer, end))
+    found = scan(read_flat(spark, path, WIDTH, block), end)
     return found.join(ids, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "n_tokens")

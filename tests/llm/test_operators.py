@@ -320,12 +320,24 @@ def test_flat_files(spark, tmp_path):
     end = token_counts.END
     np.array([1, 2, end, end, 5, 6, 7, 8, 9, end, 4], "<u2").tofile(tmp_path / "a.bin")
     np.array([end], "<u2").tofile(tmp_path / "b.bin")
+    (tmp_path / "c.bin").write_bytes(b"")
+    (tmp_path / "d.bin").write_bytes(np.array([3, 3], "<u2").tobytes() + b"x")
     for block in (1, 2, 4, 100):
         got = token_counts.scan(token_counts.read_flat(spark, f"file://{tmp_path}", block=block)).collect()
         files = {}
         for r in sorted(got, key=lambda r: r["ordinal"]):
-            files.setdefault(r["file"][-5:], []).append(r["n_tokens"])
-        assert files == {"a.bin": [2, 0, 5, 1], "b.bin": [0]}
+            files.setdefault(r["file"], []).append(r["n_tokens"])
+        assert files == {"a.bin": [2, 0, 5, 1], "b.bin": [0], "d.bin": [2]}
+
+
+def test_flat_round_trip(spark, tmp_path):
+    rows = [(1, "some words <|endoftext|>"), (2, None), (3, "é" * 50), (4, "")]
+    ids = token_counts.write_flat(made(spark, rows).repartition(1).sortWithinPartitions("doc_id"), f"file://{tmp_path}/flat").collect()
+    assert [(r["file"], r["ordinal"], r["doc_id"]) for r in ids] == [("part-000000.bin", k, k + 1) for k in range(4)]
+    t = np.fromfile(tmp_path / "flat" / "part-000000.bin", "<u2")
+    enc = token_counts._encoding(token_counts.TOKENIZER)
+    parts = np.split(t, np.flatnonzero(t == token_counts.END) + 1)
+    assert [enc.decode(p[:-1].tolist()) for p in parts[:-1]] == [x or "" for _, x in rows] and not len(parts[-1])
 
 
 # --- 6 --------------------------------------------------------------------------------------------------------------
@@ -645,6 +657,9 @@ def test_jaccard_chunks_lose_no_link(spark, monkeypatch, pivots):
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
     rng, words = random.Random(pivots), vocabulary(500)
     rows = near_copies(100, 8)
+    core = prose(150, rng, words)
+    # sizes that run over several bands, each linked to the next
+    rows += [(len(rows) + k, " ".join(core[: 30 + 6 * k])) for k in range(20)]
     for g in range(2):  # chains: each is near the one before, ends are not near each other
         w = prose(60, rng, words)
         for _ in range(40):
