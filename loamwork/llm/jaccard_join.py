@@ -26,7 +26,9 @@ NUM, DEN = 75, 100
 #: ones are broadcast, so at most MAX_COMMON are (40 MB): from 300 million classes on the number is raised in proportion.
 COMMON, MAX_COMMON = 1000, 5_000_000
 #: Points and bytes of sets of one tree, about; larger trees are cut into chunks, which share about PIVOTS points.
-CHUNK, CHUNK_BYTES, PIVOTS, LEAF = 1500, 32_000_000, 32, 16
+CHUNK, CHUNK_BYTES, PIVOTS, LEAF = 4000, 32_000_000, 32, 16
+#: A factor between sizes of sets that no link spans: somewhat over DEN / NUM. Larger trees are cut by it into bands first.
+BAND = 1.35
 BROADCAST_IDS = 500_000
 _U = np.uint64
 
@@ -275,9 +277,10 @@ def _solve(blocks: DataFrame, sets: DataFrame) -> DataFrame:
 def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """u, v: links between classes (cls, rep, n, keys) that connect all that are similar.
 
-    A tree of over CHUNK points is cut into chunks that share some pivots. Links within chunks, and to the pivots, make
-    one component of most of a group of near copies; only the tree's points outside its largest component are then
-    searched for among all its points. Pairs inside a component need no search, so no link between two is lost."""
+    A tree of over CHUNK points is cut into bands of size and those into chunks that share some pivots. Links within chunks,
+    and to the pivots, make one component of most of a group of near copies; only the points outside a tree's largest
+    component are then searched for, among each other and in it. Pairs inside a component need no search, and no link
+    spans more than two neighbouring bands, so no link between two is lost."""
     keys = classes.select("cls", "n", F.explode("keys").alias("key"))
     many = _shared(keys)
     bound = max(COMMON, -(-SKETCH * classes.count() // MAX_COMMON))
@@ -290,9 +293,8 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         release(many)
         many = _shared(keys)
     # shingles that the same classes share make one tree
-    chunked = F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("size") * 8 / CHUNK_BYTES), F.lit(1))
-    trees = many.groupBy("m", "size", "lo", "hi", "mark").agg(F.min("key").alias("key")).select("key", "m", F.least(chunked, "m").cast("int").alias("c"))
-    members = materialize(keys.join(trees, "key").select("key", "m", "c", "cls"))
+    trees = many.groupBy("m", "size", "lo", "hi", "mark").agg(F.min("key").alias("key")).select("key", _chunks(F.col("m"), F.col("size")).alias("c"))
+    members = materialize(keys.join(trees, "key").select("key", "c", "cls", "n"))
 
     # the sets of members only, once each
     wanted = members.select("cls").distinct().join(classes.select("cls", "rep"), "cls").select("rep").distinct()
@@ -310,25 +312,81 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     sets = some.mapInArrow(cut, "cls long, set binary").dropDuplicates(["cls"])
     hot = not trees.where("c > 1").limit(1).isEmpty()
-    sets = materialize(sets, "none") if hot else sets
-    at = members.withColumn("mine", F.pmod(F.xxhash64("cls", "key"), F.col("c")).cast("int"))
-    pivot = (F.col("c") > 1) & (F.pmod(F.xxhash64("cls", "key", F.lit(3)), F.col("m")) < PIVOTS)
-    to = F.when(pivot, F.sequence(F.lit(0), F.col("c") - 1)).otherwise(F.array("mine"))
-    blocks = at.select("key", "cls", F.explode(to).alias("o")).select("cls", F.xxhash64("key", "o").alias("block"), F.lit(0).alias("part"), F.col("cls").alias("comp"))
-    links = _solve(blocks, sets)
+    whole = members.where("c = 1").select("cls", F.xxhash64("key").alias("block"), F.lit(0).alias("part"), F.col("cls").alias("comp"))
     if not hot:
-        return links
-    links = materialize(links)
-    large = at.where("c > 1").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
-    large = materialize(large.select("key", "c", "cls", "mine", F.coalesce("comp", "cls").alias("comp")))
-    top = large.groupBy("key", "comp").count().groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"))
-    rest = large.join(top, "key").where("comp <> top")
-    of = rest.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("r"))
-    rest = rest.join(of, "key").withColumn("my", F.pmod(F.xxhash64("cls", "key", F.lit(4)), F.col("r")).cast("int"))
-    one = rest.select("key", "cls", "comp", "my", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("o"), F.lit(1).alias("part"))
-    two = large.join(of, "key").select("key", "cls", "comp", F.explode(F.sequence(F.lit(0), F.col("r") - 1)).alias("my"), F.col("mine").alias("o"), F.lit(2).alias("part"))
-    across = one.unionByName(two).select("cls", F.xxhash64("key", "my", "o", F.lit(5)).alias("block"), "part", "comp")
-    return links.unionByName(_solve(across, sets))
+        return _solve(whole, sets)
+    sets = materialize(sets, "lz4")
+    large = materialize(_banded(members.where("c > 1")))
+    links = materialize(_solve(whole.unionByName(_first_blocks(large)), sets))
+    return links.unionByName(_solve(_rest_blocks(large, links), sets))
+
+
+def _chunks(rows, size):
+    return F.greatest(F.ceil(rows / CHUNK), F.ceil(size * 8 / CHUNK_BYTES)).cast("int")
+
+
+def _beside(units: DataFrame, *counts: str) -> DataFrame:
+    """units (key, band, counts) with <count>_down and <count>_up: those of the bands next to it, 0 where there is none."""
+    w, out = W.partitionBy("key").orderBy("band"), units
+    for c in counts:
+        at = lambda f, d, c=c: F.coalesce(F.when(f("band").over(w) == F.col("band") + d, f(c).over(w)), F.lit(0))
+        out = out.withColumns({f"{c}_down": at(F.lag, -1), f"{c}_up": at(F.lead, 1)})
+    return out
+
+
+def _banded(members: DataFrame) -> DataFrame:
+    """members of large trees with band (of their set's size), m (of the tree's points in it), c (chunks of it) and c_up."""
+    x = members.withColumn("band", F.floor(F.log("n") / float(np.log(BAND))).cast("int"))
+    units = x.groupBy("key", "band").agg(F.count("*").alias("m"), F.sum("n").alias("size"))
+    units = _beside(units.select("key", "band", "m", F.least(_chunks(F.col("m"), F.col("size")), "m").cast("int").alias("c")), "c")
+    return x.select("key", "band", "cls", "n").join(units, ["key", "band"]).select("key", "band", "cls", "n", "m", "c", "c_up")
+
+
+def _to(count, block, part) -> object:
+    """An array of blocks and parts, one for each o below count."""
+    kind = "array<struct<block: bigint, part: int>>"
+    every = F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda o: F.struct(block(o).alias("block"), part(o).cast("int").alias("part")))
+    return F.when(count > 0, every).otherwise(F.array().cast(kind))
+
+
+def _first_blocks(large: DataFrame) -> DataFrame:
+    """Each point in its own chunk, and a band's pivots in all of its chunks and those of the next band."""
+    mine = F.pmod(F.xxhash64("cls", "key"), F.col("c")).cast("int")
+    pivot = F.pmod(F.xxhash64("cls", "key", F.lit(3)), F.col("m")) < PIVOTS
+    block = lambda band: lambda o: F.xxhash64("key", band, o)
+    own = F.array(F.struct(block(F.col("band"))(F.col("mine")).alias("block"), F.lit(0).alias("part")))
+    spread = F.concat(_to(F.col("c"), block(F.col("band")), lambda o: F.lit(0)), _to(F.col("c_up"), block(F.col("band") + 1), lambda o: F.lit(0)))
+    x = large.withColumn("mine", mine).withColumn("to", F.when(pivot, spread).otherwise(own))
+    return x.select("cls", F.inline("to"), F.col("cls").alias("comp"))
+
+
+def _rest_blocks(large: DataFrame, links: DataFrame) -> DataFrame:
+    """Of each large tree, the points outside its largest component against each other and against that component, within
+    the bands that a link can span."""
+    x = large.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").select("key", "band", "cls", "n", F.coalesce("comp", "cls").alias("comp"))
+    top = x.groupBy("key", "comp").count().groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    x = materialize(x.join(top, "key").select("key", "band", "cls", "n", "comp", (F.col("comp") != F.col("top")).alias("rest")))
+    count = lambda c: _chunks(F.count_if(c), F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)))
+    units = x.groupBy("key", "band").agg(count(F.col("rest")).alias("r"), count(~F.col("rest")).alias("t"))
+    x = x.join(_beside(units, "r", "t"), ["key", "band"])
+    i = F.pmod(F.xxhash64("cls", "key", F.lit(4)), F.greatest(F.when(F.col("rest"), F.col("r")).otherwise(F.col("t")), F.lit(1))).cast("int")
+    x = x.withColumn("i", i)
+    name = lambda tag, band, a, b: F.xxhash64("key", F.lit(tag), band, a, b)
+    band, i, one, two = F.col("band"), F.col("i"), lambda o: F.lit(1), lambda o: F.lit(2)
+    rest = F.concat(
+        _to(F.col("r"), lambda o: name(0, band, F.least(i, o), F.greatest(i, o)), lambda o: F.when(i == o, 0).when(i < o, 1).otherwise(2)),
+        _to(F.col("r_up"), lambda o: name(1, band, i, o), one),
+        _to(F.col("r_down"), lambda o: name(1, band - 1, o, i), two),
+        _to(F.col("t"), lambda o: name(2, band, i, o), one),
+        _to(F.col("t_up"), lambda o: name(3, band, i, o), one),
+        _to(F.col("t_down"), lambda o: name(4, band, i, o), one),
+    )
+    others = F.concat(
+        _to(F.col("r"), lambda o: name(2, band, o, i), two),
+        _to(F.col("r_down"), lambda o: name(3, band - 1, o, i), two),
+        _to(F.col("r_up"), lambda o: name(4, band + 1, o, i), two),
+    )
+    return x.select("cls", F.inline(F.when(F.col("rest"), rest).otherwise(others)), "comp")
 
 
 def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
