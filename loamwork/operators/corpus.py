@@ -165,3 +165,11 @@ def units(line_df: DataFrame, opens: Column) -> DataFrame:
     """Lines from a document's first opening on, with unit: the number of the opening that they stand under."""
     w = W.partitionBy("doc_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
     return line_df.withColumn("unit", F.sum(opens.cast("int")).over(w)).where("unit > 0")
+
+
+def filled(text: Column, values: dict[str, str]) -> Column:
+    """text with each {{key}} replaced by its value; a key that values lacks fails the query. values: plan constants."""
+    for k, v in values.items():
+        text = F.replace(text, F.lit("{{" + k + "}}"), F.lit(v))
+    left = F.regexp_extract(text, r"\{\{([^}]*)\}\}", 1)
+    return F.when(left == "", text).otherwise(F.raise_error(F.concat(F.lit("no value for "), left)))

@@ -35,12 +35,14 @@ def best_prefix(lines: DataFrame, labels: list[str], column: str = "line") -> Da
     return lines.withColumn("label", out)
 
 
-def fold_labelled(lines: DataFrame, label: Column) -> DataFrame:
+def fold_labelled(lines: DataFrame, label: Column, strict: bool = False) -> DataFrame:
     """doc_id, row, label, text: rows that a labelled line opens, with the lines after it that have no label joined on.
 
-    Lines before the first label make row 0 of a null label."""
+    Lines before the first label make row 0 of a null label, or with strict fail the query."""
     w = W.partitionBy("doc_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
     x = lines.withColumn("__l", label).withColumn("row", F.count("__l").over(w))
+    if strict:
+        x = x.withColumn("row", F.when(F.col("row") > 0, F.col("row")).otherwise(F.raise_error(F.concat(F.lit("line before the first label: "), "line")).cast("long")))
     parts = F.sort_array(F.collect_list(F.struct("line_no", "line")))
     return x.groupBy("doc_id", "row").agg(F.max("__l").alias("label"), F.array_join(F.transform(parts, lambda p: p["line"]), " ").alias("text"))
 

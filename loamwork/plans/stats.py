@@ -9,6 +9,7 @@ from ..operators import graph as G
 from ..operators import measures as M
 from ..operators import models as P
 from ..operators import relational as R
+from ..operators import rewrite as V
 from ..operators import structure as S
 from ..sources import files as D
 from ..streaming import events as E
@@ -499,3 +500,51 @@ def quality_by_language(t):
     """Labelled quality by language: what a rule score is judged against."""
     x = t.documents.select("doc_id", "lang").join(t.labels, "doc_id")
     return x.groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg(F.col("quality").cast("double")), 8).alias("good"))
+
+
+# --- expansion and rewriting ----------------------------------------------------------------------------------------
+
+
+@query("""select p_partkey, '(' || p_size || '*' || p_partkey || ') and f(' || p_size || ')' as text from part""")
+def tidied_formulas(t):
+    """Spaces inside parentheses and around operators taken out of text put together from parts."""
+    text = F.concat(F.lit("( "), "p_size", F.lit(" * "), "p_partkey", F.lit(" ) and f( "), "p_size", F.lit("  )"))
+    x = V.rewrite_documents(t.part.select(F.col("p_partkey").alias("doc_id"), text.alias("text")), callouts=False)
+    return x.select(F.col("doc_id").alias("p_partkey"), "text")
+
+
+@query("""select n_nationkey, '::: callout' || chr(10) || 'Note ' || n_name || chr(10) || 'more' || chr(10) || ':::' || chr(10) || chr(10) || 'rest' || chr(10) || '::: callout' || chr(10) || 'Tip ' || n_regionkey || chr(10) || ':::' as text from nation""")
+def wrapped_callouts(t):
+    """Callouts fenced up to the next blank line, or the end."""
+    text = F.concat(F.lit("Note "), "n_name", F.lit("\nmore\n\nrest\nTip "), F.col("n_regionkey").cast("string"))
+    return V.rewrite_documents(t.nation.select(F.col("n_nationkey").alias("doc_id"), text.alias("text"))).select(F.col("doc_id").alias("n_nationkey"), "text")
+
+
+@query("""with l as (select n_nationkey as doc_id, 1 as line_no, 'In:' as line, 0 as k, null as r from nation union all select n_nationkey, 2, null, 1, n_regionkey from nation),
+ f as (select r_regionkey as r, unnest(string_split(r_name, ' ')) as line, generate_subscripts(string_split(r_name, ' '), 1) - 1 as sub_no from region)
+ select doc_id, line_no, 0 as sub_no, line from l where k = 0 union all select doc_id, line_no, f.sub_no::int, f.line from l join f on f.r = l.r where k = 1""")
+def included_files(t):
+    """Include lines replaced by the lines of the file they name; a file that is not there fails the query."""
+    line = F.array(F.lit("In:"), F.concat(F.lit("<!-- include: r"), "n_regionkey", F.lit(" -->")))
+    lines = t.nation.select(F.col("n_nationkey").alias("doc_id"), F.posexplode(line).alias("i", "line")).select("doc_id", (F.col("i") + 1).alias("line_no"), "line")
+    files = t.region.select(F.concat(F.lit("r"), "r_regionkey").alias("name"), F.replace("r_name", F.lit(" "), F.lit("\n")).alias("text"))
+    return V.expand_includes(lines, files)
+
+
+@query("""select n_nationkey, 'Of ' || (select count(*) from nation) || ' nations, ' || (select count(*) from customer) || ' customers: ' || n_name as text from nation""")
+def stats_placeholders(t):
+    """Dotted keys in text replaced by what a JSON document of statistics holds; a key that it lacks fails the query."""
+    path = D.scratch(t.spark, "stats")
+    counts = t.nation.agg(F.count("*").alias("nations")).crossJoin(t.customer.agg(F.count("*").alias("customers")))  # a row each
+    counts.select(F.struct("nations", "customers").alias("counts")).write.json(path)
+    stats = t.spark.read.schema("counts struct<nations: long, customers: long>").json(path).first()["counts"].asDict()
+    text = F.concat(F.lit("Of {{counts.nations}} nations, {{counts.customers}} customers: "), "n_name")
+    return t.nation.select("n_nationkey", C.filled(text, {f"counts.{k}": str(v) for k, v in stats.items()}).alias("text"))
+
+
+@query(f"""with {_LINES} select doc_id, count(*) filter (len(w) >= 2 and list_max(list_transform(w, lambda x: length(x))) <= 12)::bigint as n from (select doc_id, regexp_extract_all(line, '[^ ]+') as w from l) group by 1""")
+def tabular_lines(t):
+    """Lines that could be cells of a table: two words or more, none of them long."""
+    words = F.regexp_extract_all("line", F.lit("[^ ]+"), F.lit(0))
+    x = C.lines(t.documents.select("doc_id", "text")).select("doc_id", words.alias("w"))
+    return x.groupBy("doc_id").agg(F.count_if((F.size("w") >= 2) & (F.array_max(F.transform("w", lambda v: F.length(v))) <= 12)).alias("n"))
