@@ -7,7 +7,7 @@ returns the mixed corpus, a row for each part of a document in a slot of an outp
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamwork.llm.common import materialize, table
+from loamwork.llm.common import materialize, release, table
 from loamwork.llm.decontaminate import decontaminate
 from loamwork.llm.jaccard_join import jaccard_dedup
 from loamwork.llm.line_dedup import line_dedup
@@ -50,9 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs)
+            if before is not None:
+                release(before)
+            before = docs
     return docs
