@@ -7,6 +7,7 @@ permutation of its blocks (a new one for each pass over them), and blocks are jo
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -133,7 +134,9 @@ def mix(docs: DataFrame, block_words: int = 32, shards: int = 64, seed: int = 1,
 
     drawn = _draw(counts, shards, seed) if len(counts) else np.zeros((0, 0), np.int64)
     first = np.cumsum(drawn, axis=0) - drawn if drawn.size else drawn
-    cells = [(k, rows[s][0], int(first[k, s]), int(drawn[k, s]), rows[s][3], s) for k in range(drawn.shape[0]) for s in range(drawn.shape[1]) if drawn[k, s]]
+    k, of = np.nonzero(drawn)
+    column = lambda i, kind: pa.array([r[i] for r in rows], kind).take(pa.array(of))
+    cells = pa.table({"shard": pa.array(k, pa.int32()), "__key": column(0, pa.string()), "first": pa.array(first[k, of], pa.int64()), "n": pa.array(drawn[k, of], pa.int64()), "blocks": column(3, pa.int64()), "s": pa.array(of, pa.int32())})
     slots = spark.createDataFrame(cells, "shard int, __key string, first long, n long, blocks long, s int")
     past = F.col("first") + F.col("n")
     slots = slots.select("shard", "__key", "blocks", "s", past.alias("past"), F.explode(F.sequence("first", past - 1, F.lit(SLOT_RUN).cast("long"))).alias("at")).repartition(max(1, -(-int(counts.sum()) // SLOTS_A_TASK)), "shard", "__key", "at")
@@ -153,15 +156,16 @@ def mix(docs: DataFrame, block_words: int = 32, shards: int = 64, seed: int = 1,
     hi = F.least((F.col("block") + 1) * block_words, F.col("__to"))
     parts = parts.select("__key", "block", "source", "doc_id", "__t", "__group", "__row", (lo - F.col("block") * block_words).cast("int").alias("piece"), (lo - F.col("__from")).alias("__at"), (hi - lo).cast("long").alias("n_words"))
     if with_text:
-        # the words of a document are cut once; each of its parts is a slice of them
+        # the words of a document are cut once; each of its parts is a slice of them. Rows that repeat are groups of their own
         texts = docs.select("doc_id", F.xxhash64("text").alias("__t"), "text")
         if light.groupBy("doc_id", "__t").count().where("count > 1").limit(1).count():
             texts = texts.dropDuplicates(["doc_id", "__t"])
-        cut = parts.groupBy("doc_id", "__t").agg(F.collect_list(F.struct("__key", "block", "source", "__group", "__row", "piece", "__at", "n_words")).alias("p"))
+        row = ["__key", "__group", "__row"]
+        cut = parts.groupBy("doc_id", "__t", *row).agg(F.collect_list(F.struct("block", "source", "piece", "__at", "n_words")).alias("p"))
         words = F.filter(F.split("text", GAP), lambda w: w != "")
-        texts = cut.join(texts, cut["doc_id"].eqNullSafe(texts["doc_id"]) & (cut["__t"] == texts["__t"])).select(cut["doc_id"], cut["__t"], "p", words.alias("w"))
-        sliced = F.transform("p", lambda p: F.struct(p["__key"].alias("__key"), p["block"].alias("block"), p["source"].alias("source"), p["__group"].alias("__group"), p["__row"].alias("__row"), p["piece"].alias("piece"), p["n_words"].alias("n_words"), F.array_join(F.slice("w", (p["__at"] + 1).cast("int"), p["n_words"].cast("int")), " ").alias("text")))
-        parts = texts.select("doc_id", F.explode(sliced).alias("p")).select("doc_id", "p.*")
+        texts = cut.join(texts, cut["doc_id"].eqNullSafe(texts["doc_id"]) & (cut["__t"] == texts["__t"])).select(cut["doc_id"], *row, "p", words.alias("w"))
+        sliced = F.transform("p", lambda p: F.struct(p["block"].alias("block"), p["source"].alias("source"), p["piece"].alias("piece"), p["n_words"].alias("n_words"), F.array_join(F.slice("w", (p["__at"] + 1).cast("int"), p["n_words"].cast("int")), " ").alias("text")))
+        parts = texts.select("doc_id", *row, F.explode(sliced).alias("p")).select("doc_id", *row, "p.*")
     # what mapInPandas returns looks tiny to the planner, so it is told not to broadcast it
     return slots.hint("merge").join(parts, ["__key", "block"]), plan
 
