@@ -533,6 +533,15 @@ def test_quality_measures_against_brute_force(spark):
         assert not (r["kept"] and r["base_failed"])
 
 
+def test_repeats_of_texts_too_long_to_pack(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = made(spark, [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 60)))) for i in range(60)])
+    for bits in (3, 24):
+        monkeypatch.setattr(quality_rules, "_PLACE", bits)
+        for r in quality_rules.quality_rules(docs, sample_rows=0).collect():
+            assert r["n_repeat_words"] == brute_quality(r["text"])[4]
+
+
 def test_cascade_order_changes_no_verdict(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text").unionByName(made(spark, ODD))
     rules = quality_rules.default_rules()
