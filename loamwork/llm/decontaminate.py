@@ -23,8 +23,8 @@ _U = np.uint64
 ITEMS_AT_ONCE, WORDS_AT_ONCE = 20_000, 2_000_000
 #: Tables, at most: if they don't reach the recall, it is an error.
 MAX_TABLES = 400
-#: Edited copies of items that the recall is measured on.
-TRIALS = 200
+#: Edited copies of items of each class of lengths that the recall is measured on, and tables that are tried first.
+TRIALS, TRIAL_TABLES = 300, 192
 
 
 def edit_search(item: list[int], text: list[int]) -> tuple[int, int]:
@@ -83,15 +83,26 @@ class Index:
             order = np.argsort(h, kind="stable")
             self.by_run[q] = (h[order], i[order], o[order])
         rng = np.random.default_rng(seed)
-        self.tables, self.lengths = MAX_TABLES, {}
-        for length in sorted({len(w) for _, w in items}):
-            steps = max(bits, length + length // 2)
-            picks = [(t % walks, np.sort(rng.choice(steps, bits, replace=False))) for t in range(MAX_TABLES)]
-            self.lengths[length] = (steps, picks, *self._table(length, steps, picks))
-        # the tables that the recall takes, and no more
-        self.tables = self._least_tables(recall, rng)
-        for length, (steps, picks, _, _) in self.lengths.items():
-            self.lengths[length] = (steps, picks[: self.tables], *self._table(length, steps, picks[: self.tables]))
+        self.lengths: dict[int, tuple] = {}
+        steps = {n: max(bits, n + n // 2) for n in {len(w) for _, w in items}}
+        picks = {n: [(t % walks, np.sort(rng.choice(steps[n], bits, replace=False))) for t in range(MAX_TABLES)] for n in sorted(steps)}
+        for n in picks:  # for trials
+            self.lengths[n] = (steps[n], [], *self._table(n, steps[n], []))
+        #: Tables of each class of lengths: those of as many binary digits.
+        self.tables: dict[int, int] = {}
+        for size in sorted({n.bit_length() for n in picks}):
+            own = [n for n in picks if n.bit_length() == size]
+            for tried in sorted({min(t, MAX_TABLES) for t in (TRIAL_TABLES, MAX_TABLES)}):
+                for n in own:
+                    self.lengths[n] = (steps[n], picks[n][:tried], *self._table(n, steps[n], picks[n][:tried]))
+                need = self._least_tables(own, tried, recall, rng)
+                if need <= MAX_TABLES:
+                    break
+            else:
+                raise ValueError(f"{MAX_TABLES} tables find fewer than {recall} of the edited items of {min(own)} to {max(own)} words")
+            self.tables[size] = need
+            for n in own:
+                self.lengths[n] = (steps[n], picks[n][:need], *self._table(n, steps[n], picks[n][:need]))
 
     def _table(self, length: int, steps: int, picks: list) -> tuple[np.ndarray, np.ndarray]:
         """The keys of all items of this length, sorted, and each one's item."""
@@ -101,29 +112,40 @@ class Index:
         order = np.argsort(flat, kind="stable")
         return flat[order], who[order]
 
-    def _least_tables(self, recall: float, rng) -> int:
-        """Tables by which the search finds `recall` of TRIALS items, each with as many random edits as are allowed (a half
-        of them replacements) and in the midst of other words."""
-        first = []
+    def _least_tables(self, lengths: list[int], tried: int, recall: float, rng) -> int:
+        """Tables by which the search finds `recall` of edited items of these lengths, MAX_TABLES + 1 if that many don't.
+
+        TRIALS items, each with as many random edits as are allowed (a half of them replacements) and in the midst of other
+        words, are searched with the `tried` tables that the index has now. A trial of which a share p of the tables finds the
+        item is missed by n tables with a chance of (1 - p)^n; that is convex in p, so what is measured is no less than the
+        truth. The mean of all trials, and twice its standard error, must stay within 1 - recall."""
         new = lambda n: rng.integers(1, 1 << 62, n)
-        for _ in range(TRIALS if self.items else 0):
-            i = int(rng.integers(len(self.items)))
+        mine, texts, chosen = [i for i, (_, w) in enumerate(self.items) if len(w) in lengths], [], []
+        for _ in range(TRIALS):
+            i = mine[int(rng.integers(len(mine)))]
             w = self.items[i][1]
             x = w.tolist()
             for _ in range(self.k[i]):
                 p, kind = int(rng.integers(len(x))), rng.random()
                 x[p : p + (kind < 0.75)] = new(1).tolist() if kind < 0.5 or kind >= 0.75 else []
-            words = Words.__new__(Words)
-            words.hash = np.concatenate([new(2 * len(w)).astype(np.uint64), np.array(x, np.uint64), new(2 * len(w)).astype(np.uint64)])
-            words.ptr = np.array([0, len(words.hash)])
-            hits = sorted((t, s) for (_, j), at in self._meet(words).items() for s, t in at if j == i)
-            first.append(next((t for t, s in hits if self._verify(words, 0, i, [s])), MAX_TABLES))
-        if not first:
+            texts.append(np.concatenate([new(2 * len(w)).astype(np.uint64), np.array(x, np.uint64), new(2 * len(w)).astype(np.uint64)]))
+            chosen.append(i)
+        words = Words.__new__(Words)
+        words.hash, words.ptr = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+        met = self._meet(words)
+        missed = np.ones(TRIALS)
+        for d, i in enumerate(chosen):
+            at = met.get((d, i), [])
+            right = {s: self._verify(words, d, i, [s]) is not None for s in {s for s, _ in at}}
+            missed[d] -= len({t for s, t in at if right[s]}) / tried
+        if not missed.any():
             return 1
-        need = int(np.sort(first)[max(0, int(np.ceil(recall * len(first))) - 1)]) + 1
-        if need > MAX_TABLES:
-            raise ValueError(f"{MAX_TABLES} tables find fewer than {recall} of the edited items")
-        return need
+
+        def enough(n: int) -> bool:
+            lost = missed**n
+            return lost.mean() + 2 * lost.std() / TRIALS**0.5 <= 1 - recall
+
+        return next((n for n in range(1, MAX_TABLES + 1) if enough(n)), MAX_TABLES + 1)
 
     def _keys(self, rows: np.ndarray, length: int, steps: int, picks: list) -> np.ndarray:
         out = np.zeros((len(rows), len(picks)), np.uint64)

@@ -5,8 +5,10 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from loamwork.llm import decontaminate, html_extract, jaccard_join, langid, line_dedup, mixing, quality_classifier, quality_rules, token_counts, toxicity
 from loamwork.llm.common import table
@@ -80,6 +82,27 @@ def test_decontaminate_against_brute_force(spark):
     assert {(r["doc_id"], r["text"], r["low"]) for r in kept.collect()} == {(d, t, "x") for d, t in docs if d not in {x for x, _ in got}}
 
 
+def test_recall_by_length():
+    """Items with as many edits as they may have, on edits that the index has not seen: by class of lengths."""
+    lost, tried = Counter(), Counter()
+    for seed in range(12):
+        rng, words = random.Random(seed), vocabulary(3000)
+        items = [(i, prose(rng.randint(10, 120), rng, words)) for i in range(40)]
+        known = [w.hash[w.ptr[d] : w.ptr[d + 1]] for _, w in decontaminate._chunks(pa.array([" ".join(t) for _, t in items])) for d in range(40)]
+        index, texts = decontaminate.Index(list(enumerate(known)), 0.2, 0.99), []
+        for _, w in items:
+            w = list(w)
+            for _ in range(int(0.2 * len(w))):
+                p, kind = rng.randrange(len(w)), rng.random()
+                w[p : p + (kind < 0.7)] = [rng.choice(words)] if kind < 0.5 or kind >= 0.7 else []
+            texts.append(" ".join(prose(30, rng, words) + w + prose(30, rng, words)))
+        found = {(a + d, i) for a, w in decontaminate._chunks(pa.array(texts)) for d, i, _, _ in index.search(w)}
+        for i, (_, w) in enumerate(items):
+            tried[len(w).bit_length()] += 1
+            lost[len(w).bit_length()] += (i, i) not in found
+    assert sum(lost.values()) <= 0.01 * sum(tried.values()) and all(lost[c] <= 1 + 0.01 * tried[c] for c in tried)
+
+
 def test_decontaminate_odd_rows(spark):
     items = made(spark, [(1, None), (2, "zz yy"), (3, "p q r s t u v w"), (4, "天地玄黄，宇宙洪荒。日月"), (5, " .,! ")], "item_id int, text string")
     rows = [*ODD, (9, "so P, q r s t u v w!"), (None, "P “q” r\u00a0s—t u v w"), (11, "甲乙天地玄黄宇宙洪荒日月丙丁"), (12, "xx zz, YY"), (12, "zz x yy")]
