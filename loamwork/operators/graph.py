@@ -59,3 +59,43 @@ def connected(edges: DataFrame) -> DataFrame:
         if new.where("component <> old").isEmpty():
             return new.select("n", "component")
         label = new.select("n", "component")
+
+
+def reached(edges: DataFrame, depth: int) -> DataFrame:
+    """src, n, hops: what each source reaches in 1 to `depth` steps and in how few, by one recursive plan; a path never comes
+    back to a node that it has, so cycles end. Paths are kept one by one: for graphs of many paths take hops(), which keeps
+    nodes. Repeated edges count once; nulls lead nowhere."""
+    edges.where("src is not null and dst is not null").select("src", "dst").distinct().createOrReplaceTempView("loamwork_edges")
+    return edges.sparkSession.sql(f"""
+        with recursive walk(src, n, hops, path) max recursion level {depth + 1} as (
+          select src, dst, 1, array(src, dst) from loamwork_edges where src <> dst
+          union all
+          select w.src, e.dst, w.hops + 1, array_append(w.path, e.dst) from walk w join loamwork_edges e on e.src = w.n where w.hops < {depth} and not array_contains(w.path, e.dst))
+        select src, n, min(hops) as hops from walk group by src, n""")
+
+
+def communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
+    """n, community: labels that spread for so many rounds. edges: src, dst (whole numbers), weight, whichever way they point.
+
+    Nodes of even and of odd numbers take turns (all at once would swap labels to and fro where the graph has two sides): a
+    node takes the label that weighs most among its neighbours, of equals the least. A label's weights are summed by partial
+    sums before one row a (node, label) is compared, so a node of many edges is not sorted; each round is written to shared
+    storage. Edges from a node to itself don't count."""
+    both = edges.select("src", "dst", "weight").union(edges.select("dst", "src", "weight")).where("src <> dst")
+    both = checkpointed(both.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    label = both.select(F.col("src").alias("n"), F.col("src").alias("community")).distinct()
+    for k in range(rounds):
+        near = both.where(F.pmod("src", F.lit(2)) == k % 2).join(label.select(F.col("n").alias("dst"), "community"), "dst").groupBy("src", "community").agg(F.sum("weight").alias("w"))
+        best = F.max_by("community", F.struct("w", -F.col("community")))
+        new = near.groupBy(F.col("src").alias("n")).agg(best.alias("new"))
+        label = checkpointed(label.join(new, "n", "left").select("n", F.coalesce("new", "community").alias("community")))
+    return label
+
+
+def modularity(edges: DataFrame, label: DataFrame) -> DataFrame:
+    """One row: modularity of communities (n, community) over edges (src, dst, weight), whichever way they point."""
+    both = edges.select("src", "dst", "weight").union(edges.select("dst", "src", "weight")).where("src <> dst")
+    own = both.join(label.select(F.col("n").alias("src"), F.col("community").alias("a")), "src").join(label.select(F.col("n").alias("dst"), F.col("community").alias("b")), "dst")
+    parts = own.groupBy("a").agg(F.sum(F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0)).alias("inside"), F.sum("weight").alias("ends"))
+    all_ = F.sum("ends")
+    return parts.agg((F.sum("inside") / all_ - F.sum(F.col("ends") * F.col("ends")) / (all_ * all_)).alias("modularity"))

@@ -131,12 +131,3 @@ def replace_all(docs: DataFrame, rules: list[tuple[str, str, str]], text: str =
         out = out.withColumn(f"__{i}", F.when(c != F.col(text), F.lit(name))).withColumn(text, c)
     names = F.array_compact(F.array(*(F.col(f"__{i}") for i in range(len(rules))))) if rules else log
     return out.withColumn("log", names).drop(*(f"__{i}" for i in range(len(rules))))
-
-
-def kendall(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row, tau (tau-a) of two columns of few distinct values: pairs of distinct cells, weighted by their counts."""
-    c = df.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("n"))
-    d = c.select(F.col("x").alias("u"), F.col("y").alias("v"), F.col("n").alias("m"))
-    s = c.join(d, F.col("x") < F.col("u")).agg(F.sum(F.signum(F.col("v") - F.col("y")) * F.col("n") * F.col("m")).alias("s"))
-    n = df.agg(F.count("*").alias("n"))
-    return s.crossJoin(n).select((2 * F.col("s") / (F.col("n") * (F.col("n") - 1.0))).alias("tau"))

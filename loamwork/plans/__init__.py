@@ -1,3 +1,3 @@
 """The registered queries; importing the package registers all of them in catalogue."""
 
-from . import catalogue, files, marked, more, stats  # noqa: F401
+from . import advanced, catalogue, files, marked, more, stats  # noqa: F401

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window as W
 from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import measures as M
+from ..operators import neighbours as N
 from ..operators import relational as R
 from ..operators import rewrite as V
 from ..operators import structure as S
@@ -773,7 +774,7 @@ def ordered_rewrites(t):
 
 @query("""with c as (select l_linenumber as x, l_tax as y, count(*) as n from lineitem group by all) select round(2 * sum(sign(b.y - a.y) * a.n * b.n) / ((select count(*) from lineitem) * ((select count(*) from lineitem) - 1.0)), 8) as tau from c a join c b on a.x < b.x""")
 def kendall_tau(t):
-    return V.kendall(t.lineitem, "l_linenumber", "l_tax").select(F.round("tau", 8).alias("tau"))
+    return N.kendall(t.lineitem, "l_linenumber", "l_tax").select(F.round("tau", 8).alias("tau"))
 
 
 @query("""with n as (select conv_id, turn, role, lead(role) over (partition by conv_id order by turn) as nxt from conversations) select nxt, count(*) filter (role = 'user')::bigint as after_user, count(*) filter (role = 'system')::bigint as after_system, count(*)::bigint as n from n group by nxt""")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .files import shared
+from .files import scratch
 
 
 def render(lines: DataFrame, order: str = "line_no", line: str = "line") -> DataFrame:
@@ -34,8 +34,9 @@ def gated(docs: DataFrame, baseline: DataFrame, normal) -> tuple[DataFrame, Data
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in the folder that all executors share (spark.checkpoint.dir)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared(df.sparkSession))
-    return df.checkpoint()
+    """df as a written table in the folder that all executors share (spark.checkpoint.dir): its lineage ends here, a lost
+    executor costs no earlier work, and the planner sees the sizes of files (a checkpoint keeps estimates, which multiply from
+    round to round)."""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

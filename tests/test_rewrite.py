@@ -2,6 +2,7 @@
 
 import pytest
 from loamwork.operators import corpus as C
+from loamwork.operators import neighbours as N
 from loamwork.operators import rewrite as V
 from pyspark.sql import functions as F
 
@@ -46,6 +47,6 @@ def test_rewrites(spark):
 
 def test_kendall_and_adjusted(spark):
     x = spark.createDataFrame([(1, 1), (2, 3), (3, 2)], "a int, b int")
-    assert V.kendall(x, "a", "b").first()["tau"] == pytest.approx(1 / 3)
+    assert N.kendall(x, "a", "b").first()["tau"] == pytest.approx(1 / 3)
     a, b = spark.createDataFrame([("x",)] * 3, "k string"), spark.createDataFrame([("x",)], "k string")
     assert [r["n"] for r in V.adjusted_difference(a, b, spark.createDataFrame([("x", 1)], "k string, times int"), "k").collect()] == [1]
