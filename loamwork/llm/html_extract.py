@@ -23,8 +23,8 @@ PATHS = 8
 # Element names by their role in HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-_DROP = frozenset("nav footer aside form script style noscript template iframe svg canvas button select option textarea object embed head title dialog menu audio video map math input".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder mstyle semantics".split())
+_DROP = frozenset("nav footer aside form script style noscript template iframe svg canvas button select option textarea embed head title dialog menu audio video map annotation annotation-xml input".split())
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _SAME = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
 _CONTAINER = frozenset("article main section div td body blockquote".split())
@@ -44,51 +44,61 @@ _BESIDE = _GOOD | frozenset(
 _CONTENT = frozenset("blockquote pre figure table tbody tr td th code h1 h2 h3".split())
 _HARD = frozenset("ad ads advert advertisement sponsored comment comments share related".split())
 
+#: Words of _BAD that also name sections of an article: inside one, an element of such words alone stays if it is prose.
+_SOFT = frozenset("discussion legal copyright notice notices alert disclaimer reply related recommended recommendations recommend side tags".split())
+#: Characters outside links that make prose without a paragraph or heading, at least.
+PROSE = 60
+
 _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
-_STOP = re.compile("[>\"']")
+_STOP = re.compile(r">|=\s*[\"']")
 _ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?=[\s=/]|$)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in _RAW}
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-#: Characters of a tag after which quotes are taken as ordinary characters.
-_TAG = 1 << 16
 
 
 class _Node:
-    """An element: its generalised path as a hash, whether it is left out (bad), its parts (text and elements), the nearest
-    container (itself or above); heading and article: whether one stands in it; mass and links: characters in it outside
+    """An element: its generalised path as a hash, whether it is left out (bad), only for its class (doubtful), only for _SOFT
+    words (soft), its parts (text and elements), the nearest container (itself or above), what it stands in (2: an article
+    element, 1: a main element); heading and article: whether one stands in it; mass and links: characters in it outside
     what is left out, outside and inside links."""
 
-    __slots__ = ("tag", "path", "parts", "parent", "bad", "good", "doubtful", "box", "heading", "article", "mass", "links")
+    __slots__ = ("tag", "path", "parts", "parent", "bad", "good", "doubtful", "soft", "within", "box", "heading", "article", "mass", "links")
 
-    def __init__(self, tag, path, parent, bad, good, doubtful=False):
-        self.tag, self.path, self.parent, self.bad, self.good, self.doubtful, self.parts = tag, path, parent, bad, good, doubtful, []
+    def __init__(self, tag, path, parent, bad, good, doubtful=False, soft=False):
+        self.tag, self.path, self.parent, self.bad, self.good, self.doubtful, self.soft, self.parts = tag, path, parent, bad, good, doubtful, soft, []
+        self.within = max(parent.within, 2 if parent.tag == "article" else parent.tag == "main") if parent else 0
         self.box = self if tag in _CONTAINER else parent.box if parent else None
         self.heading = self.article = False
         self.mass = self.links = 0
 
 
-def _says_bad(value: str, tag: str) -> bool:
-    """Whether one of a class's (or id's) names says that the element is not the article: "ad-slot", not "social-history"."""
+def _says_bad(value: str, tag: str) -> tuple[bool, bool]:
+    """Whether one of a class's (or id's) names says that the element is not the article ("ad-slot", not "social-history"),
+    and whether one does by more than _SOFT words."""
+    says = hard = False
     for name in value.split():
         words = [w.lower() for w in _WORDS.findall(name)]
         bad = [w for w in words if w in _BAD]
         if bad and all(w in _BAD or w in _BESIDE for w in words) and (tag not in _CONTENT or any(w in _HARD for w in bad)):
-            return True
-    return False
+            says, hard = True, hard or any(w not in _SOFT for w in bad)
+    return says, hard
 
 
-def _names(attrs: str, tag: str) -> tuple[bool, bool, str, bool]:
-    """Whether class, id or role say bad and good; the generalised classes (digits out); whether the element is hidden."""
-    bad, good, cls, hidden = False, False, "", False
+def _names(attrs: str, tag: str) -> tuple[bool, bool, bool, str, bool]:
+    """Whether class, id or role say bad, bad beyond _SOFT words, and good; the generalised classes (digits out); whether the
+    element is hidden."""
+    bad, hard, good, cls, hidden = False, False, False, "", False
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), _html.unescape(m[2] or m[3] or m[4] or "")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             hidden = True
         elif name in ("class", "id", "role"):
-            bad = bad or _says_bad(value, tag)
+            says, more = _says_bad(value, tag)
+            bad, hard = bad or says, hard or more
             good = good or any(w.lower() in _GOOD for w in _WORDS.findall(value))
             if name == "class":
                 cls = ".".join(sorted({re.sub(r"\d+", "", c) for c in value.split()} - {""})[:3])
-    return bad, good, cls, hidden
+    return bad, hard, good, cls, hidden
 
 
 def _step(path: int, step: str) -> int:
@@ -96,14 +106,17 @@ def _step(path: int, step: str) -> int:
 
 
 def _tag_end(html: str, at: int, last: dict[str, int]) -> int:
-    """The place of the > that ends a tag whose attributes start at `at`; -1 if none does. Quoted ones don't count, but
-    for quotes that nothing closes. last: the last place of each quote and of >."""
-    i, most = at, at + _TAG
-    while i <= most and (m := _STOP.search(html, i)):
+    """The place of the > that ends a tag whose attributes start at `at`; -1 if none does. A quote opens a value only behind
+    an equals sign, as HTML has it, and only if something closes it; any other quote is an ordinary character.
+
+    last: the last place of each quote and of >. What is looked at lies within the tag, so all tags take linear time."""
+    i = at
+    while m := _STOP.search(html, i):
         if m[0] == ">":
             return m.start()
-        i = html.find(m[0], m.end()) + 1 if m.start() < last[m[0]] else m.end()
-    return html.find(">", at) if at <= last[">"] else -1
+        quote = m[0][-1]
+        i = html.find(quote, m.end()) + 1 if m.end() <= last[quote] else m.end()
+    return -1
 
 
 def parse(html: str) -> _Node:
@@ -112,7 +125,7 @@ def parse(html: str) -> _Node:
     Time and memory are in proportion to the page, however deep it nests: open elements are looked up by name."""
     root = _Node("#", 0, None, False, False)
     stack, nodes, blocks, opens = [root], [root], [0], {"#": [0]}  # blocks: places in the stack that are not inline
-    last, lower, at, text = {c: html.rfind(c) for c in ">\"'"}, None, 0, 0
+    last, at, text = {c: html.rfind(c) for c in ">\"'"}, 0, 0
 
     def close(depth):
         while len(stack) > depth:
@@ -164,18 +177,17 @@ def parse(html: str) -> _Node:
             if inner:
                 close(min(inner) if tag == "tr" else max(inner))
         top = stack[-1]
-        says, good, cls, hidden = _names(attrs, tag) if attrs and not attrs.isspace() else (False, False, "", False)
+        says, hard, good, cls, hidden = _names(attrs, tag) if attrs and not attrs.isspace() else (False, False, False, "", False)
         named = says and tag not in ("body", "html", "main")
         role = tag in _DROP or hidden
-        node = _Node(tag, _step(top.path, f"{tag}.{cls}"), top, role or named, good or tag in ("article", "main"), named and not role)
+        node = _Node(tag, _step(top.path, f"{tag}.{cls}"), top, role or named, good or tag in ("article", "main"), named and not role, named and not role and not hard)
         top.parts.append(node)
         nodes.append(node)
         if tag in _VOID or attrs.endswith("/") and tag in ("svg", "path"):
             continue
         if tag in _RAW:  # raw text: up to its end tag
-            lower = html.lower() if lower is None else lower
-            end = (lower if len(lower) == len(html) else html).find("</" + tag, at)
-            end = len(html) if end < 0 else end
+            m = _ENDS[tag].search(html, at)
+            end = m.start() if m else len(html)
             node.parts.append(html[at:end])
             at = text = end
             continue
@@ -192,13 +204,16 @@ def parse(html: str) -> _Node:
 def _settle(nodes: list[_Node]) -> None:
     """What hangs on the parts of a node, from the last node to the first, so that parts are settled before wholes.
 
-    A class alone leaves nothing out that holds the article."""
+    A class alone leaves nothing out that holds the article, and _SOFT words alone nothing in it that is prose."""
+    need = 2 if any(x.tag == "article" and not x.bad for x in nodes) else 1
     for x in reversed(nodes):
         if x.doubtful and x.article and x.tag not in ("article", "li"):
             x.bad = False
         x.mass += sum(len(p.strip()) for p in x.parts if isinstance(p, str))
         if x.tag == "a":
             x.mass, x.links = 0, x.mass + x.links
+        if x.soft and x.within >= need and _prose(x):
+            x.bad = False
         up = x.parent
         if up is None or x.bad:
             continue
@@ -209,6 +224,12 @@ def _settle(nodes: list[_Node]) -> None:
         up.article = up.article or x.tag in ("article", "main", "h1") or x.article and x.tag != "header"
 
 
+def _prose(x: _Node) -> bool:
+    """Whether a settled element reads as text: not mainly links, and long or with a paragraph or heading of its own."""
+    own = any(isinstance(p, _Node) and not p.bad and p.mass and p.tag in ("p", "h1", "h2", "h3", "h4") for p in x.parts)
+    return x.mass > 2 * x.links and (own or x.mass >= PROSE)
+
+
 def text_of(node: _Node) -> str:
     """The node's text without what is not an article: blocks apart, character references decoded, white space one space.
 
@@ -238,7 +259,8 @@ def text_of(node: _Node) -> str:
 
 def _whole(node: _Node) -> _Node:
     """The lowest container that holds the article that node is in: the article or main element around it, else the highest
-    one that adds text and not mainly links; the body only if it has paragraphs or headings of its own."""
+    one that adds text and not mainly links; the body only if it has paragraphs or headings of its own, or if all that it
+    adds is prose."""
     up = node
     while up is not None:
         if up.tag in ("article", "main"):
@@ -246,7 +268,12 @@ def _whole(node: _Node) -> _Node:
         up = up.parent.box if up.parent else None
     while node.parent is not None and (up := node.parent.box) is not None:
         if up.tag == "body" and not any(isinstance(p, _Node) and not p.bad and p.mass and p.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") for p in up.parts):
-            break
+            top = node
+            while top.parent is not up:
+                top = top.parent
+            others = [p for p in up.parts if isinstance(p, _Node) and p is not top and not p.bad and p.tag != "header" and p.mass + p.links]
+            if not others or not all(map(_prose, others)):
+                break
         if up.mass - node.mass < 2 * (up.links - node.links):
             break
         node = up

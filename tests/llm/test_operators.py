@@ -219,6 +219,34 @@ def test_html_class_words():
     assert html_extract.extract(text) == "One. Kept. Quote. Too."
 
 
+def test_html_long_attributes_and_quotes():
+    long = "x > y " * 30_000
+    assert html_extract.extract(f"<body><article><div data-j='{long}'><p>One.</div><p title=\"{long}\">Two.</article></body>") == "One. Two."
+    assert html_extract.extract("<body><article><p it's>One.<p title=\"open>Two.</p><p class=b>Three.</article></body>") == "One. Two. Three."
+    assert html_extract.extract("<body><article><p title= 'a > b'>One.<img alt=\"c > d\" >Two.</article></body>") == "One. Two."
+
+
+def test_html_case_that_changes_length():
+    assert html_extract.extract("<body><article><p>\u0130 one.<SCRIPT>if (a) b</SCRIPT><p>Two.<script>x</scripty></script ><STYLE>c</sTyLe></article></body>") == "\u0130 one. Two."
+
+
+def test_html_body_of_parts():
+    assert html_extract.extract("<body><nav>Menu</nav><div class=intro>" + "Some words to begin with. " * 4 + "</div><div class=rest>" + "And very much more of them. " * 9 + "</div><footer>f</footer></body>") == ("Some words to begin with. " * 4 + "And very much more of them. " * 9).strip()
+    assert html_extract.extract("<body><div class=intro><p>Short.</p></div><div class=rest>" + "<p>And more.</p>" * 9 + "</div><div>site line</div></body>") == "And more. " * 8 + "And more."
+
+
+@pytest.mark.parametrize("name", ["discussion", "legal", "notice", "reply", "related", "alert-box", "disclaimer"])
+def test_html_sections_of_an_article_stay(name):
+    kept = f"<body><article><h1>T</h1><p>One.</p><section class='{name}'><h2>H</h2><p>Its own words.</p></section><p>Two.</p></article><div class='{name}'><p>Outside.</p></div></body>"
+    assert html_extract.extract(kept) == "T One. H Its own words. Two."
+    links = f"<body><article><h1>T</h1><p>One.</p><div class='{name}'><ul><li><a href=x>A first link</a><li><a href=y>A second</a></ul></div><div class='comments'><div class='{name}'><p>Some reader.</p></div></div></article></body>"
+    assert html_extract.extract(links) == "T One."
+
+
+def test_html_formulas():
+    assert html_extract.extract("<body><article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds, <object>as drawn</object> here.</article></body>") == "So x=2 holds, as drawn here."
+
+
 @pytest.mark.parametrize("n", [20, 4000])
 def test_html_article_in_parts(n):
     two = f"<body><nav>Menu</nav><div class=wrap><div class=intro><p>{'in tro ' * 50}</p></div><div class=rest>{'<p>rest of it</p>' * n}</div><div class=links><ul>{'<li><a href=x>a link</a>' * 9}</ul></div></div><div>footer line</div></body>"
@@ -227,7 +255,7 @@ def test_html_article_in_parts(n):
     assert html_extract.extract(head) == "The head " + "rest of it " * n + "Tail."
 
 
-@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<a \"" * 50_000, "<div>" * 20_000 + "</b>" * 50_000, "<b>t" * 50_000, "<div class=ad>t" * 30_000, "<b>" * 30_000 + "<hr>" * 30_000, "<dl><dt><dl>" + "<b>" * 20_000 + "<dt>x</dt>" * 20_000, "<ul>" + "<li><b>x" * 50_000, "<table>" + "<tr><td>x" * 50_000, "<" * 200_000, "<article>" + "<p>some words &amp; " * 250_000])
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<a \"" * 50_000, "<div>" * 20_000 + "</b>" * 50_000, "<b>t" * 50_000, "<div class=ad>t" * 30_000, "<b>" * 30_000 + "<hr>" * 30_000, "<dl><dt><dl>" + "<b>" * 20_000 + "<dt>x</dt>" * 20_000, "<ul>" + "<li><b>x" * 50_000, "<table>" + "<tr><td>x" * 50_000, "<" * 200_000, "<a b=\"" * 50_000, "<a b=\">" * 50_001, "<a b='" * 50_000 + ">", "<script>" * 50_000, "<article>" + "<p>some words &amp; " * 250_000])
 def test_html_takes_time_in_proportion(page):
     began = time.process_time()
     html_extract.extract(page)
