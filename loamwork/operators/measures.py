@@ -99,8 +99,14 @@ def binomial(n: int, p: float, k: Column) -> Column:
 
 def payback(flows: Column) -> Column:
     """The first period (from 0) at which the sum of cash flows is not below 0; null if it never is."""
-    sums = F.transform(F.sequence(F.lit(1), F.size(flows)), lambda i: F.aggregate(F.slice(flows, 1, i), F.lit(0.0), lambda a, v: a + v))
-    return F.get(F.filter(F.transform(sums, lambda s, i: F.when(s >= 0, i)), lambda i: i.isNotNull()), F.lit(0))
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("found"))
+
+    def step(done, flow):
+        total = done["sum"] + flow
+        found = F.coalesce(done["found"], F.when(total >= 0, done["at"]))
+        return F.struct(total.alias("sum"), (done["at"] + 1).alias("at"), found.alias("found"))
+
+    return F.aggregate(flows, start, step, lambda done: done["found"])
 
 
 def growth(first: Column, last: Column, years: Column) -> Column:

@@ -36,21 +36,14 @@ def csv_last_key_wins(t):
     return B.csv_dict(t.spark, path, "code").select("code", "name")
 
 
-@query("""select (p_partkey + 1)::int as rule_order, '*' as volume, p_brand as "check", p_type as found, '' as context_regex, '' as reason from part where p_partkey <= 40""")
+@query("""select (row_number() over (order by p_partkey))::int as rule_order, '*' as volume, p_brand as "check", p_type as found, '' as context_regex, '' as reason from part""")
 def tsv_allow_list(t):
-    """A TSV allow-list with a header, remarks and short rows."""
+    """A TSV allow-list of several files with a header, remarks and short rows: rules in the order of files and lines."""
     path = D.scratch(t.spark, "allowed")
-    rows = t.part.where("p_partkey <= 40").select("p_partkey", F.concat_ws("\t", F.lit("*"), "p_brand", "p_type").alias("v"))
+    rows = t.part.select("p_partkey", F.concat_ws("\t", F.lit("*"), "p_brand", "p_type").alias("v"))
     head = t.spark.createDataFrame([(-3, "volume\tcheck\tfound\tcontext_regex\treason"), (-2, "# a remark"), (-1, "")], "p_partkey long, v string")
-    rows.unionByName(head).repartition(1).sortWithinPartitions("p_partkey").select("v").write.text(path)
-    out = B.allow_list(t.spark, path)
-    return out.withColumn("rule_order", F.row_number().over(_by("rule_order")).cast("int"))
-
-
-def _by(order):
-    from pyspark.sql.window import Window
-
-    return Window.orderBy(order)  # over the few rows of a rule list
+    rows.unionByName(head).repartitionByRange(3, "p_partkey").sortWithinPartitions("p_partkey").select("v").write.text(path)
+    return B.allow_list(t.spark, path).withColumn("rule_order", F.col("rule_order").cast("int"))
 
 
 _RULES = [("mail", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", "error"), ("number", "[0-9]{5,}", "warn"), ("shout", "[A-Z]{4,}", "info")]
@@ -135,11 +128,11 @@ def json_documents(t):
 _FOUND = " union all ".join(f"select doc_id, '{c}' as \"check\", '{s}' as severity, len(regexp_extract_all(text, '{p}'))::bigint as n from documents" for c, s, p in C.RULES)
 
 
-@query(f"""with f as ({_FOUND}) select "check", '[' || string_agg('{{"doc_id":' || doc_id || ',"severity":"' || severity || '","n":' || n || '}}', ',' order by doc_id) || ']' as report from f where n > 0 and doc_id < 100 group by 1""")
+@query(f"""with f as ({_FOUND}) select "check", '{{"doc_id":' || doc_id || ',"severity":"' || severity || '","n":' || n || '}}' as line from f where n > 0""")
 def findings_json(t):
-    """Findings of the first hundred documents as a report: a JSON array a check."""
-    found = C.findings(t.documents.where("doc_id < 100").select("doc_id", "text")).select("check", "doc_id", "severity", "n")
-    return D.findings_report(found)
+    """Findings of all documents as a report: a folder a check, a line of JSON a finding."""
+    found = C.findings(t.documents.select("doc_id", "text")).select("check", "doc_id", "severity", "n")
+    return D.findings_report(found, D.scratch(t.spark, "findings"))
 
 
 @query(r"""with r as (select n_regionkey, row_number() over (partition by n_regionkey order by n_name) as o, n_name, n_nationkey from nation)

@@ -16,10 +16,10 @@ _MARKS = {
     0: "'```'", 1: "concat('x = ', substr(line, 1, 9))", 2: "'```'", 3: "concat('## ', line_no, '. ', substr(line, 1, 24))", 5: "concat('- ', substr(line, 1, 40))",
     6: "concat('> ', substr(line, 1, 30))", 7: "concat('(A) ', substr(line, 1, 30))", 8: "concat('(B) ', substr(line, 9, 30))", 9: "'Answer: B'", 10: "concat('| ', substr(line, 1, 8), ' | ', substr(line, 9, 8), ' |')",
     11: "'|---|---|'", 12: "concat('| ', substr(line, 5, 8), ' | ', substr(line, 15, 8), ' |')", 13: "''", 14: "concat(substr(line, 1, 12), ' . . . . . ', line_no)", 15: "cast(line_no as string)", 16: "'xiv'",
-    17: "'::: note'", 18: "concat('<!-- page ', line_no, ' -->')", 19: "'Core topic'", 20: "concat(substr(line, 1, 8), '   ', substr(line, 12, 9), '     ', substr(line, 22, 6))",
+    17: "'::: note'", 18: "concat('<!-- page ', line_no, ' -->')", 19: "'Basics'", 20: "concat(substr(line, 1, 8), '   ', substr(line, 12, 9), '     ', substr(line, 22, 6))",
     21: "concat(substr(line, 2, 8), '   ', substr(line, 13, 9))", 22: "substr(line, 1, 14)", 23: "concat(substr(line, 3, 8), '      ', substr(line, 12, 8))", 24: "substr(line, 1, 70)", 25: "concat(substr(line, 1, 45), ',')",
     26: "concat(substr(line, 1, 90), ':')", 27: "concat('uses df.mean and fit_model() with max_depth=3 in `raw_x` of ', substr(line, 1, 20), ' and user_id')", 28: "concat('# ', substr(line, 1, 16))",
-    29: "concat('Running head ', doc_id)", 30: "concat('## Appendix ', substr(line, 1, 6))", 31: "'Question SIM-12 and SIM-A3'", 32: "concat('Which of ', substr(line, 1, 20), '?')", 33: "concat(line_no, '. ', substr(line, 1, 30))",
+    29: "concat('Running head ', doc_id)", 30: "concat('## Appendix ', substr(line, 1, 6))", 31: "'Exercise EX-1: SIM-12 and SIM-A3'", 32: "concat('Which of ', substr(line, 1, 20), '?')", 33: "concat(line_no, '. ', substr(line, 1, 30))",
 }
 _CASE = "case (doc_id + line_no) % 34 " + " ".join(f"when {k} then {v}" for k, v in _MARKS.items()) + " else line end"
 _BOOK = f"{_LINES}, m as (select doc_id, line_no, {_CASE.replace('as string', 'as varchar')} as line from l)"
@@ -32,7 +32,7 @@ def book(t):
 
 def _sql_classes(line: str) -> str:
     s = _STRIP.format(line)
-    return "case " + " ".join(f"when regexp_matches({s}, '{p}') then '{n}'" for n, p in L.CLASSES) + " else 'text' end"
+    return "case " + " ".join(f"when regexp_matches({s}, '{p}') then '{n}'" for n, p in L.classes()) + " else 'text' end"
 
 
 _CLASSED = f"{_BOOK}, k as (select *, {_sql_classes('line')} as class from m)"
@@ -80,9 +80,11 @@ def folded_lines(t):
     return L.folded(book(t))
 
 
-@query(rf"""with {_CLASSED}, n as (select *, lead(line) over w as nl, sum(starts_with(line, '```')::int) over (partition by doc_id order by line_no rows unbounded preceding) % 2 as f, {_STRIP.format('line')} as a from k window w as (partition by doc_id order by line_no)), s as (select *, {_STRIP.format('nl')} as b from n)
- select case class when 'tier' then 'tier_label' when 'item' then 'item_header' when 'answer' then 'answer_marker' when 'label' then 'section_meta' else 'content' end as kind, count(*)::bigint as n, min(doc_id) as first_doc from s
- where f = 0 and a <> '' and b <> '' and not regexp_matches(line, '^(  |\t|[#|<>]|```|:::|[-*] )') and not regexp_matches(nl, '^(  |\t|[#|<>]|```|:::|[-*] )') and not regexp_matches(b, '^(\(|Answer|[0-9]+[.])') and not regexp_matches(a, '[.:?!;)\]]$') group by 1""")
+_BARRED = _IN([n for n, _ in L.MARKDOWN] + ["list"])
+
+
+@query(rf"""with {_CLASSED}, n as (select *, lead(class) over w as nc, sum((class = 'fence')::int) over (partition by doc_id order by line_no rows unbounded preceding) % 2 as f, {_STRIP.format('line')} as a from k window w as (partition by doc_id order by line_no))
+ select class as kind, count(*)::bigint as n, min(doc_id) as first_doc from n where f = 0 and class not in ({_BARRED}) and nc not in ({_BARRED}, 'choice', 'verdict') and not regexp_matches(a, '[.:?!;)\]]$') group by 1""")
 def residual_kinds(t):
     return L.residuals(book(t)).groupBy("kind").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
@@ -137,12 +139,15 @@ def code_listings(t):
     return L.code_blocks(book(t))
 
 
-@query("""with d as (select doc_id, generate_subscripts(string_split(text, chr(10)), 1) as line_no from documents) select doc_id, line_no::int as line_no, [{'rule': 'dot_chain', 'token': 'df.mean'}, {'rule': 'call', 'token': 'fit_model()'}, {'rule': 'param_val', 'token': 'max_depth=3'}, {'rule': 'underscore', 'token': 'user_id'}]::varchar as tokens from d where (doc_id + line_no) % 34 = 27""")
+_KIND = "case " + " ".join(f"when regexp_full_match(x, '{p}') then '{n}'" for n, p in L.CODE) + " end"
+
+
+@query(rf"""with {_BOOK}, p as (select doc_id, line_no, string_split_regex(line, '{L.SPANS}') as free, regexp_extract_all(line, '{L.SPANS}') as kept from m), t as (select *, flatten(list_transform(free, lambda x: regexp_extract_all(x, '{L.TOKEN}'))) as found from p)
+ select doc_id, line_no::int as line_no, array_to_string(list_transform(list_zip(list_transform(free, lambda x: regexp_replace(x, '{L.TOKEN}', '`\0`', 'g')), kept), lambda z: z[1] || coalesce(z[2], '')), '') as line, array_to_string(list_transform(found, lambda x: {_KIND} || ' ' || x), ', ') as tokens from t where len(found) > 0""")
 def inline_code_tokens(t):
-    """Tokens of each marked line, as text; the span in backticks is left out."""
-    x = L.inline_code(book(t)).where("(doc_id + line_no) % 34 = 27")
-    each = F.transform("tokens", lambda k: F.concat(F.lit("{'rule': "), k["rule"], F.lit(", 'token': "), F.when(k["token"].rlike("[=()]"), F.concat(F.lit("'"), k["token"], F.lit("'"))).otherwise(k["token"]), F.lit("}")))
-    return x.select("doc_id", "line_no", F.concat(F.lit("["), F.array_join(each, ", "), F.lit("]")).alias("tokens"))
+    """Every line that has code within its words, marked, and its tokens by kind."""
+    each = F.transform("tokens", lambda k: F.concat(k["kind"], F.lit(" "), k["token"]))
+    return L.inline_code(book(t)).select("doc_id", "line_no", "line", F.array_join(each, ", ").alias("tokens"))
 
 
 _TERMS = [("the", "THE", None), ("ion", "-ion", "[0-9]"), ("de", "of", "des|den")]
@@ -174,11 +179,11 @@ def second_recount(t):
     return x.groupBy("doc_id", "chapter").agg(F.countDistinct(ids).alias("n_ids"), F.sum(F.regexp_count("line", F.lit("SIM-[0-9A-Z]+"))).cast("long").alias("n_mentions"), F.count_if(F.col("line").rlike(r"^## [0-9]+\. ")).alias("n_sections"))
 
 
-@query(rf"""with {_BOOK}, n as (select *, lead(line) over (partition by doc_id order by line_no) as nl from m) select doc_id, line_no::int as line_no from n where contains(line, '|') and regexp_matches(nl, '^\s*\|?[\s:|-]+\|[\s:|-]*$')""")
+@query(rf"""with {_BOOK}, n as (select *, lead(line) over (partition by doc_id order by line_no) as nl from m) select doc_id, line_no::int as line_no from n where contains(line, '|') and regexp_matches(nl, '{L.RULE}')""")
 def table_headers(t):
     """Rows with a bar that a rule of a Markdown table follows."""
     x = book(t).withColumn("n", F.lead("line").over(W.partitionBy("doc_id").orderBy("line_no")))
-    return x.where(F.col("line").contains("|") & F.col("n").rlike(r"^\s*\|?[\s:|-]+\|[\s:|-]*$")).select("doc_id", "line_no")
+    return x.where(F.col("line").contains("|") & F.col("n").rlike(L.RULE)).select("doc_id", "line_no")
 
 
 @query(rf"""with {_BOOK}, x as (select *, regexp_matches(line, '^#') as mk from m), a as (select *, lead(line, 1) over w as l1, lead(line, 2) over w as l2, lead(line, 3) over w as l3, coalesce(lead(mk, 1) over w, true) as s1, coalesce(lead(mk, 2) over w, true) as s2, coalesce(lead(mk, 3) over w, true) as s3 from x window w as (partition by doc_id order by line_no)),
@@ -256,12 +261,11 @@ def joined_lines(t):
     return x.select("doc_id", "line_no", T.join_lines(F.col("line"), F.col("n")).alias("t"))
 
 
-@query("""with p as (select doc_id, text as a, replace(text, 'ou', 'u') as b from documents), z as (select doc_id, a, b, list_position(list_transform(range(1, greatest(length(a), length(b)) + 1), lambda i: substr(a, i, 1) = substr(b, i, 1)), false) as q from p where a <> b and length(a) < 400)
+@query("""with p as (select doc_id, text as a, replace(text, 'ou', 'u') as b from documents), z as (select doc_id, a, b, list_position(list_transform(list_zip(string_split(a, ''), string_split(b, '')), lambda x: x[1] is not distinct from x[2]), false) as q from p where a <> b)
  select doc_id, (q - 1)::int as place, substr(a, greatest(q - 30, 1), least(q - 1, 30) + 30) as old, substr(b, greatest(q - 30, 1), least(q - 1, 30) + 30) as new from z""")
 def first_differences(t):
-    """Where a text and a changed copy part (from 0), with what stands around; texts of under 400 characters in the SQL too,
-    as DuckDB compares character by character from the start each time."""
-    x = t.documents.select("doc_id", F.col("text").alias("a"), F.replace("text", F.lit("ou"), F.lit("u")).alias("b")).where("a <> b and length(a) < 400")
+    """Where a text and a changed copy part (from 0), with what stands around."""
+    x = t.documents.select("doc_id", F.col("text").alias("a"), F.replace("text", F.lit("ou"), F.lit("u")).alias("b")).where("a <> b")
     x = x.withColumn("place", T.first_difference(F.col("a"), F.col("b")))
     around = lambda c: F.substring(c, F.greatest(F.col("place") - 29, F.lit(1)), F.least(F.col("place"), F.lit(30)) + 30)
     return x.select("doc_id", "place", around("a").alias("old"), around("b").alias("new"))
@@ -283,8 +287,9 @@ def han_rows_tidied(t):
     return x.select("doc_id", "line_no", T.tidy_punctuation(T.han_together(F.col("t"))).alias("t"))
 
 
-@query("""with d as (select doc_id, '**' || substr(text, 1, 5) || '** and *' || substr(text, 7, 4) || '* with `a*b*c` <' as t from documents where regexp_matches(substr(text, 1, 12), '^[A-Za-z ]+$'))
- select doc_id, regexp_replace(t, '^\\*\\*(.*?)\\*\\* and \\*(.*?)\\* with `a\\*b\\*c` <$', '<strong>\\1</strong> and <em>\\2</em> with <code>a*b*c</code> &lt;') as html from d""")
+@query(r"""with h as (select doc_id, rpad(regexp_replace(substr(text, 1, 12), '[^A-Za-zÀ-ÿ0-9 ]', '.', 'g'), 12, '.') as h from documents), d as (select doc_id, '**' || substr(h, 1, 5) || '** and *' || substr(h, 7, 4) || '* with `a*b*c` <' as t from h)
+ select doc_id, regexp_replace(t, '^\*\*(.*?)\*\* and \*(.*?)\* with `a\*b\*c` <$', '<strong>\1</strong> and <em>\2</em> with <code>a*b*c</code> &lt;') as html from d""")
 def inline_markdown(t):
-    head = t.documents.where(F.substring("text", 1, 12).rlike("^[A-Za-z ]+$"))
-    return head.select("doc_id", T.inline_markdown(F.concat(F.lit("**"), F.substring("text", 1, 5), F.lit("** and *"), F.substring("text", 7, 4), F.lit("* with `a*b*c` <"))).alias("html"))
+    """The beginning of every text, its signs as points and filled up with points, in Markdown that becomes HTML."""
+    head = t.documents.select("doc_id", F.rpad(F.regexp_replace(F.substring("text", 1, 12), "[^A-Za-zÀ-ÿ0-9 ]", "."), 12, ".").alias("h"))
+    return head.select("doc_id", T.inline_markdown(F.concat(F.lit("**"), F.substring("h", 1, 5), F.lit("** and *"), F.substring("h", 7, 4), F.lit("* with `a*b*c` <"))).alias("html"))

@@ -273,12 +273,12 @@ def binomial_pmf(t):
     return t.spark.range(13).select(F.col("id").cast("int").alias("k"), F.round(M.binomial(12, 0.3, F.col("id").cast("int")), 8).alias("pmf"))
 
 
-@query("""select p_partkey, round((100 - p_retailprice / 20) / (p_retailprice / 20), 6) as roi, case when p_size = 0 then 0 else least(ceil(p_retailprice / 20 / p_size), 99)::int end as payback, round(pow(100 / (p_retailprice / 20), 1 / 5.0) - 1, 8) as growth from part where p_size >= 20""")
+@query("""select p_partkey, round((100 - p_retailprice / 20) / (p_retailprice / 20), 6) as roi, case when p_size = 0 then 0 else least(ceil(p_retailprice / 20 / p_size), 99)::int end as payback, round(pow(100 / (p_retailprice / 20), 1 / 5.0) - 1, 8) as growth from part""")
 def investment_terms(t):
     """Return, payback and yearly growth of parts taken as investments that pay their size each year."""
     cost, size = F.col("p_retailprice") / 20, F.col("p_size")
     flows = F.concat(F.array(-cost), F.array_repeat(size.cast("double"), 99))
-    return t.part.where("p_size >= 20").select("p_partkey", F.round((100 - cost) / cost, 6).alias("roi"), M.payback(flows).alias("payback"), F.round(M.growth(cost, F.lit(100.0), F.lit(5.0)), 8).alias("growth"))
+    return t.part.select("p_partkey", F.round((100 - cost) / cost, 6).alias("roi"), M.payback(flows).alias("payback"), F.round(M.growth(cost, F.lit(100.0), F.lit(5.0)), 8).alias("growth"))
 
 
 @query("""with s as (select avg(p_retailprice) as m, stddev_pop(p_retailprice) as d from part where p_partkey % 5 <> 0), f as (select p_partkey, p_retailprice, case when p_partkey % 9 = 0 then null else p_retailprice end as x from part), i as (select avg(x) as fill from f where p_partkey % 5 <> 0)

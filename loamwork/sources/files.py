@@ -85,10 +85,13 @@ def json_documents(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def findings_report(found: DataFrame) -> DataFrame:
-    """check, report: the findings of a check as one JSON array, by document."""
-    rest = [c for c in found.columns if c != "check"]
-    return found.groupBy("check").agg(F.to_json(F.sort_array(F.collect_list(F.struct(*rest)))).alias("report"))
+def findings_report(found: DataFrame, path: str) -> DataFrame:
+    """Writes findings as lines of JSON, one a finding, in a folder for each check, and returns them as check, line.
+
+    A check with very many findings has as many lines, in as many files as there were tasks: nothing is gathered."""
+    found.write.mode("overwrite").partitionBy("check").json(path)
+    lines = found.sparkSession.read.schema("value string").text(path)
+    return lines.select(F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "check=([^/]*)/", 1)).alias("check"), F.col("value").alias("line"))
 
 
 def markdown_table(rows: DataFrame, key: str, order: str, cells: str = "cells") -> DataFrame:

@@ -55,16 +55,29 @@ def overlay(layers: list[DataFrame], key: str) -> DataFrame:
     return every.withColumn("__r", F.row_number().over(W.partitionBy(key).orderBy(F.desc("__p")))).where("__r = 1").drop("__p", "__r")
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """df, read from files, with __at: a row's place by file, split and line. A task reads a split from its first row to its
+    last, so numbers that grow within a task follow the lines of a split."""
+    return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")).alias("__at"))
+
+
 def csv_dict(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A headed CSV keyed by `key`; of rows with one key the last counts, and a byte-order mark is not part of a name."""
+    """A headed CSV keyed by `key`; of rows with one key the last counts (files go by name), and a byte-order mark is not part
+    of a name."""
     df = spark.read.option("header", True).csv(path)
-    df = df.toDF(*(c.lstrip("﻿") for c in df.columns)).withColumn("__n", F.monotonically_increasing_id())
-    return df.withColumn("__r", F.row_number().over(W.partitionBy(key).orderBy(F.desc("__n")))).where("__r = 1").drop("__n", "__r")
+    names = [c.lstrip("﻿") for c in df.columns]
+    rows = _placed(df).toDF(*names, "__at")
+    return rows.groupBy(key).agg(F.max_by(F.struct(*(f"`{c}`" for c in names if c != key)), "__at").alias("__v")).select(*(F.col(key) if c == key else F.col(f"__v.`{c}`") for c in names))
 
 
 def allow_list(spark: SparkSession, path: str) -> DataFrame:
-    """rule_order and five columns of a TSV allow-list; blank lines, # comments and the header are left out, short rows padded."""
-    x = spark.read.text(path).withColumn("rule_order", F.monotonically_increasing_id()).where("trim(value) <> '' and not startswith(value, '#') and not startswith(value, 'volume\t')")
+    """rule_order (from 1, by file and line) and five columns of TSV allow-lists; blank lines, # comments and headers are left
+    out, short rows padded. A split is numbered by itself, behind what the splits before it hold."""
+    x = _placed(spark.read.text(path)).where("trim(value) <> '' and not startswith(value, '#') and not startswith(value, 'volume\t')")
+    split = [F.col("__at.file"), F.col("__at.start")]
+    counts = x.groupBy(split[0].alias("__f"), split[1].alias("__s")).agg(F.count("*").alias("__n"))
+    before = counts.select("__f", "__s", F.coalesce(F.sum("__n").over(W.orderBy("__f", "__s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__b"))  # a row a split
+    x = x.withColumn("__r", F.row_number().over(W.partitionBy(*split).orderBy("__at.n"))).join(before, (split[0] == F.col("__f")) & (split[1] == F.col("__s")))
     part = F.split("value", "\t", -1)
     names = ("volume", "check", "found", "context_regex", "reason")
-    return x.select("rule_order", *(F.coalesce(F.get(part, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))
+    return x.select((F.col("__r") + F.col("__b")).alias("rule_order"), *(F.coalesce(F.get(part, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))

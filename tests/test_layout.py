@@ -20,8 +20,8 @@ def lines(spark, text):
 
 
 def test_classes(spark):
-    want = ["heading", "tier", "option", "answer", "list", "metadata", "comment", "quote", "callout", "fence", "table", "table", "blank", "item", "label", "text"]
-    x = lines(spark, "# A\n**Core topic**\n(A) b\nAnswer: C\n12. x\nSource: y\n<!-- z -->\n> q\n::: w\n```py\n| a |\n---|---\n  \nSet SET-4\nGoals\nplain")
+    want = ["heading", "badge", "choice", "verdict", "list", "fact", "comment", "quote", "callout", "fence", "table", "table", "blank", "entry", "field", "text"]
+    x = lines(spark, "# A\n**Deep dive**\n(A) b\nAnswer: C\n12. x\nFrom: y\n<!-- z -->\n> q\n::: w\n```py\n| a |\n---|---\n  \nDeck DK-4\nOrigins\nplain")
     assert [r["c"] for r in x.orderBy("line_no").select(L.line_class(F.col("line")).alias("c")).collect()] == want
 
 
@@ -39,11 +39,18 @@ def test_table_caps(spark):
     assert got == [(1, 3, 2), (5, 19, 12), (26, 1, 0)]
 
 
+def test_own_style(spark):
+    own = L.Style(badges=("Hot (new) one",), asks="Now what")
+    x = lines(spark, "Hot (new) one\nBasics\nstem\nNow what is it?")
+    assert [r["joins"] for r in L.merges(x, own).orderBy("line_no").collect()] == [False, False, True, False]
+    assert [r["kind"] for r in L.residuals(x, own).orderBy("line_no").collect()] == ["badge", "text", "text"]
+
+
 def test_inline_code(spark):
-    x = L.inline_code(lines(spark, "`df.x` df.y and $df.z$ {{df.w}} df.drop_rows() axis = 1 my_name\nnone"))
+    x = L.inline_code(lines(spark, "`df.x` df.yy and $df.zz$ {{df.ww}} df.drop_rows() axis = 1 my_name, e.g. this\nnone\n`all.code`"))
     r = x.first()
-    assert x.count() == 1 and r["line"] == "`df.x` `df.y` and $df.z$ {{df.w}} `df.drop_rows`() `axis = 1` `my_name`"
-    assert [t["rule"] for t in r["tokens"]] == ["dot_chain", "dot_chain", "param_val", "underscore"]
+    assert x.count() == 1 and r["line"] == "`df.x` `df.yy` and $df.zz$ {{df.ww}} `df.drop_rows()` `axis = 1` `my_name`, e.g. this"
+    assert [t["kind"] for t in r["tokens"]] == ["path", "call", "setting", "name"]
 
 
 def test_first_difference(spark):

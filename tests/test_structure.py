@@ -56,4 +56,10 @@ def test_sources(spark, tmp_path):
     assert {r["code"]: r["page"] for r in tables.csv_dict(spark, f"file://{tmp_path}/m.csv", "code").collect()} == {"A": "3", "B": "2"}
     (tmp_path / "a.tsv").write_text("volume\tcheck\tfound\tcontext_regex\treason\n# note\n\n*\turl\tx\n", encoding="utf-8")
     got = tables.allow_list(spark, f"file://{tmp_path}/a.tsv").collect()
-    assert [(r["volume"], r["check"], r["found"], r["reason"]) for r in got] == [("*", "url", "x", "")]
+    assert [(r["rule_order"], r["volume"], r["check"], r["found"], r["reason"]) for r in got] == [(1, "*", "url", "x", "")]
+    for k in range(9):  # long files are read in many splits, in any order
+        (tmp_path / f"b{k}.tsv").write_text("".join(f"v\tc\t{k}-{i}\n\n" for i in range(200 * (9 - k))), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    got = [r["found"] for r in tables.allow_list(spark, f"file://{tmp_path}/b*.tsv").orderBy("rule_order").collect()]
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [f"{k}-{i}" for k in range(9) for i in range(200 * (9 - k))]
