@@ -5,13 +5,16 @@ line, has a hash; of the runs inside each shortest window of GUARANTEE words or
 taken, so that any two equal passages of GUARANTEE words share a fingerprint. The windows themselves are fingerprints
 too, the shortest from each line and the shortest up to each line: together they cover every line of a passage, and a
 window's first place holds all of it, wherever the runs in it stand first. Each fingerprint's places are joined to its
-first place; matches are extended both ways along their diagonal, and later runs are deleted. Of a fingerprint's places
+first place. A window with an earlier place goes as it is; any other fingerprint's match is extended both ways along its
+diagonal, by GUARANTEE lines at most (what matches further is full of windows of its own), so that a match costs the same
+however long its two documents are. Later runs are deleted. Of a fingerprint's places
 in one document only the first is joined: the later ones repeat it where they stand, so that a document of n equal lines
 has one place to join and n to delete.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .common import WORD, let, materialize, unused
 
@@ -33,17 +36,17 @@ def _run(lines: Column, j: Column, words: int) -> Column:
 
 
 def _picks(lines: Column, noise: int, guarantee: int) -> Column:
-    """Fingerprints: distinct g (hash), p (first line) and e (line past the end) of the least run in each window, and of the
-    windows, in this order."""
+    """Fingerprints: distinct g (hash), p (first line), e (line past the end) and win (whether it has the words of a window) of
+    the least run in each window, and of the windows, in this order."""
 
     def of(runs: Column) -> Column:
         # runs[j]: g, p = j, e = line past its end, and past: line past the end of the window from j (null: none)
         def least(x: Column) -> Column:
             inside = F.filter(F.slice(runs, x["p"] + 1, x["past"] - x["p"]), lambda y: y["ok"] & (y["e"] <= x["past"]))
-            return F.array_min(F.transform(inside, lambda y: F.struct(y["g"].alias("g"), y["p"].alias("p"), y["e"].alias("e"))))
+            return F.array_min(F.transform(inside, lambda y: F.struct(y["g"].alias("g"), y["p"].alias("p"), y["e"].alias("e"), y["win"].alias("win"))))
 
         ends = F.filter(runs, lambda x: x["past"].isNotNull())
-        ahead = F.transform(ends, lambda x: F.struct(x["whole"].alias("g"), x["p"].alias("p"), x["past"].alias("e")))
+        ahead = F.transform(ends, lambda x: F.struct(x["whole"].alias("g"), x["p"].alias("p"), x["past"].alias("e"), F.lit(True).alias("win")))
         every = F.sort_array(F.concat(F.transform(ends, least), ahead, back(runs)))
         return let(every, lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1))))
 
@@ -55,26 +58,28 @@ def _picks(lines: Column, noise: int, guarantee: int) -> Column:
 
         all_ = let(F.reverse(lines), lambda rev: F.transform(rev, lambda _, j: window(rev, j)))
         more = F.filter(all_, lambda x: x["ok"] & (F.get(runs, x["p"])["past"] != x["past"]))
-        return F.transform(more, lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p"), x["past"].alias("e")))
+        return F.transform(more, lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p"), x["past"].alias("e"), F.lit(True).alias("win")))
 
     def run(x: Column, j: Column) -> Column:
         small, large = _run(lines, j, noise), _run(lines, j, guarantee)
         return let(
             F.struct(small.alias("a"), large.alias("b")),
-            lambda r: F.struct(r["a"]["g"].alias("g"), j.alias("p"), (j + r["a"]["n"]).alias("e"), (r["a"]["w"] >= noise).alias("ok"), F.when(r["b"]["w"] >= guarantee, j + r["b"]["n"]).alias("past"), r["b"]["g"].alias("whole")),
+            lambda r: F.struct(r["a"]["g"].alias("g"), j.alias("p"), (j + r["a"]["n"]).alias("e"), (r["a"]["w"] >= noise).alias("ok"), (r["a"]["w"] >= guarantee).alias("win"), F.when(r["b"]["w"] >= guarantee, j + r["b"]["n"]).alias("past"), r["b"]["g"].alias("whole")),
         )
 
     return let(F.transform(lines, run), of)
 
 
 def _parted(lines: Column, picks: Column) -> Column:
-    """picks as first (those at their hash's first place in the text: g, p) and again (the others' line numbers)."""
+    """picks as first (those at their hash's first place in the text: g, p, n lines from number a to b, win) and again (the
+    others' line numbers)."""
+    number = lambda j: F.get(lines, j)["i"]
     once = lambda s, x, i: (i == 0) | (x["g"] != F.get(s, i - 1)["g"])
     return let(
         picks,
         lambda s: F.struct(
-            F.transform(F.filter(s, lambda x, i: once(s, x, i)), lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p"))).alias("first"),
-            F.transform(F.filter(s, lambda x, i: ~once(s, x, i)), lambda x: F.struct(F.get(lines, x["p"])["i"].alias("first"), F.get(lines, x["e"] - 1)["i"].alias("last"))).alias("again"),
+            F.transform(F.filter(s, lambda x, i: once(s, x, i)), lambda x: F.struct(x["g"].alias("g"), x["p"].alias("p"), (x["e"] - x["p"]).alias("n"), number(x["p"]).alias("a"), number(x["e"] - 1).alias("b"), x["win"].alias("win"))).alias("first"),
+            F.transform(F.filter(s, lambda x, i: ~once(s, x, i)), lambda x: F.struct(number(x["p"]).alias("first"), number(x["e"] - 1).alias("last"))).alias("again"),
         ),
     )
 
@@ -100,20 +105,38 @@ def _numbers(runs: Column) -> Column:
     return F.sort_array(F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["first"], r["last"])))))
 
 
+def _around(base: DataFrame, places: DataFrame, reach: int) -> DataFrame:
+    """doc_id, t, p, n, lines, ahead: for each place (n lines from line p of a document) its lines and up to `reach` lines on
+    either side; `ahead` of them stand before it. A document's lines are read once for all its places."""
+    asked = places.groupBy(F.col("doc_id").alias("d"), F.col("t").alias("u")).agg(F.collect_set(F.struct("p", "n")).alias("places"))
+    ahead = lambda x: F.least(F.lit(reach), x["p"])
+    cut = lambda x: F.struct(x["p"].alias("p"), x["n"].alias("n"), F.slice("lines", x["p"] - ahead(x) + 1, ahead(x) + x["n"] + reach).alias("lines"), ahead(x).alias("ahead"))
+    found = asked.join(base, asked["d"].eqNullSafe(base["doc_id"]) & (asked["u"] == base["t"]))
+    return found.select("doc_id", "t", F.explode(F.transform("places", cut)).alias("x")).select("doc_id", "t", "x.*")
+
+
 def repeated_runs(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
     """doc_id, t (hash of the text) and gone: the numbers of a document's lines that are in a later repeated run."""
     made = let(_lines(F.col("text")), lambda x: F.struct(x.alias("lines"), _parted(x, _picks(x, noise, guarantee)).alias("picks")))
     base = docs.select("doc_id", F.xxhash64("text").alias("t"), made.alias("x")).select("doc_id", "t", "x.lines", "x.picks.first", "x.picks.again")
     base = materialize(base.where(F.size("first") > 0).dropDuplicates(["doc_id", "t"]))
-    at = base.select("doc_id", "t", F.explode("first").alias("x")).select(F.struct("doc_id", "t", F.col("x.p").alias("p")).alias("at"), F.col("x.g").alias("g"))
+    at = base.select("doc_id", "t", F.explode("first").alias("x")).select("doc_id", "t", "x.*").withColumn("at", F.struct("doc_id", "t", "p"))
     first = materialize(at.groupBy("g").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").select("g", "first"))
     hits = at.join(first, "g").where("at != first")
-    hits = hits.select(F.col("at.doc_id"), F.col("at.t"), F.col("first.doc_id").alias("doc0"), F.col("first.t").alias("t0"), (F.col("first.p") - F.col("at.p")).alias("shift")).distinct()
-    hits = materialize(hits)
-    mine = base.select(F.col("doc_id").alias("d"), F.col("t").alias("u"), "lines")
-    other = base.select(F.col("doc_id").alias("e"), F.col("t").alias("v"), F.col("lines").alias("lines0"))
-    both = hits.join(mine, hits["doc_id"].eqNullSafe(mine["d"]) & (hits["t"] == mine["u"])).join(other, F.col("doc0").eqNullSafe(other["e"]) & (F.col("t0") == other["v"]))
-    cut = both.select("doc_id", "t", _islands(F.col("lines"), F.col("lines0"), F.col("shift"), noise).alias("cut")).where(F.size("cut") > 0)
+    # how far windows reach that begin at or before a match: what ends within needs no extension
+    reach = F.max(F.when(F.col("win"), F.col("b"))).over(W.partitionBy("doc_id", "t").orderBy("a", F.desc("win")).rowsBetween(W.unboundedPreceding, 0))
+    hits = hits.select("doc_id", "t", "p", "n", "a", "b", "win", "first", reach.alias("reach"))
+    runs = F.collect_list(F.when(F.col("win"), F.struct(F.col("a").alias("first"), F.col("b").alias("last"))))
+    rest = F.collect_list(F.when(~F.col("win") & F.coalesce(F.col("reach") < F.col("b"), F.lit(True)), F.struct("p", "n", F.col("first.doc_id").alias("doc0"), F.col("first.t").alias("t0"), F.col("first.p").alias("p0"))))
+    met = materialize(hits.groupBy("doc_id", "t").agg(runs.alias("runs"), rest.alias("rest")))
+    rest = met.select("doc_id", "t", F.explode("rest").alias("x")).select("doc_id", "t", "x.*")
+    near = materialize(_around(base, rest.select("doc_id", "t", "p", "n").unionByName(rest.select(F.col("doc0").alias("doc_id"), F.col("t0").alias("t"), F.col("p0").alias("p"), "n")), guarantee))
+    mine = near.select(F.col("doc_id").alias("d"), F.col("t").alias("u"), F.col("p").alias("q"), F.col("n").alias("m"), "lines", "ahead")
+    other = near.select(F.col("doc_id").alias("e"), F.col("t").alias("v"), F.col("p").alias("r"), F.col("n").alias("k"), F.col("lines").alias("lines0"), F.col("ahead").alias("ahead0"))
+    both = rest.join(mine, rest["doc_id"].eqNullSafe(mine["d"]) & (rest["t"] == mine["u"]) & (rest["p"] == mine["q"]) & (rest["n"] == mine["m"]))
+    both = both.join(other, F.col("doc0").eqNullSafe(other["e"]) & (F.col("t0") == other["v"]) & (F.col("p0") == other["r"]) & (F.col("n") == other["k"]))
+    cut = both.select("doc_id", "t", _islands(F.col("lines"), F.col("lines0"), F.col("ahead0") - F.col("ahead"), noise).alias("cut")).where(F.size("cut") > 0)
+    cut = cut.unionByName(met.where(F.size("runs") > 0).select("doc_id", "t", F.col("runs").alias("cut")))
     cut = cut.unionByName(base.where(F.size("again") > 0).select("doc_id", "t", F.col("again").alias("cut")))
     return cut.groupBy("doc_id", "t").agg(_numbers(F.flatten(F.collect_list("cut"))).alias("gone"))
 

@@ -550,6 +550,22 @@ def test_line_dedup_of_very_many_equal_lines(spark):
     assert got[2]["text"] == "bo" and got[3]["text"] == "tick a b c d e\ntock f g h i j"
 
 
+def test_line_dedup_of_lines_from_many_documents(spark):
+    """A document of n lines from n others costs in proportion to n, whether its lines are windows or short runs."""
+    rng, words = random.Random(7), vocabulary(3000)
+    took = {}
+    for n in (1000, 8000):
+        lines = [" ".join(prose(30 + 30 * (k % 2), rng, words)) for k in range(n)]
+        rows = [(k, f"{x}\nmine {k}") for k, x in enumerate(lines)] + [(n + 1, "\n".join(f"{x}\nbetween {k}" for k, x in enumerate(lines)))]
+        docs = made(spark, rows).repartition(4)
+        began = time.perf_counter()
+        got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(docs).collect()}
+        took[n] = time.perf_counter() - began
+        left = got[n + 1].split("\n")  # lines of 60 words are sure to go, those of 30 may stay
+        assert [x for x in left if x.startswith("between")] == [f"between {k}" for k in range(n)] and not set(left) & set(lines[1::2]) and all(got[k] == rows[k][1] for k in range(n))
+    assert took[8000] < 8 * took[1000] + 5
+
+
 def test_line_dedup_of_a_passage_in_half_of_all(spark):
     rng, words = random.Random(1), vocabulary(300)
     hot = "\n".join(" ".join(prose(12, rng, words)) for _ in range(6))
