@@ -18,6 +18,8 @@ from .common import GAP, WORD, materialize
 MAX_SOURCES = 100_000
 #: Documents of a source that one task numbers.
 GROUP_ROWS = 20_000
+#: Rows that repeat and are numbered together, at most.
+COPIES = 1_000
 #: Slots that one row is spread to at a time: a hot source's slots in a shard are many such runs, in many tasks.
 SLOT_RUN = 100_000
 #: Slots that one task makes, about; their number sets the tasks, as the few bytes they are made from would give one.
@@ -94,21 +96,26 @@ def numbered(docs: DataFrame) -> DataFrame:
     """A light row for each document: doc_id, source, __key (its source's), size, __from and __to (its words' place
     in its source), __group and __row (which identify the row). Ends lineage.
 
-    Places are a prefix sum in two steps: within groups of about GROUP_ROWS documents by hash, then over the groups."""
+    Places are a prefix sum in two steps: within groups of about GROUP_ROWS documents by hash, then over the groups. Rows that
+    repeat are counted first and dealt out in chunks of at most COPIES, each in a group of its own hash."""
     light = docs.select("doc_id", "source", _source_key().alias("__key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("__t"))
-    light = materialize(light)
-    groups = max(1, -(-light.count() // GROUP_ROWS))
-    w = W.partitionBy("__key", "__group").orderBy(F.col("doc_id").asc_nulls_last(), "__t")
+    light = materialize(light.groupBy("doc_id", "source", "__key", "size", "__t").agg(F.count("*").alias("__c")))
+    groups = max(1, -(-(light.agg(F.sum("__c")).first()[0] or 0) // GROUP_ROWS))
+    chunks = light.withColumn("__at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__c") - 1, F.lit(COPIES).cast("long"))))
+    chunks = chunks.withColumn("__n", F.least(F.lit(COPIES).cast("long"), F.col("__c") - F.col("__at")))
+    w = W.partitionBy("__key", "__group").orderBy(F.col("doc_id").asc_nulls_last(), "__t", "__at").rowsBetween(W.unboundedPreceding, 0)
     light = (
-        light.withColumn("__group", F.pmod(F.xxhash64("doc_id", "__t", F.lit(7)), F.lit(groups)).cast("int"))
-        .withColumn("__row", F.row_number().over(w))
-        .withColumn("__upto", F.sum("size").over(w.rowsBetween(W.unboundedPreceding, 0)))
+        chunks.withColumn("__group", F.pmod(F.xxhash64("doc_id", "__t", "__at", F.lit(7)), F.lit(groups)).cast("int"))
+        .withColumn("__rows", F.sum("__n").over(w) - F.col("__n"))
+        .withColumn("__upto", F.sum(F.col("size") * F.col("__n")).over(w) - F.col("size") * F.col("__n"))
     )
-    light = materialize(light)
-    before = light.groupBy("__key", "__group").agg(F.sum("size").alias("__n"))
-    before = before.select("__key", "__group", (F.sum("__n").over(W.partitionBy("__key").orderBy("__group")) - F.col("__n")).alias("__before"))
-    out = light.join(before, ["__key", "__group"])
-    return out.select("doc_id", "source", "__key", "__t", "__group", "__row", "size", (F.col("__before") + F.col("__upto") - F.col("size")).alias("__from"), (F.col("__before") + F.col("__upto")).alias("__to"))
+    light = materialize(light.drop("__c", "__at"))
+    before = light.groupBy("__key", "__group").agg(F.sum(F.col("size") * F.col("__n")).alias("__s"))
+    before = before.select("__key", "__group", (F.sum("__s").over(W.partitionBy("__key").orderBy("__group")) - F.col("__s")).alias("__before"))
+    out = light.join(before, ["__key", "__group"]).withColumn("__i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)))
+    start = F.col("__before") + F.col("__upto") + F.col("__i") * F.col("size")
+    row = (F.col("__rows") + F.col("__i") + 1).alias("__row")
+    return out.select("doc_id", "source", "__key", "__t", "__group", row, "size", start.alias("__from"), (start + F.col("size")).alias("__to"))
 
 
 def mix(docs: DataFrame, block_words: int = 32, shards: int = 64, seed: int = 1, with_text: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -189,6 +189,16 @@ def test_mix_is_the_same_in_short_slot_runs(spark, monkeypatch):
     assert sorted(map(str, mixing.mix(docs)[0].collect())) == whole
 
 
+def test_rows_that_repeat_are_dealt_out(spark):
+    docs = spark.range(60_000).selectExpr("cast(null as long) as doc_id", "'one two three' as text", "'s' as source")
+    docs = docs.unionByName(made(spark, [(d, "a b", "s" if d % 2 else None) for d in range(3000)] * 2, "doc_id long, text string, source string"))
+    got = mixing.numbered(docs).select("__key", "__group", "__row", "__from", "__to").toPandas()
+    assert len(got) == 66_000 and not got.duplicated(["__key", "__group", "__row"]).any()
+    assert got.groupby(["__key", "__group"]).size().max() < 1.3 * mixing.GROUP_ROWS
+    for _, own in got.sort_values("__from").groupby("__key"):
+        assert own["__from"].iloc[0] == 0 and (own["__from"].to_numpy()[1:] == own["__to"].to_numpy()[:-1]).all()
+
+
 def test_permutation_is_one():
     for n in (1, 2, 3, 10, 1000, 4097):
         x = mixing._permuted(np.arange(n), np.full(n, n), np.full(n, 77))
