@@ -1,10 +1,13 @@
 """Corpus operators: lines, classes, findings, anchors, integrity."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.text import norm_integrity
+from ..sources.tables import sized
 
 
 def lines(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame:
@@ -59,8 +62,8 @@ def severity_rank(c: Column) -> Column:
 
 def allowed(found: DataFrame, rules: DataFrame) -> DataFrame:
     """found with `allowed`: the reason of the first rule (by rule_order) whose check and source fit ('*' fits all); only
-    warnings can be allowed. rules: rule_order, check, source, reason; small by nature and broadcast."""
-    r = F.broadcast(rules.withColumnsRenamed({"check": "r_check", "source": "r_source"}))
+    warnings can be allowed. rules: rule_order, check, source, reason; broadcast where they are few."""
+    r = sized(rules.withColumnsRenamed({"check": "r_check", "source": "r_source"}))
     fits = (F.col("severity") == "warn") & F.col("r_check").isin("*") | (F.col("severity") == "warn") & (F.col("r_check") == F.col("check"))
     hit = found.join(r, fits & ((F.col("r_source") == "*") | (F.col("r_source") == F.col("source"))), "left")
     # a finding has few rules: the first is a grouped minimum, not a sort
@@ -111,9 +114,9 @@ def checked_cards(cards: DataFrame, pages: DataFrame, card: str, code: str, sour
     """cards with status: `no source` (no source row in the card's text), `unknown code` (none that pages has), `mismatch`
     (the source row lacks what pages expects of the code), else `ok`.
 
-    code and source are patterns with one group; pages: code, expected, a bounded map with one row a code, and broadcast."""
+    code and source are patterns with one group; pages: code, expected, one row a code, broadcast where they are few."""
     x = cards.withColumn("__s", F.regexp_extract(card, source, 1)).withColumn("__c", F.regexp_extract(card, code, 1))
-    x = x.join(F.broadcast(pages.select(F.col("code").alias("__c"), F.col("expected").alias("__e"))), "__c", "left")
+    x = x.join(sized(pages.select(F.col("code").alias("__c"), F.col("expected").alias("__e"))), "__c", "left")
     status = F.when(F.col("__s") == "", "no source").when(F.col("__e").isNull(), "unknown code").when(~F.contains("__s", "__e"), "mismatch").otherwise("ok")
     return x.withColumn("status", status).drop("__s", "__c", "__e")
 
@@ -173,3 +176,45 @@ def filled(text: Column, values: dict[str, str]) -> Column:
         text = F.replace(text, F.lit("{{" + k + "}}"), F.lit(v))
     left = F.regexp_extract(text, r"\{\{([^}]*)\}\}", 1)
     return F.when(left == "", text).otherwise(F.raise_error(F.concat(F.lit("no value for "), left)))
+
+
+def one_citation(line: Column, label: str) -> Column:
+    """A line `label: a; b; c (remark)` with its first citation and the remark at its end alone; other lines as they are."""
+    pattern = rf"^({label}: )([^;()]*[^;() ])[^()]*?( \([^()]*\))?$"
+    return F.when(line.rlike(pattern), F.regexp_replace(line, pattern, "$1$2$3")).otherwise(line)
+
+
+def titled_units(docs: DataFrame, titles: list[str], opens: str, leader: str) -> DataFrame:
+    """doc_id, unit (from 1), title, text: a text from its first `opens` on (all of it if there is none) up to its first
+    `leader` (a pattern), cut at the first place of each known title that it has. What stands before the first title is left
+    out; titles that begin at one place are units in their order, all but the last empty. Null texts have no units."""
+    at = F.instr("text", F.lit(opens))
+    body = F.regexp_replace(F.when(at > 0, F.substr("text", at)).otherwise(F.col("text")), f"(?s){leader}.*$", "")
+    x = docs.select("doc_id", body.alias("__b"))
+    places = F.array_compact(F.array(*(F.when(F.instr("__b", F.lit(t)) > 0, F.struct(F.instr("__b", F.lit(t)).alias("a"), F.lit(t).alias("title"))) for t in titles)))
+    x = x.withColumn("__p", F.sort_array(places))
+    end = lambda i: F.coalesce(F.get(F.col("__p"), i + 1)["a"], F.length("__b") + 1)
+    cut = F.transform("__p", lambda p, i: F.struct((i + 1).alias("unit"), p["title"].alias("title"), F.substr("__b", p["a"], end(i) - p["a"]).alias("text")))
+    return x.select("doc_id", F.inline(cut))
+
+
+def rendered(rows: DataFrame, pages: dict[str, str]) -> DataFrame:
+    """The first column of rows, page, text: every page made for every row, {{column}} replaced by the row's value; a place
+    that no column fills fails the query. pages: plan constants."""
+    made = []
+    for name, page in pages.items():
+        text = F.lit(page)
+        for c in rows.columns:
+            text = F.replace(text, F.lit("{{" + c + "}}"), F.coalesce(F.col(c).cast("string"), F.lit("")))
+        left = F.regexp_extract(F.lit(re.sub("|".join(re.escape("{{" + c + "}}") for c in rows.columns), "", page)), r"\{\{([^}]*)\}\}", 1)
+        made.append(F.struct(F.lit(name).alias("page"), F.when(left == "", text).otherwise(F.raise_error(F.concat(F.lit("no value for "), left))).alias("text")))
+    return rows.select(rows.columns[0], F.inline(F.array(*made)))
+
+
+def appendix(parts: list[DataFrame], key: str) -> DataFrame:
+    """key, text, sections: the lines of all parts (part, o, line, key) by part and then o, one text a key."""
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    lines = F.sort_array(F.collect_list(F.struct("part", "o", "line")))
+    return every.groupBy(key).agg(F.array_join(F.transform(lines, lambda p: p["line"]), "\n").alias("text"), F.count_distinct("part").alias("sections"))

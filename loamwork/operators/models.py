@@ -94,15 +94,14 @@ def private_counts(df: DataFrame, key: str, epsilon: float, seed: int = 1) -> Da
 
 
 def term_rows(docs: DataFrame, buckets: int) -> DataFrame:
-    """doc_id, at, tf: each text's words counted in `buckets` hashed columns (sparse: the columns that occur, ascending)."""
+    """doc_id, at, tf: each text's words counted in `buckets` hashed columns (sparse: the columns that occur, ascending).
+    Texts without words have no row."""
+    from .relational import counted
+
     word = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    hashed = docs.select("doc_id", F.monotonically_increasing_id().alias("u"), F.sort_array(F.transform(word, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))).alias("h"))
-    at = F.sort_array(F.array_distinct("h"))
-    # h ascends, so a column's count is the distance between its first and last place
-    ends = F.transform(at, lambda c: (F.array_position("h", c)).cast("int"))
-    counts = F.transform(F.sequence(F.lit(1), F.size("at")), lambda i: F.when(i < F.size("at"), F.get("ends", i)).otherwise(F.size("h") + 1) - F.get("ends", i - 1))
-    x = hashed.select("doc_id", "h", at.alias("at")).where("size(h) > 0").withColumn("ends", ends)
-    return x.select("doc_id", "at", counts.cast("array<double>").alias("tf"))
+    column = F.transform(word, lambda w: F.format_string("%09d", F.pmod(F.xxhash64(w), F.lit(buckets))))
+    x = docs.select("doc_id", counted(column).alias("c")).where("size(c) > 0")
+    return x.select("doc_id", F.transform("c", lambda v: v["value"].cast("int")).alias("at"), F.transform("c", lambda v: v["n"].cast("double")).alias("tf"))
 
 
 def singular_values(rows: DataFrame, columns: int, k: int, extra: int = 12, rounds: int = 60, tolerance: float = 1e-9, seed: int = 1):

@@ -131,3 +131,33 @@ def replace_all(docs: DataFrame, rules: list[tuple[str, str, str]], text: str =
         out = out.withColumn(f"__{i}", F.when(c != F.col(text), F.lit(name))).withColumn(text, c)
     names = F.array_compact(F.array(*(F.col(f"__{i}") for i in range(len(rules))))) if rules else log
     return out.withColumn("log", names).drop(*(f"__{i}" for i in range(len(rules))))
+
+
+def wrap_defined(lines: list[str], terms: list[str], stops: str = r"^\s*$|^#|^```") -> tuple[list[str], int]:
+    """(lines, how many terms were found): each term's definition, a line that begins with the term and a colon, fenced by
+    `:::` up to the next stop, or the next definition. Terms are looked for in their order: a line that defines a later one,
+    or one that had its turn, is an ordinary line."""
+    out, at, inside = [], 0, False
+    for line in lines:
+        opens = at < len(terms) and line.startswith(terms[at] + ":")
+        if inside and (opens or re.search(stops, line)):
+            out.append(":::")
+            inside = False
+        if opens:
+            out.append("::: definition")
+            at, inside = at + 1, True
+        out.append(line)
+    return out + [":::"] * inside, at
+
+
+def defined_callouts(docs: DataFrame) -> DataFrame:
+    """doc_id, text, n_found of docs (doc_id, text, terms: an array in the order of the definitions). The cursor runs through a
+    document's lines, so a document is one unit of state. Null texts stay null, null terms are none."""
+    ship(docs.sparkSession)
+
+    def run(frames):
+        for x in frames:
+            got = [(None, 0) if t is None else wrap_defined(t.split("\n"), [] if k is None else list(k)) for t, k in zip(x["text"], x["terms"])]
+            yield pd.DataFrame({"doc_id": x["doc_id"], "text": [None if g is None else "\n".join(g) for g, _ in got], "n_found": [n for _, n in got]})
+
+    return docs.select("doc_id", "text", "terms").mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_found int")

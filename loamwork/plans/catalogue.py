@@ -392,22 +392,41 @@ def dedup_subset_keep_latest(t):
 _BY_USER = "over (partition by user_id order by ts, event_id"
 
 
+def _recent(t, value, k):
+    """Events with the values of a user's k events before them; a user of very many is dealt by day."""
+    return R.with_recent(t.events.select("user_id", "ts", "event_id", "event_type", "value"), "user_id", ["ts", "event_id"], value, k)
+
+
+def _mean(values):
+    """Of an array's values that are not null; null if there are none."""
+    some = F.filter(values, lambda v: v.isNotNull())
+    return F.when(F.size(some) > 0, F.aggregate(some, F.lit(0.0), lambda a, v: a + v) / F.size(some))
+
+
+def _median(values):
+    """Of an array's values that are not null; null if there are none."""
+    some = F.sort_array(F.filter(values, lambda v: v.isNotNull()))
+    half = lambda k: F.get(some, F.floor((F.size(some) - k) / 2).cast("int"))
+    return F.when(F.size(some) > 0, (half(1) + half(0)) / 2)
+
+
 @query(f"select event_id, round(avg(value) {_BY_USER} rows between 3 preceding and 1 preceding), 6) as prior3 from events")
 def rolling_avg(t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-3, -1)
-    return t.events.select("event_id", F.round(F.avg("value").over(w), 6).alias("prior3"))
+    x = _recent(t, "value", 3)
+    return x.select("event_id", F.round(_mean(F.col("recent")), 6).alias("prior3"))
 
 
 @query(f"select event_id, round(value - lag(value) {_BY_USER}), 6) as d1, round(value - lag(value, 7) {_BY_USER}), 6) as d7 from events")
 def lag_diff(t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    return t.events.select("event_id", F.round(F.col("value") - F.lag("value").over(w), 6).alias("d1"), F.round(F.col("value") - F.lag("value", 7).over(w), 6).alias("d7"))
+    x = _recent(t, "value", 7)
+    back = lambda k: F.when(F.size("recent") >= k, F.get("recent", F.size("recent") - k))
+    return x.select("event_id", F.round(F.col("value") - back(1), 6).alias("d1"), F.round(F.col("value") - back(7), 6).alias("d7"))
 
 
 @query(f"select event_id, round(avg(value) {_BY_USER} rows between 4 preceding and current row), 6) as ma5, round(median(value) {_BY_USER} rows between 4 preceding and current row), 6) as med5 from events")
 def moving_average(t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-4, 0)
-    return t.events.select("event_id", F.round(F.avg("value").over(w), 6).alias("ma5"), F.round(F.percentile("value", F.lit(0.5)).over(w), 6).alias("med5"))
+    x = _recent(t, "value", 4).select("event_id", F.concat("recent", F.array("value")).alias("v"))
+    return x.select("event_id", F.round(_mean(F.col("v")), 6).alias("ma5"), F.round(_median(F.col("v")), 6).alias("med5"))
 
 
 @query("""with o as (select user_id, value, row_number() over (partition by user_id order by ts, event_id) as i, count(*) over (partition by user_id) as n, first_value(value) over (partition by user_id order by ts, event_id) as x from events) select user_id, round(sum(0.3 * pow(0.7, n - i) * value) + max(pow(0.7, n) * x), 5) as level from o group by 1""")
@@ -423,9 +442,10 @@ def person_baseline(t):
 
 @query(f"select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) {_BY_USER} rows between 5 preceding and current row) as filled, event_type <> 'purchase' as was_missing from events")
 def bounded_fill(t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-5, 0)
     v = F.when(F.col("event_type") == "purchase", F.col("value"))
-    return t.events.select("event_id", F.last(v, True).over(w).alias("filled"), (F.col("event_type") != "purchase").alias("was_missing"))
+    x = R.with_recent(t.events.select("user_id", "ts", "event_id", "event_type", v.alias("v")), "user_id", ["ts", "event_id"], "v", 5)
+    known = F.filter(F.concat("recent", F.array("v")), lambda a: a.isNotNull())
+    return x.select("event_id", F.when(F.size(known) > 0, F.get(known, F.size(known) - 1)).alias("filled"), (F.col("event_type") != "purchase").alias("was_missing"))
 
 
 @query("""with d as (select distinct user_id, ts::date as d from events), g as (select user_id, d, d - (row_number() over (partition by user_id order by d))::int as island from d) select user_id, min(d) as first, max(d) as last, count(*)::bigint as days from g group by user_id, island having count(*) >= 2""")
@@ -619,11 +639,11 @@ def rrf_fusion(t):
     return ranks[0].union(ranks[1]).groupBy("k").agg(F.round(F.sum(1 / (60 + F.col("r"))), 8).alias("rrf"))
 
 
-@query("select i, round(-1000 + sum(f / (1 + rate) ** (p)), 6) as npv from (select i, rate, unnest([400, 400, 400]) as f, unnest([1, 2, 3]) as p from (values (1, 0.05), (2, 0.1), (3, 0.2)) as v(i, rate)) group by i")
+@query("select p_partkey, round(-p_retailprice / 20 + p_size / 1.05 + p_size / pow(1.05, 2) + p_size / pow(1.05, 3), 6) as npv from part")
 def npv_ladder(t):
-    rows = t.spark.createDataFrame([(1, 0.05), (2, 0.1), (3, 0.2)], "i int, rate double")
-    flows = F.array(*(F.lit(float(v)) for v in (-1000, 400, 400, 400)))
-    return rows.select("i", F.round(F.aggregate(F.transform(flows, lambda v, k: v / F.pow(1 + F.col("rate"), k)), F.lit(0.0), lambda s, v: s + v), 6).alias("npv"))
+    """Net present value of parts taken as investments that pay their size for three years, at 5 %."""
+    flows = F.concat(F.array(-F.col("p_retailprice") / 20), F.array_repeat(F.col("p_size").cast("double"), 3))
+    return t.part.select("p_partkey", F.round(F.aggregate(F.transform(flows, lambda v, k: v / F.pow(F.lit(1.05), k)), F.lit(0.0), lambda s, v: s + v), 6).alias("npv"))
 
 
 @query("""select a.p_partkey as a, b.p_partkey as b, round(greatest(least(a.p_size + 10.0, b.p_size + 10.0) - greatest(a.p_size, b.p_size), 0) / (20.0 - greatest(least(a.p_size + 10.0, b.p_size + 10.0) - greatest(a.p_size, b.p_size), 0)), 6) as iou from part a join part b on b.p_partkey = a.p_partkey + 1""")

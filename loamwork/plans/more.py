@@ -7,7 +7,7 @@ from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import graph as G
 from ..operators import relational as R
-from .catalogue import _LINES, query
+from .catalogue import _LINES, _median, _recent, query
 
 # --- reconciliation -------------------------------------------------------------------------------------------------
 
@@ -88,8 +88,8 @@ def next_turn_jaccard(t):
 
 @query("""with x as (select user_id, event_id, value, quantile_cont(value, 0.5) over (partition by user_id order by ts, event_id rows between 4 preceding and current row) as m from events) select user_id, count(*)::bigint as n, round(sum(value - m), 4) as drift from x group by 1""")
 def rolling_median(t):
-    m = F.percentile("value", F.lit(0.5)).over(W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-4, 0))
-    x = t.events.select("user_id", "value", m.alias("m"))
+    recent = _recent(t, "value", 4).select("user_id", "value", F.concat("recent", F.array("value")).alias("v"))
+    x = recent.select("user_id", "value", _median(F.col("v")).alias("m"))
     return x.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value") - F.col("m")), 4).alias("drift"))
 
 
@@ -107,6 +107,16 @@ def oversampled_train(t):
     return train.select("toxic", F.explode(F.sequence(F.lit(1), times))).groupBy("toxic").agg(F.count("*").alias("n"))
 
 
+@query("""with k as (select toxic, count(*) as n from labels where doc_id % 5 <> 0 and toxic is not null group by 1), r as (select toxic, row_number() over (partition by toxic order by md5(doc_id::varchar), doc_id) as r from labels where doc_id % 5 <> 0 and toxic is not null)
+ select toxic, count(*)::bigint as n from r where r <= (select min(n) from k) group by 1""")
+def undersampled_train(t):
+    """The training part with as many rows of each class as the rarest has, chosen by a hash; test rows are left out."""
+    train = t.labels.where("doc_id % 5 <> 0 and toxic is not null").withColumn("h", F.md5(F.col("doc_id").cast("string")))
+    least = train.groupBy("toxic").agg(F.count("*").alias("n")).agg(F.min("n").alias("least"))  # a row
+    x = R.dealt_ranks(train.select("toxic", "h", "doc_id"), "toxic", ["h", "doc_id"], "r").crossJoin(F.broadcast(least))
+    return x.where("r <= least").groupBy("toxic").agg(F.count("*").alias("n"))
+
+
 # --- sketches (bounds, not values) and graphs -----------------------------------------------------------------------
 
 

@@ -96,8 +96,8 @@ def bucketed_join(t):
  select e.event_id, v.value from e left join v on v.user_id = e.user_id and e.ts >= v.valid_from and (e.ts < v.valid_to or v.valid_to is null) and v.valid_from is distinct from v.valid_to""")
 def valid_at(t):
     """A slowly changing value as it was at a purchase: half-open periods, the last one open."""
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    v = t.events.where("event_type = 'view'").withColumn("valid_to", F.lead("ts").over(w)).select("user_id", F.col("ts").alias("valid_from"), "valid_to", "value")
+    views = R.with_recent(t.events.where("event_type = 'view'").select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], "ts", 1, "next", ahead=True)
+    v = views.select("user_id", F.col("ts").alias("valid_from"), F.get("next", F.lit(0)).alias("valid_to"), "value")
     return R.scd_join(t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), v, "user_id", "ts").select("event_id", "value")
 
 
@@ -268,9 +268,11 @@ def two_share_z(t):
     return c.select(F.round(M.z_two_shares(F.col("a"), F.col("n"), F.col("b"), F.col("m")), 6).alias("z"))
 
 
-@query("""select k::int as k, round(factorial(12) / (factorial(k::int) * factorial(12 - k::int)) * pow(0.3, k) * pow(0.7, 12 - k), 8) as pmf from range(0, 13) as r(k)""")
+@query("""select l_linenumber::int as k, count(*)::bigint as n, round(factorial(12) / (factorial(l_linenumber::int) * factorial(12 - l_linenumber::int)) * pow(0.3, l_linenumber) * pow(0.7, 12 - l_linenumber), 8) as pmf from lineitem group by l_linenumber""")
 def binomial_pmf(t):
-    return t.spark.range(13).select(F.col("id").cast("int").alias("k"), F.round(M.binomial(12, 0.3, F.col("id").cast("int")), 8).alias("pmf"))
+    """How often a line number occurs, beside the chance of as many successes in twelve trials."""
+    n = t.lineitem.groupBy(F.col("l_linenumber").cast("int").alias("k")).agg(F.count("*").alias("n"))
+    return n.select("k", "n", F.round(M.binomial(12, 0.3, F.col("k")), 8).alias("pmf"))
 
 
 @query("""select p_partkey, round((100 - p_retailprice / 20) / (p_retailprice / 20), 6) as roi, case when p_size = 0 then 0 else least(ceil(p_retailprice / 20 / p_size), 99)::int end as payback, round(pow(100 / (p_retailprice / 20), 1 / 5.0) - 1, 8) as growth from part""")
@@ -346,6 +348,26 @@ def renumbered_headings(t):
     return t.supplier.select("s_suppkey", C.heading_depth(F.concat(F.lit("## "), number, F.lit(" "), "s_name")).alias("heading"))
 
 
+@query("""select s_suppkey, 'Origin: ' || s_name || case when s_suppkey % 3 = 0 then ' (' || s_nationkey || ')' else '' end as line from supplier""")
+def kept_citations(t):
+    """Lines that name their origins: the first one stays, with the remark in parentheses at the end if there is one."""
+    more = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("; Nation "), "s_nationkey", F.lit("; a third"))).otherwise("")
+    remark = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit(" ("), "s_nationkey", F.lit(")"))).otherwise("")
+    return t.supplier.select("s_suppkey", C.one_citation(F.concat(F.lit("Origin: "), "s_name", more, remark), "Origin").alias("line"))
+
+
+_TITLES = ["on", "er", "de", "th", "nowhere"]
+_FRONT = "b as (select doc_id, case when strpos(text, 'e') > 0 then substr(text, strpos(text, 'e')) else text end as t from documents), f as (select doc_id, regexp_replace(t, '(?s)!!.*$', '') as t from b)"
+
+
+@query(f"""with {_FRONT}, p as (select doc_id, t, unnest({_TITLES}) as title from f), q as (select doc_id, t, title, strpos(t, title) as a from p where strpos(t, title) > 0),
+ z as (select doc_id, t, title, a, row_number() over w as unit, lead(a) over w as e from q window w as (partition by doc_id order by a, title)) select doc_id, unit::int as unit, title, sha256(substr(t, a, coalesce(e, length(t) + 1) - a)) as sha256 from z""")
+def titled_units(t):
+    """Front text cut into units at the first place of each known title, behind its opening and before its first leader."""
+    x = C.titled_units(t.documents.select("doc_id", "text"), _TITLES, "e", "!!")
+    return x.select("doc_id", "unit", "title", F.sha2("text", 256).alias("sha256"))
+
+
 @query(f"""with {_LINES}, f as (select doc_id, line_no, line, sum((line_no % 4 = 2)::int) over (partition by doc_id order by line_no rows unbounded preceding) as u from l)
  select doc_id, u::bigint as unit, count(*)::bigint as n_lines, min(line) filter (line_no % 4 = 2) as title from f where u > 0 group by 1, 2""")
 def named_units(t):
@@ -354,20 +376,64 @@ def named_units(t):
     return C.units(x, F.col("line_no") % 4 == 2).groupBy("doc_id", "unit").agg(F.count("*").alias("n_lines"), F.min(F.when(F.col("line_no") % 4 == 2, F.col("line"))).alias("title"))
 
 
-@query("""select r_regionkey, '# ' || r_name || chr(10) || 'Nations: ' || string_agg(n_name, ', ' order by n_name) as page from region join nation on n_regionkey = r_regionkey group by r_regionkey, r_name""")
-def filled_templates(t):
-    """A page a region from a template with two places."""
-    x = t.nation.groupBy("n_regionkey").agg(F.array_join(F.sort_array(F.collect_list("n_name")), ", ").alias("names")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return x.select("r_regionkey", F.format_string("# %s\nNations: %s", "r_name", "names").alias("page"))
+#: Pages that are made for every region. Places are columns of what _regions() gives.
+_PAGES = {
+    "cover": "# {{name}}\nA volume of {{n_nations}} nations.",
+    "route": "## How to read {{name}}\nBegin with {{first}} and end with {{last}}.",
+    "rules": "## Rules\nEvery nation of {{name}} has {{n_suppliers}} suppliers or fewer.",
+    "dates": "## Dates\n{{name}} was counted with {{n_nations}} nations and {{n_suppliers}} suppliers.",
+    "map": "## Map\n{{names}}",
+    "plan": "## Plan\n1. {{first}}\n2. the others\n3. {{last}}",
+}
+_REGIONS = "r as (select r_regionkey, r_name as name, count(distinct n_nationkey)::varchar as n_nations, count(distinct s_suppkey)::varchar as n_suppliers, min(n_name) as first, max(n_name) as last, string_agg(distinct n_name, ', ' order by n_name) as names from region left join nation on n_regionkey = r_regionkey left join supplier on s_nationkey = n_nationkey group by 1, 2)"
 
 
-@query("""with s as (select 1 as part, '## Suppliers of ' || n_name as head, n_nationkey as k, n_name as o from nation union all select 2, '- ' || s_name, s_nationkey, s_name from supplier) select k, string_agg(head, chr(10) order by part, o) as text from s group by 1""")
+def _regions(t):
+    x = t.region.join(t.nation, F.col("n_regionkey") == F.col("r_regionkey"), "left").join(t.supplier, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    many = lambda c: F.count_distinct(c).cast("string")
+    return x.groupBy("r_regionkey", F.col("r_name").alias("name")).agg(many("n_nationkey").alias("n_nations"), many("s_suppkey").alias("n_suppliers"), F.min("n_name").alias("first"), F.max("n_name").alias("last"), F.array_join(F.sort_array(F.collect_set("n_name")), ", ").alias("names"))
+
+
+def _filled_sql(page: str) -> str:
+    out = "'" + page.replace("\n", "' || chr(10) || '") + "'"
+    for c in ("name", "n_nations", "n_suppliers", "first", "last", "names"):
+        out = out.replace("{{" + c + "}}", f"' || {c} || '")
+    return out
+
+
+@query(f"with {_REGIONS} " + " union all ".join(f"select r_regionkey, '{k}' as page, {_filled_sql(v)} as text from r" for k, v in _PAGES.items()))
+def filled_templates(t):
+    """Six pages a region, each from the template of its name; what an earlier run has written is replaced."""
+    path = D.scratch(t.spark, "pages")
+    C.rendered(_regions(t), _PAGES).write.partitionBy("page").parquet(path)  # of an earlier run
+    C.rendered(_regions(t), _PAGES).write.mode("overwrite").partitionBy("page").parquet(path)
+    return t.spark.read.schema("r_regionkey int, text string, page string").parquet(path).select("r_regionkey", "page", "text")
+
+
+@query("""with s as (
+ select n_nationkey as k, 1 as part, 0 as place, '## ' || n_name as line, '' as o from nation
+ union all select s_nationkey, 2, 0, '- ' || s_name, s_name from supplier
+ union all select c_nationkey, 3, 0, '- ' || c_mktsegment || ': ' || count(*), c_mktsegment from customer group by 1, c_mktsegment
+ union all select n_nationkey, 4, 0, 'In ' || r_name || '.', '' from nation join region on r_regionkey = n_regionkey
+ union all select a.n_nationkey, 5, 0, 'Beside ' || b.n_name || '.', b.n_name from nation a join nation b on a.n_regionkey = b.n_regionkey and a.n_nationkey <> b.n_nationkey
+ union all select c_nationkey, 6, 0, 'Balance: ' || case when sum(c_acctbal) < 0 then 'owed' else 'held' end || '.', '' from customer group by 1)
+ select k, string_agg(line, chr(10) order by part, o) as text, count(distinct part)::bigint as sections from s group by 1""")
 def generated_appendix(t):
-    """An appendix of sections made from two tables, lines in the order of their part and name."""
-    a = t.nation.select(F.lit(1).alias("part"), F.concat(F.lit("## Suppliers of "), "n_name").alias("line"), F.col("n_nationkey").alias("k"), F.col("n_name").alias("o"))
-    b = t.supplier.select(F.lit(2).alias("part"), F.concat(F.lit("- "), "s_name").alias("line"), F.col("s_nationkey").alias("k"), F.col("s_name").alias("o"))
-    parts = F.sort_array(F.collect_list(F.struct("part", "o", "line")))
-    return a.unionByName(b).groupBy("k").agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("text"))
+    """An appendix of six sections made from four tables, lines in the order of their part and name."""
+    line = lambda df, part, text, key, order=F.lit(""): df.select(F.lit(part).alias("part"), order.alias("o"), text.alias("line"), F.col(key).alias("k"))
+    own, other = t.nation, t.nation.select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("r"), F.col("n_nationkey").alias("n"))
+    segments = t.customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
+    balance = t.customer.groupBy("c_nationkey").agg(F.when(F.sum("c_acctbal") < 0, "owed").otherwise("held").alias("b"))
+    beside = own.join(other, (F.col("n_regionkey") == F.col("r")) & (F.col("n_nationkey") != F.col("n")))
+    parts = [
+        line(own, 1, F.concat(F.lit("## "), "n_name"), "n_nationkey"),
+        line(t.supplier, 2, F.concat(F.lit("- "), "s_name"), "s_nationkey", F.col("s_name")),
+        line(segments, 3, F.concat(F.lit("- "), "c_mktsegment", F.lit(": "), "n"), "c_nationkey", F.col("c_mktsegment")),
+        line(own.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")), 4, F.concat(F.lit("In "), "r_name", F.lit(".")), "n_nationkey"),
+        line(beside, 5, F.concat(F.lit("Beside "), "name", F.lit(".")), "n_nationkey", F.col("name")),
+        line(balance, 6, F.concat(F.lit("Balance: "), "b", F.lit(".")), "c_nationkey"),
+    ]
+    return C.appendix(parts, "k")
 
 
 @query("""select p_partkey, p_partkey::int as number, 'Which is ' || p_name || '?' as stem, 4::int as n_options, p_brand as second, ['A', 'B', 'C', 'D'][p_partkey % 4 + 1] as answer from part""")
@@ -440,8 +506,8 @@ def exactly_once_sink(t):
 @query("""with o as (select user_id, event_type, lag(event_type) over (partition by user_id order by ts, event_id) as before from events) select before, event_type, count(*)::bigint as n from o where before is not null group by 1, 2""")
 def ordered_by_key(t):
     """Steps from one event of a user to the next: keyed by user, in order of time within the key."""
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    x = t.events.select("event_type", F.lag("event_type").over(w).alias("before")).where("before is not null")
+    x = R.with_recent(t.events.select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"], "event_type", 1)
+    x = x.select("event_type", F.get("recent", F.lit(0)).alias("before")).where("before is not null")
     return x.groupBy("before", "event_type").agg(F.count("*").alias("n"))
 
 
@@ -520,6 +586,14 @@ def wrapped_callouts(t):
     return V.rewrite_documents(t.nation.select(F.col("n_nationkey").alias("doc_id"), text.alias("text"))).select(F.col("doc_id").alias("n_nationkey"), "text")
 
 
+@query("""select r_regionkey, string_agg('::: definition' || chr(10) || n_name || ': a nation' || chr(10) || 'of ' || n_nationkey || chr(10) || ':::' || chr(10) || chr(10) || n_name || ': again', chr(10) order by n_name) as text, count(*)::int as n_found from region join nation on n_regionkey = r_regionkey group by 1""")
+def defined_callouts(t):
+    """Definitions of a region's nations in their order, fenced up to a blank line; a second one of the same is left as it is."""
+    part = F.concat("n_name", F.lit(": a nation\nof "), "n_nationkey", F.lit("\n\n"), "n_name", F.lit(": again"))
+    x = t.nation.groupBy(F.col("n_regionkey").alias("doc_id")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_name", part.alias("p")))), lambda r: r["p"]), "\n").alias("text"), F.sort_array(F.collect_list("n_name")).alias("terms"))
+    return V.defined_callouts(x).select(F.col("doc_id").alias("r_regionkey"), "text", "n_found")
+
+
 @query("""with l as (select n_nationkey as doc_id, 1 as line_no, 'In:' as line, 0 as k, null as r from nation union all select n_nationkey, 2, null, 1, n_regionkey from nation),
  f as (select r_regionkey as r, unnest(string_split(r_name, ' ')) as line, generate_subscripts(string_split(r_name, ' '), 1) - 1 as sub_no from region)
  select doc_id, line_no, 0 as sub_no, line from l where k = 0 union all select doc_id, line_no, f.sub_no::int, f.line from l join f on f.r = l.r where k = 1""")

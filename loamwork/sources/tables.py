@@ -36,6 +36,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sized(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df, to be broadcast if it has at most so many rows (it reads no more than it must to tell)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def page_array(df: DataFrame, json: str = "value", doc: str = "doc_id") -> DataFrame:
     """doc_id, page_no (from 1), text: a row for each page of a JSON array of pages. Null or broken JSON has none."""
     return df.select(doc, F.posexplode(F.from_json(json, "array<string>")).alias("p", "text")).select(doc, (F.col("p") + 1).alias("page_no"), "text")

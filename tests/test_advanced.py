@@ -266,3 +266,34 @@ def test_laws_against_sums(spark, n):
         i = int(r["k"]) + 1
         assert r["b"] == pytest.approx(math.fsum(map(math.exp, logs[:i])), abs=1e-8) and r["p"] == pytest.approx(math.fsum(map(math.exp, rare[:i])), abs=1e-8)
         assert r["g"] == pytest.approx(math.lgamma(r["k"] + 0.5), abs=1e-9, rel=1e-12)
+
+
+def test_recent_values_of_a_hot_key(spark):
+    from loamwork.operators import relational as R
+
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["hot", "hot", "a", None]), 1_700_000_000 + rng.randrange(40 * 86_400), rng.choice([None, 1.0, 2.0, 3.0])) for i in range(400)]
+    df = spark.createDataFrame(rows, "i long, k string, s long, v double").select("i", "k", F.when(F.col("i") % 50 != 0, F.timestamp_seconds("s")).alias("ts"), "v")
+    for k, ahead in ((1, False), (3, False), (2, True)):
+        want = {}
+        for key in {r[1] for r in rows}:
+            own = sorted((r for r in rows if r[1] == key), key=lambda r: (r[0] % 50 != 0, r[2] if r[0] % 50 else 0, r[0]), reverse=ahead)
+            want |= {r[0]: [x[3] for x in own[max(0, n - k) : n]] for n, r in enumerate(own)}
+        got = R.with_recent(df, "k", ["ts", "i"], "v", k, ahead=ahead)
+        assert got.columns == ["i", "k", "ts", "v", "recent"] and {r["i"]: r["recent"] for r in got.collect()} == want
+
+
+def test_units_citations_and_definitions(spark):
+    from loamwork.operators import corpus as C
+    from loamwork.operators import rewrite as V
+
+    docs = spark.createDataFrame([(1, "skip Part two: B is b, A is a. . . . 9 A"), (2, "no opening A"), (3, None), (4, "Part")], "doc_id long, text string")
+    got = [(r["doc_id"], r["unit"], r["title"], r["text"]) for r in C.titled_units(docs, ["A", "B", "C"], "Part", r"( \.){2,}").orderBy("doc_id", "unit").collect()]
+    assert got == [(1, 1, "B", "B is b, "), (1, 2, "A", "A is a."), (2, 1, "A", "A")]
+    line = spark.createDataFrame([("Origin: x; y (z)",), ("Origin: x",), ("Other: a; b",), ("Origin: x y ; (q) ; z",)], "t string").select(C.one_citation(F.col("t"), "Origin").alias("t"))
+    assert [r["t"] for r in line.collect()] == ["Origin: x (z)", "Origin: x", "Other: a; b", "Origin: x y ; (q) ; z"]
+    assert V.wrap_defined(["B: no", "A: is", "more", "", "A: again", "B: x", "C: y"], ["A", "B", "C"]) == (["B: no", "::: definition", "A: is", "more", ":::", "", "A: again", "::: definition", "B: x", ":::", "::: definition", "C: y", ":::"], 3)
+    x = V.defined_callouts(spark.createDataFrame([(1, "A: b", None), (2, None, ["A"])], "doc_id int, text string, terms array<string>"))
+    assert [(r["text"], r["n_found"]) for r in x.orderBy("doc_id").collect()] == [("A: b", 0), (None, 0)]
+    with pytest.raises(Exception, match="no value for b"):
+        C.rendered(spark.createDataFrame([("x",)], "a string"), {"p": "{{a}} {{b}}"}).collect()
