@@ -464,6 +464,25 @@ def test_kneser_ney_against_brute_force(spark, at_once):
                 assert got[i]["runs"] == 0
 
 
+def test_runs_of_long_texts_come_in_pieces():
+    rng = random.Random(3)
+    for most in (1, 5, 40):
+        texts = ["".join(rng.choice("abÉ ß \n1.İΣ") for _ in range(rng.choice([0, 3, 30, 200]))).replace("Σ", "s" if most < 9 else "Σ") for _ in range(120)]
+        want, got = [[] for _ in texts], [[] for _ in texts]
+        for t, g in zip(*langid._runs(texts)[::-1]):
+            want[t].append(int(g))
+        for a, _, g, doc in langid._batches(texts, most):
+            for t, x in zip(doc, g):
+                got[a + t].append(int(x))
+        assert got == want
+
+
+def test_identify_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, "ab cd " * 9 if i % 2 else "xy zw " * 9, "pq"[i % 2], 7, "r") for i in range(40)], "doc_id long, text string, lang string, ce int, runs string")
+    got = langid.identify(docs.select("doc_id", "text", "ce", "runs"), langid.fit(docs)).collect()
+    assert all(r["ce"] == 7 and r["runs"] == "r" and r["lang_pred"] == "pq"[r["doc_id"] % 2] for r in got)
+
+
 def test_too_many_languages(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_LANGS", 1)
     with pytest.raises(ValueError, match="languages"):
