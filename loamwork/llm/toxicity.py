@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, materialize, ship
+from .common import crc_mod, materialize, rows_at_most, ship
 from .textkernel import Words, chunks
 
 #: Labelled rows that a model is fitted on, at most (the lowest hashes of their doc_id).
 MAX_LABELS = 400_000
-#: Words that a model keeps, at most: those of the largest scores, toxic or clean. Only words that the labelled rows
-#: prove something of are kept at all.
-MAX_WORDS = 2_000_000
+#: Words that a model may have (16 bytes each, broadcast); more are an error. Only words that the labelled rows prove
+#: something of are kept, and of those rows there are MAX_LABELS at most.
+MAX_WORDS = 8_000_000
 #: Score of a word that nothing is proved of, and the least score of one that is proved clean.
 BASE, FLOOR = -0.5, -4.0
 
@@ -132,8 +132,8 @@ def _gains(counts: DataFrame, total: dict, halves: tuple[int, ...], least: float
     delta, error = odds(toxic, n_toxic) - odds(clean, n_clean), F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
     seen = counts.where(toxic + clean > 0).select("word", (delta - error).alias("up"), F.greatest(delta + error, F.lit(FLOOR)).alias("down"))
     best = seen.select("word", F.when(F.col("up") >= least, F.col("up")).when(F.col("down") < BASE, F.col("down")).alias("gain")).where("gain is not null")
-    if best.count() > MAX_WORDS:
-        best = best.orderBy(F.desc(F.abs("gain")), "word").limit(MAX_WORDS)
+    if not rows_at_most(best, MAX_WORDS):
+        raise ValueError(f"over {MAX_WORDS} words: fit on fewer labelled rows, or raise the bound")
     best = best.toArrow()
     h = best.column("word").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(h)
