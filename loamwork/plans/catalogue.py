@@ -164,9 +164,10 @@ def source_share_pct(t):
     return n.crossJoin(F.broadcast(total)).select("source", "n", F.bround(100 * F.col("n") / F.col("t")).cast("long").alias("pct")).orderBy(F.desc("n"), "source")
 
 
-@query()
+@query("""with w as (select doc_id, string_split(text, ' ') as w from documents), s as (select doc_id, list_filter(list_transform(range(0, len(w)), lambda i: {'first': i, 'past': i + 1 + length(w[i + 1]) % 3, 'last': 0, 'n': 0}), lambda x: x.past > x.first + 1) as s from w)
+ select doc_id, list_reduce(list_prepend({'first': 0, 'past': 0, 'last': 0, 'n': 0}, s), lambda a, x: case when x.first >= a.last then {'first': 0, 'past': 0, 'last': x.past, 'n': a.n + 1} else a end).n::bigint as n from s""")
 def greedy_spans(t):
-    """Spans of capitals and of digits in each document, those kept that overlap none before. Checked in tests."""
+    """Spans of words by their lengths in each document, those kept that overlap none before."""
     words = F.split("text", " ")
     at = F.transform(words, lambda w, i: F.struct(i.alias("first"), (i + 1 + F.pmod(F.length(w), F.lit(3))).cast("int").alias("past")))
     spans = C.greedy_spans(F.filter(at, lambda s: s["past"] > s["first"] + 1))
@@ -685,7 +686,11 @@ def residual_wraps(t):
     return x.groupBy("doc_id").agg(F.count_if((F.length("line") >= 40) & ~F.col("line").rlike("[.!?:]$") & (F.col("nxt") != "")).alias("n_open"))
 
 
-@query()
+@query(r"""with l as (select doc_id, list_transform(string_split(text, chr(10)), lambda x: {'done': '', 'line': x, 'last': x, 'n': 0}) as l from documents),
+ u as (select doc_id, list_reduce(l, lambda a, x: case when x.line <> '' and length(a.last) >= 40 and not regexp_matches(a.last, '[.!?:。！？：]$') and not regexp_matches(x.line, '^(\s|[-*+>#|]|[0-9]+[.)]|```)')
+   then {'done': a.done, 'line': a.line || case when regexp_matches(a.line, '[A-Za-z0-9,;]$') and regexp_matches(x.line, '^[A-Za-z0-9]') then ' ' else '' end || x.line, 'last': x.last, 'n': a.n + 1}
+   else {'done': a.done || a.line || chr(10), 'line': x.line, 'last': x.last, 'n': a.n} end) as u from l)
+ select doc_id, sha256(u.done || u.line) as sha256, u.n::bigint as n_merged from u""")
 def unwrapped_documents(t):
     return S.unwrap(t.documents.select("doc_id", "text")).select("doc_id", F.sha2("text", 256).alias("sha256"), "n_merged")
 
