@@ -46,6 +46,48 @@ def test_near_duplicate_stage_against_brute_force(stages):
     assert {r["doc_id"] for r in after.collect()} == {i for i, c in want.items() if i == c}
 
 
+def test_line_stage_against_brute_force(stages):
+    """What the stage cuts stands in an earlier place, line for line, and no line in a repeat of 50 words by itself is left."""
+    from test_operators import WORD, brute_lines
+
+    _, before, after = stages[1]
+    old, new = ({r["doc_id"]: r["text"] for r in x.collect()} for x in (before, after))
+    lines = {d: t.split("\n") for d, t in old.items()}
+    small = [(d, t) for d, t in old.items() if len(t) < 6000]  # all pairs of lines of all texts would take long
+    long_lines = {x for t in old.values() if len(t) >= 6000 for x in t.split("\n")}
+    may, sure = brute_lines(small, 25), brute_lines(small, 50)
+    words = lambda text: [x for x in text if WORD.search(x)]
+    assert len(sure) > 5
+    for d, _ in small:
+        left = new[d].split("\n")
+        assert not new[d] or set(left) <= set(lines[d])
+        if not long_lines & set(lines[d]):
+            assert len(words(lines[d])) - len(words(left)) <= len(may.get(d, ()))
+        alone = [k for k in sure.get(d, ()) if len(WORD.findall(lines[d][k])) >= 50]
+        assert all(lines[d][k] not in left or lines[d].count(lines[d][k]) > len(alone) for k in alone)
+
+
+def test_mix_stage(stages):
+    """Every source comes near its target, no document exceeds three times its size, and slots hold the words they name."""
+    from test_operators import WORD, plain_targets
+
+    _, before, after = stages[4]
+    docs = {r["doc_id"]: (r["source"], WORD.findall(r["text"] or "")) for r in before.collect()}
+    size, taken, by_doc = {}, {}, {}
+    for s, w in docs.values():
+        size[s] = size.get(s, 0) + len(w)
+    for r in after.collect():
+        source, words = docs[r["doc_id"]]
+        assert r["source"] == source and len(r["text"].split(" ")) == r["n_words"]
+        run = r["text"].split(" ")
+        assert any(words[i : i + len(run)] == run for i in range(len(words) - len(run) + 1))
+        taken[source] = taken.get(source, 0) + r["n_words"]
+        by_doc[r["doc_id"]] = by_doc.get(r["doc_id"], 0) + r["n_words"]
+    want = dict(zip(size, plain_targets(list(size.items()))))
+    assert all(abs(taken.get(s, 0) - want[s]) <= 0.05 * want[s] + 64 for s in size)
+    assert all(n <= 3 * len(docs[d][1]) for d, n in by_doc.items())
+
+
 def test_run_repeats(spark, sf):
     a, b = (sorted(map(str, corpus_pipeline.run(spark, sf).collect())) for _ in range(2))
     assert a == b
