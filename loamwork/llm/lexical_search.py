@@ -23,7 +23,7 @@ from .common import arrow_field, materialize, release, ship, unused
 
 #: Items, and bytes of their texts, that one pass over the documents looks for, at most (one item is never parted). Items
 #: are numbered in 16 bits.
-ITEMS_AT_ONCE, BYTES_AT_ONCE = 20_000, 64_000_000
+ITEMS_AT_ONCE, BYTES_AT_ONCE = 20_000, 8_000_000
 #: Triples that are sorted at once, about: one document's are never parted.
 TRIPLES_AT_ONCE = 2_000_000
 #: Bytes of a text that are parted at once.
