@@ -568,6 +568,30 @@ def quality_by_language(t):
     return x.groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg(F.col("quality").cast("double")), 8).alias("good"))
 
 
+_RULES_OF = {
+    "shouting": r"10 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(regexp_replace(text, '[^A-Za-z]', '', 'g'))",
+    "symbols": r"10 * length(regexp_replace(text, '[^#$%&*!]', '', 'g')) > length(text)",
+    "short": "length(text) < 200",
+}
+
+
+@query(
+    "with d as (select documents.*, toxic, quality from documents join labels using (doc_id)), r as ("
+    + " union all ".join(f"select '{n}' as rule, {p} as hit, toxic, quality from d" for n, p in _RULES_OF.items())
+    + """) select rule, count(*) filter (hit)::bigint as hits, count(*) filter (hit and toxic = 1)::bigint as toxic_hits, count(*) filter (hit and quality = 0)::bigint as poor_hits,
+ round(count(*) filter (hit and toxic = 1) / nullif(count(*) filter (toxic = 1), 0), 8) as toxic_recall, round(count(*) filter (hit and quality = 0) / nullif(count(*) filter (quality = 0), 0), 8) as poor_recall from r group by rule"""
+)
+def rules_against_labels(t):
+    """Score rules as columns, each held against the labels of toxicity and of quality."""
+    part = lambda kept: F.length(F.regexp_replace("text", kept, ""))
+    rules = {"shouting": 10 * part("[^A-Z]") > 3 * part("[^A-Za-z]"), "symbols": 10 * part("[^#$%&*!]") > F.length("text"), "short": F.length("text") < 200}
+    x = t.documents.select("doc_id", F.array(*(F.struct(F.lit(n).alias("rule"), c.alias("hit")) for n, c in rules.items())).alias("r")).join(t.labels, "doc_id")
+    x = x.select("toxic", "quality", F.inline("r"))
+    toxic, poor = F.col("toxic") == 1, F.col("quality") == 0
+    share = lambda kind: F.count_if(F.col("hit") & kind) / F.nullif(F.count_if(kind), F.lit(0))
+    return x.groupBy("rule").agg(F.count_if("hit").alias("hits"), F.count_if(F.col("hit") & toxic).alias("toxic_hits"), F.count_if(F.col("hit") & poor).alias("poor_hits"), F.round(share(toxic), 8).alias("toxic_recall"), F.round(share(poor), 8).alias("poor_recall"))
+
+
 # --- expansion and rewriting ----------------------------------------------------------------------------------------
 
 
