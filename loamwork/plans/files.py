@@ -26,6 +26,16 @@ def form_feed_pages(t):
     return B.form_feed_pages(t.documents.select("doc_id", F.replace("text", F.lit("\n"), F.lit("\f")).alias("text")))
 
 
+@query("""select line, count(*)::bigint as n from (select unnest(string_split('head' || chr(10) || text, chr(10))) as line from documents) group by 1""")
+def copied_texts(t):
+    """Texts in files that begin with a byte-order mark, copied without it: every line, and how often it stands."""
+    path = D.scratch(t.spark, "marked")
+    t.documents.select(F.concat(F.lit("\ufeffhead\n"), "text").alias("v")).write.text(path)
+    lines = D.text_copy(t.spark, path, D.scratch(t.spark, "copied"))
+    # only a file's own beginning loses its mark; the other texts of a file keep theirs
+    return lines.groupBy(F.regexp_replace("line", "^\ufeffhead$", "head").alias("line")).agg(F.count("*").alias("n"))
+
+
 @query("""select n_name as code, coalesce(max(s_name), 'none') as name from nation left join supplier on s_nationkey = n_nationkey group by 1""")
 def csv_last_key_wins(t):
     """A headed CSV with a byte-order mark in which a key comes again and again: the last row counts."""

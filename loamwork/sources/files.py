@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.window import Window as W
 
 
 #: Rules of one document, at most: they become constants of a plan.
@@ -60,6 +61,16 @@ def text_files(spark: SparkSession, root: str, globs: list[str]) -> DataFrame:
     return out.select(rel.alias("relpath"), "text").dropDuplicates(["relpath"])
 
 
+def text_copy(spark: SparkSession, path: str, to: str) -> DataFrame:
+    """Copies text files, line for line, without the byte-order mark that a file may begin with, and returns relpath, line of
+    the copy. A file's lines are kept apart by its name, a folder each; a mark within a file is text."""
+    x = spark.read.text(path).select(F.url_decode("_metadata.file_name").alias("relpath"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("n"))
+    first = (F.col("start") == 0) & F.startswith("value", F.lit("\ufeff"))
+    line = F.when(first & (F.row_number().over(W.partitionBy("relpath", "start").orderBy("n")) == 1), F.substr("value", F.lit(2))).otherwise(F.col("value"))
+    x.withColumn("value", line).sortWithinPartitions("relpath", "start", "n").select("relpath", "value").write.mode("overwrite").partitionBy("relpath").text(to)
+    return spark.read.schema("value string, relpath string").text(to).select("relpath", F.col("value").alias("line"))
+
+
 def csv_columns(spark: SparkSession, path: str, schema: str, columns: list[str]) -> DataFrame:
     """Some columns of a headed CSV of a known schema: nothing is inferred, and only these columns are parsed."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path).select(*columns)
@@ -90,8 +101,7 @@ def findings_report(found: DataFrame, path: str) -> DataFrame:
 
     A check with very many findings has as many lines, in as many files as there were tasks: nothing is gathered."""
     found.write.mode("overwrite").partitionBy("check").json(path)
-    lines = found.sparkSession.read.schema("value string").text(path)
-    return lines.select(F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "check=([^/]*)/", 1)).alias("check"), F.col("value").alias("line"))
+    return found.sparkSession.read.schema("value string, check string").text(path).select("check", F.col("value").alias("line"))
 
 
 def markdown_table(rows: DataFrame, key: str, order: str, cells: str = "cells") -> DataFrame:

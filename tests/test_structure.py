@@ -63,3 +63,13 @@ def test_sources(spark, tmp_path):
     got = [r["found"] for r in tables.allow_list(spark, f"file://{tmp_path}/b*.tsv").orderBy("rule_order").collect()]
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == [f"{k}-{i}" for k in range(9) for i in range(200 * (9 - k))]
+
+
+def test_text_copy(spark, tmp_path):
+    from loamwork.sources import files
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a b.txt").write_text("\ufeffone\n\ufefftwo\n\nthree\n", encoding="utf-8")
+    (tmp_path / "in" / "c.txt").write_text("four\n", encoding="utf-8")
+    got = sorted((r["relpath"], r["line"]) for r in files.text_copy(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").collect())
+    assert got == sorted([("a b.txt", "one"), ("a b.txt", "\ufefftwo"), ("a b.txt", ""), ("a b.txt", "three"), ("c.txt", "four")])
