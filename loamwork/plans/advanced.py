@@ -185,7 +185,7 @@ def mean_balance_p(t):
 
 @query(f"""with c as (select c_nationkey as k, count(distinct c_mktsegment) as kinds, count(*) as n from customer group by 1), o as (select c_nationkey as k, c_mktsegment as s, count(*)::double as o from customer group by all),
  x as (select k, any_value(kinds)::double - 1 as df, sum((o - n / kinds) ** 2 / (n / kinds)) as chi2 from o join c using (k) group by k)
- select k, round(chi2, 6) as chi2, round(1 - {_integral("case when (@) = 0 then (case when df = 2 then 0.5 else 0 end) else exp((df / 2 - 1) * ln(@) - (@) / 2 - lgamma(df / 2)) / pow(2, df / 2) end", "0", "chi2")}, 6) as p from x where df > 2""")
+ select k, round(chi2, 6) as chi2, round(1 - {_integral("2 * pow(@, df - 1) * exp(-(@) * (@) / 2 - lgamma(df / 2)) / pow(2, df / 2)", "0", "sqrt(chi2)")}, 6) as p from x where df > 2""")
 def even_segments_p(t):
     """Whether a nation's customers are spread evenly over segments: Pearson's statistic and its p-value."""
     n = t.customer.groupBy(F.col("c_nationkey").alias("k"), "c_mktsegment").agg(F.count("*").cast("double").alias("o"))
