@@ -39,6 +39,14 @@ def test_table_caps(spark):
     assert got == [(1, 3, 2), (5, 19, 12), (26, 1, 0)]
 
 
+def test_long_lines(spark):
+    plain, columns, dots = "word " * 30_000, "word  " * 500, ". " * 30_000
+    x = lines(spark, f"{plain}\n{columns}\n{dots}")
+    got = x.orderBy("line_no").select(F.size(L.segments(F.col("line"))).alias("n"), L.dot_leader(F.col("line")).alias("d"), F.element_at(L.segments(F.col("line")), -1)["first"].alias("last")).collect()
+    assert [(r["n"], r["d"], r["last"]) for r in got] == [(1, False, 0), (500, False, 6 * 499), (1, True, 0)]
+    assert [(r["first"], r["n_lines"], r["n_absorbed"]) for r in L.table_blocks(x).collect()] == [(2, 1, 0)]
+
+
 def test_own_style(spark):
     own = L.Style(badges=("Hot (new) one",), asks="Now what")
     x = lines(spark, "Hot (new) one\nBasics\nstem\nNow what is it?")
