@@ -2,7 +2,8 @@
 
 A text's set is its distinct shingles of five words. The shingles are hashed into groups, and the counts by group are a
 point; two sets overlap by at most the sum over groups of the smaller count, and a tree node's overlap with a point is
-bounded by its largest corner. Pairs that no bound excludes are verified on the sets.
+bounded by its largest corner. Pairs that no bound excludes, neither that of the counts nor a closer one of bitmaps, are
+verified on the sets.
 
 One tree over all points would not split well in so many dimensions, nor fit one machine, so there is a forest: a tree
 for each set of texts that share one of their least shingle hashes. Texts with one set are one class throughout.
@@ -69,7 +70,34 @@ def _class_id(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
 def _points(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
     flat = np.bincount(doc * GROUPS + (h >> _U(58)).astype(np.int64), minlength=(len(ptr) - 1) * GROUPS)
-    return np.minimum(flat, 0xFFFFFFFF).astype("<u4").reshape(-1, GROUPS)
+    # the narrowest type that holds the counts: a bound reads 64 of them
+    kind = next(t for t in ("<u1", "<u2", "<u4") if t == "<u4" or flat.max(initial=0) <= np.iinfo(t).max)
+    return np.minimum(flat, 0xFFFFFFFF).astype(kind).reshape(-1, GROUPS)
+
+
+def _marks(h: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a bitmap of each set, by low bits of its hashes; how many of its members share a bit with an earlier one).
+
+    Bitmaps have about 8 to 16 bits a member of a set of mean size, 512 at least: an eighth to a quarter of the sets' bytes."""
+    n = np.diff(ptr)
+    bits = max(512, 1 << int(8 * max(1, len(h) // max(1, len(n))) - 1).bit_length())
+    at, out, twice, rows = (h & _U(bits - 1)).astype(np.int64), [], [], max(1, (1 << 23) // bits)
+    for x in range(0, len(n), rows):
+        y = min(x + rows, len(n))
+        flags = np.zeros((y - x) * bits, bool)
+        flags[np.repeat(np.arange(y - x) * bits, n[x:y]) + at[ptr[x] : ptr[y]]] = True
+        flags = flags.reshape(y - x, bits)
+        out.append(np.packbits(flags, axis=1).view(np.uint64))
+        twice.append(n[x:y] - flags.sum(axis=1))
+    return np.concatenate(out), np.concatenate(twice)
+
+
+def _common_at_most(marks: np.ndarray, twice: np.ndarray, i: np.ndarray, k: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """What sets i and k share at most, for many pairs: bits that both have, and members of either that share a bit."""
+    out = np.minimum(twice[i], twice[k])
+    for x in range(0, len(i), step):
+        out[x : x + step] += np.bitwise_count(marks[i[x : x + step]] & marks[k[x : x + step]]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -148,7 +176,8 @@ class Tree:
             levels.append((parts, new))
             parts = new
         self.leaves = parts
-        self.top = np.stack([points[p].max(axis=0) for p in parts]).astype(np.int64)
+        self.order, self.starts = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
+        self.top = np.stack([points[p].max(axis=0) for p in parts])
         self.least, self.most = np.array([n[p].min() for p in parts]), np.array([n[p].max() for p in parts])
         # inner nodes: every run of 2 ** k leaves, bottom up
         self.levels = [(self.top, self.least, self.most)]
@@ -157,15 +186,30 @@ class Tree:
             at = np.arange(0, len(a), 8)
             self.levels.append((np.maximum.reduceat(t, at), np.minimum.reduceat(a, at), np.maximum.reduceat(b, at)))
 
-    def search(self, points: np.ndarray, n: np.ndarray):
-        """(query, point, bound of the overlap) that no bound excludes, for each block of queries."""
+    def _joined(self, comp: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The least and the greatest component of each node's points, level by level."""
+        c = comp[self.order]
+        out = [(np.minimum.reduceat(c, self.starts), np.maximum.reduceat(c, self.starts))]
+        for _ in self.levels[1:]:
+            lo, hi = out[-1]
+            at = np.arange(0, len(lo), 8)
+            out.append((np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)))
+        return out
+
+    def search(self, points: np.ndarray, n: np.ndarray, labels):
+        """(query, point, bound of the overlap) that no bound excludes, for each block of queries.
+
+        labels() gives the components of the tree's points and of the queries at that time: pairs within one, and nodes all
+        of whose points are in the query's, are passed over."""
         root = len(self.levels[-1][1])
         for a in range(0, len(n), 64):
-            q, m = points[a : a + 64].astype(np.int64), n[a : a + 64]
+            comp, own = labels()
+            same, own = self._joined(comp), own[a : a + 64]
+            q, m = points[a : a + 64], n[a : a + 64]
             i, k = np.repeat(np.arange(len(m)), root), np.tile(np.arange(root), len(m))
             for depth in range(len(self.levels) - 1, -1, -1):
-                top, least, most = self.levels[depth]
-                ok = (DEN * most[k] >= NUM * m[i]) & (DEN * m[i] >= NUM * least[k])
+                (top, least, most), (lo, hi) = self.levels[depth], same[depth]
+                ok = (DEN * most[k] >= NUM * m[i]) & (DEN * m[i] >= NUM * least[k]) & ((lo[k] != own[i]) | (hi[k] != own[i]))
                 i, k = i[ok], k[ok]
                 small = np.maximum(least[k], -(-NUM * m[i] // DEN))
                 ok = _overlap(q, i, top, k) >= needed(m[i], small)
@@ -178,6 +222,8 @@ class Tree:
                 continue
             size = np.array([len(self.leaves[x]) for x in k])
             i, p = np.repeat(i, size), np.concatenate([self.leaves[x] for x in k])
+            ok = (comp[p] != own[i]) & (DEN * np.minimum(m[i], self.n[p]) >= NUM * np.maximum(m[i], self.n[p]))
+            i, p = i[ok], p[ok]
             bound = _overlap(q, i, self.points, p)
             ok = bound >= needed(m[i], self.n[p])
             yield i[ok] + a, p[ok], bound[ok]
@@ -187,7 +233,7 @@ def _overlap(a: np.ndarray, i: np.ndarray, b: np.ndarray, k: np.ndarray, step: i
     """Sum over groups of the smaller of a[i] and b[k], for many pairs, in pieces that stay small in memory."""
     out = np.zeros(len(i), np.int64)
     for x in range(0, len(i), step):
-        out[x : x + step] = np.minimum(a[i[x : x + step]], b[k[x : x + step]]).sum(axis=1)
+        out[x : x + step] = np.minimum(a[i[x : x + step]], b[k[x : x + step]]).sum(axis=1, dtype=np.int64)
     return out
 
 
@@ -197,16 +243,35 @@ def tree_links(cls: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None
     side (0 or 1): only pairs across count. A pair whose ends are joined already, by a link found here or by the same
     value in joined, is not verified."""
     ptr = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    points, n = _points(np.concatenate(sets), ptr), np.diff(ptr)
+    flat = np.concatenate(sets)
+    points, n = _points(flat, ptr), np.diff(ptr)
     a = np.arange(len(sets)) if side is None else np.flatnonzero(side == 0)
     b = a if side is None else np.flatnonzero(side == 1)
     if not len(a) or not len(b):
         return []
     comp = np.arange(len(sets)) if joined is None else np.unique(joined, return_inverse=True)[1]
     tree, out = Tree(points[a], n[a]), []
-    for q, p, bound in tree.search(points[b], n[b]):
+    marks, twice = _marks(flat, ptr)
+
+    def verify(me: int, it: int) -> None:
+        i = len(np.intersect1d(sets[me], sets[it], assume_unique=True))
+        if DEN * i >= NUM * (n[me] + n[it] - i):
+            out.append((int(cls[me]), int(cls[it])))
+            comp[comp == comp[it]] = comp[me]
+
+    if side is None:  # neighbours in the tree first: most of a group of near copies is one component from then on
+        near = a[tree.order]
+        q, p = near[:-1], near[1:]
+        ok = _common_at_most(marks, twice, q, p) >= needed(n[q], n[p])
+        for me, it in zip(q[ok], p[ok]):
+            if comp[me] != comp[it]:
+                verify(me, it)
+    for q, p, bound in tree.search(points[b], n[b], lambda: (comp[a], comp[b])):
         q, p = b[q], a[p]
         ok = q > p if side is None else np.ones(len(q), bool)
+        q, p = q[ok], p[ok]
+        bound = np.minimum(bound[ok], _common_at_most(marks, twice, q, p))
+        ok = bound >= needed(n[q], n[p])
         q, p, bound = q[ok], p[ok], bound[ok]
         order = np.lexsort((-bound, q))
         q, p = q[order], p[order]
@@ -215,10 +280,7 @@ def tree_links(cls: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None
             me, others = q[x], p[x:y]
             while len(others := others[comp[others] != comp[me]]):
                 it, others = others[0], others[1:]
-                i = len(np.intersect1d(sets[me], sets[it], assume_unique=True))
-                if DEN * i >= NUM * (n[me] + n[it] - i):
-                    out.append((int(cls[me]), int(cls[it])))
-                    comp[comp == comp[it]] = comp[me]
+                verify(me, it)
     return out
 
 

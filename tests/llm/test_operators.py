@@ -756,6 +756,32 @@ def test_tree_bounds_lose_no_link(seed):
     assert {i: find(i) for i in keep} == want
 
 
+def test_tree_verifies_few_pairs(monkeypatch):
+    """Texts of one form (half of each is alike) and near copies: links as by brute force, and few sets are met in full."""
+    rng = np.random.default_rng(5)
+    draw = lambda n: rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    form, base = draw(200), draw(400)
+    sets = [np.unique(np.concatenate([form, draw(200)])) for _ in range(300)]
+    sets += [np.unique(np.concatenate([base[rng.permutation(400)[:380]], draw(20)])) for _ in range(300)]
+    sets += [np.unique(np.concatenate([x[rng.permutation(len(x))[:360]], draw(40)])) for x in sets[:40]]
+    met, plain = [0], np.intersect1d
+    monkeypatch.setattr(np, "intersect1d", lambda *a, **k: (met.__setitem__(0, met[0] + 1), plain(*a, **k))[1])
+    links = jaccard_join.tree_links(np.arange(len(sets)), sets)
+    met = met[0]
+    comp = np.arange(len(sets))
+    for a, b in links:
+        comp[comp == comp[b]] = comp[a]
+    want = np.arange(len(sets))
+    for a in range(len(sets)):
+        for b in range(a):
+            i = len(plain(sets[a], sets[b], assume_unique=True))
+            if 100 * i >= 75 * (len(sets[a]) + len(sets[b]) - i):
+                want[want == want[b]] = want[a]
+                assert comp[a] == comp[b]
+    assert len(set(comp)) == len(set(want)) == 301 and len(links) == len(sets) - 301
+    assert met < 3 * len(sets)
+
+
 @pytest.mark.parametrize("pivots", [32, 2, 0])
 def test_jaccard_chunks_lose_no_link(spark, monkeypatch, pivots):
     monkeypatch.setattr(jaccard_join, "CHUNK", 7)
