@@ -74,12 +74,11 @@ def bootstrap_mean(df: DataFrame, column: str, key: str, rounds: int, seed: int
         cut += math.exp(-1) / math.factorial(k)
         law.append(cut)
 
-    def times(u, r):
-        p = F.pmod(F.xxhash64(u, r, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-        return sum((F.when(p >= c, 1).otherwise(0) for c in law), F.lit(0))
-
     x = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"), F.col(key).alias("u"))
-    drawn = x.select("v", F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(rounds)), lambda r: times(F.col("u"), r))).alias("r", "k")).where("k > 0")
+    # rows are exploded before they are drawn: compiled code hashes a row once a round, a function over an array once a cut
+    each = x.select("v", "u", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("__r"))
+    each = each.withColumn("p", F.pmod(F.xxhash64("u", "__r", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30))
+    drawn = each.select("v", (F.col("__r") - 1).alias("r"), sum((F.when(F.col("p") >= c, 1).otherwise(0) for c in law), F.lit(0)).alias("k")).where("k > 0")
     means = drawn.groupBy("r").agg((F.sum(F.col("k") * F.col("v")) / F.sum("k")).alias("m"))
     whole = x.agg(F.avg("v").alias("mean"))
     spread = means.agg(F.sort_array(F.collect_list("m")).alias("a"))  # a value a round

@@ -102,6 +102,14 @@ def test_nearest_in_blocks(spark):
         assert [got[q, i + 1] for i in range(3)] == [v for _, v in best]
 
 
+def test_bootstrap_draws_in_compiled_code(spark):
+    df = spark.range(500).selectExpr("id", "id % 7 as v")
+    out = P.bootstrap_mean(df, "v", "id", 50)
+    assert "lambdafunction" not in out._jdf.queryExecution().optimizedPlan().toString()
+    r = out.first()
+    assert r["lo"] < r["mean"] < r["hi"] and r["hi"] - r["lo"] < 0.6
+
+
 def test_nearest_of_copies_nulls_and_names(spark):
     rows = [(f"r{i:05}", [1.0, 2.0]) for i in range(6_000)] + [("b", [2.0, 1.0]), ("n", None), (None, [1.0, 2.0])]
     df = spark.createDataFrame(rows, "k string, e array<double>").repartition(3)
