@@ -25,11 +25,9 @@ ORDER = 4
 TERMS_AT_ONCE = 6_000_000
 #: Languages of a model, at most: their names and limits are on the driver. More are an error.
 MAX_LANGS = 5000
-#: Rows, chosen by a hash of doc_id, on which confidence and rejection are calibrated: about so many.
-CALIBRATION_ROWS = 20_000
 #: Sums (runs times languages) that a worker keeps, so that a run it has met is looked up once.
 MEMO_CELLS = 8_000_000
-#: Steepness of the confidence: the one of least log loss on the calibration rows is taken.
+#: Steepness of the confidence: the one of least log loss on the rows learned from is taken.
 HEATS = (0.02, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0)
 _BITS = 16  # of a character's code within a run
 _SLOT_BITS = 20
@@ -325,7 +323,7 @@ def _confidence(ce, runs, heat: float):
 def fit(docs: DataFrame, terms_at_once: int = TERMS_AT_ONCE) -> Model:
     """A model of every row's whole text by its lang (rows of null text or lang teach nothing). Nothing is cut from it.
 
-    Confidence and limits of rejection come from about CALIBRATION_ROWS of the rows."""
+    Confidence and limits of rejection come from all of them too, by one more pass over their texts."""
     ship(docs.sparkSession)
     known = docs.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     counts = materialize(gram_counts(known))
@@ -338,9 +336,7 @@ def fit(docs: DataFrame, terms_at_once: int = TERMS_AT_ONCE) -> Model:
     made = materialize(made)
     model = Model(langs, tuple(base[x] for x in langs), made, max(1, -(-made.count() // terms_at_once)))
 
-    n = known.count()
-    some = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(max(1, -(-n // CALIBRATION_ROWS)))) == 0)
-    seen = materialize(entropies(some.select("text", "lang"), model).where("runs > 0").withColumn("at", F.array_position(F.lit(list(langs)), F.col("lang")).cast("int")))
+    seen = materialize(entropies(known.select("text", "lang"), model).where("runs > 0").withColumn("at", F.array_position(F.lit(list(langs)), F.col("lang")).cast("int")))
     seen = seen.withColumn("own", F.get("ce", F.col("at") - 1))
 
     def loss(heat):

@@ -931,3 +931,10 @@ def test_toxicity(spark):
     assert len(odd) == len(ODD) and all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in odd)
     assert toxicity.score(docs.limit(0), model).count() == 0
     assert {r["predicted"] for r in toxicity.toxicity(made(spark, ODD), labels.limit(0)).collect()} == {0}
+
+
+def test_language_calibrates_on_every_row(spark, monkeypatch):
+    seen, plain = [], langid.entropies
+    monkeypatch.setattr(langid, "entropies", lambda docs, *a: (seen.append(docs.count()), plain(docs, *a))[1])
+    langid.fit(spark.range(20_100).selectExpr("id as doc_id", "if(id % 2 = 0, 'the cat', 'le chat') as text", "if(id % 2 = 0, 'en', 'fr') as lang"))
+    assert seen == [20_100]
