@@ -629,6 +629,19 @@ def test_quality_measures_against_brute_force(spark):
         assert not (r["kept"] and r["base_failed"])
 
 
+def test_repeats_rule_sorts_only_what_its_bound_leaves_open(spark, monkeypatch):
+    """The rule says what the measure says, and a text of few equal windows is not sorted for it."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefgh"[: rng.randint(2, 8)]) for _ in range(rng.randint(0, 90))) for _ in range(120)]
+    docs = made(spark, list(enumerate(texts))).select("text", quality_rules._half_repeats(F.col("text"), F.regexp_count("text", F.lit(quality_rules.WORD))).alias("half"))
+    got = docs.collect()
+    assert {r["half"] for r in got} == {False, True}
+    assert all(r["half"] == (100 * (m := brute_quality(r["text"]))[4] > 50 * m[0]) for r in got)
+    monkeypatch.setattr(quality_rules, "_covered_by_repeats", lambda h: F.raise_error(F.lit("sorted")).cast("long"))
+    plain = made(spark, [(1, " ".join(map(str, range(500)))), (2, "a b c " + " ".join(map(str, range(99))) + " a b c")])
+    assert quality_rules.kept_rows(plain, rules=[], sample_rows=0).count() == 2
+
+
 def test_repeats_of_texts_too_long_to_pack(spark, monkeypatch):
     rng = random.Random(6)
     docs = made(spark, [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 60)))) for i in range(60)])
