@@ -74,15 +74,22 @@ def reached(edges: DataFrame, depth: int) -> DataFrame:
         select src, n, min(hops) as hops from walk group by src, n""")
 
 
-def communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
-    """n, community: labels that spread for so many rounds. edges: src, dst (whole numbers), weight, whichever way they point.
+def undirected(edges: DataFrame) -> DataFrame:
+    """src, dst, weight: one row for each pair of joined nodes, src the lesser, weights summed; no edges from a node to itself."""
+    x = edges.where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "weight")
+    return checkpointed(x.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+
+
+def communities(edges: DataFrame, rounds: int = 5, summed: bool = False) -> DataFrame:
+    """n, community: labels that spread for so many rounds. edges: src, dst (whole numbers), weight, whichever way they point;
+    summed: they come from undirected().
 
     Nodes of even and of odd numbers take turns (all at once would swap labels to and fro where the graph has two sides): a
     node takes the label that weighs most among its neighbours, of equals the least. A label's weights are summed by partial
     sums before one row a (node, label) is compared, so a node of many edges is not sorted; each round is written to shared
     storage. Edges from a node to itself don't count."""
-    both = edges.select("src", "dst", "weight").union(edges.select("dst", "src", "weight")).where("src <> dst")
-    both = checkpointed(both.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    once = edges if summed else undirected(edges)
+    both = once.select("src", "dst", "weight").union(once.select("dst", "src", "weight"))
     label = both.select(F.col("src").alias("n"), F.col("src").alias("community")).distinct()
     for k in range(rounds):
         near = both.where(F.pmod("src", F.lit(2)) == k % 2).join(label.select(F.col("n").alias("dst"), "community"), "dst").groupBy("src", "community").agg(F.sum("weight").alias("w"))
@@ -93,9 +100,12 @@ def communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
 
 
 def modularity(edges: DataFrame, label: DataFrame) -> DataFrame:
-    """One row: modularity of communities (n, community) over edges (src, dst, weight), whichever way they point."""
-    both = edges.select("src", "dst", "weight").union(edges.select("dst", "src", "weight")).where("src <> dst")
-    own = both.join(label.select(F.col("n").alias("src"), F.col("community").alias("a")), "src").join(label.select(F.col("n").alias("dst"), F.col("community").alias("b")), "dst")
-    parts = own.groupBy("a").agg(F.sum(F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0)).alias("inside"), F.sum("weight").alias("ends"))
+    """One row: modularity of communities (n, community) over edges (src, dst, weight), whichever way they point.
+
+    An edge meets the labels once and then counts for both of its ends."""
+    own = edges.where("src <> dst").join(label.select(F.col("n").alias("src"), F.col("community").alias("a")), "src").join(label.select(F.col("n").alias("dst"), F.col("community").alias("b")), "dst")
+    inside = F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0)
+    ends = own.select(F.explode(F.array("a", "b")).alias("a"), inside.alias("inside"), "weight")
+    parts = ends.groupBy("a").agg(F.sum("inside").alias("inside"), F.sum("weight").alias("ends"))
     all_ = F.sum("ends")
     return parts.agg((F.sum("inside") / all_ - F.sum(F.col("ends") * F.col("ends")) / (all_ * all_)).alias("modularity"))

@@ -117,8 +117,8 @@ _ROUND = """u{k} as (select src as n, arg_max(community, (w, -community)) as new
 
 
 def _supply(t):
-    """Edges of parts and suppliers by quantity."""
-    return t.lineitem.groupBy((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst")).agg(F.sum("l_quantity").alias("weight"))
+    """Edges of parts and suppliers by quantity, a row a line: who takes them sums them."""
+    return t.lineitem.select((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"), F.col("l_quantity").alias("weight"))
 
 
 @query(f"with {_SUPPLY}, {', '.join(_ROUND.format(k=k, j=k - 1) for k in range(1, 5))} select n, community from l4")
@@ -131,8 +131,8 @@ def supply_communities(t):
  select round(sum(inside) / sum(ends) - sum(ends * ends) / (sum(ends) * sum(ends)), 8) as modularity, count(*)::bigint as communities from p""")
 def community_modularity(t):
     """How much of the weight lies inside communities, beyond what chance would put there."""
-    edges = checkpointed(_supply(t))
-    label = G.communities(edges, 4)
+    edges = G.undirected(_supply(t))
+    label = G.communities(edges, 4, summed=True)
     return G.modularity(edges, label).select(F.round("modularity", 8).alias("modularity")).crossJoin(label.agg(F.count_distinct("community").alias("communities")))
 
 

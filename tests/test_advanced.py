@@ -190,6 +190,23 @@ def test_communities_and_modularity(spark):
     assert G.modularity(df, label).first()["modularity"] == pytest.approx(want)
 
 
+def test_edges_are_summed_once(spark):
+    """Pairs of nodes are one row whichever way their edges point, and labels from them are the same."""
+    rng = random.Random(12)
+    rows = [(rng.randrange(30), rng.randrange(30), float(rng.randint(1, 5))) for _ in range(200)]
+    df = spark.createDataFrame(rows, "src long, dst long, weight double")
+    once = G.undirected(df)
+    want = {}
+    for a, b, w in rows:
+        if a != b:
+            want[min(a, b), max(a, b)] = want.get((min(a, b), max(a, b)), 0) + w
+    assert {(r["src"], r["dst"]): r["weight"] for r in once.collect()} == want
+    label = G.communities(df, 4)
+    assert sorted(map(tuple, G.communities(once, 4, summed=True).collect())) == sorted(map(tuple, label.collect()))
+    assert G.modularity(once, label).first()["modularity"] == pytest.approx(G.modularity(df, label).first()["modularity"])
+
+
+
 def test_singular_values_equal_numpy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = P.term_rows(docs, 512).cache()
