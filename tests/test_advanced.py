@@ -206,6 +206,13 @@ def test_edges_are_summed_once(spark):
     assert G.modularity(once, label).first()["modularity"] == pytest.approx(G.modularity(df, label).first()["modularity"])
 
 
+def test_baskets_are_dealt_by_size(spark, sf):
+    """The pairs that one task counts hang on a number of tasks that grows with the lines, not on the planner's guess."""
+    from loamwork.plans import catalogue
+
+    assert catalogue.QUERIES["basket_lift"](spark, sf)._jdf.queryExecution().toString().count("RepartitionByExpression [a") > 0
+
+
 
 def test_singular_values_equal_numpy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
