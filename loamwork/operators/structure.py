@@ -7,7 +7,7 @@ unit of state, so no group grows with the corpus.
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -48,16 +48,24 @@ def fold_lines(lines: list[str], width: int = 40) -> list[str]:
 
 
 def unwrap(docs: DataFrame, width: int = 40) -> DataFrame:
-    """docs (doc_id, text) with text unwrapped and n_merged, the number of joined lines; null texts stay null."""
-    ship(docs.sparkSession)
+    """docs (doc_id, text) with text unwrapped and n_merged, the number of joined lines; null texts stay null.
 
-    def run(frames):
-        for x in frames:
-            folded = [None if t is None else fold_lines(t.split("\n"), width) for t in x["text"]]
-            merged = [0 if t is None else len(t.split("\n")) - len(f) for t, f in zip(x["text"], folded)]
-            yield pd.DataFrame({"doc_id": x["doc_id"], "text": [None if f is None else "\n".join(f) for f in folded], "n_merged": merged})
+    Whether a line is joined, and with a space, hangs on it and the line before it alone, so this is one expression."""
+
+    def goes_on(last: Column, line: Column) -> Column:
+        return (F.length(last) >= width) & (line != "") & ~last.rlike(r"[.!?:。！？：]\z") & ~line.rlike(r"^([\t\n\f\r ]|[-*+>#|]|[0-9]+[.)]|```)")
+
+    def joined(last: Column, line: Column) -> Column:
+        glue = F.when(last.rlike(r"[A-Za-z0-9,;]\z") & line.rlike("^[A-Za-z0-9]"), F.lit(" ")).otherwise(F.lit(""))
+        return F.when(goes_on(last, line), F.concat(glue, line)).otherwise(F.concat(F.lit("\n"), line))
+
+    def body(lines: Column) -> Column:
+        return F.array_join(F.transform(lines, lambda x, i: F.when(i == 0, x).otherwise(joined(F.get(lines, i - 1), x))), "")
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_merged long")
+    text = F.transform(F.array(F.split("text", "\n", -1)), body)[0]
+    breaks = lambda t: F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit("")))
+    x = docs.select("doc_id", F.col("text").alias("__t"), F.when(F.col("text").isNotNull(), text).alias("text"))
+    return x.select("doc_id", "text", F.coalesce(breaks(F.col("__t")) - breaks(F.col("text")), F.lit(0)).cast("long").alias("n_merged"))
 
 
 def recover_table(raw: list[str]) -> tuple[list[list[str]], str]:

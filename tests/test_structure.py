@@ -1,5 +1,7 @@
 """Structure operators and sinks on invented text."""
 
+import random
+
 from loamwork.functions.text import norm_integrity
 from loamwork.operators import corpus as C
 from loamwork.operators import structure as S
@@ -18,6 +20,18 @@ def test_unwrap(spark):
     assert got == {1: ("a" * 45 + " and more.\nnext", 1), 2: (None, 0), 3: ("", 0)}
 
 
+def test_unwrap_is_one_expression(spark):
+    """No Python worker holds texts, and each line is joined as by the rule for lines."""
+    rng = random.Random(3)
+    starts = ["", "and", "- x", "12) x", "1.x", "```", " x", "# h", "é", "x", "。"]
+    texts = ["\n".join(rng.choice(starts) + rng.choice("a.,é; ") * rng.choice([0, 38, 40, 60]) + rng.choice(["", ".", ":", "\r", "\u2028", ",", "é", "！"]) for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    x = S.unwrap(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert "InPandas" not in x._jdf.queryExecution().toString() and "InArrow" not in x._jdf.queryExecution().toString()
+    for r in x.collect():
+        lines = S.fold_lines(texts[r["doc_id"]].split("\n"))
+        assert (r["text"], r["n_merged"]) == ("\n".join(lines), texts[r["doc_id"]].count("\n") + 1 - len(lines))
+
+
 def test_tables_lose_nothing(spark):
     raw = ["name      size      note", "apple     10        red one", "                    and sweet", "pear      2         green"]
     rows, confidence = S.recover_table(raw)
