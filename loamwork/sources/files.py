@@ -6,11 +6,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
-from pyspark.sql.window import Window as W
 
 
 #: Rules of one document, at most: they become constants of a plan.
 MAX_RULES = 10_000
+#: Names of files that are broadcast, at most.
+MAX_FILES = 100_000
 
 
 def shared(spark: SparkSession) -> str:
@@ -63,11 +64,14 @@ def text_files(spark: SparkSession, root: str, globs: list[str]) -> DataFrame:
 
 def text_copy(spark: SparkSession, path: str, to: str) -> DataFrame:
     """Copies text files, line for line, without the byte-order mark that a file may begin with, and returns relpath, line of
-    the copy. A file's lines are kept apart by its name, a folder each; a mark within a file is text."""
+    the copy. A file's lines are kept apart by its name, a folder each; a mark within a file is text.
+
+    Lines are copied by the tasks that read them; what is joined to them is a row a file, the number of its first line."""
     x = spark.read.text(path).select(F.url_decode("_metadata.file_name").alias("relpath"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("n"))
-    first = (F.col("start") == 0) & F.startswith("value", F.lit("\ufeff"))
-    line = F.when(first & (F.row_number().over(W.partitionBy("relpath", "start").orderBy("n")) == 1), F.substr("value", F.lit(2))).otherwise(F.col("value"))
-    x.withColumn("value", line).sortWithinPartitions("relpath", "start", "n").select("relpath", "value").write.mode("overwrite").partitionBy("relpath").text(to)
+    first = x.where("start = 0").groupBy("relpath").agg(F.min("n").alias("first"))
+    first = F.broadcast(first) if first.count() <= MAX_FILES else first
+    line = F.when((F.col("n") == F.col("first")) & F.startswith("value", F.lit("\ufeff")), F.substr("value", F.lit(2))).otherwise(F.col("value"))
+    x.join(first, "relpath", "left").withColumn("value", line).sortWithinPartitions("relpath", "start", "n").select("relpath", "value").write.mode("overwrite").partitionBy("relpath").text(to)
     return spark.read.schema("value string, relpath string").text(to).select("relpath", F.col("value").alias("line"))
 
 

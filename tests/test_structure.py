@@ -87,3 +87,16 @@ def test_text_copy(spark, tmp_path):
     (tmp_path / "in" / "c.txt").write_text("four\n", encoding="utf-8")
     got = sorted((r["relpath"], r["line"]) for r in files.text_copy(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").collect())
     assert got == sorted([("a b.txt", "one"), ("a b.txt", "\ufefftwo"), ("a b.txt", ""), ("a b.txt", "three"), ("c.txt", "four")])
+
+
+def test_text_copy_by_the_tasks_that_read(spark, tmp_path):
+    """A long file is copied in as many parts as it is read in, without its mark."""
+    from loamwork.sources import files
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\ufeff" + "".join(f"line {k}\n" for k in range(4000)), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    got = [r["line"] for r in files.text_copy(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").collect()]
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got) == sorted(f"line {k}" for k in range(4000))
+    assert len(list((tmp_path / "out" / "relpath=a.txt").glob("part-*"))) > 3
