@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from ..functions.textkernel import Words, chunks, mix
 from .common import arrow_field, materialize, ship
-from .textkernel import Words, chunks, mix
 
 _U = np.uint64
 #: Items, and words of items, that one pass over the texts looks for, at most; more take more passes.

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.textkernel import Words, chunks, mix
 from .common import WORD, materialize, release, rows_at_most, ship, unused
-from .textkernel import Words, chunks, mix
 
 SHINGLE, GROUPS, SKETCH = 5, 64, 16
 #: Similarity as a fraction, so that every test is one of integers.

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.textkernel import mix
 from .common import crc_mod, materialize, release, ship, unused
-from .textkernel import mix
 
 ORDER = 4
 #: Terms of a model that one pass over the texts holds in memory; a larger model takes more passes, with the same result.

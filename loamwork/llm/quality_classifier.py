@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.textkernel import Words, chunks
 from .common import materialize, ship
-from .textkernel import Words, chunks
 from .toxicity import bounded_labels
 
 BUCKETS = 10_000

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.textkernel import Words, chunks
 from .common import crc_mod, materialize, rows_at_most, ship
-from .textkernel import Words, chunks
 
 #: Labelled rows that a model is fitted on, at most (the lowest hashes of their doc_id).
 MAX_LABELS = 400_000

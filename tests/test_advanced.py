@@ -13,6 +13,7 @@ from loamwork.operators import graph as G
 from loamwork.operators import models as P
 from loamwork.operators import neighbours as N
 from loamwork.operators import privacy as Q
+from loamwork.operators import relational as R
 from loamwork.plans import catalogue
 from loamwork.sources import log as L
 from loamwork.streaming import events as E
@@ -321,3 +322,31 @@ def test_units_citations_and_definitions(spark):
     assert [(r["text"], r["n_found"]) for r in x.orderBy("doc_id").collect()] == [("A: b", 0), (None, 0)]
     with pytest.raises(Exception, match="no value for b"):
         C.rendered(spark.createDataFrame([("x",)], "a string"), {"p": "{{a}} {{b}}"}).collect()
+
+
+def word_texts(rng, n):
+    common, rare = ["the", "Über", "straße", "aé", "zz", "İx"], ["".join(rng.choice("abcdeé") for _ in range(rng.choice([2, 7, 12]))) for _ in range(300)]
+    return [" ".join(rng.choice(common if rng.random() < 0.5 else rare) + rng.choice(["", ",", " 12", "-"]) for _ in range(rng.choice([0, 1, 3, 40, 200]))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("most", [2_000_000, 60, 5])
+def test_top_terms_are_those_of_tf_idf(spark, most):
+    """Whether all, few or hardly any frequencies are broadcast; rows of one doc_id, also null, are one document."""
+    texts = word_texts(random.Random(3), 120) + ["", None, "12 34", "a b c d e f g h", "b a"]
+    rows = list(enumerate(texts)) + [(4, "the the zz"), (4, "zz new"), (None, "the q"), (None, "q r s t u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    every = R.tf_idf(docs).withColumn("tfidf", F.round("tfidf", 6)).collect()
+    want = {}
+    for r in sorted(every, key=lambda r: (-r["tfidf"], r["term"].encode())):
+        want.setdefault(r["doc_id"], []).append((r["term"], r["tfidf"]))
+    got = {}
+    for r in sorted(R.top_terms(docs, 3, common=most).collect(), key=lambda r: (-r["tfidf"], r["term"].encode())):
+        got.setdefault(r["doc_id"], []).append((r["term"], r["tfidf"]))
+    assert got == {d: x[:3] for d, x in want.items()} and None in got
+    assert R.top_terms(docs.limit(0), 3).count() == 0
+
+
+def test_top_terms_query_shuffles_no_row_a_word(spark, sf):
+    x = catalogue.QUERIES["tfidf_top_terms"](spark, sf)
+    assert "Generate" not in x._jdf.queryExecution().executedPlan().toString()
+    assert x.groupBy("doc_id").count().where("count > 3").count() == 0
