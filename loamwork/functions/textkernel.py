@@ -88,3 +88,31 @@ class Words:
         doc = self.doc()
         ok = np.flatnonzero(doc[: total - n + 1] == doc[n - 1 :])
         return mix(out[ok]), doc[ok], ok
+
+
+def shingles(data: np.ndarray, offs: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct hashes of each document's runs of `size` words, one document after the other; where each begins, and the end).
+
+    Fewer words: the whole sequence as one. No word: none."""
+    w = Words(data, offs)
+    h, doc, _ = w.grams(size)
+    n = np.diff(w.ptr)
+    for k in range(1, size):
+        h2, d2, _ = w.grams(k)
+        short = n[d2] == k
+        if short.any():
+            h, doc = np.concatenate([h, mix(h2[short] + _U(k))]), np.concatenate([doc, d2[short]])
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    h, doc = h[new], doc[new]
+    return h, np.searchsorted(doc, np.arange(len(n) + 1))
+
+
+def set_ids(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each set: of its size, and of two sums over its members."""
+    with np.errstate(over="ignore"):
+        one, two = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(h + _U(1)), mix(h ^ _U(0x5851F42D4C957F2D))))
+        a, b = one[ptr[1:]] - one[ptr[:-1]], two[ptr[1:]] - two[ptr[:-1]]
+        return mix(a + mix(b + mix(np.diff(ptr).astype(np.uint64))))

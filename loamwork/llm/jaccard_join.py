@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..functions.textkernel import Words, chunks, mix
+from ..functions.textkernel import chunks, mix, set_ids, shingles
 from .common import WORD, materialize, release, rows_at_most, ship, unused
 
-SHINGLE, GROUPS, SKETCH = 5, 64, 16
+GROUPS, SKETCH = 64, 16
 #: Similarity as a fraction, so that every test is one of integers.
 NUM, DEN = 75, 100
 #: Classes that share a shingle from this number on make it a common one, which moves work and never a link. The common
@@ -39,34 +39,6 @@ def needed(a, b):
     return -(-NUM * (a + b) // (NUM + DEN))
 
 
-def shingles(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct hashes of all documents, one after the other; where each begins, and the end).
-
-    Fewer than SHINGLE words: the whole sequence as one. No word: none."""
-    w = Words(data, offs)
-    h, doc, _ = w.grams(SHINGLE)
-    n = np.diff(w.ptr)
-    for k in range(1, SHINGLE):
-        h2, d2, _ = w.grams(k)
-        short = n[d2] == k
-        if short.any():
-            h, doc = np.concatenate([h, mix(h2[short] + _U(k))]), np.concatenate([doc, d2[short]])
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    h, doc = h[new], doc[new]
-    return h, np.searchsorted(doc, np.arange(len(n) + 1))
-
-
-def _class_id(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each set: of its size, and of two sums over its members."""
-    with np.errstate(over="ignore"):
-        one, two = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(h + _U(1)), mix(h ^ _U(0x5851F42D4C957F2D))))
-        a, b = one[ptr[1:]] - one[ptr[:-1]], two[ptr[1:]] - two[ptr[:-1]]
-        return mix(a + mix(b + mix(np.diff(ptr).astype(np.uint64))))
-
-
 def _points(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
     flat = np.bincount(doc * GROUPS + (h >> _U(58)).astype(np.int64), minlength=(len(ptr) - 1) * GROUPS)
@@ -109,7 +81,7 @@ def _sets(docs: DataFrame) -> DataFrame:
             cls, n, keys = [], [], []
             for a, b, data, offs in chunks(batch.column("text")):
                 h, ptr = shingles(data, offs)
-                cls.append(_class_id(h, ptr))
+                cls.append(set_ids(h, ptr))
                 n.append(np.diff(ptr))
                 keys += [h[x : min(y, x + SKETCH)].view(np.int64) if y > x else None for x, y in zip(ptr[:-1], ptr[1:])]
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
@@ -135,7 +107,7 @@ def _full_keys(docs: DataFrame, common: np.ndarray) -> DataFrame:
             cls, keys = [], []
             for a, b, data, offs in chunks(batch.column("text")):
                 h, ptr = shingles(data, offs)
-                ids = _class_id(h, ptr)
+                ids = set_ids(h, ptr)
                 hot = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
                 sums = np.concatenate([[0], np.cumsum(hot)])
                 least = sums[np.minimum(ptr[:-1] + SKETCH, ptr[1:])] - sums[ptr[:-1]]
@@ -368,7 +340,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
             cls, sets = [], []
             for a, b, data, offs in chunks(batch.column("text")):
                 h, ptr = shingles(data, offs)
-                cls += _class_id(h, ptr).view(np.int64).tolist()
+                cls += set_ids(h, ptr).view(np.int64).tolist()
                 sets += [h[x:y].astype("<u8").tobytes() for x, y in zip(ptr[:-1], ptr[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], ["cls", "set"])
 

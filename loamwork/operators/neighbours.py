@@ -5,51 +5,99 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.textkernel import chunks, set_ids, shingles
 from ..sources.sinks import checkpointed
 from ..sources.tables import ship
 from .graph import connected
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-
-def shingle_sets(docs: DataFrame, words: int = 5) -> DataFrame:
-    """doc_id, shingles: the different 64-bit hashes of runs of so many words in lower case; a text of fewer words is one
-    shingle, one without words (or null) has none."""
-    w = docs.select("doc_id", F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), _UPPER, _LOWER), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("w"))
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - words + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, words), " ")))
-    return w.select("doc_id", F.when(F.size("w") > 0, F.sort_array(F.array_distinct(runs))).otherwise(F.array().cast("array<bigint>")).alias("shingles"))
-
-
-def _banded(classes: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
-    """bucket, h, n: each class in a bucket for every band of its MinHash signature."""
+def _signed(docs: DataFrame, words: int, bands: int, rows: int, seed: int) -> DataFrame:
+    """doc_id, n, h, keys: how many different runs of so many words (A-Z in lower case) a text has, a hash of their set and
+    the buckets of its MinHash signature, one a band. A text of fewer words is one run; one without words (or null) has none,
+    a null hash and no bucket."""
     rng = np.random.default_rng(seed)
     odd = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     fold = rng.integers(0, 1 << 63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches):
         for batch in batches:
-            sets = batch.column(2)
-            flat, first = sets.flatten().to_numpy().view(np.uint64), sets.offsets.to_numpy()[: batch.num_rows] - sets.offsets[0].as_py()
-            sig = np.empty((batch.num_rows, bands * rows), np.uint64)
-            with np.errstate(over="ignore"):
-                for k, a in enumerate(odd):  # a permutation: multiplied by an odd number, high bits folded down
-                    x = flat * a
-                    sig[:, k] = np.minimum.reduceat((x ^ (x >> np.uint64(29))) * a, first)
-                keys = (sig.reshape(-1, bands, rows) * fold).sum(axis=2) + np.arange(bands, dtype=np.uint64) * fold[0]
-            offsets = pa.array(np.arange(batch.num_rows + 1) * bands, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))], ["h", "n", "keys"])
+            for a, b, data, offs in chunks(batch.column(1)):
+                flat, ptr = shingles(data, offs, words)
+                n = np.diff(ptr)
+                first = ptr[:-1][n > 0]
+                sig = np.empty((len(first), bands * rows), np.uint64)
+                with np.errstate(over="ignore"):
+                    for k, by in enumerate(odd if len(first) else ()):  # a permutation: multiplied by an odd number, high bits folded down
+                        x = flat * by
+                        sig[:, k] = np.minimum.reduceat((x ^ (x >> np.uint64(29))) * by, first)
+                    keys = (sig.reshape(-1, bands, rows) * fold).sum(axis=2) + np.arange(bands, dtype=np.uint64) * fold[0]
+                upto = np.concatenate([[0], np.cumsum(n > 0) * bands])
+                lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(keys.ravel().view(np.int64)))
+                h = pa.array(set_ids(flat, ptr).view(np.int64), mask=n == 0)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), h, lists], ["doc_id", "n", "h", "keys"])
+
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, h long, keys array<long>")
+
+
+def _sets(docs: DataFrame, words: int, wanted: np.ndarray | None) -> DataFrame:
+    """h, n, sketch, shingles: the sets whose hash is in `wanted` (ascending; None: all), at most one of a hash from each task if
+    given. A sketch counts members by their high bits, in as many bytes as a set has members, rounded up to a power of two;
+    it is empty if a count is over 255."""
+
+    def sketch(members):
+        bits = max(1, (len(members) - 1).bit_length())
+        count = np.bincount((members >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        return count.astype(np.uint8).tobytes() if count.max() <= 255 else b""
+
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches):
+        wanted = shared.value
+        seen = None if wanted is None else np.zeros(len(wanted), bool)
+        for batch in batches:
+            for _, _, data, offs in chunks(batch.column(1)):
+                flat, ptr = shingles(data, offs, words)
+                h = set_ids(flat, ptr).view(np.int64)
+                x = np.flatnonzero(np.diff(ptr))
+                if seen is not None:
+                    at = np.searchsorted(wanted, h)
+                    x = x[at[x] < len(wanted)]
+                    x = x[(wanted[at[x]] == h[x]) & ~seen[at[x]]]
+                    x = x[np.unique(at[x], return_index=True)[1]]
+                    seen[at[x]] = True
+                if len(x):
+                    sets = pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(flat.view(np.int64))).take(pa.array(x))
+                    sketches = pa.array([sketch(flat[ptr[i] : ptr[i + 1]]) for i in x], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(h[x]), pa.array(np.diff(ptr)[x], pa.int64()), sketches, sets], ["h", "n", "sketch", "shingles"])
+
+    return docs.mapInArrow(run, "h long, n long, sketch binary, shingles array<long>")
+
+
+def _may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) but those that cannot be as similar: sets share at most the sum of the lesser counts of their sketches."""
+
+    def common(x, y):
+        x, y = sorted((np.frombuffer(v, np.uint8) for v in (x, y)), key=len)
+        return int(np.minimum(x, y.reshape(len(x), -1).sum(axis=1)).sum())
 
-    return classes.select("h", "n", "shingles").mapInArrow(run, "h long, n int, keys array<long>").select(F.explode("keys").alias("bucket"), "h", "n")
+    def run(batches):
+        for batch in batches:
+            a, b, n, x, m, y = (c.to_pylist() for c in batch.columns)
+            keep = [not u or not v or (100 + percent) * common(u, v) >= percent * (i + k) for i, u, k, v in zip(n, x, m, y)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    x, y = (classes.select(F.col("h").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "ab")
+    return checkpointed(pairs.join(x, "a").join(y, "b").select("a", "b", "na", "sa", "nb", "sb").mapInArrow(run, "a long, b long"))
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """src, dst of pairs (a, b) whose sets are as similar."""
     a, b = classes.select(F.col("h").alias("a"), F.col("shingles").alias("x")), classes.select(F.col("h").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return checkpointed(pairs.join(a, "a").join(b, "b").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return checkpointed(_may_link(pairs, classes, percent).join(a, "a").join(b, "b").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
-def minhash_components(docs: DataFrame, percent: int = 75, words: int = 5, bands: int = 20, rows: int = 4, seed: int = 1) -> DataFrame:
+def minhash_components(docs: DataFrame, percent: int = 75, words: int = 5, bands: int = 20, rows: int = 4, seed: int = 1, most: int = 5_000_000) -> DataFrame:
     """doc_id, n_shingles, component: the least doc_id that a text is linked to by texts of at least `percent` similarity.
 
     Equal sets are one class from the start. Classes that share a band meet in its bucket: first all of a bucket are held
@@ -57,16 +105,26 @@ def minhash_components(docs: DataFrame, percent: int = 75, words: int = 5, bands
     largest component are held against the others. No candidate pair is left out but between classes that are joined
     already. Two sets of similarity s share a band with a chance of 1 - (1 - s^rows)^bands: 0.9995 at 0.75.
 
+    Sets are not kept: those of classes that share a bucket are made from the texts once more, where these are read; up to
+    `most` hashes of such classes are broadcast for that, and if there are more, all sets are shuffled to meet them. Pairs are
+    first held against each other by sketches, an eighth to a quarter of a set, which pass over no link; only what these
+    leave open gets whole sets.
+
     Texts without words are alone; null doc_ids are rows of their own class by text (their component is the least id that is
     not null, if there is one); repeated rows are equal sets; an empty table gives an empty one."""
     ship(docs.sparkSession)
-    sets = checkpointed(shingle_sets(docs, words).withColumn("h", F.xxhash64("shingles")).withColumn("u", F.monotonically_increasing_id()))
-    some = sets.where(F.size("shingles") > 0)
-    first = some.groupBy("h").agg(F.min("u").alias("u"))
-    classes = checkpointed(some.join(first.select("u"), "u", "left_semi").select("h", F.size("shingles").alias("n"), "shingles"))
-    members = _banded(classes, bands, rows, seed)
+    docs = docs.select("doc_id", "text")
+    signed = checkpointed(_signed(docs, words, bands, rows, seed))
+    some = signed.where("n > 0")
+    members = some.select("h", "n", "keys").dropDuplicates(["h"]).select(F.explode("keys").alias("bucket"), "h", "n")
     shared = members.groupBy("bucket").agg(F.count("*").alias("c"), F.min(F.struct("h", "n")).alias("p")).where("c > 1").select("bucket", "p")
     members = checkpointed(members.join(shared, "bucket"))
+    wanted = checkpointed(members.select("h").distinct())
+    if wanted.count() <= most:
+        sets = _sets(docs, words, np.sort(wanted.toArrow()["h"].to_numpy()))
+    else:
+        sets = _sets(docs, words, None).join(wanted, "h", "left_semi")
+    classes = checkpointed(sets.dropDuplicates(["h"]))
     ratio = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
     star = members.where((F.col("h") != F.col("p.h")) & ratio(F.col("n"), F.col("p.n"))).select(F.col("p.h").alias("a"), F.col("h").alias("b")).distinct()
     links = _linked(star, classes, percent)
@@ -80,8 +138,7 @@ def minhash_components(docs: DataFrame, percent: int = 75, words: int = 5, bands
     named = some.select("doc_id", "h").join(labels, "h", "left").withColumn("c", F.coalesce("component", "h"))
     least = named.groupBy("c").agg(F.min("doc_id").alias("component"))
     own = named.select("h", "c").distinct().join(least, "c").select("h", "component")
-    out = sets.join(own, (sets["h"] == own["h"]) & (F.size("shingles") > 0), "left")
-    return out.select("doc_id", F.size("shingles").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component"))
+    return signed.join(own, "h", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component"))
 
 
 def _near(x: Column, y: Column, u: Column, v: Column, eps: float) -> Column:

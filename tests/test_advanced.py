@@ -350,3 +350,44 @@ def test_top_terms_query_shuffles_no_row_a_word(spark, sf):
     x = catalogue.QUERIES["tfidf_top_terms"](spark, sf)
     assert "Generate" not in x._jdf.queryExecution().executedPlan().toString()
     assert x.groupBy("doc_id").count().where("count > 3").count() == 0
+
+
+def test_minhash_keeps_only_sets_that_meet_others(spark, monkeypatch):
+    rng, kept, write = random.Random(2), [], N.checkpointed
+
+    def watched(df):
+        out = write(df)
+        if "shingles" in out.columns:
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "checkpointed", watched)
+    texts = [" ".join(str(rng.random()) for _ in range(40)) for _ in range(80)]
+    texts += [texts[0] + " one more", texts[7], texts[7], "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component"]) for r in N.minhash_components(docs).collect()}
+    assert got[80] == (38, 0) and got[81] == got[82] == (36, 7) and got[83] == (0, 83) and got[84] == (0, 84)
+    assert sum(kept) == 2
+
+
+def test_minhash_when_more_meet_than_are_broadcast(spark):
+    docs = spark.createDataFrame(list(enumerate(near_copies(random.Random(4), 30) + ["", None])), "doc_id long, text string").repartition(3)
+    few, many = (sorted(map(tuple, N.minhash_components(docs, most=most).collect())) for most in (5_000_000, 0))
+    assert few == many
+
+
+def test_minhash_sketches_pass_over_no_link(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(4000)]
+    base = rng.sample(words, 300)
+    texts = [" ".join(rng.choice(words) if rng.random() < p else w for w in base) for p in (0, 0.01, 0.02, 0.03, 0.05, 0.1, 0.3) for _ in range(3)]
+    texts += [" ".join(t.split()[: len(t.split()) * 4 // 5]) for t in texts[:4]] + ["one"]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in (t.split() for t in dict.fromkeys(texts))]
+    rows = N._sets(spark.createDataFrame(list(enumerate(dict.fromkeys(texts))), "doc_id long, text string").coalesce(1), 5, None)
+    h = [r["h"] for r in rows.collect()]
+    pairs = list(itertools.combinations(range(len(h)), 2))
+    left = N._may_link(spark.createDataFrame([(h[i], h[k]) for i, k in pairs], "a long, b long"), rows, 75).collect()
+    left = {(r["a"], r["b"]) for r in left}
+    like = {(h[i], h[k]) for i, k in pairs if 100 * len(sets[i] & sets[k]) >= 75 * len(sets[i] | sets[k])}
+    half = {(h[i], h[k]) for i, k in pairs if 100 * len(sets[i] & sets[k]) < 50 * len(sets[i] | sets[k])}
+    assert like and like <= left and half and not half & left
